@@ -68,6 +68,34 @@ FROM kx GROUP BY 1, 2, 3, 4
 """
 
 
+# Change records of the dimension tables and orders, and the routed rows
+# under the final test config (customer, part, orders configured; supplier
+# deleted; nation never configured).
+_OSEQ = ("date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 1000000000000"
+         " + o_orderkey")
+_OTYPE = "CASE WHEN o_orderkey % 10 = 0 THEN 'delete' ELSE 'update' END"
+_ROUTED = f"""
+WITH routed AS (
+  SELECT c_custkey AS seq, 'customer' AS source_table, 'insert' AS type,
+         'dim_customer' AS sink_table, CAST(c_custkey AS VARCHAR) AS row_key FROM customer
+  UNION ALL
+  SELECT p_partkey, 'part', 'insert', 'dim_part', CAST(p_partkey AS VARCHAR) FROM part
+  UNION ALL
+  SELECT {_OSEQ}, 'orders', {_OTYPE}, 'dim_customer_last_order', CAST(o_custkey AS VARCHAR)
+  FROM orders)
+"""
+
+
+def _latest(apply_deletes: bool) -> str:
+    cond = " AND type <> 'delete'" if apply_deletes else ""
+    return _ROUTED + f"""
+SELECT sink_table, row_key, seq, type FROM (
+  SELECT *, row_number() OVER (PARTITION BY sink_table, row_key ORDER BY seq DESC) AS rn
+  FROM routed) x
+WHERE rn = 1{cond}
+"""
+
+
 ORACLE = {
     "parse_log": _BASE + """
 SELECT seq, mid, is_new_in AS is_new, ts,
@@ -144,6 +172,59 @@ SELECT keyword, {_fmt('sec')} AS rowtime FROM kx
 """,
     "keyword_window": _kw_window(10),
     "keyword_window_1d": _kw_window(86400),
+    "dim_filter_bootstrap": f"""
+SELECT c_custkey AS seq, 'customer' AS source_table, 'insert' AS type FROM customer
+UNION ALL SELECT p_partkey, 'part', 'insert' FROM part
+UNION ALL SELECT s_suppkey, 'supplier', 'insert' FROM supplier
+UNION ALL SELECT n_nationkey, 'nation', 'insert' FROM nation
+UNION ALL SELECT {_OSEQ}, 'orders', {_OTYPE} FROM orders
+""",
+    "dim_route": _ROUTED + """
+SELECT seq, source_table, type, sink_table, row_key FROM routed
+""",
+    "dim_prune_columns": f"""
+SELECT 'dim_customer' AS sink_table, c_custkey AS seq, CAST(c_custkey AS VARCHAR) AS row_key,
+       'c_custkey' AS column_name, CAST(c_custkey AS VARCHAR) AS column_value FROM customer
+UNION ALL SELECT 'dim_customer', c_custkey, CAST(c_custkey AS VARCHAR), 'c_name', c_name FROM customer
+UNION ALL SELECT 'dim_customer', c_custkey, CAST(c_custkey AS VARCHAR), 'c_mktsegment', c_mktsegment
+  FROM customer
+UNION ALL SELECT 'dim_part', p_partkey, CAST(p_partkey AS VARCHAR), 'p_partkey', CAST(p_partkey AS VARCHAR)
+  FROM part
+UNION ALL SELECT 'dim_part', p_partkey, CAST(p_partkey AS VARCHAR), 'p_name', p_name FROM part
+UNION ALL SELECT 'dim_part', p_partkey, CAST(p_partkey AS VARCHAR), 'p_brand', p_brand FROM part
+UNION ALL SELECT 'dim_customer_last_order', {_OSEQ}, CAST(o_custkey AS VARCHAR), 'o_custkey',
+  CAST(o_custkey AS VARCHAR) FROM orders
+UNION ALL SELECT 'dim_customer_last_order', {_OSEQ}, CAST(o_custkey AS VARCHAR), 'o_orderkey',
+  CAST(o_orderkey AS VARCHAR) FROM orders
+UNION ALL SELECT 'dim_customer_last_order', {_OSEQ}, CAST(o_custkey AS VARCHAR), 'o_orderstatus',
+  o_orderstatus FROM orders
+UNION ALL SELECT 'dim_customer_last_order', {_OSEQ}, CAST(o_custkey AS VARCHAR), 'o_orderdate',
+  strftime(o_orderdate, '%Y-%m-%d') FROM orders
+""",
+    "dim_upsert_latest": _latest(False),
+    "dim_upsert_deletes": _latest(True),
+    "dic_lookup": """
+SELECT o_orderkey, o_orderstatus,
+       CASE o_orderstatus WHEN 'F' THEN '1004' WHEN 'O' THEN '1001' END AS dic_code,
+       CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'unpaid' END AS dic_name,
+       CASE WHEN o_orderstatus IN ('F', 'O') THEN '10' END AS parent_code
+FROM orders
+""",
+    "fn_to_date": """
+SELECT event_id AS seq, epoch_us(ts) // 1000 AS ts,
+       strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%d') AS date_utc,
+       strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%d %H:%M:%S') AS ymd_hms_utc,
+       strftime(make_timestamp((epoch_us(ts) // 1000 + 28800000) * 1000), '%Y-%m-%d') AS date_cst
+FROM events
+""",
+    "fn_to_ts": """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
+       epoch_ms(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) - 28800000 AS ts_ms,
+       epoch_ms(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) - 28800000 + 45296000 AS ts_ms_full
+FROM orders
+""",
+    "keyed_messages": _kw_window(86400),
+    "sink_columns": _kw_window(86400),
 }
 
 

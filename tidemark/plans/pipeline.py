@@ -54,3 +54,22 @@ def keyword_page_view_window(spark: SparkSession, sf_dir: str,
                              duration: str = "10 seconds", zone: str = ZONE,
                              with_ts: bool = True) -> DataFrame:
     return keyword_counts(page_log(spark, sf_dir, False, zone), duration, zone, with_ts)
+
+
+# --- dimension routing -------------------------------------------------------
+
+def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.dim import parse_changes
+    from tidemark.sources.fixtures import change_log
+    return parse_changes(change_log(spark, sf_dir))
+
+
+def dim_config(spark: SparkSession, retire_renamed: bool = False) -> DataFrame:
+    from tidemark.operators.dim import config_state, parse_config_changes
+    from tidemark.sources.fixtures import config_changelog
+    return config_state(parse_config_changes(config_changelog(spark)), retire_renamed)
+
+
+def dim_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.dim import route
+    return route(dim_changes(spark, sf_dir), dim_config(spark))

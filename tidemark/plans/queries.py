@@ -144,6 +144,80 @@ def _kw_window(duration):
     return q
 
 
+def q_dim_filter_bootstrap(spark, sf_dir):
+    from tidemark.operators.dim import filter_bootstrap
+    c = filter_bootstrap(pl.dim_changes(spark, sf_dir))
+    return c.select("seq", F.col("table").alias("source_table"), "type")
+
+
+def _routed_keys(spark, sf_dir):
+    from tidemark.operators.dim import key_value
+    return pl.dim_routed(spark, sf_dir).withColumn("row_key", key_value())
+
+
+def q_dim_route(spark, sf_dir):
+    r = _routed_keys(spark, sf_dir)
+    return r.select("seq", F.col("table").alias("source_table"), "type", "sink_table", "row_key")
+
+
+def q_dim_prune_columns(spark, sf_dir):
+    r = _routed_keys(spark, sf_dir)
+    e = r.select("sink_table", "seq", "row_key", F.explode("data").alias("column_name", "v"))
+    val = F.coalesce(F.try_variant_get("v", "$", "string"), F.to_json("v"))
+    return e.select("sink_table", "seq", "row_key", "column_name", val.alias("column_value"))
+
+
+def _upsert(apply_deletes):
+    def q(spark, sf_dir):
+        from tidemark.operators.dim import latest_per_key
+        last = latest_per_key(pl.dim_routed(spark, sf_dir), apply_deletes=apply_deletes)
+        return last.select("sink_table", "row_key", "seq", "type")
+    return q
+
+
+def q_dic_lookup(spark, sf_dir):
+    from tidemark.operators.dic import code_dictionary, dic_lookup, status_code
+    from tidemark.sources.fixtures import table
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", status_code("o_orderstatus").alias("dic_code"))
+    return dic_lookup(o, code_dictionary(spark))
+
+
+def q_fn_to_date(spark, sf_dir):
+    from tidemark.functions.time import epoch_ms, to_date, to_ymd_hms
+    from tidemark.sources.fixtures import table
+    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"),
+                                                epoch_ms("ts").alias("ts"))
+    return e.select("seq", "ts", to_date("ts").alias("date_utc"),
+                    to_ymd_hms("ts").alias("ymd_hms_utc"),
+                    to_date("ts", "Asia/Shanghai").alias("date_cst"))
+
+
+def q_fn_to_ts(spark, sf_dir):
+    from tidemark.functions.time import to_ts
+    from tidemark.sources.fixtures import table
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"))
+    return o.select("o_orderkey", "order_date", to_ts("order_date").alias("ts_ms"),
+                    to_ts(F.concat("order_date", F.lit(" 12:34:56")), is_full=True).alias("ts_ms_full"))
+
+
+def q_keyed_messages(spark, sf_dir):
+    from tidemark.sinks.kafka import to_keyed_messages
+    w = pl.keyword_page_view_window(spark, sf_dir, "1 day", with_ts=False)
+    m = to_keyed_messages(w, ["stt", "edt", "source", "keyword"])
+    k = F.from_json("key", "stt string, edt string, source string, keyword string")
+    v = F.from_json("value", "keyword_count bigint")
+    return m.select(k.alias("k"), v.alias("v")).select("k.*", "v.keyword_count")
+
+
+def q_sink_columns(spark, sf_dir):
+    from tidemark.schemas import KEYWORD_BEAN
+    from tidemark.sinks.table import sink_columns
+    w = pl.keyword_page_view_window(spark, sf_dir, "1 day", with_ts=True)
+    return sink_columns(w, KEYWORD_BEAN.fieldNames(), transient=("ts",))
+
+
 def queries() -> dict[str, Query]:
     return {
         "parse_log": q_parse_log,
@@ -162,4 +236,14 @@ def queries() -> dict[str, Query]:
         "keyword_explode": q_keyword_explode,
         "keyword_window": _kw_window("10 seconds"),
         "keyword_window_1d": _kw_window("1 day"),
+        "dim_filter_bootstrap": q_dim_filter_bootstrap,
+        "dim_route": q_dim_route,
+        "dim_prune_columns": q_dim_prune_columns,
+        "dim_upsert_latest": _upsert(False),
+        "dim_upsert_deletes": _upsert(True),
+        "dic_lookup": q_dic_lookup,
+        "fn_to_date": q_fn_to_date,
+        "fn_to_ts": q_fn_to_ts,
+        "keyed_messages": q_keyed_messages,
+        "sink_columns": q_sink_columns,
     }

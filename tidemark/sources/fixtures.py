@@ -119,3 +119,76 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("v")).alias("value"),
         "seq",
     )
+
+
+# Dimension tables turned into change records: (table, key column, columns).
+DIM_SOURCES = (
+    ("customer", "c_custkey", ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")),
+    ("part", "p_partkey", ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")),
+    ("supplier", "s_suppkey", ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")),
+    ("nation", "n_nationkey", ("n_nationkey", "n_name", "n_regionkey")),
+)
+MARKER_START_SEQ = -1
+MARKER_END_SEQ = 1 << 62
+ORDER_SEQ_DAY = 10 ** 12
+
+
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Business change records ``(value, seq)`` as a binlog reader emits them:
+    every row of customer, part, supplier and nation as an ``insert`` (seq =
+    the row key), one ``bootstrap-start`` and one ``bootstrap-complete``
+    marker per table, and every order as an ``update`` (``delete`` when
+    ``o_orderkey % 10 = 0``) of table ``orders``, arriving in
+    (o_orderdate, o_orderkey) order."""
+    parts = []
+    for name, key, cols in DIM_SOURCES:
+        t = table(spark, sf_dir, name)
+        data = F.struct(*[F.col(c) for c in cols])
+        rec = F.struct(F.lit("gmall").alias("database"), F.lit(name).alias("table"),
+                       F.lit("insert").alias("type"), data.alias("data"))
+        parts.append(t.select(F.to_json(rec).alias("value"), F.col(key).cast("bigint").alias("seq")))
+        # Markers carry no row data: one start and one end per table.
+        for typ, seq in (("bootstrap-start", MARKER_START_SEQ), ("bootstrap-complete", MARKER_END_SEQ)):
+            m = F.struct(F.lit("gmall").alias("database"), F.lit(name).alias("table"),
+                         F.lit(typ).alias("type"))
+            parts.append(spark.range(1).select(F.to_json(m).alias("value"),
+                                               F.lit(seq).cast("bigint").alias("seq")))
+    o = table(spark, sf_dir, "orders")
+    odata = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
+    otype = F.when(F.col("o_orderkey") % 10 == 0, F.lit("delete")).otherwise(F.lit("update"))
+    orec = F.struct(F.lit("gmall").alias("database"), F.lit("orders").alias("table"),
+                    otype.alias("type"), odata.alias("data"))
+    oseq = (F.unix_date(F.to_date("o_orderdate")).cast("bigint") * F.lit(ORDER_SEQ_DAY)
+            + F.col("o_orderkey"))
+    parts.append(o.select(F.to_json(orec).alias("value"), oseq.alias("seq")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _tp(src, sink, cols, pk, ext=None):
+    return {"source_table": src, "sink_table": sink, "sink_columns": cols,
+            "sink_pk": pk, "sink_extend": ext}
+
+
+# Fixed test config changelog, in arrival order (S3 envelopes r/c/u/d).
+CONFIG_CHANGES = (
+    ("r", None, _tp("customer", "dim_customer", "c_custkey,c_name", "c_custkey")),
+    ("c", None, _tp("part", "dim_part", "p_partkey,p_name,p_brand", "p_partkey")),
+    ("u", _tp("customer", "dim_customer", "c_custkey,c_name", "c_custkey"),
+     _tp("customer", "dim_customer", "c_custkey,c_name,c_mktsegment", "c_custkey")),
+    ("c", None, _tp("supplier", "dim_supplier", "s_suppkey,s_name", "s_suppkey")),
+    ("d", _tp("supplier", "dim_supplier", "s_suppkey,s_name", "s_suppkey"), None),
+    ("c", None, _tp("orders", "dim_customer_last_order",
+                    "o_custkey,o_orderkey,o_orderstatus,o_orderdate", "o_custkey")),
+)
+
+
+def config_changelog(spark: SparkSession, changes=CONFIG_CHANGES) -> DataFrame:
+    """Config change envelopes ``(value, seq)`` as JSON text."""
+    import json
+    rows = [(json.dumps({"before": b, "after": a, "op": op, "ts_ms": 1_700_000_000_000 + i}), i)
+            for i, (op, b, a) in enumerate(changes)]
+    return spark.createDataFrame(rows, "value string, seq bigint")
