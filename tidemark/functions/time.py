@@ -75,3 +75,21 @@ def rowtime(ts_ms, zone: str = "UTC") -> Column:
     event, as wall clock in ``zone`` (integer division drops the ms)."""
     secs = F.floor(_c(ts_ms) / F.lit(1000)).cast("bigint")
     return ms_to_local(secs * F.lit(1000), zone)
+
+
+def rowtime_instant(ts_ms, zone: str = "UTC") -> Column:
+    """P7 for streams: watermarks need a ``TIMESTAMP`` (instant) column, so
+    the wall clock of :func:`rowtime` is carried as the instant whose UTC
+    reading equals it. Windows over it align to ``zone`` wall clock, and
+    :func:`wall_clock` turns it back without the session zone."""
+    if zone.upper() in ("UTC", "Z", "+00:00", "GMT"):
+        return F.timestamp_seconds(F.floor(_c(ts_ms) / F.lit(1000)).cast("bigint"))
+    return F.timestamp_millis(epoch_ms(rowtime(ts_ms, zone)))
+
+
+def wall_clock(c, c_type: T.DataType | None = None) -> Column:
+    """A ``TIMESTAMP_NTZ`` as is; an instant from :func:`rowtime_instant`
+    as its UTC wall clock (no session zone involved)."""
+    if isinstance(c_type, T.TimestampType):
+        return ms_to_local(F.unix_millis(_c(c)), "UTC")
+    return _c(c)

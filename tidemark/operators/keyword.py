@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.text import tokens
-from tidemark.functions.time import rowtime
+from tidemark.functions.time import rowtime, wall_clock
 
 # Keyword sources; only SEARCH is produced by the reference.
 KEYWORD_SEARCH = "SEARCH"
@@ -51,10 +51,11 @@ def keyword_window(split: DataFrame, duration: str = "10 seconds",
     ``ts`` is the processing-time stamp in ms (non-deterministic, so checks
     leave it out with ``with_ts=False``).
     """
+    rt_type = split.schema["rowtime"].dataType
     agg = (split.groupBy(F.window("rowtime", duration).alias("w"), "keyword")
                 .agg(F.count(F.lit(1)).alias("keyword_count")))
-    cols = [F.date_format("w.start", WINDOW_FMT).alias("stt"),
-            F.date_format("w.end", WINDOW_FMT).alias("edt"),
+    cols = [F.date_format(wall_clock("w.start", rt_type), WINDOW_FMT).alias("stt"),
+            F.date_format(wall_clock("w.end", rt_type), WINDOW_FMT).alias("edt"),
             F.lit(source).alias("source"), "keyword", "keyword_count"]
     if with_ts:
         cols.append((F.unix_timestamp() * F.lit(1000)).alias("ts"))

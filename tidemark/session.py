@@ -23,6 +23,27 @@ DEFAULT_CONF = {
 }
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _worker_path() -> None:
+    """Python workers of a local session inherit the driver's environment;
+    put this package on their path (streaming state processors run there)."""
+    parts = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in parts:
+        os.environ["PYTHONPATH"] = os.pathsep.join([_ROOT] + parts)
+
+
+def ship_package(spark: SparkSession) -> str:
+    """On a cluster: zip this package and hand it to ``addPyFile`` so every
+    executor's Python worker can import it (what ``--py-files`` does)."""
+    import shutil
+    base = tempfile.mkdtemp(prefix="tidemark-pkg-")
+    z = shutil.make_archive(os.path.join(base, "tidemark"), "zip", _ROOT, "tidemark")
+    spark.sparkContext.addPyFile(z)
+    return z
+
+
 def get_session(app: str = "tidemark", master: str | None = None,
                 shuffle_partitions: int | None = None,
                 conf: dict | None = None) -> SparkSession:
@@ -30,6 +51,7 @@ def get_session(app: str = "tidemark", master: str | None = None,
 
     ``master`` is only set when given, so a cluster submit keeps its own.
     """
+    _worker_path()
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
