@@ -34,7 +34,8 @@ def parse_changes(raw: DataFrame) -> DataFrame:
     that is not a JSON object, or a matched change without ``data`` (Q2),
     is marked ``dirty`` instead of failing the job."""
     rec = parse_record(F.col("value"))
-    df = raw.withColumn("_rec", rec)
+    # one-row generator: later filters read the parsed record, never re-parse
+    df = raw.select("*", F.inline(F.array(F.struct(rec.alias("_rec")))))
     data = F.try_variant_get(F.col("_rec")["data"], "$", REC_TYPE)
     return df.select(
         "seq",

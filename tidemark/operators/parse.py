@@ -16,7 +16,10 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     fails its job on the last two; here no line stops a job.
     """
     rec = parse_record(F.col(value_col))
-    df = raw.withColumn("rec", rec)
+    # The parse is the costly step: produce it through a one-row generator so
+    # that filters on its fields (dirty/good splits downstream) are evaluated
+    # on the parsed record instead of being pushed below and re-parsing.
+    df = raw.select("*", F.inline(F.array(F.struct(rec.alias("rec")))))
     mid = field("rec", "common.mid")
     ts = field("rec", "ts", "bigint")
     dirty = (F.when(F.col("rec").isNull(), F.lit("unparsable"))
