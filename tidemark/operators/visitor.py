@@ -31,9 +31,14 @@ def visitor_flag_repair(parsed: DataFrame, zone: str = "UTC") -> DataFrame:
     candidate = F.when(F.col("is_new") == "1", visit_date).otherwise(
         to_date(F.col("ts") - F.lit(DAY_MS), zone))
     anchors = (parsed.filter(good)
-               .groupBy("mid")
+               .groupBy(F.col("mid").alias("_jk"))
                .agg(F.min_by(candidate, F.struct("ts", "seq")).alias("anchor")))
-    j = parsed.join(anchors, "mid", "left")
+    # Dirty rows need no anchor: give them unique keys that match nothing, so
+    # a flood of unparsable lines (all NULL mid) is spread over every task
+    # instead of hashing to one.
+    jk = F.when(good, F.col("mid")).otherwise(
+        F.concat(F.lit("\u0000dirty:"), F.col("seq").cast("string")))
+    j = parsed.withColumn("_jk", jk).join(anchors, "_jk", "left").drop("_jk")
     changed = good & (F.col("is_new") == "1") & (visit_date != F.col("anchor"))
     keep = [c for c in parsed.columns if c not in ("is_new", "rec")]
     return j.select(

@@ -153,12 +153,12 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, key, cols in DIM_SOURCES:
         t = table(spark, sf_dir, name)
         data = F.struct(*[F.col(c) for c in cols])
-        rec = F.struct(F.lit("gmall").alias("database"), F.lit(name).alias("table"),
+        rec = F.struct(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                        F.lit("insert").alias("type"), data.alias("data"))
         parts.append(t.select(F.to_json(rec).alias("value"), F.col(key).cast("bigint").alias("seq")))
         # Markers carry no row data: one start and one end per table.
         for typ, seq in (("bootstrap-start", MARKER_START_SEQ), ("bootstrap-complete", MARKER_END_SEQ)):
-            m = F.struct(F.lit("gmall").alias("database"), F.lit(name).alias("table"),
+            m = F.struct(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                          F.lit(typ).alias("type"))
             parts.append(spark.range(1).select(F.to_json(m).alias("value"),
                                                F.lit(seq).cast("bigint").alias("seq")))
@@ -166,7 +166,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     odata = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                      F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
     otype = F.when(F.col("o_orderkey") % 10 == 0, F.lit("delete")).otherwise(F.lit("update"))
-    orec = F.struct(F.lit("gmall").alias("database"), F.lit("orders").alias("table"),
+    orec = F.struct(F.lit("shop").alias("database"), F.lit("orders").alias("table"),
                     otype.alias("type"), odata.alias("data"))
     oseq = (F.unix_date(F.to_date("o_orderdate")).cast("bigint") * F.lit(ORDER_SEQ_DAY)
             + F.col("o_orderkey"))
