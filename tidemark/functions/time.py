@@ -43,14 +43,27 @@ def ms_to_local(ms, zone: str = "UTC") -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
+def fmt_date(ntz) -> Column:
+    """``yyyy-MM-dd`` of a wall clock. ``date_format`` would cast a
+    ``TIMESTAMP_NTZ`` through the session zone; a DATE cast does not."""
+    return F.to_date(_c(ntz)).cast("string")
+
+
+def fmt_datetime(ntz_whole_seconds) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a wall clock holding whole seconds (the
+    string form of ``TIMESTAMP_NTZ`` prints no zero fraction)."""
+    return _c(ntz_whole_seconds).cast("string")
+
+
 def to_date(ms, zone: str = "UTC") -> Column:
     """F1 ``toDate``: epoch ms -> ``yyyy-MM-dd`` in ``zone``."""
-    return F.date_format(ms_to_local(ms, zone), "yyyy-MM-dd")
+    return fmt_date(ms_to_local(ms, zone))
 
 
 def to_ymd_hms(ms, zone: str = "UTC") -> Column:
     """F2 ``toYmdHms``: epoch ms -> ``yyyy-MM-dd HH:mm:ss`` in ``zone``."""
-    return F.date_format(ms_to_local(ms, zone), "yyyy-MM-dd HH:mm:ss")
+    secs = F.floor(_c(ms) / F.lit(1000)).cast("bigint") * F.lit(1000)
+    return fmt_datetime(ms_to_local(secs, zone))
 
 
 def to_ts(text, is_full: bool = False, offset: str = "+08:00") -> Column:

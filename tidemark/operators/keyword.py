@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.text import tokens
-from tidemark.functions.time import rowtime, wall_clock
+from tidemark.functions.time import fmt_datetime, rowtime, wall_clock
 
 # Keyword sources; only SEARCH is produced by the reference.
 KEYWORD_SEARCH = "SEARCH"
@@ -19,7 +19,7 @@ KEYWORD_CLICK = "CLICK"
 KEYWORD_CART = "CART"
 KEYWORD_ORDER = "ORDER"
 
-WINDOW_FMT = "yyyy-MM-dd HH:mm:ss"
+WINDOW_FMT = "yyyy-MM-dd HH:mm:ss"  # what fmt_datetime prints
 
 
 def with_rowtime(page_log: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -54,8 +54,8 @@ def keyword_window(split: DataFrame, duration: str = "10 seconds",
     rt_type = split.schema["rowtime"].dataType
     agg = (split.groupBy(F.window("rowtime", duration).alias("w"), "keyword")
                 .agg(F.count(F.lit(1)).alias("keyword_count")))
-    cols = [F.date_format(wall_clock("w.start", rt_type), WINDOW_FMT).alias("stt"),
-            F.date_format(wall_clock("w.end", rt_type), WINDOW_FMT).alias("edt"),
+    cols = [fmt_datetime(wall_clock("w.start", rt_type)).alias("stt"),
+            fmt_datetime(wall_clock("w.end", rt_type)).alias("edt"),
             F.lit(source).alias("source"), "keyword", "keyword_count"]
     if with_ts:
         cols.append((F.unix_timestamp() * F.lit(1000)).alias("ts"))

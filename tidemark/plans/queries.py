@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.record import field, parse_record, present
+from tidemark.functions.time import fmt_datetime
 from tidemark.operators import keyword as kw
 from tidemark.operators.split import (TOPIC_ACTION, TOPIC_DISPLAY, TOPIC_ERR,
                                       TOPIC_PAGE, TOPIC_START)
@@ -130,12 +131,12 @@ def _jump(within_ms):
 
 def q_keyword_filter(spark, sf_dir):
     s = kw.keyword_filter(pl.page_log(spark, sf_dir, repaired=False))
-    return s.select("fullword", F.date_format("rowtime", kw.WINDOW_FMT).alias("rowtime"))
+    return s.select("fullword", fmt_datetime("rowtime").alias("rowtime"))
 
 
 def q_keyword_explode(spark, sf_dir):
     s = kw.keyword_explode(kw.keyword_filter(pl.page_log(spark, sf_dir, repaired=False)))
-    return s.select("keyword", F.date_format("rowtime", kw.WINDOW_FMT).alias("rowtime"))
+    return s.select("keyword", fmt_datetime("rowtime").alias("rowtime"))
 
 
 def _kw_window(duration):
@@ -194,10 +195,10 @@ def q_fn_to_date(spark, sf_dir):
 
 
 def q_fn_to_ts(spark, sf_dir):
-    from tidemark.functions.time import to_ts
+    from tidemark.functions.time import fmt_date, to_ts
     from tidemark.sources.fixtures import table
     o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"))
+        "o_orderkey", fmt_date("o_orderdate").alias("order_date"))
     return o.select("o_orderkey", "order_date", to_ts("order_date").alias("ts_ms"),
                     to_ts(F.concat("order_date", F.lit(" 12:34:56")), is_full=True).alias("ts_ms_full"))
 

@@ -13,7 +13,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.time import epoch_ms
+from tidemark.functions.time import epoch_ms, fmt_date
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -164,7 +164,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.lit(seq).cast("bigint").alias("seq")))
     o = table(spark, sf_dir, "orders")
     odata = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
+                     fmt_date("o_orderdate").alias("o_orderdate"))
     otype = F.when(F.col("o_orderkey") % 10 == 0, F.lit("delete")).otherwise(F.lit("update"))
     orec = F.struct(F.lit("shop").alias("database"), F.lit("orders").alias("table"),
                     otype.alias("type"), odata.alias("data"))
