@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.text import tokens
+from tidemark.functions.text import TOKEN_PATTERN, tokens
 from tidemark.functions.time import fmt_datetime, rowtime, wall_clock
 
 # Keyword sources; only SEARCH is produced by the reference.
@@ -20,6 +20,7 @@ KEYWORD_CART = "CART"
 KEYWORD_ORDER = "ORDER"
 
 WINDOW_FMT = "yyyy-MM-dd HH:mm:ss"  # what fmt_datetime prints
+TOKEN_PATTERN_SQL = TOKEN_PATTERN.replace("\\", "\\\\")
 
 
 def with_rowtime(page_log: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -67,3 +68,27 @@ def keyword_counts(page_log: DataFrame, duration: str = "10 seconds",
     """The whole keyword job body."""
     return keyword_window(keyword_explode(keyword_filter(page_log, zone)),
                           duration, with_ts=with_ts)
+
+
+def keyword_counts_sql(page_log: DataFrame, duration: str = "10 seconds",
+                       zone: str = "UTC", view: str | None = None) -> DataFrame:
+    """The same job through Spark SQL over temp views, in the reference's
+    three statements: search filter, lateral token explode, window count.
+    Catalyst plans it exactly like :func:`keyword_counts`."""
+    import uuid
+    spark = page_log.sparkSession
+    tag = view or f"page_log_{uuid.uuid4().hex[:8]}"
+    with_rowtime(page_log, zone).createOrReplaceTempView(tag)
+    spark.sql(f"""
+        SELECT page['item'] AS fullword, rowtime FROM {tag}
+        WHERE page['last_page_id'] = 'search' AND page['item_type'] = 'keyword'
+          AND page['item'] IS NOT NULL""").createOrReplaceTempView(f"{tag}_search")
+    spark.sql(f"""
+        SELECT keyword, rowtime
+        FROM {tag}_search LATERAL VIEW explode(
+          regexp_extract_all(lower(fullword), '{TOKEN_PATTERN_SQL}', 0)) t AS keyword
+        """).createOrReplaceTempView(f"{tag}_split")
+    return spark.sql(f"""
+        SELECT cast(window.start AS string) AS stt, cast(window.end AS string) AS edt,
+               '{KEYWORD_SEARCH}' AS source, keyword, count(*) AS keyword_count
+        FROM {tag}_split GROUP BY window(rowtime, '{duration}'), keyword""")

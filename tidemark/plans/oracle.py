@@ -172,6 +172,7 @@ SELECT keyword, {_fmt('sec')} AS rowtime FROM kx
 """,
     "keyword_window": _kw_window(10),
     "keyword_window_1d": _kw_window(86400),
+    "keyword_window_sql": _kw_window(10),
     "dim_filter_bootstrap": f"""
 SELECT c_custkey AS seq, 'customer' AS source_table, 'insert' AS type FROM customer
 UNION ALL SELECT p_partkey, 'part', 'insert' FROM part

@@ -219,6 +219,10 @@ def q_sink_columns(spark, sf_dir):
     return sink_columns(w, KEYWORD_BEAN.fieldNames(), transient=("ts",))
 
 
+def q_keyword_window_sql(spark, sf_dir):
+    return kw.keyword_counts_sql(pl.page_log(spark, sf_dir, repaired=False), "10 seconds")
+
+
 def queries() -> dict[str, Query]:
     return {
         "parse_log": q_parse_log,
@@ -237,6 +241,7 @@ def queries() -> dict[str, Query]:
         "keyword_explode": q_keyword_explode,
         "keyword_window": _kw_window("10 seconds"),
         "keyword_window_1d": _kw_window("1 day"),
+        "keyword_window_sql": q_keyword_window_sql,
         "dim_filter_bootstrap": q_dim_filter_bootstrap,
         "dim_route": q_dim_route,
         "dim_prune_columns": q_dim_prune_columns,

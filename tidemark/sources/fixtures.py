@@ -25,8 +25,12 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     (a small file is one split). Each event turns into a JSON line of about a
     kilobyte, so the per-row work deserves every core; a scan that is already
     wide is left alone (no extra shuffle at scale)."""
-    want = spark.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def _event_attrs(events: DataFrame) -> DataFrame:

@@ -83,6 +83,10 @@ def keyword_window_stream(page_stream: DataFrame, duration: str = "10 seconds",
     are dropped."""
     df = (page_stream.withColumn("rowtime", rowtime_instant(F.col("ts"), zone))
                      .withWatermark("rowtime", delay))
+    # Every page row must move the watermark, as in the reference (not only
+    # searches): take the page map through a one-row generator so the search
+    # filter stays above the watermark instead of being pushed below it.
+    df = df.select("rowtime", F.inline(F.array(F.struct(F.col("page").alias("page")))))
     return keyword_counts(df, duration, zone, with_ts)
 
 
