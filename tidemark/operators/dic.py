@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.broadcast import sized_broadcast
 from tidemark.schemas import BASE_DIC
+from tidemark.sources.literal import literal_frame
 
 # Status codes of the warehouse, in code order. Names are ours
 # (English); codes and groups are what facts carry.
@@ -34,7 +35,7 @@ ORDER_STATUS_CODE = (("F", "1004"), ("O", "1001"))
 def code_dictionary(spark: SparkSession) -> DataFrame:
     """J4 as the ``base_dic`` relation: parent code = the first two digits."""
     rows = [(c, n, c[:2], None, None) for c, n in CODES]
-    return spark.createDataFrame(rows, BASE_DIC)
+    return literal_frame(spark, rows, BASE_DIC)
 
 
 def read_dictionary(spark: SparkSession, source: str = "literal", **options) -> DataFrame:

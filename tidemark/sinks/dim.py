@@ -30,13 +30,15 @@ def upsert_dim_tables(routed: DataFrame, root: str, batch_id: int) -> None:
 
 def read_dim_table(spark: SparkSession, root: str, sink_table: str | None = None,
                    apply_deletes: bool = False) -> DataFrame:
-    """Current rows: latest change per (sink table, key) over all batches."""
+    """Current rows: latest change per (sink table, key) over all batches.
+    ``seq`` (the source offset) is the arrival order; the batch id only
+    breaks ties, so a replayed or reordered batch cannot win with old data."""
     df = spark.read.parquet(root)
     if sink_table:
         df = df.filter(F.col("sink_table") == sink_table)
     last = (df.groupBy("sink_table", "row_key")
               .agg(F.max_by(F.struct("batch_id", "seq", "type", "data"),
-                            F.struct("batch_id", "seq")).alias("l")))
+                            F.struct("seq", "batch_id")).alias("l")))
     out = last.select("sink_table", "row_key", "l.*")
     if apply_deletes:
         out = out.filter(F.col("type").isNull() | (F.col("type") != "delete"))

@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.time import epoch_ms, fmt_date
+from tidemark.sources.literal import literal_frame
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,18 +156,19 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     (o_orderdate, o_orderkey) order."""
     parts = []
     for name, key, cols in DIM_SOURCES:
-        t = table(spark, sf_dir, name)
+        t = spread(spark, table(spark, sf_dir, name))
         data = F.struct(*[F.col(c) for c in cols])
         rec = F.struct(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                        F.lit("insert").alias("type"), data.alias("data"))
         parts.append(t.select(F.to_json(rec).alias("value"), F.col(key).cast("bigint").alias("seq")))
-        # Markers carry no row data: one start and one end per table.
-        for typ, seq in (("bootstrap-start", MARKER_START_SEQ), ("bootstrap-complete", MARKER_END_SEQ)):
-            m = F.struct(F.lit("shop").alias("database"), F.lit(name).alias("table"),
-                         F.lit(typ).alias("type"))
-            parts.append(spark.range(1).select(F.to_json(m).alias("value"),
-                                               F.lit(seq).cast("bigint").alias("seq")))
-    o = table(spark, sf_dir, "orders")
+    # Markers carry no row data: one start and one end per table.
+    import json
+    markers = [(json.dumps({"database": "shop", "table": name, "type": typ}), seq)
+               for name, _, _ in DIM_SOURCES
+               for typ, seq in (("bootstrap-start", MARKER_START_SEQ),
+                                ("bootstrap-complete", MARKER_END_SEQ))]
+    parts.append(literal_frame(spark, markers, "value string, seq bigint"))
+    o = spread(spark, table(spark, sf_dir, "orders"))
     odata = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                      fmt_date("o_orderdate").alias("o_orderdate"))
     otype = F.when(F.col("o_orderkey") % 10 == 0, F.lit("delete")).otherwise(F.lit("update"))
@@ -204,4 +206,4 @@ def config_changelog(spark: SparkSession, changes=CONFIG_CHANGES) -> DataFrame:
     import json
     rows = [(json.dumps({"before": b, "after": a, "op": op, "ts_ms": 1_700_000_000_000 + i}), i)
             for i, (op, b, a) in enumerate(changes)]
-    return spark.createDataFrame(rows, "value string, seq bigint")
+    return literal_frame(spark, rows, "value string, seq bigint")
