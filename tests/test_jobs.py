@@ -49,3 +49,15 @@ def test_keyed_messages_tombstone(spark):
     m = {r["key"]: r["value"] for r in to_keyed_messages(df, ["k"], delete_col="gone").collect()}
     assert json.loads(m['{"k":"a"}']) == {"k": "a", "n": 1}
     assert m['{"k":"b"}'] is None
+
+
+def test_ensure_dim_tables_runs_ddl(spark):
+    from tidemark.operators.dim import config_state, parse_config_changes, table_ddl
+    from tidemark.sinks.dim import ensure_dim_tables
+    spark.sql("CREATE DATABASE IF NOT EXISTS dim")
+    state = config_state(parse_config_changes(config_changelog(spark)))
+    made = ensure_dim_tables(spark, table_ddl(state))
+    assert sorted(made) == ["dim_customer", "dim_customer_last_order", "dim_part"]
+    cols = [f.name for f in spark.table("dim.dim_customer").schema.fields]
+    assert cols == ["c_custkey", "c_name", "c_mktsegment"]
+    ensure_dim_tables(spark, table_ddl(state))  # idempotent

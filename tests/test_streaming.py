@@ -115,3 +115,17 @@ def pl_config(spark):
     from tidemark.operators.dim import parse_config_changes
     from tidemark.sources.fixtures import config_changelog
     return parse_config_changes(config_changelog(spark))
+
+
+def test_dic_lookup_stream_static(spark, scratch):
+    from tidemark.operators.dic import code_dictionary, dic_lookup, status_code
+    from tidemark.sources.fixtures import table
+    src = os.path.join(scratch, "orders")
+    o = table(spark, SF_SMALL, "orders").select("o_orderkey", "o_orderstatus")
+    o.write.parquet(src)
+    s = spark.readStream.schema(o.schema).parquet(src)
+    fact = s.withColumn("dic_code", status_code("o_orderstatus"))
+    out = _run(dic_lookup(fact, code_dictionary(spark)), "dic_stream", scratch)
+    want = dic_lookup(o.withColumn("dic_code", status_code("o_orderstatus")), code_dictionary(spark))
+    assert out.count() == want.count()
+    assert out.exceptAll(want).count() == 0

@@ -27,3 +27,9 @@ def write_append(df: DataFrame, target: str, fmt: str = "parquet",
 def console(df: DataFrame, n: int = 20) -> None:
     """K7: debugging print."""
     df.show(n, truncate=False)
+
+
+def console_stream(df: DataFrame, mode: str = "append", trigger: dict | None = None):
+    """K7 for streams (debugging only)."""
+    w = df.writeStream.format("console").outputMode(mode).option("truncate", "false")
+    return (w.trigger(**trigger) if trigger else w).start()
