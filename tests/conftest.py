@@ -15,10 +15,10 @@ def spark():
     from tidemark.session import checkpoint_dir, get_session
     s = get_session("tidemark-tests", master="local[4]", shuffle_partitions=4,
                     conf={"spark.driver.memory": "8g",
-                          "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-wh-")})
+                          "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-wh-"),
+                          # set here only because tests have no cluster setting
+                          "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-ckpt-")})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-ckpt-"))
     checkpoint_dir(s)
     yield s
 

@@ -84,7 +84,9 @@ def start_log_split(spark: SparkSession, raw_stream: DataFrame, out: str,
 
 def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out: str,
                          zone: str = "UTC", trigger: dict | None = None):
-    """Unique visitors, bounces and keyword windows off the page topic."""
+    """Unique visitors, bounces and keyword windows off the page topic; each
+    query writes its own folder ``out/<topic or table>`` (no two queries
+    commit into one folder)."""
     pages = sj.page_log_from_topic(page_topic_stream)
     uv = sj.unique_visitor_stream(pages, zone).select(
         F.lit(TOPIC_UNIQUE_VISITOR).alias("topic"), "seq", "mid", "value")
@@ -96,8 +98,10 @@ def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out:
         write_append(batch.withColumn("batch_id", F.lit(batch_id)),
                      os.path.join(out, TABLE_KEYWORD_WINDOW), partition_by=["batch_id"])
     return [
-        _files_sink(uv, out, scratch_path(spark, "ckpt/unique_visitor"), trigger),
-        _files_sink(uj, out, scratch_path(spark, "ckpt/user_jump"), trigger),
+        _files_sink(uv, os.path.join(out, TOPIC_UNIQUE_VISITOR),
+                    scratch_path(spark, "ckpt/unique_visitor"), trigger),
+        _files_sink(uj, os.path.join(out, TOPIC_USER_JUMP),
+                    scratch_path(spark, "ckpt/user_jump"), trigger),
         (kw.writeStream.foreachBatch(append_kw)
            .option("checkpointLocation", scratch_path(spark, "ckpt/keyword_window"))
            .trigger(**(trigger or {"processingTime": "10 seconds"})).start()),

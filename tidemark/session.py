@@ -65,18 +65,25 @@ def get_session(app: str = "tidemark", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to a shared file system; it is read from
-    the session and never replaced. Only when it is unset (local tests) a
-    scratch folder is made and registered.
+    On a cluster the operator sets it (a static setting) to a shared file
+    system; it is read from the session and never replaced. Only when it is
+    unset (local tests) a scratch folder is made and registered with
+    ``setCheckpointDir``.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d
+    global _LOCAL_CKPT
+    if _LOCAL_CKPT is None:
+        _LOCAL_CKPT = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        sc.setCheckpointDir(_LOCAL_CKPT)
+    return _LOCAL_CKPT
+
+
+_LOCAL_CKPT: str | None = None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
