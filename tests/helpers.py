@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import page_records
 from tidemark.sources.logs import from_rows
@@ -45,4 +43,4 @@ def parse_values(df):
     return [json.loads(r["value"]) for r in df.select("value").collect()]
 
 
-__all__ = ["F", "D1", "DAY", "log_line", "parsed", "pages", "by_seq", "seqs", "parse_values"]
+__all__ = ["D1", "DAY", "log_line", "parsed", "pages", "by_seq", "seqs", "parse_values"]

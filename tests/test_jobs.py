@@ -3,7 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidemark.plans import jobs

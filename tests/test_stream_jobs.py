@@ -9,7 +9,6 @@ from conftest import SF_SMALL
 from tidemark.operators.split import TOPIC_PAGE
 from tidemark.plans import jobs
 from tidemark.plans import pipeline as pl
-from tidemark.schemas import RAW_LOG
 from tidemark.sources.fixtures import raw_log
 from tidemark.sources.logs import read_log_stream
 
