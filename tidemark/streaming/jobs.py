@@ -29,7 +29,7 @@ def log_split_stream(raw: DataFrame, zone: str = "UTC") -> DataFrame:
     parsed = parse_log(raw)
     good = (parsed.filter(F.col("dirty").isNull())
                   .select("mid", "seq", "ts", "is_new", "value"))
-    fixed = good.groupBy("mid").transformWithState(
+    fixed = good.groupBy("mid").transformWithStateInPandas(
         VisitorFlagProcessor(zone), VISITOR_OUT, "Append", "None")
     changed = (F.col("is_new_in") == "1") & (F.col("is_new") == "0")
     rec = parse_record(F.col("value"))
@@ -60,7 +60,7 @@ def unique_visitor_stream(page_stream: DataFrame, zone: str = "UTC",
     src = _evt(page_stream, delay).select(
         "mid", "seq", "ts", F.try_element_at("page", F.lit("last_page_id")).alias("last_page_id"),
         "value", "evt")
-    return src.groupBy("mid").transformWithState(
+    return src.groupBy("mid").transformWithStateInPandas(
         UniqueVisitorProcessor(zone), UNIQUE_OUT, "Append", "EventTime")
 
 
@@ -71,7 +71,7 @@ def user_jump_stream(page_stream: DataFrame, within_ms: int = 10_000,
     src = _evt(page_stream, delay).select(
         "mid", "seq", "ts", F.try_element_at("page", F.lit("last_page_id")).alias("last_page_id"),
         "value", "evt")
-    return src.groupBy("mid").transformWithState(
+    return src.groupBy("mid").transformWithStateInPandas(
         BounceProcessor(within_ms), BOUNCE_OUT, "Append", "EventTime")
 
 

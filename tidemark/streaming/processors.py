@@ -1,10 +1,11 @@
 """Stateful processors for the streaming forms of T1-T3.
 
 Streaming DataFrames allow no ``lead``/``lag``, so the per-device rules run
-in ``groupBy("mid").transformWithState(...)`` with RocksDB-backed state.
-Each processor keeps O(1) state per device, sorts the rows a micro-batch
-brings for one device by (ts, seq), and touches only that device's rows — a
-small Python helper over one key's batch, while Spark partitions the keys.
+in ``groupBy("mid").transformWithStateInPandas(...)`` with RocksDB-backed
+state. Rows arrive as Arrow batches turned into pandas frames, and each rule
+is a few vectorised column operations on one device's rows of one
+micro-batch (sorted by ts, seq) — no per-row Python. State is O(1) per
+device.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Row
+import numpy as np
+import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 DAY_MS = 24 * 60 * 60 * 1000
@@ -26,11 +28,23 @@ def _date(ms: int, tz) -> str:
     return datetime.fromtimestamp(ms / 1000, tz).strftime("%Y-%m-%d")
 
 
-def _ordered(rows):
-    return sorted(rows, key=lambda r: (r["ts"], r["seq"] if r["seq"] is not None else -1))
+def _dates(ms: pd.Series, tz) -> pd.Series:
+    t = pd.to_datetime(ms.astype("int64"), unit="ms", utc=True)
+    if tz is not timezone.utc:
+        t = t.dt.tz_convert(tz)
+    return t.dt.strftime("%Y-%m-%d").reset_index(drop=True)
 
 
-# Input rows: mid, seq, ts, is_new, value.
+def _frame(rows) -> pd.DataFrame:
+    pdf = pd.concat(list(rows), ignore_index=True)
+    return pdf.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
+
+
+def _empty(lp: pd.Series) -> pd.Series:
+    return lp.isna() | (lp == "")
+
+
+# Input columns: mid, seq, ts, is_new, value.
 VISITOR_OUT = "mid string, seq bigint, ts bigint, is_new_in string, is_new string, value string"
 
 
@@ -47,32 +61,35 @@ class VisitorFlagProcessor(StatefulProcessor):
         self.anchor = handle.getValueState("anchor", "anchor string")
 
     def handleInputRows(self, key, rows, timerValues):
-        anchor = self.anchor.get()[0] if self.anchor.exists() else None
-        for r in _ordered(rows):
-            d = _date(r["ts"], self.tz)
-            flag = r["is_new"]
-            out = flag
-            if anchor is None:
-                anchor = d if flag == "1" else _date(r["ts"] - DAY_MS, self.tz)
-                self.anchor.update((anchor,))
-            elif flag == "1" and d != anchor:
-                out = "0"
-            yield Row(mid=key[0], seq=r["seq"], ts=r["ts"], is_new_in=flag, is_new=out,
-                      value=r["value"])
+        pdf = _frame(rows)
+        if pdf.empty:
+            return
+        d = _dates(pdf["ts"], self.tz)
+        if self.anchor.exists():
+            anchor = self.anchor.get()[0]
+        else:
+            first_new = pdf["is_new"].iloc[0] == "1"
+            anchor = d.iloc[0] if first_new else _date(int(pdf["ts"].iloc[0]) - DAY_MS, self.tz)
+            self.anchor.update((anchor,))
+        changed = (pdf["is_new"] == "1") & (d != anchor)
+        yield pd.DataFrame({
+            "mid": key[0], "seq": pdf["seq"], "ts": pdf["ts"], "is_new_in": pdf["is_new"],
+            "is_new": pdf["is_new"].where(~changed, "0"), "value": pdf["value"]})
 
     def close(self):
         pass
 
 
-# Input rows: mid, seq, ts, last_page_id, value.
+# Input columns: mid, seq, ts, last_page_id, value.
 UNIQUE_OUT = "mid string, seq bigint, ts bigint, visit_date string, value string"
 
 
 class UniqueVisitorProcessor(StatefulProcessor):
-    """Among visit starts (null ``last_page_id``), keep a record when
-    the device's last kept date is unset or differs; the date is forgotten
-    one day after it ends (event-time timer; the reference uses a 1-day
-    TTL)."""
+    """Among visit starts (null ``last_page_id``), keep a record when the
+    device's last kept date is unset or differs. A record not kept has the
+    last kept date, so "differs from the previous start's date" is the same
+    rule, vectorised. The date is forgotten one day after it ends (event-time
+    timer; the reference uses a 1-day TTL)."""
 
     def __init__(self, zone: str = "UTC"):
         self.zone = zone
@@ -83,20 +100,23 @@ class UniqueVisitorProcessor(StatefulProcessor):
         self.last = handle.getValueState("last_date", "d string")
 
     def handleInputRows(self, key, rows, timerValues):
-        last = self.last.get()[0] if self.last.exists() else None
-        for r in _ordered(rows):
-            if r["last_page_id"] is not None:
-                continue
-            d = _date(r["ts"], self.tz)
-            if last is None or last != d:
-                last = d
-                self.last.update((d,))
-                for t in self.handle.listTimers():
-                    self.handle.deleteTimer(t)
-                day = datetime.strptime(d, "%Y-%m-%d").replace(tzinfo=self.tz)
-                expire = int((day + timedelta(days=2)).timestamp() * 1000)
-                self.handle.registerTimer(expire)
-                yield Row(mid=key[0], seq=r["seq"], ts=r["ts"], visit_date=d, value=r["value"])
+        pdf = _frame(rows)
+        starts = pdf[pdf["last_page_id"].isna()].reset_index(drop=True)
+        if starts.empty:
+            return
+        d = _dates(starts["ts"], self.tz)
+        prev = d.shift(1)
+        prev.iloc[0] = self.last.get()[0] if self.last.exists() else None
+        keep = prev.isna() | (d != prev)
+        last = d.iloc[-1]
+        self.last.update((last,))
+        for t in self.handle.listTimers():
+            self.handle.deleteTimer(t)
+        day = datetime.strptime(last, "%Y-%m-%d").replace(tzinfo=self.tz)
+        self.handle.registerTimer(int((day + timedelta(days=2)).timestamp() * 1000))
+        kept = starts[keep.to_numpy()]
+        yield pd.DataFrame({"mid": key[0], "seq": kept["seq"], "ts": kept["ts"],
+                            "visit_date": d[keep].to_numpy(), "value": kept["value"]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.last.clear()
@@ -106,58 +126,65 @@ class UniqueVisitorProcessor(StatefulProcessor):
         pass
 
 
-# Input rows: mid, seq, ts, last_page_id, value.
+# Input columns: mid, seq, ts, last_page_id, value.
 BOUNCE_OUT = "mid string, seq bigint, ts bigint, last_page_id string, value string"
+_LAST = "seq bigint, ts bigint, last_page_id string, empty boolean, value string"
 
 
 class BounceProcessor(StatefulProcessor):
     """A visit start is emitted when the device's next record is not
     within ``within_ms`` (event-time timer) or is itself a visit start; it is
     dropped when the next record continues the visit. State: the device's
-    last record. Rows older than the last record are late and skipped, as a
-    pattern matcher with a zero-delay watermark drops them."""
+    last record (``empty`` is cleared once it has been emitted by timeout).
+    Rows older than that record are late and skipped, as a pattern matcher
+    with a zero-delay watermark drops them."""
 
     def __init__(self, within_ms: int = 10_000):
         self.within_ms = within_ms
 
     def init(self, handle):
         self.handle = handle
-        self.last = handle.getValueState(
-            "last", "seq bigint, ts bigint, last_page_id string, empty boolean, value string")
-
-    def _state(self):
-        if not self.last.exists():
-            return None
-        s = self.last.get()
-        return Row(seq=s[0], ts=s[1], last_page_id=s[2], empty=s[3], value=s[4])
+        self.last = handle.getValueState("last", _LAST)
 
-    def _emit(self, key, s):
-        return Row(mid=key[0], seq=s["seq"], ts=s["ts"], last_page_id=s["last_page_id"],
-                   value=s["value"])
+    def _out(self, key, df):
+        return pd.DataFrame({"mid": key[0], "seq": df["seq"], "ts": df["ts"],
+                             "last_page_id": df["last_page_id"], "value": df["value"]})
 
     def handleInputRows(self, key, rows, timerValues):
-        last = self._state()
-        for r in _ordered(rows):
-            if last is not None and r["ts"] < last["ts"]:
-                continue
-            empty = not r["last_page_id"]
-            if last is not None and last["empty"]:
-                self.handle.deleteTimer(last["ts"] + self.within_ms)
-                if r["ts"] - last["ts"] >= self.within_ms or empty:
-                    yield self._emit(key, last)
-            last = Row(seq=r["seq"], ts=r["ts"], last_page_id=r["last_page_id"],
-                       empty=empty, value=r["value"])
-            if empty:
-                self.handle.registerTimer(r["ts"] + self.within_ms)
-        if last is not None:
-            self.last.update(tuple(last))
+        pdf = _frame(rows)
+        prev = self.last.get() if self.last.exists() else None
+        if prev is not None:
+            pdf = pdf[pdf["ts"] >= prev[1]]
+        if pdf.empty:
+            return
+        cur = pd.DataFrame({"seq": pdf["seq"], "ts": pdf["ts"],
+                            "last_page_id": pdf["last_page_id"],
+                            "empty": _empty(pdf["last_page_id"]), "value": pdf["value"]})
+        if prev is not None:
+            if prev[3]:
+                self.handle.deleteTimer(prev[1] + self.within_ms)
+            head = pd.DataFrame([prev], columns=["seq", "ts", "last_page_id", "empty", "value"])
+            cur = pd.concat([head, cur], ignore_index=True)
+        cur = cur.reset_index(drop=True)
+        ts = cur["ts"].to_numpy(dtype=np.int64)
+        empty = cur["empty"].to_numpy(dtype=bool)
+        hit = empty[:-1] & ((ts[1:] - ts[:-1] >= self.within_ms) | empty[1:])
+        emitted = cur.iloc[:-1][hit]
+        tail = cur.iloc[-1]
+        self.last.update((int(tail["seq"]), int(tail["ts"]), tail["last_page_id"],
+                          bool(tail["empty"]), tail["value"]))
+        if tail["empty"]:
+            self.handle.registerTimer(int(tail["ts"]) + self.within_ms)
+        if not emitted.empty:
+            yield self._out(key, emitted)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        s = self._state()
-        if s is not None:
-            if s["empty"] and s["ts"] + self.within_ms == expiredTimerInfo.getExpiryTimeInMs():
-                self.last.update((s["seq"], s["ts"], s["last_page_id"], False, s["value"]))
-                yield self._emit(key, s)
+        if self.last.exists():
+            s = self.last.get()
+            if s[3] and s[1] + self.within_ms == expiredTimerInfo.getExpiryTimeInMs():
+                self.last.update((s[0], s[1], s[2], False, s[4]))
+                yield self._out(key, pd.DataFrame(
+                    [s], columns=["seq", "ts", "last_page_id", "empty", "value"]))
 
     def close(self):
         pass
