@@ -17,14 +17,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_record(value) -> Column:
-    """JSON text -> record map; NULL for anything that is not one complete
-    JSON object (malformed, empty, NULL, a scalar or array, trailing junk).
+def record_of(variant) -> Column:
+    """Parsed JSON (variant) -> record map; NULL unless it is an object.
     Top-level JSON nulls are dropped, as a serializer that omits nulls would."""
-    m = F.try_variant_get(F.try_parse_json(_c(value)), "$", REC_TYPE)
+    m = F.try_variant_get(_c(variant), "$", REC_TYPE)
     return F.map_filter(m, lambda k, v: v.isNotNull() & ~F.is_variant_null(v))
 
 
+def parse_record(value) -> Column:
+    """JSON text -> record map; NULL for anything that is not one complete
+    JSON object (malformed, empty, NULL, a scalar or array)."""
+    return record_of(F.try_parse_json(_c(value)))
+
+
 def field(rec, path: str, type_: str = "string") -> Column:
     """Value at ``key[.sub...]`` of a record, cast to ``type_``; NULL when
     missing or of another shape."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.record import field, parse_record
+from tidemark.functions.record import record_of
 
 
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -15,17 +15,25 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     job partitions by is missing) or ``no_ts`` (no event time). The reference
     fails its job on the last two; here no line stops a job.
     """
-    rec = parse_record(F.col(value_col))
-    # The parse is the costly step: produce it through a one-row generator so
-    # that filters on its fields (dirty/good splits downstream) are evaluated
-    # on the parsed record instead of being pushed below and re-parsing.
-    df = raw.select("*", F.inline(F.array(F.struct(rec.alias("rec")))))
-    mid = field("rec", "common.mid")
-    ts = field("rec", "ts", "bigint")
-    dirty = (F.when(F.col("rec").isNull(), F.lit("unparsable"))
+    # The parse is the costly step. It is produced through a one-row
+    # generator, so filters on its fields (good/dirty splits downstream) are
+    # evaluated on the parsed value instead of being pushed below and parsing
+    # again. Key fields are read from the variant by path; the record map is a
+    # projection above, so plans that never read ``rec`` (the flag-repair
+    # aggregate) skip building it.
+    df = raw.select("*", F.inline(F.array(F.struct(
+        F.try_parse_json(F.col(value_col)).alias("_v")))))
+    v = F.col("_v")
+    is_object = v.isNotNull() & F.col(value_col).rlike(r"^\s*\{")
+    rec = F.when(is_object, record_of(v))
+    mid = F.try_variant_get(v, "$.common.mid", "string")
+    ts = F.try_variant_get(v, "$.ts", "bigint")
+    dirty = (F.when(~is_object, F.lit("unparsable"))
              .when(mid.isNull(), F.lit("no_mid"))
              .when(ts.isNull(), F.lit("no_ts")))
-    return df.select("*", mid.alias("mid"), field("rec", "common.is_new").alias("is_new"),
+    keep = [c for c in df.columns if c != "_v"]
+    return df.select(*keep, rec.alias("rec"), mid.alias("mid"),
+                     F.try_variant_get(v, "$.common.is_new", "string").alias("is_new"),
                      ts.alias("ts"), dirty.alias("dirty"))
 
 
