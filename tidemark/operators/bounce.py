@@ -14,7 +14,7 @@ the limit is then in the same partition, and a missing one means a gap of at
 least the limit — so the result is exact, while a device with a third of
 all rows is spread over many tasks instead of one sort. The copies are
 ``1 / bucket_factor`` of the rows. The streaming form (event-time timers) is
-:mod:`tidemark.streaming.bounce_state`.
+:class:`tidemark.streaming.processors.BounceProcessor`.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ a hot device is reduced map-side before the shuffle) joined back on ``mid``.
 The join is planned by AQE from measured sizes (broadcast when the anchor
 table is small, else sort-merge with skewed partitions split), so no device
 is ever sorted in one task. The streaming form is
-:mod:`tidemark.streaming.visitor_state`.
+:class:`tidemark.streaming.processors.VisitorFlagProcessor`.
 """
 
 from __future__ import annotations
