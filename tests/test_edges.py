@@ -199,3 +199,17 @@ def test_tokens_whole_text(spark):
     df = spark.createDataFrame([(text,)], "t string")
     toks = df.select(tokens("t").alias("x")).collect()[0]["x"]
     assert len(toks) == 10002 and toks[-2:] == ["été", "42"]
+
+
+def test_q2_route_rejects(spark):
+    from tidemark.operators.dim import route_rejects
+    lines = [json.dumps({"table": "t", "type": "insert", "data": {"id": 1}}),
+             json.dumps({"table": "t", "type": "insert"}),
+             json.dumps({"table": "t", "type": "insert", "data": None}),
+             json.dumps({"table": "other", "type": "insert"}),
+             "{broken"]
+    ch = parse_changes(from_rows(spark, lines))
+    st = config_state(_cfg(spark, [("c", None, _tp("t", "dim_t", "id"))]))
+    assert route(ch, st).count() == 1
+    got = sorted((r["seq"], r["reason"]) for r in route_rejects(ch, st).collect())
+    assert got == [(1, "no_data"), (2, "no_data"), (4, "unparsable")]

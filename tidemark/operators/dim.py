@@ -108,6 +108,22 @@ def route(changes: DataFrame, state: DataFrame, max_config_rows: int = 100_000)
     return j.select("seq", "table", "type", "sink_table", "sink_pk", pruned.alias("data"))
 
 
+def route_rejects(changes: DataFrame, state: DataFrame, max_config_rows: int = 100_000) -> DataFrame:
+    """Q2: changes of a configured table that carry no ``data`` object (the
+    reference would dereference null), and unparsable change lines — for a
+    dirty output instead of a failed job."""
+    cfg = state.filter(F.col("valid")).select(F.col("source_table").alias("_src"))
+    t = F.col("type")
+    matched = (changes.filter(F.col("dirty").isNull() & (t.isNull() | ~t.isin(*BOOTSTRAP_MARKERS)))
+                      .join(sized_broadcast(cfg, max_config_rows), F.col("table") == F.col("_src"),
+                            "left_semi")
+                      .filter(F.col("data").isNull())
+                      .select("seq", "table", "type", F.lit("no_data").alias("reason")))
+    broken = changes.filter(F.col("dirty").isNotNull()).select(
+        "seq", "table", "type", F.col("dirty").alias("reason"))
+    return matched.unionByName(broken)
+
+
 def key_value(data_col: str = "data", pk_col: str = "sink_pk") -> F.Column:
     """The row's key value as text."""
     v = F.col(data_col)[F.col(pk_col)]
