@@ -35,7 +35,9 @@ def test_keyword_job_appends_bean_columns(spark, scratch):
 
 def test_dim_job(spark, scratch):
     out = os.path.join(scratch, "dim")
-    ddl = jobs.dim(change_log(spark, SF_SMALL), config_changelog(spark), out)
+    ddl = jobs.dim(change_log(spark, SF_SMALL), config_changelog(spark), out,
+                   rejects_out=os.path.join(scratch, "rejects"))
+    assert spark.read.parquet(os.path.join(scratch, "rejects")).count() == 0
     tables = {r["sink_table"] for r in ddl.collect()}
     assert tables == {"dim_customer", "dim_part", "dim_customer_last_order"}
     cur = read_dim_table(spark, out, "dim_customer")

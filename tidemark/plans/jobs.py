@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.bounce import user_jump
 from tidemark.operators.dim import (config_state, parse_changes, parse_config_changes,
-                                    route, table_ddl)
+                                    route, route_rejects, table_ddl)
 from tidemark.operators.keyword import keyword_counts
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import TOPIC_PAGE, fan_out, page_records
@@ -59,11 +59,16 @@ def keyword_window(raw: DataFrame, out: str, duration: str = "10 seconds",
     write_append(res, out)
 
 
-def dim(changes_raw: DataFrame, config_raw: DataFrame, out: str, batch_id: int = 0) -> DataFrame:
-    """Route one batch of changes with the current config and upsert it;
-    returns the create-if-missing DDL of the configured tables."""
+def dim(changes_raw: DataFrame, config_raw: DataFrame, out: str, batch_id: int = 0,
+        rejects_out: str | None = None) -> DataFrame:
+    """Route one batch of changes with the current config and upsert it
+    (rejected changes to ``rejects_out`` when given); returns the
+    create-if-missing DDL of the configured tables."""
     state = config_state(parse_config_changes(config_raw))
-    upsert_dim_tables(route(parse_changes(changes_raw), state), out, batch_id)
+    changes = parse_changes(changes_raw)
+    upsert_dim_tables(route(changes, state), out, batch_id)
+    if rejects_out:
+        write_append(route_rejects(changes, state), rejects_out)
     return table_ddl(state)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.record import parse_record, set_sub_field
 from tidemark.functions.time import rowtime_instant
-from tidemark.operators.dim import config_state, parse_changes, route
+from tidemark.operators.dim import config_state, parse_changes, route, route_rejects
 from tidemark.operators.keyword import keyword_counts
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import TOPIC_DIRTY, fan_out
@@ -90,13 +90,18 @@ def keyword_window_stream(page_stream: DataFrame, duration: str = "10 seconds",
     return keyword_counts(df, duration, zone, with_ts)
 
 
-def dim_batch_writer(config_loader, root: str):
+def dim_batch_writer(config_loader, root: str, rejects_root: str | None = None):
     """``foreachBatch`` body of the DIM job: the config is re-read for every
     micro-batch (so config changes apply from the next batch on), changes are
     routed and pruned, and each sink table gets its latest row per key,
-    written idempotently under the batch id."""
+    written idempotently under the batch id. Rejected changes (Q2) go to
+    ``rejects_root`` when given."""
     def write(batch: DataFrame, batch_id: int) -> None:
         state = config_state(config_loader())
-        routed = route(parse_changes(batch), state)
-        upsert_dim_tables(routed, root, batch_id)
+        changes = parse_changes(batch)
+        upsert_dim_tables(route(changes, state), root, batch_id)
+        if rejects_root:
+            (route_rejects(changes, state).withColumn("batch_id", F.lit(batch_id))
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("batch_id").parquet(rejects_root))
     return write
