@@ -42,3 +42,14 @@ def test_text_helpers(spark):
     assert [r[0] for r in df.select(is_empty("s")).collect()] == [True, True, False]
     r = spark.range(1).select(split_list(F.lit("a,b,,c")).alias("x")).collect()[0]["x"]
     assert r == ["a", "b", "", "c"]
+
+
+def test_registered_tokenizer_matches_jvm_tokens(spark):
+    from tidemark.functions.text import register_tokenizer, tokens
+    register_tokenizer(spark)
+    df = spark.createDataFrame([(1, "Été 42, été! x"), (2, ""), (3, None)], "id int, fullword string")
+    df.createOrReplaceTempView("search_t")
+    sql = sorted(tuple(r) for r in spark.sql(
+        "SELECT id, keyword FROM search_t, LATERAL ik_analyze(fullword)").collect())
+    jvm = sorted(tuple(r) for r in df.select("id", F.explode(tokens("fullword"))).collect())
+    assert sql == jvm == [(1, "42"), (1, "x"), (1, "été"), (1, "été")]

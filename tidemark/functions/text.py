@@ -31,3 +31,27 @@ def tokens(text, pattern: str = TOKEN_PATTERN) -> Column:
 def split_list(c, sep: str = ",") -> Column:
     """F8: split a separated list exactly (no trimming)."""
     return F.split(_c(c), sep, -1)
+
+
+def register_tokenizer(spark, name: str = "ik_analyze", tokenize=None) -> None:
+    """U1 by name, for SQL written against a registered table function:
+    ``SELECT keyword FROM t, LATERAL ik_analyze(fullword)``.
+
+    This is a Python UDTF (planned as ``BatchEvalPythonUDTF``), so it is the
+    slow path; use it to plug in another tokenizer (``tokenize``: str ->
+    iterable of str). Without one it yields what :func:`tokens` yields, and
+    plans written with the DataFrame API keep using the JVM expression.
+    """
+    import regex
+
+    pattern = regex.compile(TOKEN_PATTERN)
+    fn = tokenize or (lambda text: pattern.findall(text.lower()))
+
+    class Tokens:
+        def eval(self, text):
+            if text is None:
+                return
+            for t in fn(text):
+                yield (t,)
+
+    spark.udtf.register(name, F.udtf(Tokens, returnType="keyword string"))
