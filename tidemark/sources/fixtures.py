@@ -70,9 +70,11 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_docs = docs.select(F.count(F.lit(1))).scalar()
 
     needs_text = (~F.col("has_start")) & F.col("has_item") & (F.col("item_type") == "keyword")
+    # The document side grows with the data and its size is only estimated,
+    # so it is never broadcast: a shuffled hash join on doc_id.
     with_text = (ev.filter(needs_text)
                  .withColumn("doc_id", F.col("seq") % n_docs)
-                 .join(docs, "doc_id", "left")
+                 .join(docs.hint("shuffle_hash"), "doc_id", "left")
                  .drop("doc_id"))
     without_text = ev.filter(~needs_text).withColumn("text", F.lit(None).cast("string"))
     ev = with_text.unionByName(without_text)
