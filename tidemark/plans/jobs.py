@@ -115,7 +115,11 @@ def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out:
 
 def start_dim(spark: SparkSession, changes_stream: DataFrame, config_loader, out: str,
               trigger: dict | None = None):
-    w = (changes_stream.writeStream.foreachBatch(sj.dim_batch_writer(config_loader, out))
+    """``config_loader`` returns the config changelog ``(value, seq)``; it
+    is called for every micro-batch."""
+    from tidemark.operators.dim import parse_config_changes
+    loader = lambda: parse_config_changes(config_loader())
+    w = (changes_stream.writeStream.foreachBatch(sj.dim_batch_writer(loader, out))
          .option("checkpointLocation", scratch_path(spark, "ckpt/dim")))
     return (w.trigger(**trigger) if trigger else w).start()
 
