@@ -3,10 +3,8 @@ page consumers, each with its checkpoint under spark.checkpoint.dir."""
 
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tidemark.operators.split import TOPIC_PAGE
 from tidemark.plans import jobs
 from tidemark.plans import pipeline as pl
 from tidemark.sources.fixtures import raw_log
@@ -23,8 +21,8 @@ def test_log_split_then_page_consumers(spark, scratch):
     routed = spark.read.parquet(topics)
     assert routed.count() == pl.routed_log(spark, SF_SMALL).count()
 
-    page_src = (spark.readStream.schema("value string, seq bigint, mid string, batch_id bigint, topic string")
-                     .parquet(topics).filter(F.col("topic") == TOPIC_PAGE).select("value", "seq"))
+    page_src = read_log_stream(spark, "parquet", jobs.page_topic(topics),
+                               {"recursiveFileLookup": "true"})
     out = os.path.join(scratch, "out")
     for q in jobs.start_page_consumers(spark, page_src, out, trigger={"availableNow": True}):
         q.awaitTermination()

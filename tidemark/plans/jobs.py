@@ -125,4 +125,6 @@ def start_dim(spark: SparkSession, changes_stream: DataFrame, config_loader, out
 
 
 def page_topic(routed_folder: str) -> str:
+    """The page topic's folder in a log-split output (a file stream source
+    with ``recursiveFileLookup``)."""
     return os.path.join(routed_folder, f"topic={TOPIC_PAGE}")

@@ -35,14 +35,15 @@ def write_topics_stream(routed: DataFrame, servers: str, checkpoint: str,
 
 
 def write_topics_files(routed: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Topic outputs as a parquet table partitioned by ``topic`` (and
+    """Topic outputs as a parquet table partitioned by ``topic`` (then
     ``batch_id`` in streaming, overwritten per batch so a replay after a
-    failure writes the same files once)."""
+    failure writes the same files once). ``path/topic=<name>`` is then one
+    topic's folder, usable as a file stream source."""
     df = routed
     parts = ["topic"]
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(batch_id))
-        parts = ["batch_id", "topic"]
+        parts = ["topic", "batch_id"]
     (df.write.mode("overwrite" if batch_id is not None else "append")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*parts).parquet(path))
