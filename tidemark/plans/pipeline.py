@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.bounce import user_jump
+from tidemark.operators.dim import config_state, parse_changes, parse_config_changes, route
 from tidemark.operators.keyword import keyword_counts
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import fan_out, page_records
 from tidemark.operators.unique import unique_visitor
 from tidemark.operators.visitor import visitor_flag_repair
-from tidemark.sources.fixtures import raw_log
+from tidemark.sources.fixtures import change_log, config_changelog, raw_log
 
 ZONE = "UTC"
 
@@ -59,17 +60,12 @@ def keyword_page_view_window(spark: SparkSession, sf_dir: str,
 # --- dimension routing -------------------------------------------------------
 
 def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.dim import parse_changes
-    from tidemark.sources.fixtures import change_log
     return parse_changes(change_log(spark, sf_dir))
 
 
 def dim_config(spark: SparkSession, retire_renamed: bool = False) -> DataFrame:
-    from tidemark.operators.dim import config_state, parse_config_changes
-    from tidemark.sources.fixtures import config_changelog
     return config_state(parse_config_changes(config_changelog(spark)), retire_renamed)
 
 
 def dim_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.dim import route
     return route(dim_changes(spark, sf_dir), dim_config(spark))

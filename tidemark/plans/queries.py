@@ -10,11 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.record import field, parse_record, present
-from tidemark.functions.time import fmt_datetime
+from tidemark.functions.time import (epoch_ms, fmt_date, fmt_datetime, to_date, to_ts,
+                                     to_ymd_hms)
 from tidemark.operators import keyword as kw
+from tidemark.operators.dic import code_dictionary, dic_lookup, status_code
+from tidemark.operators.dim import filter_bootstrap, key_value, latest_per_key
 from tidemark.operators.split import (TOPIC_ACTION, TOPIC_DISPLAY, TOPIC_ERR,
                                       TOPIC_PAGE, TOPIC_START)
 from tidemark.plans import pipeline as pl
+from tidemark.schemas import KEYWORD_BEAN
+from tidemark.sinks.kafka import to_keyed_messages
+from tidemark.sinks.table import sink_columns
+from tidemark.sources.fixtures import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,13 +153,11 @@ def _kw_window(duration):
 
 
 def q_dim_filter_bootstrap(spark, sf_dir):
-    from tidemark.operators.dim import filter_bootstrap
     c = filter_bootstrap(pl.dim_changes(spark, sf_dir))
     return c.select("seq", F.col("table").alias("source_table"), "type")
 
 
 def _routed_keys(spark, sf_dir):
-    from tidemark.operators.dim import key_value
     return pl.dim_routed(spark, sf_dir).withColumn("row_key", key_value())
 
 
@@ -177,16 +182,12 @@ def _upsert(apply_deletes):
 
 
 def q_dic_lookup(spark, sf_dir):
-    from tidemark.operators.dic import code_dictionary, dic_lookup, status_code
-    from tidemark.sources.fixtures import table
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", status_code("o_orderstatus").alias("dic_code"))
     return dic_lookup(o, code_dictionary(spark))
 
 
 def q_fn_to_date(spark, sf_dir):
-    from tidemark.functions.time import epoch_ms, to_date, to_ymd_hms
-    from tidemark.sources.fixtures import table
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"),
                                                 epoch_ms("ts").alias("ts"))
     return e.select("seq", "ts", to_date("ts").alias("date_utc"),
@@ -195,8 +196,6 @@ def q_fn_to_date(spark, sf_dir):
 
 
 def q_fn_to_ts(spark, sf_dir):
-    from tidemark.functions.time import fmt_date, to_ts
-    from tidemark.sources.fixtures import table
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", fmt_date("o_orderdate").alias("order_date"))
     return o.select("o_orderkey", "order_date", to_ts("order_date").alias("ts_ms"),
@@ -204,7 +203,6 @@ def q_fn_to_ts(spark, sf_dir):
 
 
 def q_keyed_messages(spark, sf_dir):
-    from tidemark.sinks.kafka import to_keyed_messages
     w = pl.keyword_page_view_window(spark, sf_dir, "1 day", with_ts=False)
     m = to_keyed_messages(w, ["stt", "edt", "source", "keyword"])
     k = F.from_json("key", "stt string, edt string, source string, keyword string")
@@ -213,8 +211,6 @@ def q_keyed_messages(spark, sf_dir):
 
 
 def q_sink_columns(spark, sf_dir):
-    from tidemark.schemas import KEYWORD_BEAN
-    from tidemark.sinks.table import sink_columns
     w = pl.keyword_page_view_window(spark, sf_dir, "1 day", with_ts=True)
     return sink_columns(w, KEYWORD_BEAN.fieldNames(), transient=("ts",))
 
