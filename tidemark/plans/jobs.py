@@ -117,7 +117,6 @@ def start_dim(spark: SparkSession, changes_stream: DataFrame, config_loader, out
               trigger: dict | None = None):
     """``config_loader`` returns the config changelog ``(value, seq)``; it
     is called for every micro-batch."""
-    from tidemark.operators.dim import parse_config_changes
     loader = lambda: parse_config_changes(config_loader())
     w = (changes_stream.writeStream.foreachBatch(sj.dim_batch_writer(loader, out))
          .option("checkpointLocation", scratch_path(spark, "ckpt/dim")))

@@ -175,7 +175,6 @@ def q_dim_prune_columns(spark, sf_dir):
 
 def _upsert(apply_deletes):
     def q(spark, sf_dir):
-        from tidemark.operators.dim import latest_per_key
         last = latest_per_key(pl.dim_routed(spark, sf_dir), apply_deletes=apply_deletes)
         return last.select("sink_table", "row_key", "seq", "type")
     return q
