@@ -129,3 +129,11 @@ def test_dic_lookup_stream_static(spark, scratch):
     want = dic_lookup(o.withColumn("dic_code", status_code("o_orderstatus")), code_dictionary(spark))
     assert out.count() == want.count()
     assert out.exceptAll(want).count() == 0
+
+
+def test_keyword_sql_stream_equals_dataframe_stream(spark, sources, scratch):
+    from tidemark.operators.keyword import keyword_counts_sql
+    a = _run(keyword_counts_sql(_page_stream(spark, sources)), "kw_sql", scratch)
+    b = _run(J.keyword_window_stream(_page_stream(spark, sources), with_ts=False), "kw_df", scratch)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN, tokens
-from tidemark.functions.time import fmt_datetime, rowtime, wall_clock
+from tidemark.functions.time import fmt_datetime, rowtime, rowtime_instant, wall_clock
 
 # Keyword sources; only SEARCH is produced by the reference.
 KEYWORD_SEARCH = "SEARCH"
@@ -71,14 +71,25 @@ def keyword_counts(page_log: DataFrame, duration: str = "10 seconds",
 
 
 def keyword_counts_sql(page_log: DataFrame, duration: str = "10 seconds",
-                       zone: str = "UTC", view: str | None = None) -> DataFrame:
+                       zone: str = "UTC", view: str | None = None,
+                       delay: str = "3 seconds") -> DataFrame:
     """The same job through Spark SQL over temp views, in the reference's
     three statements: search filter, lateral token explode, window count.
-    Catalyst plans it exactly like :func:`keyword_counts`."""
+    Catalyst plans it exactly like :func:`keyword_counts`. On a streaming
+    frame the view carries an instant ``rowtime`` with a ``delay`` watermark
+    (the reference's ``WATERMARK FOR rowtime AS rowtime - INTERVAL '3'
+    SECOND``)."""
     import uuid
     spark = page_log.sparkSession
     tag = view or f"page_log_{uuid.uuid4().hex[:8]}"
-    with_rowtime(page_log, zone).createOrReplaceTempView(tag)
+    if page_log.isStreaming:
+        src = (page_log.withColumn("rowtime", rowtime_instant(F.col("ts"), zone))
+                       .withWatermark("rowtime", delay))
+        # keep the search filter above the watermark (every row moves it)
+        src = src.select("rowtime", F.inline(F.array(F.struct(F.col("page").alias("page")))))
+    else:
+        src = with_rowtime(page_log, zone)
+    src.createOrReplaceTempView(tag)
     spark.sql(f"""
         SELECT page['item'] AS fullword, rowtime FROM {tag}
         WHERE page['last_page_id'] = 'search' AND page['item_type'] = 'keyword'
@@ -88,7 +99,10 @@ def keyword_counts_sql(page_log: DataFrame, duration: str = "10 seconds",
         FROM {tag}_search LATERAL VIEW explode(
           regexp_extract_all(lower(fullword), '{TOKEN_PATTERN_SQL}', 0)) t AS keyword
         """).createOrReplaceTempView(f"{tag}_split")
-    return spark.sql(f"""
-        SELECT cast(window.start AS string) AS stt, cast(window.end AS string) AS edt,
-               '{KEYWORD_SEARCH}' AS source, keyword, count(*) AS keyword_count
+    agg = spark.sql(f"""
+        SELECT window AS w, keyword, count(*) AS keyword_count
         FROM {tag}_split GROUP BY window(rowtime, '{duration}'), keyword""")
+    rt_type = src.schema["rowtime"].dataType
+    return agg.select(fmt_datetime(wall_clock("w.start", rt_type)).alias("stt"),
+                      fmt_datetime(wall_clock("w.end", rt_type)).alias("edt"),
+                      F.lit(KEYWORD_SEARCH).alias("source"), "keyword", "keyword_count")
