@@ -23,13 +23,16 @@ def test_log_split_job_and_reader(spark, scratch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     kf = kafka_frame(spark.read.parquet(out))
     assert kf.columns == ["topic", "key", "value"]
+    # a re-run of the same run id replaces its output instead of doubling it
+    jobs.log_split(read_log(spark, "parquet", src), out)
+    assert spark.read.parquet(out).count() == pl.routed_log(spark, SF_SMALL).count()
 
 
 def test_keyword_job_appends_bean_columns(spark, scratch):
     out = os.path.join(scratch, "kw")
     jobs.keyword_window(raw_log(spark, SF_SMALL), out)
     df = spark.read.parquet(out)
-    assert df.columns == ["stt", "edt", "source", "keyword", "keyword_count", "ts"]
+    assert df.columns == ["stt", "edt", "source", "keyword", "keyword_count", "ts", "batch_id"]
     assert df.count() == pl.keyword_page_view_window(spark, SF_SMALL).count()
 
 
@@ -37,7 +40,8 @@ def test_dim_job(spark, scratch):
     out = os.path.join(scratch, "dim")
     ddl = jobs.dim(change_log(spark, SF_SMALL), config_changelog(spark), out,
                    rejects_out=os.path.join(scratch, "rejects"))
-    assert spark.read.parquet(os.path.join(scratch, "rejects")).count() == 0
+    rejects = spark.read.schema("seq bigint, table string, type string, reason string, batch_id bigint")
+    assert rejects.parquet(os.path.join(scratch, "rejects")).count() == 0
     tables = {r["sink_table"] for r in ddl.collect()}
     assert tables == {"dim_customer", "dim_part", "dim_customer_last_order"}
     cur = read_dim_table(spark, out, "dim_customer")

@@ -33,30 +33,32 @@ TOPIC_USER_JUMP = "dwd_traffic_user_jump_detail"
 TABLE_KEYWORD_WINDOW = "dws_traffic_source_keyword_page_view_window"
 
 
-def log_split(raw: DataFrame, out: str, zone: str = "UTC") -> None:
-    """Parse, repair flags, route; one write feeds every topic folder."""
-    write_topics_files(fan_out(visitor_flag_repair(parse_log(raw), zone)), out)
+def log_split(raw: DataFrame, out: str, zone: str = "UTC", run_id: int = 0) -> None:
+    """Parse, repair flags, route; one write feeds every topic folder. A
+    re-run with the same ``run_id`` replaces its own output."""
+    write_topics_files(fan_out(visitor_flag_repair(parse_log(raw), zone)), out, run_id)
 
 
-def unique_visitors(raw: DataFrame, out: str, zone: str = "UTC") -> None:
+def unique_visitors(raw: DataFrame, out: str, zone: str = "UTC", run_id: int = 0) -> None:
     pages = page_records(visitor_flag_repair(parse_log(raw), zone))
     uv = unique_visitor(pages, zone).select(
         F.lit(TOPIC_UNIQUE_VISITOR).alias("topic"), "seq", "mid", F.to_json("rec").alias("value"))
-    write_topics_files(uv, out)
+    write_topics_files(uv, out, run_id)
 
 
-def user_jumps(raw: DataFrame, out: str, within_ms: int = 10_000, zone: str = "UTC") -> None:
+def user_jumps(raw: DataFrame, out: str, within_ms: int = 10_000, zone: str = "UTC",
+               run_id: int = 0) -> None:
     pages = page_records(visitor_flag_repair(parse_log(raw), zone))
     j = user_jump(pages, within_ms).select(
         F.lit(TOPIC_USER_JUMP).alias("topic"), "seq", "mid", F.to_json("rec").alias("value"))
-    write_topics_files(j, out)
+    write_topics_files(j, out, run_id)
 
 
 def keyword_window(raw: DataFrame, out: str, duration: str = "10 seconds",
-                   zone: str = "UTC") -> None:
+                   zone: str = "UTC", run_id: int = 0) -> None:
     pages = page_records(parse_log(raw))
     res = sink_columns(keyword_counts(pages, duration, zone), KEYWORD_BEAN.fieldNames())
-    write_append(res, out)
+    write_append(res, out, batch_id=run_id)
 
 
 def dim(changes_raw: DataFrame, config_raw: DataFrame, out: str, batch_id: int = 0,
@@ -68,7 +70,7 @@ def dim(changes_raw: DataFrame, config_raw: DataFrame, out: str, batch_id: int =
     changes = parse_changes(changes_raw)
     upsert_dim_tables(route(changes, state), out, batch_id)
     if rejects_out:
-        write_append(route_rejects(changes, state), rejects_out)
+        write_append(route_rejects(changes, state), rejects_out, batch_id=batch_id)
     return table_ddl(state)
 
 
@@ -100,8 +102,7 @@ def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out:
     kw = sink_columns(sj.keyword_window_stream(pages, zone=zone), KEYWORD_BEAN.fieldNames())
 
     def append_kw(batch: DataFrame, batch_id: int) -> None:
-        write_append(batch.withColumn("batch_id", F.lit(batch_id)),
-                     os.path.join(out, TABLE_KEYWORD_WINDOW), partition_by=["batch_id"])
+        write_append(batch, os.path.join(out, TABLE_KEYWORD_WINDOW), batch_id=batch_id)
     return [
         _files_sink(uv, os.path.join(out, TOPIC_UNIQUE_VISITOR),
                     scratch_path(spark, "ckpt/unique_visitor"), trigger),

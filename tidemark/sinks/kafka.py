@@ -34,19 +34,15 @@ def write_topics_stream(routed: DataFrame, servers: str, checkpoint: str,
     return w.start()
 
 
-def write_topics_files(routed: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Topic outputs as a parquet table partitioned by ``topic`` (then
-    ``batch_id`` in streaming, overwritten per batch so a replay after a
-    failure writes the same files once). ``path/topic=<name>`` is then one
-    topic's folder, usable as a file stream source."""
-    df = routed
-    parts = ["topic"]
-    if batch_id is not None:
-        df = df.withColumn("batch_id", F.lit(batch_id))
-        parts = ["topic", "batch_id"]
-    (df.write.mode("overwrite" if batch_id is not None else "append")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*parts).parquet(path))
+def write_topics_files(routed: DataFrame, path: str, batch_id: int = 0) -> None:
+    """Topic outputs as a parquet table partitioned by ``topic`` and
+    ``batch_id`` (the micro-batch id in streaming, a run id in batch). Each
+    (topic, batch) partition is overwritten, so a replay or a re-run after a
+    failure writes the same files once. ``path/topic=<name>`` is one topic's
+    folder, usable as a file stream source."""
+    (routed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("topic", "batch_id").parquet(path))
 
 
 def to_keyed_messages(df: DataFrame, key_cols: list[str],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def sink_columns(df: DataFrame, declared: list[str], transient: tuple[str, ...] = ()) -> DataFrame:
@@ -12,16 +12,24 @@ def sink_columns(df: DataFrame, declared: list[str], transient: tuple[str, ...]
 
 
 def write_append(df: DataFrame, target: str, fmt: str = "parquet",
-                 options: dict | None = None, partition_by: list[str] | None = None) -> None:
+                 options: dict | None = None, batch_id: int | None = None) -> None:
     """K5: append rows to a table (``fmt='jdbc'`` with url/dbtable/batchsize
-    options for a database table, else a file table at ``target``)."""
-    w = df.write.mode("append").options(**(options or {}))
+    options for a database table, else a file table at ``target``).
+
+    With ``batch_id`` a file table gets the rows under that partition, which
+    is overwritten when the same batch is written again (a streaming replay
+    or a re-run), so each batch lands once. A JDBC append cannot be undone
+    this way; give the table a key and let the database deduplicate.
+    """
     if fmt == "jdbc":
-        w.format("jdbc").save()
+        df.write.mode("append").options(**(options or {})).format("jdbc").save()
+        return
+    if batch_id is None:
+        df.write.mode("append").options(**(options or {})).format(fmt).save(target)
         return
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.format(fmt).save(target)
+    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .options(**(options or {})).partitionBy("batch_id").format(fmt).save(target))
 
 
 def console(df: DataFrame, n: int = 20) -> None:
