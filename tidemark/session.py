@@ -34,16 +34,6 @@ def _worker_path() -> None:
         os.environ["PYTHONPATH"] = os.pathsep.join([_ROOT] + parts)
 
 
-def ship_package(spark: SparkSession) -> str:
-    """On a cluster: zip this package and hand it to ``addPyFile`` so every
-    executor's Python worker can import it (what ``--py-files`` does)."""
-    import shutil
-    base = tempfile.mkdtemp(prefix="tidemark-pkg-")
-    z = shutil.make_archive(os.path.join(base, "tidemark"), "zip", _ROOT, "tidemark")
-    spark.sparkContext.addPyFile(z)
-    return z
-
-
 def get_session(app: str = "tidemark", master: str | None = None,
                 shuffle_partitions: int | None = None,
                 conf: dict | None = None) -> SparkSession:
@@ -67,8 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the operator sets it (a static setting) to a shared file
     system; it is read from the session and never replaced. Only when it is
-    unset (local tests) a scratch folder is made and registered with
-    ``setCheckpointDir``.
+    unset on a local master (tests) a scratch folder is made and registered
+    with ``setCheckpointDir``; on a cluster an unset value is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -76,6 +66,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return d
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...); "
+                           "a machine-local folder does not survive executor or driver loss")
     global _LOCAL_CKPT
     if _LOCAL_CKPT is None:
         _LOCAL_CKPT = tempfile.mkdtemp(prefix="tidemark-ckpt-")
