@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.record import field, parse_record, present
+from tidemark.functions.record import field, present
 from tidemark.functions.time import (epoch_ms, fmt_date, fmt_datetime, to_date, to_ts,
                                      to_ymd_hms)
 from tidemark.operators import keyword as kw
@@ -55,68 +55,74 @@ def q_visitor_flag_repair(spark, sf_dir):
     return r.select("seq", "mid", "ts", "visit_date", "is_new_in", "is_new")
 
 
-def _topic(spark, sf_dir, topic) -> DataFrame:
+# Topics are read back the way their consumers read them: a typed schema of
+# only the fields they use (the JSON reader skips the rest). A nested object
+# declared as a string comes back as its JSON text, so it tests presence.
+_COMMON = "common struct<mid:string,is_new:string>"
+
+
+def _topic(spark, sf_dir, topic, schema) -> DataFrame:
     """Records of one topic, read back from their JSON text."""
     r = pl.routed_log(spark, sf_dir).filter(F.col("topic") == topic)
-    return r.select("seq", parse_record("value").alias("rec"))
+    return r.select("seq", F.from_json("value", schema).alias("r")).select("seq", "r.*")
+
+
+def _n(arr) -> F.Column:
+    return F.when(F.col(arr).isNotNull(), F.size(arr).cast("bigint"))
 
 
 def q_split_err(spark, sf_dir):
-    return _topic(spark, sf_dir, TOPIC_ERR).select(
-        "seq", field("rec", "common.mid").alias("mid"),
-        field("rec", "common.is_new").alias("is_new"),
-        field("rec", "ts", "bigint").alias("ts"),
-        field("rec", "err.error_code", "bigint").alias("error_code"),
-        present("rec", "start").alias("has_start"),
-        field("rec", "page.page_id").alias("page_id"),
-        _size("rec", "displays").alias("n_displays"))
+    t = _topic(spark, sf_dir, TOPIC_ERR,
+               f"{_COMMON}, ts bigint, err struct<error_code:bigint>, start string, "
+               "page struct<page_id:string>, displays array<string>")
+    return t.select("seq", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+                    "ts", F.col("err.error_code").alias("error_code"),
+                    F.col("start").isNotNull().alias("has_start"),
+                    F.col("page.page_id").alias("page_id"), _n("displays").alias("n_displays"))
 
 
 def q_split_start(spark, sf_dir):
-    return _topic(spark, sf_dir, TOPIC_START).select(
-        "seq", field("rec", "common.mid").alias("mid"),
-        field("rec", "common.is_new").alias("is_new"),
-        field("rec", "ts", "bigint").alias("ts"),
-        field("rec", "start.entry").alias("entry"),
-        field("rec", "start.loading_time", "bigint").alias("loading_time"),
-        present("rec", "err").alias("has_err"))
+    t = _topic(spark, sf_dir, TOPIC_START,
+               f"{_COMMON}, ts bigint, start struct<entry:string,loading_time:bigint>, err string")
+    return t.select("seq", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+                    "ts", F.col("start.entry").alias("entry"),
+                    F.col("start.loading_time").alias("loading_time"),
+                    F.col("err").isNotNull().alias("has_err"))
 
 
 def q_split_page(spark, sf_dir):
-    return _topic(spark, sf_dir, TOPIC_PAGE).select(
-        "seq", field("rec", "common.mid").alias("mid"),
-        field("rec", "common.is_new").alias("is_new"),
-        field("rec", "ts", "bigint").alias("ts"),
-        field("rec", "page.page_id").alias("page_id"),
-        field("rec", "page.last_page_id").alias("last_page_id"),
-        field("rec", "page.item_type").alias("item_type"),
-        field("rec", "page.item").alias("item"),
-        present("rec", "err").alias("has_err"),
-        present("rec", "displays").alias("has_displays"),
-        present("rec", "actions").alias("has_actions"))
+    t = _topic(spark, sf_dir, TOPIC_PAGE,
+               f"{_COMMON}, ts bigint, page struct<page_id:string,last_page_id:string,"
+               "item_type:string,item:string>, err string, displays string, actions string")
+    return t.select("seq", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+                    "ts", "page.page_id", "page.last_page_id", "page.item_type", "page.item",
+                    F.col("err").isNotNull().alias("has_err"),
+                    F.col("displays").isNotNull().alias("has_displays"),
+                    F.col("actions").isNotNull().alias("has_actions"))
 
 
 def q_split_display(spark, sf_dir):
-    return _topic(spark, sf_dir, TOPIC_DISPLAY).select(
-        "seq", field("rec", "common.mid").alias("mid"),
-        field("rec", "common.is_new").alias("is_new"),
-        field("rec", "ts", "bigint").alias("ts"),
-        field("rec", "page.page_id").alias("page_id"),
-        field("rec", "display.display_type").alias("display_type"),
-        field("rec", "display.item").alias("display_item"),
-        field("rec", "display.order", "bigint").alias("display_order"),
-        field("rec", "display.pos_id", "bigint").alias("pos_id"))
+    t = _topic(spark, sf_dir, TOPIC_DISPLAY,
+               f"{_COMMON}, ts bigint, page struct<page_id:string>, display struct<"
+               "display_type:string,item:string,order:bigint,pos_id:bigint>")
+    return t.select("seq", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+                    "ts", F.col("page.page_id").alias("page_id"),
+                    F.col("display.display_type").alias("display_type"),
+                    F.col("display.item").alias("display_item"),
+                    F.col("display.order").alias("display_order"),
+                    F.col("display.pos_id").alias("pos_id"))
 
 
 def q_split_action(spark, sf_dir):
-    return _topic(spark, sf_dir, TOPIC_ACTION).select(
-        "seq", field("rec", "common.mid").alias("mid"),
-        field("rec", "common.is_new").alias("is_new"),
-        field("rec", "page.page_id").alias("page_id"),
-        field("rec", "action.action_id").alias("action_id"),
-        field("rec", "action.item").alias("action_item"),
-        field("rec", "action.ts", "bigint").alias("action_ts"),
-        present("rec", "ts").alias("has_ts"))
+    t = _topic(spark, sf_dir, TOPIC_ACTION,
+               f"{_COMMON}, ts bigint, page struct<page_id:string>, action struct<"
+               "action_id:string,item:string,ts:bigint>")
+    return t.select("seq", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+                    F.col("page.page_id").alias("page_id"),
+                    F.col("action.action_id").alias("action_id"),
+                    F.col("action.item").alias("action_item"),
+                    F.col("action.ts").alias("action_ts"),
+                    F.col("ts").isNotNull().alias("has_ts"))
 
 
 def q_topic_counts(spark, sf_dir):
