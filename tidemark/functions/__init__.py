@@ -1,4 +1,7 @@
 from tidemark.functions.time import (  # noqa: F401
-    epoch_ms, ms_to_local, to_date, to_ymd_hms, to_ts, rowtime,
+    epoch_ms, fmt_date, fmt_datetime, ms_to_local, rowtime, rowtime_instant, to_date, to_ts,
+    to_ymd_hms, wall_clock,
+)
+from tidemark.functions.text import (  # noqa: F401
+    is_empty, register_tokenizer, split_list, tokens,
 )
-from tidemark.functions.text import is_empty, tokens, split_list  # noqa: F401
