@@ -137,3 +137,41 @@ def test_keyword_sql_stream_equals_dataframe_stream(spark, sources, scratch):
     b = _run(J.keyword_window_stream(_page_stream(spark, sources), with_ts=False), "kw_df", scratch)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
+
+
+def test_dim_stream_config_change_applies_from_next_batch(spark, scratch):
+    import json
+    from tidemark.operators.dim import parse_config_changes
+    from tidemark.sources.logs import from_rows
+
+    def change(table, key):
+        return json.dumps({"table": table, "type": "insert", "data": {"id": key, "name": f"n{key}"}})
+
+    def tp(src):
+        return {"source_table": src, "sink_table": "dim_" + src, "sink_columns": "id,name",
+                "sink_pk": "id", "sink_extend": None}
+
+    cfg_dir, src_dir, root = (os.path.join(scratch, n) for n in ("cfg", "src", "dim"))
+    from_rows(spark, [json.dumps({"op": "r", "before": None, "after": tp("a")})]).write.parquet(
+        os.path.join(cfg_dir, "0"))
+    loader = lambda: parse_config_changes(
+        spark.read.schema("value string, seq bigint").option("recursiveFileLookup", "true")
+             .parquet(cfg_dir))
+    from_rows(spark, [change("a", 1), change("b", 1)]).write.parquet(os.path.join(src_dir, "0"))
+    stream = (spark.readStream.schema("value string, seq bigint")
+                   .option("recursiveFileLookup", "true").parquet(src_dir))
+    q = (stream.writeStream.foreachBatch(J.dim_batch_writer(loader, root))
+               .option("checkpointLocation", os.path.join(scratch, "ck_dim_cfg"))
+               .trigger(processingTime="1 second").start())
+    try:
+        q.processAllAvailable()
+        # config for table b arrives; the next batch routes b's changes
+        rows = [(json.dumps({"op": "c", "before": None, "after": tp("b")}), 1)]
+        spark.createDataFrame(rows, "value string, seq bigint").write.parquet(os.path.join(cfg_dir, "1"))
+        spark.createDataFrame([(change("b", 2), 5)], "value string, seq bigint").write.parquet(
+            os.path.join(src_dir, "1"))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.sink_table, r.row_key) for r in read_dim_table(spark, root).collect())
+    assert got == [("dim_a", "1"), ("dim_b", "2")]
