@@ -48,3 +48,41 @@ def test_bounce_key_spreads_hot_device(spark):
          .otherwise(F.array("_b"))))
     assert _max_share(hot, n, "mid") > 0.3          # the naive key: one task gets a third
     assert _max_share(x, n, "mid", "_bucket") < 0.1  # the bounce plan's key
+
+
+def test_hot_device_streaming_equals_batch(spark, scratch):
+    """The pandas state processors handle a device holding a third of each
+    micro-batch, and give the batch result."""
+    import os
+    from tidemark.operators.split import TOPIC_PAGE
+    from tidemark.streaming import jobs as J
+    sf = "/root/testdata/sf0.001"
+    routed = pl.routed_log(spark, sf).filter(F.col("topic") == TOPIC_PAGE)
+    hot_mid = F.when(F.col("seq") % 3 == 0, F.lit("HOT")).otherwise(F.col("mid"))
+    # rewrite common.mid inside the JSON text for the hot rows
+    val = F.when(F.col("seq") % 3 == 0,
+                 F.regexp_replace("value", r'"mid":"[^"]*"', '"mid":"HOT"')).otherwise(F.col("value"))
+    src = os.path.join(scratch, "hot")
+    for i, (lo, hi) in enumerate(((0, 500), (500, 1 << 62))):
+        (routed.filter((F.col("seq") >= lo) & (F.col("seq") < hi))
+               .select(val.alias("value"), "seq").coalesce(1).write.parquet(os.path.join(src, str(i))))
+    stream = J.page_log_from_topic(
+        spark.readStream.schema("value string, seq bigint").option("maxFilesPerTrigger", 1)
+             .option("recursiveFileLookup", "true").parquet(src))
+
+    def run(df, name):
+        q = (df.writeStream.format("memory").queryName(name).outputMode("append")
+               .option("checkpointLocation", os.path.join(scratch, "ck_" + name))
+               .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return spark.table(name)
+
+    page = pl.page_log(spark, sf).withColumn("mid", hot_mid)
+    uv = run(J.unique_visitor_stream(stream), "hot_uv")
+    assert sorted(r.seq for r in uv.collect()) == sorted(r.seq for r in unique_visitor(page).collect())
+    bj = run(J.user_jump_stream(stream), "hot_bounce").select("seq")
+    want = user_jump(page, W).select("seq")
+    assert bj.exceptAll(want).count() == 0
+    # anything still pending is a device's last record
+    last = page.groupBy("mid").agg(F.max_by("seq", F.struct("ts", "seq")).alias("seq")).select("seq")
+    assert want.exceptAll(bj).exceptAll(last).count() == 0
