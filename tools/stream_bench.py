@@ -1,6 +1,8 @@
 """Streaming throughput of the jobs: the sf log (and its page topic) as
-parquet files, one ``availableNow`` micro-batch per job into the ``noop``
-sink, query start included. Prints one line per job.
+parquet files into the ``noop`` sink. Per job two numbers: one
+``availableNow`` micro-batch (query start included), and a steady state of
+one file per micro-batch (rows over the summed trigger times of all
+batches, so query start is left out). Prints one line per job.
 
     python tools/stream_bench.py [sf_dir]
 """
@@ -37,21 +39,32 @@ def main() -> None:
     n_raw = spark.read.parquet(os.path.join(d, "raw")).count()
     n_page = spark.read.parquet(os.path.join(d, "page")).count()
 
-    def src(p):
-        return spark.readStream.schema(RAW_LOG).parquet(os.path.join(d, p))
+    def src(p, per_batch=None):
+        r = spark.readStream.schema(RAW_LOG)
+        if per_batch:
+            r = r.option("maxFilesPerTrigger", per_batch)
+        return r.parquet(os.path.join(d, p))
 
-    def run(name, df, n):
+    def run(name, make, n):
         t = time.time()
-        q = (df.writeStream.format("noop").option("checkpointLocation", os.path.join(d, "ck_" + name))
+        q = (make(None).writeStream.format("noop")
+               .option("checkpointLocation", os.path.join(d, "ck1_" + name))
                .trigger(availableNow=True).start())
         q.awaitTermination()
-        dt = time.time() - t
-        print(f"{name}: {n} rows in {dt:.1f} s = {n / dt:,.0f} rows/s", flush=True)
+        one = n / (time.time() - t)
+        q = (make(1).writeStream.format("noop")
+               .option("checkpointLocation", os.path.join(d, "ck2_" + name))
+               .trigger(availableNow=True).start())
+        q.awaitTermination()
+        busy = sum(p["durationMs"].get("triggerExecution", 0) for p in q.recentProgress) / 1000
+        rows = sum(p["numInputRows"] for p in q.recentProgress)
+        print(f"{name}: one batch {one:,.0f} rows/s; steady {rows / busy:,.0f} rows/s "
+              f"over {len(q.recentProgress)} batches", flush=True)
 
-    run("log_split", J.log_split_stream(src("raw")), n_raw)
-    run("keyword_window", J.keyword_window_stream(J.page_log_from_topic(src("page"))), n_page)
-    run("unique_visitor", J.unique_visitor_stream(J.page_log_from_topic(src("page"))), n_page)
-    run("user_jump", J.user_jump_stream(J.page_log_from_topic(src("page"))), n_page)
+    run("log_split", lambda k: J.log_split_stream(src("raw", k)), n_raw)
+    run("keyword_window", lambda k: J.keyword_window_stream(J.page_log_from_topic(src("page", k))), n_page)
+    run("unique_visitor", lambda k: J.unique_visitor_stream(J.page_log_from_topic(src("page", k))), n_page)
+    run("user_jump", lambda k: J.user_jump_stream(J.page_log_from_topic(src("page", k))), n_page)
 
 
 if __name__ == "__main__":
