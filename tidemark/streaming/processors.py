@@ -105,15 +105,19 @@ class UniqueVisitorProcessor(StatefulProcessor):
         if starts.empty:
             return
         d = _dates(starts["ts"], self.tz)
+        stored = self.last.get()[0] if self.last.exists() else None
         prev = d.shift(1)
-        prev.iloc[0] = self.last.get()[0] if self.last.exists() else None
+        prev.iloc[0] = stored
         keep = prev.isna() | (d != prev)
         last = d.iloc[-1]
-        self.last.update((last,))
-        for t in self.handle.listTimers():
-            self.handle.deleteTimer(t)
-        day = datetime.strptime(last, "%Y-%m-%d").replace(tzinfo=self.tz)
-        self.handle.registerTimer(int((day + timedelta(days=2)).timestamp() * 1000))
+        if last != stored:  # state and its expiry timer move only with the date
+            self.last.update((last,))
+            for t in self.handle.listTimers():
+                self.handle.deleteTimer(t)
+            day = datetime.strptime(last, "%Y-%m-%d").replace(tzinfo=self.tz)
+            self.handle.registerTimer(int((day + timedelta(days=2)).timestamp() * 1000))
+        if not keep.any():
+            return
         kept = starts[keep.to_numpy()]
         yield pd.DataFrame({"mid": key[0], "seq": kept["seq"], "ts": kept["ts"],
                             "visit_date": d[keep].to_numpy(), "value": kept["value"]})
