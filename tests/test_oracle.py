@@ -1,5 +1,5 @@
 """Every registered query against its DuckDB oracle (the driver's check) on
-the smallest scale factor."""
+the smallest scale factor, or the folder in ``TIDEMARK_ORACLE_SF``."""
 
 import collections
 import os
@@ -9,6 +9,8 @@ import pytest
 
 from conftest import SF_SMALL
 
+SF = os.environ.get("TIDEMARK_ORACLE_SF", SF_SMALL)
+
 import __spark_entry__ as E
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -19,7 +21,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def con():
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t)}.parquet')")
     return c
 
 
@@ -34,7 +36,7 @@ def test_every_query_has_oracle():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(E.oracle_sql()[name])
     o_cols = [d[0] for d in res.description]
