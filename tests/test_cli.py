@@ -4,7 +4,7 @@ import os
 
 from conftest import SF_SMALL
 from tidemark.__main__ import main
-from tidemark.plans import pipeline as pl
+from tidemark.plans import flows as pl
 from tidemark.sources.fixtures import change_log, config_changelog, raw_log
 
 

@@ -6,7 +6,7 @@ import os
 
 from conftest import SF_SMALL
 from tidemark.plans import jobs
-from tidemark.plans import pipeline as pl
+from tidemark.plans import flows as pl
 from tidemark.sinks.kafka import kafka_frame, to_keyed_messages
 from tidemark.sinks.dim import read_dim_table
 from tidemark.sources.fixtures import change_log, config_changelog, raw_log

@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 from tidemark.functions.text import is_empty
 from tidemark.operators.bounce import user_jump
 from tidemark.operators.unique import unique_visitor
-from tidemark.plans import pipeline as pl
+from tidemark.plans import flows as pl
 
 SF = "/root/testdata/sf0.01"
 W = 10_000

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidemark.operators.split import TOPIC_PAGE
-from tidemark.plans import pipeline as pl
+from tidemark.plans import flows as pl
 from tidemark.schemas import RAW_LOG
 from tidemark.sinks.dim import read_dim_table
 from tidemark.operators.dim import latest_per_key

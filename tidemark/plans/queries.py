@@ -17,7 +17,7 @@ from tidemark.operators.dic import code_dictionary, dic_lookup, status_code
 from tidemark.operators.dim import filter_bootstrap, key_value, latest_per_key
 from tidemark.operators.split import (TOPIC_ACTION, TOPIC_DISPLAY, TOPIC_ERR,
                                       TOPIC_PAGE, TOPIC_START)
-from tidemark.plans import pipeline as pl
+from tidemark.plans import flows as pl
 from tidemark.schemas import KEYWORD_BEAN
 from tidemark.sinks.kafka import to_keyed_messages
 from tidemark.sinks.table import sink_columns

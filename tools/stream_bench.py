@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.operators.split import TOPIC_PAGE  # noqa: E402
-from tidemark.plans import pipeline as pl  # noqa: E402
+from tidemark.plans import flows as pl  # noqa: E402
 from tidemark.schemas import RAW_LOG  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 from tidemark.sources.fixtures import raw_log  # noqa: E402
