@@ -42,3 +42,14 @@ def test_documents_never_broadcast(spark):
 def test_bounce_window_partitions_by_device_and_bucket(spark):
     plan = _plan(E.queries()["user_jump"](spark, SF_SMALL))
     assert "hashpartitioning(mid" in plan and "_bucket" in plan
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_data_funnels_into_one_task(spark, name):
+    """A single-partition exchange may only feed a global count (the
+    document count of the fixture): never rows, never a global sort."""
+    lines = _plan(E.queries()[name](spark, SF_SMALL)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = " ".join(lines[i + 1:i + 3])
+            assert "partial_count" in below, (name, below[:200])
