@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, topk
+from . import exact_dedup, mixing, substring_dedup, suffix_dedup, topk
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,16 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return d.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = suffix_dedup.dedup_suffixes(table(spark, sf_dir, "documents"))
+    return d.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -33,8 +43,10 @@ FROM d WINDOW w AS (PARTITION BY t)
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_topk": op2_topk, "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
+    return {"op2_topk": op2_topk, "op4_substring_dedup": op4_substring_dedup,
+            "op5_suffix_dedup": op5_suffix_dedup, "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": topk.SQL, "op9_exact_dedup": EXACT_SQL, "op10_mixing": mixing.SQL}
+    return {"op2_topk": topk.SQL, "op4_substring_dedup": substring_dedup.SQL,
+            "op5_suffix_dedup": suffix_dedup.SQL, "op9_exact_dedup": EXACT_SQL, "op10_mixing": mixing.SQL}
