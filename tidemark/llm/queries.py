@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, quality, substring_dedup, suffix_dedup, topk
+from . import exact_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, topk
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,7 +52,8 @@ FROM d WINDOW w AS (PARTITION BY t)
 
 def queries() -> dict[str, Query]:
     return {"op2_topk": op2_topk, "op4_substring_dedup": op4_substring_dedup,
-            "op5_suffix_dedup": op5_suffix_dedup, "op7_quality": op7_quality, "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
+            "op5_suffix_dedup": op5_suffix_dedup,
+            "op6_near_dedup": op6_near_dedup, "op7_quality": op7_quality, "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
