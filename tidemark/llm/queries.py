@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, near_dedup, quality, substring_dedup, suffix_dedup, topk
-from .common import table
+from . import exact_dedup, mixing, near_dedup, pieces, quality, substring_dedup, suffix_dedup, topk
+from .common import real_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = pieces.decode_all(pieces.encode(table(spark, sf_dir, "documents")))
+    return d.select(real_id().alias("doc_id"), F.size("ids").alias("n_pieces"), "ids",
+                    F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return d.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
@@ -51,7 +57,8 @@ FROM d WINDOW w AS (PARTITION BY t)
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_topk": op2_topk, "op4_substring_dedup": op4_substring_dedup,
+    return {"op2_topk": op2_topk, "op3_sentencepiece": op3_sentencepiece,
+            "op4_substring_dedup": op4_substring_dedup,
             "op5_suffix_dedup": op5_suffix_dedup,
             "op6_near_dedup": op6_near_dedup, "op7_quality": op7_quality, "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
 
