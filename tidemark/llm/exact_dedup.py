@@ -10,7 +10,7 @@ its recipe, the ordered list of identifiers; equal recipes are equal texts.
 What moves: each distinct chunk once per map task, to be verified; after that
 only recipes (8 bytes per chunk). Long documents are never compared or moved
 as wholes. Groups are counted with partial aggregates, and the way back is a
-sort-merge join whose large side (a hot group of copies) AQE may split.
+join on salted recipes, so a hot group of copies is not one task's.
 
 Null texts count as empty; an empty text has the empty recipe. Null doc_ids
 come after all others when the kept row is chosen. Rows that repeat a doc_id
@@ -99,6 +99,8 @@ def _recipes(bits: int, shared: dict[int, dict[bytes, int]]):
 
 #: Chunks that share a hash are told to the tasks as a table of at most so many.
 MOST_SHARED = 100_000
+#: Keys over which the rows of one group are spread.
+SALTS = 64
 
 
 def _shared(d: DataFrame, bits: int) -> dict[int, dict[bytes, int]]:
@@ -130,10 +132,15 @@ def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, bits: int) -> DataFrame:
-    r = recipes(docs, bits)
-    g = r.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"),
-                                F.count(F.lit(1)).alias("group_size"))
-    return r.join(g.hint("merge"), "recipe")
+    # A group of copies may hold a third of all rows: its rows are spread over
+    # SALTS keys, and what is known of the group is copied to those of its keys
+    # that occur.
+    r = recipes(docs, bits).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    part = r.groupBy("recipe", "salt").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    g = part.groupBy("recipe").agg(F.min("least").alias("keep_id"), F.sum("n").alias("group_size"),
+                                   F.collect_list("salt").alias("salts"))
+    g = g.withColumn("salt", F.explode("salts")).drop("salts")
+    return r.join(g.hint("merge"), ["recipe", "salt"])
 
 
 def exact_groups(docs: DataFrame, bits: int = 64) -> DataFrame:
