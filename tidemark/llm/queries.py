@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, near_dedup, pieces, quality, substring_dedup, suffix_dedup, topk
+from . import exact_dedup, mixing, near_dedup, pieces, quality, secrets, substring_dedup, suffix_dedup, topk
 from .common import real_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -57,12 +61,12 @@ FROM d WINDOW w AS (PARTITION BY t)
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_topk": op2_topk, "op3_sentencepiece": op3_sentencepiece,
+    return {"op1_secrets": op1_secrets, "op2_topk": op2_topk, "op3_sentencepiece": op3_sentencepiece,
             "op4_substring_dedup": op4_substring_dedup,
             "op5_suffix_dedup": op5_suffix_dedup,
             "op6_near_dedup": op6_near_dedup, "op7_quality": op7_quality, "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": topk.SQL, "op4_substring_dedup": substring_dedup.SQL,
+    return {"op1_secrets": secrets.sql(), "op2_topk": topk.SQL, "op4_substring_dedup": substring_dedup.SQL,
             "op5_suffix_dedup": suffix_dedup.SQL, "op9_exact_dedup": EXACT_SQL, "op10_mixing": mixing.SQL}
