@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import checkpoint_dir
@@ -76,3 +78,11 @@ def one_spaced(data: bytes) -> bytes:
     return b" " * (data[:1].isspace()) + out + b" " * (data[-1:].isspace())
 
 
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read
+    back: smaller than a checkpoint, and readers prune columns."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

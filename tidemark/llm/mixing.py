@@ -10,8 +10,7 @@ total budget is used up.
 Both running sums (tokens within a source, tokens of the mix) are two-level:
 rows fall into narrow buckets of the shuffle order (then of the finish time),
 bucket totals are summed over a table of buckets, and each bucket is summed on
-its own. A bucket holds some ``bucket_rows`` rows, so no task grows with a hot
-source or with the corpus. The text is read once; afterwards only the narrow
+its own, so no task holds a hot source. The text is read once; afterwards only the narrow
 table of ids and sizes moves.
 
 Null texts have size 0, and a document of size 0 is never taken. Null sources
@@ -27,7 +26,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import WORD, cut, or_empty
 
 EPOCHS = 3
-BUCKET_ROWS = 20_000
+#: Rows of a bucket, and the most buckets (their table is summed in order by
+#: one task; beyond it, buckets grow).
+BUCKET_ROWS, MOST_BUCKETS = 2_000, 1 << 17
 
 
 def source_targets(sizes: DataFrame, epochs: int = EPOCHS) -> DataFrame:
@@ -84,7 +85,7 @@ def mix(docs: DataFrame, epochs: int = EPOCHS, bucket_rows: int = BUCKET_ROWS) -
     # from here on a source is its number, which is never null
     d = cut(d.join(t, d["source"].eqNullSafe(t["_source"])).drop("_source"))
     total = d.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
-    buckets = max(1, min(1 << 30, total["n"] * epochs // bucket_rows))
+    buckets = max(1, min(MOST_BUCKETS, total["n"] * epochs // bucket_rows))
     one = d.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     one = one.withColumn("place", F.md5(F.concat_ws(
         ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "epoch").cast("binary")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, near_dedup, pieces, quality, secrets, substring_dedup, suffix_dedup, topk
+from . import exact_dedup, line_dedup, mixing, near_dedup, pieces, quality, secrets, substring_dedup, suffix_dedup, topk
 from .common import real_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return d.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -64,7 +69,8 @@ def queries() -> dict[str, Query]:
     return {"op1_secrets": op1_secrets, "op2_topk": op2_topk, "op3_sentencepiece": op3_sentencepiece,
             "op4_substring_dedup": op4_substring_dedup,
             "op5_suffix_dedup": op5_suffix_dedup,
-            "op6_near_dedup": op6_near_dedup, "op7_quality": op7_quality, "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
+            "op6_near_dedup": op6_near_dedup, "op7_quality": op7_quality, "op8_line_dedup": op8_line_dedup,
+            "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
