@@ -47,9 +47,9 @@ def keyed(docs: DataFrame, unique: bool | None = None) -> DataFrame:
                     "text")
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+def keep_rows(docs: DataFrame, kept: DataFrame, once: bool = True) -> DataFrame:
     """The rows of ``docs``, all columns, whose key is in ``kept`` (doc_id,
-    tag as :func:`keyed` gives them); one row of those with the same key."""
+    tag as :func:`keyed` gives them); ``once``: one row of those with the same key."""
     names = docs.columns
     own = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"),
                       F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc_id"),
@@ -59,7 +59,8 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
         out = own.join(kept.select("doc_id"), "doc_id", "left_semi")
     else:
         out = own.withColumn("tag", F.xxhash64("text")).join(
-            kept.select("doc_id", "tag"), ["doc_id", "tag"], "left_semi").dropDuplicates(["doc_id", "tag"])
+            kept.select("doc_id", "tag"), ["doc_id", "tag"], "left_semi")
+        out = out.dropDuplicates(["doc_id", "tag"]) if once else out
     return out.select("_row.*")
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, or_empty
+from .common import cut, keep_rows, keyed, real_id
 from .windows import mix, word_hashes
 
 ROWS, DIM, NONZERO, REACH = 1 << 15, 32, 2, 2
@@ -129,7 +129,7 @@ def _summed(t: pa.Table) -> pa.Table:
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The table of word vectors, ROWS x DIM: 4 MB whatever the corpus."""
-    sums = (docs.select(or_empty().alias("text")).mapInArrow(_contexts, "slice int, sums binary")
+    sums = (docs.select("text").mapInArrow(_contexts, "slice int, sums binary")
             .groupBy("slice").applyInArrow(_summed, "slice int, sums binary").collect())
     z, out = zstandard.ZstdDecompressor(), np.zeros((SLICES, ROWS * DIM // SLICES))
     for r in sums:
@@ -165,16 +165,15 @@ def _pool(vectors):
             mean = one / n
             both = np.hstack([mean, np.sqrt(np.maximum(two / n - mean**2, 0))]).astype(np.float32)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"),
+                "doc_id": b.column("doc_id"), "tag": b.column("tag"),
                 "x": pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * (2 * DIM), both.ravel())})
     return run
 
 
 def pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
-    """doc_id, x: the features of every document."""
+    """doc_id, tag, x: the features of every document (doc_id, tag, text)."""
     w = docs.sparkSession.sparkContext.broadcast(vectors)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty().alias("text")).mapInArrow(
-        _pool(w), "doc_id long, x array<float>")
+    return docs.mapInArrow(_pool(w), "doc_id long, tag long, x array<float>")
 
 
 class Network:
@@ -231,7 +230,8 @@ def _scored(net: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = b.column("x").flatten().to_numpy().reshape(-1, 2 * DIM).astype(np.float64)
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "score": pa.array(net.scores(x))})
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "tag": b.column("tag"),
+                                              "score": pa.array(net.scores(x))})
     return run
 
 
@@ -251,9 +251,19 @@ def fit(x: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Networ
     return Network(flat.reshape(-1, 2 * DIM).astype(np.float64), y)
 
 
+def _scores(docs: DataFrame, labels: DataFrame, train_rows: int) -> DataFrame:
+    d = keyed(docs)
+    x = cut(pooled(d, word_vectors(d)))
+    return x.mapInArrow(_scored(fit(x, labels, train_rows)), "doc_id long, tag long, score double")
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    x = cut(pooled(docs, word_vectors(docs)))
-    s = x.mapInArrow(_scored(fit(x, labels, train_rows)), "doc_id long, score double")
+    s = _scores(docs, labels, train_rows).select(real_id().alias("doc_id"), "score")
     return s.select("doc_id", held_out().alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that score 0.5 or more."""
+    return keep_rows(docs, _scores(docs, labels, train_rows).filter("score >= 0.5"), once=False)
