@@ -12,6 +12,8 @@ from conftest import SF_SMALL
 SF = os.environ.get("TIDEMARK_ORACLE_SF", SF_SMALL)
 
 import __spark_entry__ as E
+from tidemark.plans.oracle import oracle_sql
+from tidemark.plans.queries import queries
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -31,14 +33,14 @@ def _bag(cols, rows):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(oracle_sql()[name])
     o_cols = [d[0] for d in res.description]
     o_rows = res.fetchall()
     assert sorted(df.columns) == sorted(o_cols)

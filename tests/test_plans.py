@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from tidemark.plans.queries import queries
 from conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
@@ -13,42 +13,42 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_batch_plans_stay_on_the_jvm(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(queries()[name](spark, SF_SMALL))
     for bad in FORBIDDEN:
         assert bad not in plan, (name, bad)
 
 
 def test_keyword_count_is_combined_before_the_shuffle(spark):
-    plan = _plan(E.queries()["keyword_window"](spark, SF_SMALL))
+    plan = _plan(queries()["keyword_window"](spark, SF_SMALL))
     assert "partial_count" in plan
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = _plan(E.queries()["fn_to_date"](spark, SF_SMALL))
+    plan = _plan(queries()["fn_to_date"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
-    plan = _plan(E.queries()["dic_lookup"](spark, SF_SMALL))
+    plan = _plan(queries()["dic_lookup"](spark, SF_SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
 
 
 def test_documents_never_broadcast(spark):
-    plan = _plan(E.queries()["keyword_window"](spark, SF_SMALL))
+    plan = _plan(queries()["keyword_window"](spark, SF_SMALL))
     for part in plan.split("BroadcastExchange")[1:]:
         head = part.split("Exchange")[0]
         assert "documents" not in head
 
 
 def test_bounce_window_partitions_by_device_and_bucket(spark):
-    plan = _plan(E.queries()["user_jump"](spark, SF_SMALL))
+    plan = _plan(queries()["user_jump"](spark, SF_SMALL))
     assert "hashpartitioning(mid" in plan and "_bucket" in plan
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_no_data_funnels_into_one_task(spark, name):
     """A single-partition exchange may only feed a global count (the
     document count of the fixture): never rows, never a global sort."""
-    lines = _plan(E.queries()[name](spark, SF_SMALL)).splitlines()
+    lines = _plan(queries()[name](spark, SF_SMALL)).splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             below = " ".join(lines[i + 1:i + 3])

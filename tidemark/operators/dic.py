@@ -29,7 +29,7 @@ CODES = (
 )
 
 # Order status letter of the test tables -> status code.
-ORDER_STATUS_CODE = (("F", "1004"), ("O", "1001"))
+ORDER_STATUS_CODE = (("F", "1004"), ("O", "1001"), ("P", "1002"))
 
 
 def code_dictionary(spark: SparkSession) -> DataFrame:

@@ -17,17 +17,20 @@ WITH ev AS (
          (event_type = 'signup' OR (event_type = 'error' AND event_id % 4 = 0)) AS has_start,
          CASE event_id % 5 WHEN 2 THEN '' WHEN 3 THEN 'home' WHEN 4 THEN 'search' END AS lp,
          CASE WHEN event_id % 2 = 0 THEN 'keyword' ELSE 'sku_id' END AS item_type,
-         event_id % 7 <> 0 AS has_item,
-         event_id % 50 = 0 AS is_dirty,
-         event_id % (SELECT count(*) FROM documents) AS doc_id
-  FROM events),
+         CASE WHEN event_id % 7 = 0 THEN NULL
+              WHEN event_id % 2 = 0 THEN event_type || ' ' || json_extract_string(props, '$.k')
+              ELSE json_extract_string(props, '$.k') END AS item
+  FROM events
+  UNION ALL
+  SELECT 1099511627776 + 2 * doc_id, 'doc' || doc_id, 1704067200000 + doc_id % 86400 * 1000, 'home', doc_id % 100,
+         '1', false, false, NULL, NULL, NULL FROM documents
+  UNION ALL
+  SELECT 1099511627777 + 2 * doc_id, 'doc' || doc_id,
+         1704067200000 + doc_id % 86400 * 1000 + CASE WHEN doc_id % 2 = 0 THEN 3000 ELSE 20000 END,
+         'good_list', doc_id % 100, '0', false, false, 'search', 'keyword', text FROM documents),
 good AS (
-  SELECT ev.*,
-         CASE WHEN has_start OR NOT has_item THEN NULL
-              WHEN item_type = 'keyword' THEN d.text ELSE CAST(k AS VARCHAR) END AS item,
-         strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS visit_date
-  FROM ev LEFT JOIN documents d ON d.doc_id = ev.doc_id
-  WHERE NOT is_dirty),
+  SELECT * REPLACE (CASE WHEN has_start THEN NULL ELSE item END AS item),
+         strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS visit_date FROM ev),
 rep AS (
   SELECT *, CASE WHEN is_new_in = '1' AND visit_date <> anchor THEN '0' ELSE is_new_in END AS is_new
   FROM (SELECT *, first_value(CASE WHEN is_new_in = '1' THEN visit_date
@@ -77,11 +80,15 @@ _OTYPE = "CASE WHEN o_orderkey % 10 = 0 THEN 'delete' ELSE 'update' END"
 _ROUTED = f"""
 WITH routed AS (
   SELECT c_custkey AS seq, 'customer' AS source_table, 'insert' AS type,
-         'dim_customer' AS sink_table, CAST(c_custkey AS VARCHAR) AS row_key FROM customer
+         'dim_customer' AS sink_table, CAST(c_custkey AS VARCHAR) AS row_key,
+         map {{'c_custkey': CAST(c_custkey AS VARCHAR), 'c_name': c_name, 'c_mktsegment': c_mktsegment}} AS cols FROM customer
   UNION ALL
-  SELECT p_partkey, 'part', 'insert', 'dim_part', CAST(p_partkey AS VARCHAR) FROM part
+  SELECT p_partkey, 'part', 'insert', 'dim_part', CAST(p_partkey AS VARCHAR),
+         map {{'p_partkey': CAST(p_partkey AS VARCHAR), 'p_name': p_name, 'p_brand': p_brand}} FROM part
   UNION ALL
-  SELECT {_OSEQ}, 'orders', {_OTYPE}, 'dim_customer_last_order', CAST(o_custkey AS VARCHAR)
+  SELECT {_OSEQ}, 'orders', {_OTYPE}, 'dim_customer_last_order', CAST(o_custkey AS VARCHAR),
+         map {{'o_custkey': CAST(o_custkey AS VARCHAR), 'o_orderkey': CAST(o_orderkey AS VARCHAR),
+               'o_orderstatus': o_orderstatus, 'o_orderdate': strftime(o_orderdate, '%Y-%m-%d')}}
   FROM orders)
 """
 
@@ -89,8 +96,8 @@ WITH routed AS (
 def _latest(apply_deletes: bool) -> str:
     cond = " AND type <> 'delete'" if apply_deletes else ""
     return _ROUTED + f"""
-SELECT sink_table, row_key, seq, type FROM (
-  SELECT *, row_number() OVER (PARTITION BY sink_table, row_key ORDER BY seq DESC) AS rn
+SELECT sink_table, row_key, seq, type, column_name, cols[column_name] AS column_value FROM (
+  SELECT *, unnest(map_keys(cols)) AS column_name, rank() OVER (PARTITION BY sink_table, row_key ORDER BY seq DESC) AS rn
   FROM routed) x
 WHERE rn = 1{cond}
 """
@@ -109,7 +116,7 @@ SELECT seq, mid, is_new_in AS is_new, ts,
 FROM good
 """,
     "dirty_split": """
-SELECT event_id AS seq, 'unparsable' AS reason FROM events WHERE event_id % 50 = 0
+SELECT event_id + 2199023255552 AS seq, 'unparsable' AS reason FROM events WHERE event_id % 50 = 0
 """,
     "visitor_flag_repair": _BASE + """
 SELECT seq, mid, ts, visit_date, is_new_in, is_new FROM rep
@@ -206,9 +213,9 @@ UNION ALL SELECT 'dim_customer_last_order', {_OSEQ}, CAST(o_custkey AS VARCHAR),
     "dim_upsert_deletes": _latest(True),
     "dic_lookup": """
 SELECT o_orderkey, o_orderstatus,
-       CASE o_orderstatus WHEN 'F' THEN '1004' WHEN 'O' THEN '1001' END AS dic_code,
-       CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'unpaid' END AS dic_name,
-       CASE WHEN o_orderstatus IN ('F', 'O') THEN '10' END AS parent_code
+       CASE o_orderstatus WHEN 'F' THEN '1004' WHEN 'O' THEN '1001' WHEN 'P' THEN '1002' END AS dic_code,
+       CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'unpaid' WHEN 'P' THEN 'paid' END AS dic_name,
+       '10' AS parent_code
 FROM orders
 """,
     "fn_to_date": """

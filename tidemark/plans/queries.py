@@ -182,7 +182,9 @@ def q_dim_prune_columns(spark, sf_dir):
 def _upsert(apply_deletes):
     def q(spark, sf_dir):
         last = latest_per_key(pl.dim_routed(spark, sf_dir), apply_deletes=apply_deletes)
-        return last.select("sink_table", "row_key", "seq", "type")
+        val = F.coalesce(F.try_variant_get("v", "$", "string"), F.to_json("v"))
+        return (last.select("sink_table", "row_key", "seq", "type", F.explode("data").alias("column_name", "v"))
+                    .select("sink_table", "row_key", "seq", "type", "column_name", val.alias("column_value")))
     return q
 
 

@@ -4,7 +4,7 @@ The reference consumes JSON behaviour logs and change records from Kafka;
 here the same shapes are derived from ``events``/``documents`` and the
 dimension tables with plain expressions that DuckDB can repeat (mapping in
 FIXTURES.md). Everything is lazy and scales with the input tables: each event
-becomes one log line, each dimension row one change record.
+becomes one log line, each document two, each dimension row one change record.
 """
 
 from __future__ import annotations
@@ -21,17 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores
-    (a small file is one split). Each event turns into a JSON line of about a
-    kilobyte, so the per-row work deserves every core; a scan that is already
-    wide is left alone (no extra shuffle at scale)."""
-    try:
-        want = spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the plan as is
-        return df
-    return df.repartition(want) if have < want else df
+# Lines derived from documents arrive after all events, broken lines after both.
+DOC_SEQ, DIRTY_SEQ = 1 << 40, 1 << 41
+DOC_TS = 1_704_067_200_000
 
 
 def _event_attrs(events: DataFrame) -> DataFrame:
@@ -39,6 +31,7 @@ def _event_attrs(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     et = F.col("event_type")
+    item_type = F.when(eid % 2 == 0, F.lit("keyword")).otherwise(F.lit("sku_id"))
     return events.select(
         eid.alias("seq"),
         F.col("user_id").cast("string").alias("mid"),
@@ -50,34 +43,44 @@ def _event_attrs(events: DataFrame) -> DataFrame:
         ((et == "signup") | ((et == "error") & (eid % 4 == 0))).alias("has_start"),
         F.when(eid % 5 == 2, F.lit("")).when(eid % 5 == 3, F.lit("home"))
          .when(eid % 5 == 4, F.lit("search")).alias("last_page_id"),
-        F.when(eid % 2 == 0, F.lit("keyword")).otherwise(F.lit("sku_id")).alias("item_type"),
-        (eid % 7 != 0).alias("has_item"),
+        item_type.alias("item_type"),
+        F.when(eid % 7 != 0, F.when(item_type == "keyword", F.concat_ws(" ", et, k.cast("string")))
+         .otherwise(k.cast("string"))).alias("item"),
         (eid % 50 == 0).alias("is_dirty"),
     )
 
 
+def _document_attrs(docs: DataFrame) -> DataFrame:
+    """Two lines per document (rules B2): its own device starts a visit and,
+    3 s (even ids) or 20 s (odd ids) later, searches for the whole text."""
+    did = F.col("doc_id")
+    ts = F.lit(DOC_TS) + did % 86400 * 1000
+    gap = F.when(did % 2 == 0, F.lit(3000)).otherwise(F.lit(20000))
+    null = F.lit(None).cast("string")
+
+    def line(n, at, event_type, is_new, last_page, item_type, item):
+        return F.struct((F.lit(DOC_SEQ) + did * 2 + n).alias("seq"), at.alias("ts_ms"),
+                        F.lit(event_type).alias("event_type"), F.lit(is_new).alias("is_new"),
+                        last_page.alias("last_page_id"), item_type.alias("item_type"), item.alias("item"))
+
+    lines = F.array(line(0, ts, "home", "1", null, null, null),
+                    line(1, ts + gap, "good_list", "0", F.lit("search"), F.lit("keyword"), F.col("text")))
+    no = F.lit(False)
+    return (docs.select(F.concat(F.lit("doc"), did.cast("string")).alias("mid"), (did % 100).alias("k"),
+                        F.inline(lines))
+            .select("seq", "mid", "ts_ms", "event_type", "k", "is_new", no.alias("has_err"), no.alias("has_start"),
+                    "last_page_id", "item_type", "item", no.alias("is_dirty")))
+
+
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(value STRING, seq BIGINT)``: one JSON log line per event.
+    """``(value STRING, seq BIGINT)``: one JSON log line per event, two per
+    document, and one broken line beside every 50th event.
 
-    ``seq`` plays the part of the source offset (arrival order). Search items
-    of type ``keyword`` carry the whole text of document
-    ``event_id % count(documents)``; the document side is joined by a shuffle
-    on ``doc_id`` (it grows with the data, so it is never broadcast), and only
-    the rows that need a text take part in the join.
+    ``seq`` plays the part of the source offset (arrival order). Every
+    document is searched for once, by its whole text. No join, no shuffle.
     """
-    ev = _event_attrs(spread(spark, table(spark, sf_dir, "events")))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-
-    needs_text = (~F.col("has_start")) & F.col("has_item") & (F.col("item_type") == "keyword")
-    # The document side grows with the data and its size is only estimated,
-    # so it is never broadcast: a shuffled hash join on doc_id.
-    with_text = (ev.filter(needs_text)
-                 .withColumn("doc_id", F.col("seq") % n_docs)
-                 .join(docs.hint("shuffle_hash"), "doc_id", "left")
-                 .drop("doc_id"))
-    without_text = ev.filter(~needs_text).withColumn("text", F.lit(None).cast("string"))
-    ev = with_text.unionByName(without_text)
+    ev = _event_attrs(table(spark, sf_dir, "events")).unionByName(
+        _document_attrs(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
     k = F.col("k")
     ts = F.col("ts_ms")
@@ -87,8 +90,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.struct(
         F.col("event_type").alias("page_id"),
         F.col("last_page_id").alias("last_page_id"),
-        F.when(F.col("has_item") & (F.col("item_type") == "keyword"), F.col("text"))
-         .when(F.col("has_item"), k.cast("string")).alias("item"),
+        F.col("item").alias("item"),
         F.col("item_type").alias("item_type"),
         (k * 100).alias("during_time"),
     )
@@ -128,13 +130,11 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_page & (F.col("event_type") == "purchase"), actions).alias("actions"),
         ts.alias("ts"),
     )
-    # Dirty lines: the text cut in half, which is never a complete object.
+    # A broken line beside the good one: its text behind a stray character.
     out = ev.select(F.to_json(rec).alias("v"), "seq", "is_dirty")
-    return out.select(
-        F.when(F.col("is_dirty"), F.expr("substring(v, 1, length(v) div 2)"))
-         .otherwise(F.col("v")).alias("value"),
-        "seq",
-    )
+    good = F.struct(F.col("v").alias("value"), F.col("seq").alias("seq"))
+    broken = F.struct(F.concat(F.lit("}"), F.col("v")).alias("value"), (F.lit(DIRTY_SEQ) + F.col("seq")).alias("seq"))
+    return out.select(F.inline(F.when(F.col("is_dirty"), F.array(good, broken)).otherwise(F.array(good))))
 
 
 # Dimension tables turned into change records: (table, key column, columns).
@@ -158,7 +158,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     (o_orderdate, o_orderkey) order."""
     parts = []
     for name, key, cols in DIM_SOURCES:
-        t = spread(spark, table(spark, sf_dir, name))
+        t = table(spark, sf_dir, name)
         data = F.struct(*[F.col(c) for c in cols])
         rec = F.struct(F.lit("shop").alias("database"), F.lit(name).alias("table"),
                        F.lit("insert").alias("type"), data.alias("data"))
@@ -170,7 +170,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                for typ, seq in (("bootstrap-start", MARKER_START_SEQ),
                                 ("bootstrap-complete", MARKER_END_SEQ))]
     parts.append(literal_frame(spark, markers, "value string, seq bigint"))
-    o = spread(spark, table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     odata = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                      fmt_date("o_orderdate").alias("o_orderdate"))
     otype = F.when(F.col("o_orderkey") % 10 == 0, F.lit("delete")).otherwise(F.lit("update"))
