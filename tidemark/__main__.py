@@ -1,6 +1,6 @@
 """Command line: run one of the jobs, batch or streaming.
 
-    python -m tidemark log-split      --source kafka --input topic_log --out /shared/topics [--stream]
+    python -m tidemark log-split      --source kafka --input topic_log --out /shared/topics --run 2024-01-01 [--stream]
     python -m tidemark page-consumers --source parquet --input /shared/topics/page --out /shared/dws --stream
     python -m tidemark keyword-window --source parquet --input /logs --out /shared/kw
     python -m tidemark unique-visitor --source parquet --input /logs --out /shared/uv
@@ -10,7 +10,12 @@
 ``--source`` is ``kafka`` (``--input`` is the topic; ``--option
 kafka.bootstrap.servers=...``), ``parquet``, ``json`` or ``text``. Batch runs
 read what is there and stop; ``--stream`` keeps running with checkpoints
-under the session's ``spark.checkpoint.dir``.
+under the session's ``spark.checkpoint.dir``. ``--run`` names the run: a run
+with the same name replaces its own output, others are never touched.
+``--kafka-servers`` sends topics to Kafka instead of folders (``--kafka-option``
+for the producer); ``--jdbc url=... --jdbc dbtable=...`` appends keyword counts
+to a database table. Lines and changes that cannot be used go to
+``<out>_rejects`` (page consumers: ``<out>/rejects``).
 """
 
 from __future__ import annotations
@@ -39,6 +44,12 @@ def main(argv=None, spark=None) -> list:
     ap.add_argument("--out", required=True)
     ap.add_argument("--config", help="config changelog (parquet of value, seq) for dim")
     ap.add_argument("--option", action="append", help="source option key=value")
+    ap.add_argument("--run", required=True, help="name of this run")
+    ap.add_argument("--run-no", type=int, default=0,
+                    help="dim, batch: order of this run where the source has no times")
+    ap.add_argument("--kafka-servers", help="send topics to this Kafka cluster")
+    ap.add_argument("--kafka-option", action="append", help="producer option key=value")
+    ap.add_argument("--jdbc", action="append", help="database option key=value for keyword counts")
     ap.add_argument("--zone", default="UTC")
     ap.add_argument("--window", default="10 seconds")
     ap.add_argument("--within-ms", type=int, default=10_000)
@@ -50,30 +61,33 @@ def main(argv=None, spark=None) -> list:
     opts = _opts(a.option)
     trigger = {"availableNow": True} if a.available_now else None
 
+    kafka = {"servers": a.kafka_servers, **_opts(a.kafka_option)} if a.kafka_servers else None
+    jdbc = _opts(a.jdbc) or None
+
     if not a.stream:
         src = read_log(spark, a.source, a.input, opts)
         if a.job == "log-split":
-            jobs.log_split(src, a.out, a.zone)
+            jobs.log_split(src, a.out, a.run, a.zone, kafka)
         elif a.job == "keyword-window":
-            jobs.keyword_window(src, a.out, a.window, a.zone)
+            jobs.keyword_window(src, a.out, a.run, a.window, a.zone, jdbc)
         elif a.job == "unique-visitor":
-            jobs.unique_visitors(src, a.out, a.zone)
+            jobs.unique_visitors(src, a.out, a.run, a.zone, kafka)
         elif a.job == "user-jump":
-            jobs.user_jumps(src, a.out, a.within_ms, a.zone)
+            jobs.user_jumps(src, a.out, a.run, a.within_ms, a.zone, kafka)
         elif a.job == "dim":
-            jobs.dim(src, read_log(spark, "parquet", a.config), a.out)
+            jobs.dim(src, read_log(spark, "parquet", a.config), a.out, a.run, a.run_no)
         else:
             ap.error("page-consumers runs as a stream (--stream)")
         return []
 
     src = read_log_stream(spark, a.source, a.input, opts)
     if a.job == "log-split":
-        queries = [jobs.start_log_split(spark, src, a.out, a.zone, trigger)]
+        queries = [jobs.start_log_split(spark, src, a.out, a.run, a.zone, trigger, kafka)]
     elif a.job == "page-consumers":
-        queries = jobs.start_page_consumers(spark, src, a.out, a.zone, trigger)
+        queries = jobs.start_page_consumers(spark, src, a.out, a.run, a.zone, trigger, kafka, jdbc)
     elif a.job == "dim":
         queries = [jobs.start_dim(spark, src, lambda: read_log(spark, "parquet", a.config),
-                                  a.out, trigger)]
+                                  a.out, a.run, trigger)]
     else:
         ap.error(f"{a.job} as a stream runs inside page-consumers")
     if a.available_now:

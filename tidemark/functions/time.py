@@ -8,6 +8,8 @@ given as an argument. So results are the same on every cluster whatever
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
@@ -106,3 +108,10 @@ def wall_clock(c, c_type: T.DataType | None = None) -> Column:
     if isinstance(c_type, T.TimestampType):
         return ms_to_local(F.unix_millis(_c(c)), "UTC")
     return _c(c)
+
+
+def arrival(ts: str = "ts", seq: str = "seq") -> F.Column:
+    """The order (ts, seq) as one decimal, a fixed-width aggregation buffer;
+    a missing ``seq`` counts as 0."""
+    return (F.col(ts).cast("decimal(19,0)") * F.lit(Decimal(1 << 63))
+            + F.coalesce(F.col(seq), F.lit(0)).cast("decimal(19,0)"))

@@ -30,6 +30,7 @@ def user_jump(page_log: DataFrame, within_ms: int = 10_000,
     width = int(within_ms) * int(bucket_factor)
     lp = F.try_element_at(F.col("page"), F.lit("last_page_id"))
     cols = page_log.columns
+    payload = [c for c in cols if c not in ("mid", "ts", "seq")]
     b = F.floor(F.col("ts") / F.lit(width)).cast("bigint")
     x = (page_log.withColumn("_empty", is_empty(lp))
                  .withColumn("_b", b)
@@ -37,6 +38,11 @@ def user_jump(page_log: DataFrame, within_ms: int = 10_000,
                      F.when(F.col("ts") - F.col("_b") * F.lit(width) < F.lit(within_ms),
                             F.array(F.col("_b"), F.col("_b") - 1))
                       .otherwise(F.array(F.col("_b"))))))
+    # Only a visit start in its own bucket can be emitted: other rows and the
+    # copies cross the shuffle without their payload.
+    emits = F.col("_empty") & (F.col("_bucket") == F.col("_b"))
+    x = x.select("mid", "ts", "seq", "_empty", "_b", "_bucket",
+                 *[F.when(emits, F.col(c)).alias(c) for c in payload])
     w = Window.partitionBy("mid", "_bucket").orderBy("ts", "seq")
     x = (x.withColumn("_next_ts", F.lead("ts").over(w))
           .withColumn("_next_empty", F.lead("_empty").over(w)))

@@ -29,6 +29,14 @@ BOOTSTRAP_MARKERS = ("bootstrap-start", "bootstrap-complete")
 DEFAULT_PK = "id"
 
 
+def _place(df: DataFrame) -> list:
+    """``seq``, and source time and partition where the source has them."""
+    return ["seq",
+            F.col("src_ts").cast("bigint").alias("src_ts") if "src_ts" in df.columns
+            else F.lit(None).cast("bigint").alias("src_ts"),
+            F.col("part").cast("int").alias("part") if "part" in df.columns else F.lit(0).alias("part")]
+
+
 def parse_changes(raw: DataFrame) -> DataFrame:
     """``(seq, table, type, data, dirty)``; ``data`` is a record map. A line
     that is not a JSON object, or a matched change without ``data`` (Q2),
@@ -38,7 +46,7 @@ def parse_changes(raw: DataFrame) -> DataFrame:
     df = raw.select("*", F.inline(F.array(F.struct(rec.alias("_rec")))))
     data = F.try_variant_get(F.col("_rec")["data"], "$", REC_TYPE)
     return df.select(
-        "seq",
+        *_place(raw),
         field("_rec", "table").alias("table"),
         field("_rec", "type").alias("type"),
         data.alias("data"),
@@ -105,7 +113,7 @@ def route(changes: DataFrame, state: DataFrame, max_config_rows: int = 100_000)
                                        F.col("table") == F.col("source_table"), "inner")
     j = j.filter(F.col("data").isNotNull())
     pruned = F.map_filter("data", lambda k, v: F.array_contains(F.col("_cols"), k))
-    return j.select("seq", "table", "type", "sink_table", "sink_pk", pruned.alias("data"))
+    return j.select("seq", "src_ts", "part", "table", "type", "sink_table", "sink_pk", pruned.alias("data"))
 
 
 def route_rejects(changes: DataFrame, state: DataFrame, max_config_rows: int = 100_000) -> DataFrame:
@@ -130,18 +138,21 @@ def key_value(data_col: str = "data", pk_col: str = "sink_pk") -> F.Column:
     return F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))
 
 
-def latest_per_key(routed: DataFrame, apply_deletes: bool = False) -> DataFrame:
-    """K3: the change each (sink table, key) ends with, by arrival ``seq``.
+def latest_per_key(routed: DataFrame, apply_deletes: bool = False, run_no: int = 0) -> DataFrame:
+    """K3: the change each (sink table, key) ends with, and its position
+    ``at``: source time (0 where there is none), run, partition, offset.
 
-    ``max_by`` is a hash aggregate with a map-side partial step, so a hot
-    key is reduced before the shuffle. By default (Q1) a ``delete`` is kept
-    like an upsert (dimension rows never disappear); ``apply_deletes`` drops
-    keys whose last change is a delete.
+    ``max_by`` has a map-side partial step, so a hot key is reduced before the
+    shuffle. By default (Q1) a ``delete`` is kept like an upsert (dimension rows
+    never disappear); ``apply_deletes`` drops keys whose last change is a delete.
     """
-    r = routed.withColumn("row_key", key_value())
+    at = F.struct(F.coalesce("src_ts", F.lit(0).cast("bigint")).alias("src_ts"),
+                  F.lit(run_no).cast("bigint").alias("run_no"), F.coalesce("part", F.lit(0)).alias("part"),
+                  F.col("seq").alias("seq"))
+    r = routed.withColumn("row_key", key_value()).withColumn("at", at)
     last = (r.groupBy("sink_table", "row_key")
-             .agg(F.max_by(F.struct("seq", "type", "sink_pk", "data"), F.col("seq")).alias("l")))
-    out = last.select("sink_table", "row_key", "l.seq", "l.type", "l.sink_pk", "l.data")
+             .agg(F.max_by(F.struct("seq", "type", "sink_pk", "data", "at"), F.col("at")).alias("l")))
+    out = last.select("sink_table", "row_key", "l.seq", "l.type", "l.sink_pk", "l.data", "l.at")
     if apply_deletes:
         out = out.filter(F.col("type").isNull() | (F.col("type") != "delete"))
     return out
@@ -158,14 +169,29 @@ def table_schema(state: DataFrame) -> DataFrame:
                          F.lit("string").alias("data_type")))
 
 
+# Clauses of CREATE TABLE that Spark takes after USING.
+EXTEND = r"(?i)^\s*(COMMENT\s+'[^']*'|(TBLPROPERTIES|OPTIONS)\s*\([^()]*\))\s*$"
+
+
+def known_extend() -> F.Column:
+    return (F.col("ext") != "") & F.col("ext").rlike(EXTEND)
+
+
+def extend_rejects(state: DataFrame) -> DataFrame:
+    """Config rows whose ``sink_extend`` is no clause that Spark knows."""
+    return state.filter((F.col("ext") != "") & ~known_extend())
+
+
 def table_ddl(state: DataFrame, namespace: str = "dim") -> DataFrame:
     """K4: ``CREATE TABLE IF NOT EXISTS`` text per sink table (Spark SQL; the
-    key column is ``NOT NULL``, ``sink_extend`` is appended as given)."""
+    key column is ``NOT NULL``). Of ``sink_extend`` only a comment, table properties or
+    options are taken; clauses of other stores are left out and reported by
+    :func:`extend_rejects`."""
     cols = F.transform(
         F.filter(split_list(F.col("sink_columns")), lambda c: c != ""),
         lambda c: F.concat(F.lit("`"), c, F.lit("` STRING"),
                            F.when(c == F.col("pk"), F.lit(" NOT NULL")).otherwise(F.lit(""))))
     ddl = F.concat(F.lit(f"CREATE TABLE IF NOT EXISTS {namespace}."), F.col("sink_table"),
                    F.lit(" ("), F.array_join(cols, ", "), F.lit(") USING parquet"),
-                   F.when(F.col("ext") != "", F.concat(F.lit(" "), F.col("ext"))).otherwise(F.lit("")))
+                   F.when(known_extend(), F.concat(F.lit(" "), F.col("ext"))).otherwise(F.lit("")))
     return state.select("sink_table", ddl.alias("ddl"))

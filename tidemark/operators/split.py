@@ -39,34 +39,63 @@ def _elements(rec, key: str) -> F.Column:
     return F.coalesce(arr, F.array().cast("array<variant>"))
 
 
-def fan_out(df: DataFrame) -> DataFrame:
-    """``(topic, seq, mid, value)`` for every output record of every line."""
+def fan_out(df: DataFrame, topics: tuple[str, ...] = TOPICS) -> DataFrame:
+    """``(topic, seq, mid, value)`` for every output record of every line;
+    ``topics`` builds the text of those routes only, from the lines that have any."""
     rec = F.col("rec")
     good = F.col("dirty").isNull()
     has_err = present(rec, "err")
     has_start = present(rec, "start")
     no_err = drop_keys(rec, "err")
     common, page, ts = rec["common"], rec["page"], rec["ts"]
-    empty = F.array().cast("array<struct<topic:string,value:string>>")
 
-    displays = F.transform(_elements("rec", "displays"), lambda d: _pair(
-        TOPIC_DISPLAY, F.to_json(F.struct(common.alias("common"), page.alias("page"),
-                                          ts.alias("ts"), d.alias("display")))))
-    actions = F.transform(_elements("rec", "actions"), lambda a: _pair(
-        TOPIC_ACTION, F.to_json(F.struct(common.alias("common"), page.alias("page"),
-                                         a.alias("action")))))
-    page_rec = _pair(TOPIC_PAGE, to_text(drop_keys(rec, "err", "displays", "actions")))
-
-    pairs = F.when(~good, F.array(_pair(TOPIC_DIRTY, F.col("value")))).otherwise(
-        F.concat(
-            F.when(has_err, F.array(_pair(TOPIC_ERR, to_text(rec)))).otherwise(empty),
-            F.when(has_start, F.array(_pair(TOPIC_START, to_text(no_err))))
-             .otherwise(F.concat(displays, actions, F.array(page_rec)))))
+    def displays():
+        return F.transform(_elements("rec", "displays"), lambda d: _pair(
+            TOPIC_DISPLAY, F.to_json(F.struct(common.alias("common"), page.alias("page"),
+                                              ts.alias("ts"), d.alias("display")))))
+
+    def actions():
+        return F.transform(_elements("rec", "actions"), lambda a: _pair(
+            TOPIC_ACTION, F.to_json(F.struct(common.alias("common"), page.alias("page"),
+                                             a.alias("action")))))
+
+    arms = {
+        TOPIC_DIRTY: (~good, lambda: F.array(_pair(TOPIC_DIRTY, F.col("value")))),
+        TOPIC_ERR: (good & has_err, lambda: F.array(_pair(TOPIC_ERR, to_text(rec)))),
+        TOPIC_START: (good & has_start, lambda: F.array(_pair(TOPIC_START, to_text(no_err)))),
+        TOPIC_DISPLAY: (good & ~has_start, displays),
+        TOPIC_ACTION: (good & ~has_start, actions),
+        TOPIC_PAGE: (good & ~has_start, lambda: F.array(
+            _pair(TOPIC_PAGE, to_text(drop_keys(rec, "err", "displays", "actions"))))),
+    }
+    empty = F.array().cast("array<struct<topic:string,value:string>>")
+    wanted = [arms[t] for t in topics]
+    if len(wanted) < len(arms):
+        some = wanted[0][0]
+        for cond, _ in wanted[1:]:
+            some = some | cond
+        df = df.filter(some)
+    pairs = F.concat(*[F.when(cond, make()).otherwise(empty) for cond, make in wanted])
     return (df.select("seq", "mid", F.explode(pairs).alias("p"))
               .select(F.col("p.topic").alias("topic"), "seq", "mid",
                       F.col("p.value").alias("value")))
 
 
+def topic_counts(df: DataFrame) -> DataFrame:
+    """``(topic, n)``: how many records each topic gets, without building any."""
+    good = F.col("dirty").isNull()
+    page = good & ~present(F.col("rec"), "start")
+    n = {TOPIC_DIRTY: (~good).cast("int"),
+         TOPIC_ERR: (good & present(F.col("rec"), "err")).cast("int"),
+         TOPIC_START: (good & present(F.col("rec"), "start")).cast("int"),
+         TOPIC_DISPLAY: F.when(page, F.size(_elements("rec", "displays"))).otherwise(0),
+         TOPIC_ACTION: F.when(page, F.size(_elements("rec", "actions"))).otherwise(0),
+         TOPIC_PAGE: page.cast("int")}
+    sums = df.agg(*[F.sum(c).cast("bigint").alias(t) for t, c in n.items()])
+    rows = F.array(*[F.struct(F.lit(t).alias("topic"), F.col(t).alias("n")) for t in n])
+    return sums.select(F.inline(rows)).filter("n > 0")
+
+
 def page_records(df: DataFrame) -> DataFrame:
     """The page topic as a typed frame, without a JSON round trip: good
     lines without ``start``, with ``common``/``page`` as string maps (the

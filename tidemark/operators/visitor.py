@@ -5,8 +5,9 @@ date is the record's own date when ``is_new = '1'``, else the day before.
 Later a record with ``is_new = '1'`` on another date than the anchor gets
 ``is_new = '0'``.
 
-Plan: the anchor is an aggregate per ``mid`` (``min_by`` over (ts, seq), so
-a hot device is reduced map-side before the shuffle) joined back on ``mid``.
+Plan: the anchor is a hash aggregate per ``mid`` (``min_by`` of a day number over
+(ts, seq) packed in one decimal, so a hot device is reduced map-side before
+the shuffle) joined back on ``mid``. Good rows lose their text (``value``).
 The join is planned by AQE from measured sizes (broadcast when the anchor
 table is small, else sort-merge with skewed partitions split), so no device
 is ever sorted in one task. The streaming form is
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.record import set_sub_field
-from tidemark.functions.time import to_date
+from tidemark.functions.time import arrival, to_date
 
 DAY_MS = 24 * 60 * 60 * 1000
 
@@ -30,15 +31,20 @@ def visitor_flag_repair(parsed: DataFrame, zone: str = "UTC") -> DataFrame:
     visit_date = to_date(F.col("ts"), zone)
     candidate = F.when(F.col("is_new") == "1", visit_date).otherwise(
         to_date(F.col("ts") - F.lit(DAY_MS), zone))
+    # Fixed-width buffers (days, one packed decimal) keep this a hash aggregate.
     anchors = (parsed.filter(good)
                .groupBy(F.col("mid").alias("_jk"))
-               .agg(F.min_by(candidate, F.struct("ts", "seq")).alias("anchor")))
-    # Dirty rows need no anchor: give them unique keys that match nothing, so
-    # a flood of unparsable lines (all NULL mid) is spread over every task
-    # instead of hashing to one.
+               .agg(F.min_by(F.unix_date(candidate.cast("date")), arrival("ts", "seq")).alias("_days"))
+               .select("_jk", F.date_from_unix_date("_days").cast("string").alias("anchor")))
+    # Dirty rows need no anchor: keys of their own, which match nothing, spread
+    # a flood of unparsable lines (all NULL mid) over every task. A good row is
+    # its record; only dirty rows keep their text through the join.
     jk = F.when(good, F.col("mid")).otherwise(
-        F.concat(F.lit("\u0000dirty:"), F.col("seq").cast("string")))
-    j = parsed.withColumn("_jk", jk).join(anchors, "_jk", "left").drop("_jk")
+        F.concat(F.lit("\u0000dirty:"), F.monotonically_increasing_id().cast("string")))
+    left = parsed.withColumn("_jk", jk)
+    if "value" in parsed.columns:
+        left = left.withColumn("value", F.when(~good, F.col("value")))
+    j = left.join(anchors, "_jk", "left").drop("_jk")
     changed = good & (F.col("is_new") == "1") & (visit_date != F.col("anchor"))
     keep = [c for c in parsed.columns if c not in ("is_new", "rec")]
     return j.select(

@@ -13,7 +13,7 @@ from tidemark.operators.bounce import user_jump
 from tidemark.operators.dim import config_state, parse_changes, parse_config_changes, route
 from tidemark.operators.keyword import keyword_counts
 from tidemark.operators.parse import parse_log
-from tidemark.operators.split import fan_out, page_records
+from tidemark.operators.split import TOPICS, fan_out, page_records
 from tidemark.operators.unique import unique_visitor
 from tidemark.operators.visitor import visitor_flag_repair
 from tidemark.sources.fixtures import change_log, config_changelog, raw_log
@@ -29,9 +29,9 @@ def repaired_log(spark: SparkSession, sf_dir: str, zone: str = ZONE) -> DataFram
     return visitor_flag_repair(parsed_log(spark, sf_dir), zone)
 
 
-def routed_log(spark: SparkSession, sf_dir: str, zone: str = ZONE) -> DataFrame:
-    """Log split job: ``(topic, seq, mid, value)`` for all six topics."""
-    return fan_out(repaired_log(spark, sf_dir, zone))
+def routed_log(spark: SparkSession, sf_dir: str, zone: str = ZONE, topics=TOPICS) -> DataFrame:
+    """Log split job: ``(topic, seq, mid, value)`` for all six topics, or some."""
+    return fan_out(repaired_log(spark, sf_dir, zone), topics)
 
 
 def page_log(spark: SparkSession, sf_dir: str, repaired: bool = True,
@@ -42,8 +42,8 @@ def page_log(spark: SparkSession, sf_dir: str, repaired: bool = True,
     return page_records(base)
 
 
-def unique_visitors(spark: SparkSession, sf_dir: str, zone: str = ZONE) -> DataFrame:
-    return unique_visitor(page_log(spark, sf_dir, True, zone), zone)
+def unique_visitors(spark: SparkSession, sf_dir: str, zone: str = ZONE, keep=None) -> DataFrame:
+    return unique_visitor(page_log(spark, sf_dir, True, zone), zone, keep)
 
 
 def user_jumps(spark: SparkSession, sf_dir: str, within_ms: int = 10_000,

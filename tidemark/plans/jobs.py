@@ -3,7 +3,8 @@
 Batch runners take a source frame (any ``(value, seq)`` log, e.g. from
 :func:`tidemark.sources.read_log`) and write to folders; the streaming
 starters do the same with ``readStream`` frames and keep their offsets and
-state in a checkpoint under the shared ``spark.checkpoint.dir``.
+state in a checkpoint under the shared ``spark.checkpoint.dir``. Every run has
+a name; runs never replace each other's output (:mod:`tidemark.sinks.runs`).
 """
 
 from __future__ import annotations
@@ -13,8 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.bounce import user_jump
-from tidemark.operators.dim import (config_state, parse_changes, parse_config_changes,
-                                    route, route_rejects, table_ddl)
+from tidemark.operators.dim import config_state, parse_changes, parse_config_changes
 from tidemark.operators.keyword import keyword_counts
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import TOPIC_PAGE, fan_out, page_records
@@ -22,8 +22,9 @@ from tidemark.operators.unique import unique_visitor
 from tidemark.operators.visitor import visitor_flag_repair
 from tidemark.schemas import KEYWORD_BEAN
 from tidemark.session import scratch_path
-from tidemark.sinks.dim import upsert_dim_tables
-from tidemark.sinks.kafka import write_topics_files
+from tidemark.sinks.dim import dim_batch
+from tidemark.sinks.kafka import write_topics, write_topics_files, write_topics_stream
+from tidemark.sinks.runs import run_name
 from tidemark.sinks.table import sink_columns, write_append
 from tidemark.streaming import jobs as sj
 
@@ -33,67 +34,105 @@ TOPIC_USER_JUMP = "dwd_traffic_user_jump_detail"
 TABLE_KEYWORD_WINDOW = "dws_traffic_source_keyword_page_view_window"
 
 
-def log_split(raw: DataFrame, out: str, zone: str = "UTC", run_id: int = 0) -> None:
-    """Parse, repair flags, route; one write feeds every topic folder. A
-    re-run with the same ``run_id`` replaces its own output."""
-    write_topics_files(fan_out(visitor_flag_repair(parse_log(raw), zone)), out, run_id)
+def write_topics_out(routed: DataFrame, out: str, run: str, kafka: dict | None = None) -> None:
+    """One write feeds every topic: the topics of a Kafka cluster when
+    ``kafka`` has its ``servers`` (and producer options), else folders under ``out``."""
+    if kafka:
+        rest = {k: v for k, v in kafka.items() if k != "servers"}
+        write_topics(routed, kafka["servers"], rest)
+    else:
+        write_topics_files(routed, out, run)
 
 
-def unique_visitors(raw: DataFrame, out: str, zone: str = "UTC", run_id: int = 0) -> None:
-    pages = page_records(visitor_flag_repair(parse_log(raw), zone))
-    uv = unique_visitor(pages, zone).select(
-        F.lit(TOPIC_UNIQUE_VISITOR).alias("topic"), "seq", "mid", F.to_json("rec").alias("value"))
-    write_topics_files(uv, out, run_id)
+def _dirty(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("dirty").isNotNull()).select("seq", "value", F.col("dirty").alias("reason"))
 
 
-def user_jumps(raw: DataFrame, out: str, within_ms: int = 10_000, zone: str = "UTC",
-               run_id: int = 0) -> None:
-    pages = page_records(visitor_flag_repair(parse_log(raw), zone))
-    j = user_jump(pages, within_ms).select(
-        F.lit(TOPIC_USER_JUMP).alias("topic"), "seq", "mid", F.to_json("rec").alias("value"))
-    write_topics_files(j, out, run_id)
+def rejects_path(out: str) -> str:
+    """Where a job that cannot route dirty lines to a topic puts them."""
+    return f"{out.rstrip('/')}_rejects"
 
 
-def keyword_window(raw: DataFrame, out: str, duration: str = "10 seconds",
-                   zone: str = "UTC", run_id: int = 0) -> None:
-    pages = page_records(parse_log(raw))
-    res = sink_columns(keyword_counts(pages, duration, zone), KEYWORD_BEAN.fieldNames())
-    write_append(res, out, batch_id=run_id)
+def log_split(raw: DataFrame, out: str, run: str, zone: str = "UTC", kafka: dict | None = None) -> None:
+    """Parse, repair flags, route (dirty lines have their topic)."""
+    write_topics_out(fan_out(visitor_flag_repair(parse_log(raw), zone)), out, run_name(run), kafka)
 
 
-def dim(changes_raw: DataFrame, config_raw: DataFrame, out: str, batch_id: int = 0,
-        rejects_out: str | None = None) -> DataFrame:
-    """Route one batch of changes with the current config and upsert it
-    (rejected changes to ``rejects_out`` when given); returns the
-    create-if-missing DDL of the configured tables."""
+def unique_visitors(raw: DataFrame, out: str, run: str, zone: str = "UTC", kafka: dict | None = None) -> None:
+    parsed = parse_log(raw)
+    pages = page_records(visitor_flag_repair(parsed, zone))
+    uv = unique_visitor(pages, zone, keep=("seq", "rec")).select(
+        F.lit(TOPIC_UNIQUE_VISITOR).alias("topic"), "seq", "mid", F.to_json("rec").alias("value"))
+    write_topics_out(uv, out, run_name(run), kafka)
+    write_append(_dirty(parsed), rejects_path(out), run=run)
+
+
+def user_jumps(raw: DataFrame, out: str, run: str, within_ms: int = 10_000, zone: str = "UTC",
+               kafka: dict | None = None) -> None:
+    parsed = parse_log(raw)
+    pages = page_records(visitor_flag_repair(parsed, zone)).select("mid", "ts", "seq", "page", "rec")
+    j = user_jump(pages, within_ms).select(
+        F.lit(TOPIC_USER_JUMP).alias("topic"), "seq", "mid", F.to_json("rec").alias("value"))
+    write_topics_out(j, out, run_name(run), kafka)
+    write_append(_dirty(parsed), rejects_path(out), run=run)
+
+
+def keyword_window(raw: DataFrame, out: str, run: str, duration: str = "10 seconds",
+                   zone: str = "UTC", jdbc: dict | None = None) -> None:
+    """Keyword counts into a file table, or appended to a database table when
+    ``jdbc`` has its ``url`` and ``dbtable``."""
+    parsed = parse_log(raw)
+    res = sink_columns(keyword_counts(page_records(parsed), duration, zone), KEYWORD_BEAN.fieldNames())
+    if jdbc:
+        write_append(res, out, "jdbc", jdbc)
+    else:
+        write_append(res, out, run=run_name(run))
+    write_append(_dirty(parsed), rejects_path(out), run=run)
+
+
+def dim(changes_raw: DataFrame, config_raw: DataFrame, out: str, run: str, run_no: int = 0) -> list[str]:
+    """Fold one batch of changes into the dimension tables of the current
+    config (created if missing); changes that cannot be routed, and config rows that
+    cannot be used, go to the rejects. Returns the tables."""
     state = config_state(parse_config_changes(config_raw))
-    changes = parse_changes(changes_raw)
-    upsert_dim_tables(route(changes, state), out, batch_id)
-    if rejects_out:
-        write_append(route_rejects(changes, state), rejects_out, batch_id=batch_id)
-    return table_ddl(state)
+    return dim_batch(parse_changes(changes_raw), state, out, run_name(run), run_no)
 
 
 # --- streaming ---------------------------------------------------------------
 
-def _files_sink(df: DataFrame, out: str, checkpoint: str, trigger: dict | None):
+def _files_sink(df: DataFrame, out: str, run: str, checkpoint: str, trigger: dict | None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_topics_files(batch, out, batch_id)
+        write_topics_files(batch, out, run_name(run, batch_id))
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(**trigger) if trigger else w).start()
 
 
-def start_log_split(spark: SparkSession, raw_stream: DataFrame, out: str,
-                    zone: str = "UTC", trigger: dict | None = None):
-    return _files_sink(sj.log_split_stream(raw_stream, zone), out,
-                       scratch_path(spark, "ckpt/log_split"), trigger)
+def _topics_sink(df: DataFrame, out: str, run: str, checkpoint: str, trigger: dict | None, kafka: dict | None):
+    if kafka:
+        rest = {k: v for k, v in kafka.items() if k != "servers"}
+        return write_topics_stream(df, kafka["servers"], checkpoint, rest, trigger)
+    return _files_sink(df, out, run, checkpoint, trigger)
+
+
+def _checkpoint(spark: SparkSession, job: str, run: str) -> str:
+    """A run's checkpoint: its batch ids go on where they were, and another
+    run has another checkpoint and other partitions."""
+    return scratch_path(spark, f"ckpt/{job}/{run_name(run)}")
+
 
+def start_log_split(spark: SparkSession, raw_stream: DataFrame, out: str, run: str,
+                    zone: str = "UTC", trigger: dict | None = None, kafka: dict | None = None):
+    return _topics_sink(sj.log_split_stream(raw_stream, zone), out, run,
+                        _checkpoint(spark, "log_split", run), trigger, kafka)
 
-def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out: str,
-                         zone: str = "UTC", trigger: dict | None = None):
+
+def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out: str, run: str,
+                         zone: str = "UTC", trigger: dict | None = None, kafka: dict | None = None,
+                         jdbc: dict | None = None):
     """Unique visitors, bounces and keyword windows off the page topic; each
-    query writes its own folder ``out/<topic or table>`` (no two queries
-    commit into one folder)."""
+    query writes its own topic or folder ``out/<topic or table>`` (no two
+    queries commit into one folder). Lines that are no page records go to
+    ``out/rejects``."""
     pages = sj.page_log_from_topic(page_topic_stream)
     uv = sj.unique_visitor_stream(pages, zone).select(
         F.lit(TOPIC_UNIQUE_VISITOR).alias("topic"), "seq", "mid", "value")
@@ -102,25 +141,35 @@ def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out:
     kw = sink_columns(sj.keyword_window_stream(pages, zone=zone), KEYWORD_BEAN.fieldNames())
 
     def append_kw(batch: DataFrame, batch_id: int) -> None:
-        write_append(batch, os.path.join(out, TABLE_KEYWORD_WINDOW), batch_id=batch_id)
+        if jdbc:
+            write_append(batch, out, "jdbc", jdbc)
+        else:
+            write_append(batch, os.path.join(out, TABLE_KEYWORD_WINDOW), run=run_name(run, batch_id))
+
+    def append_rejects(batch: DataFrame, batch_id: int) -> None:
+        write_append(batch, os.path.join(out, "rejects"), run=run_name(run, batch_id))
+
+    rejects = (sj.page_rejects_from_topic(page_topic_stream).writeStream.foreachBatch(append_rejects)
+               .option("checkpointLocation", _checkpoint(spark, "page_rejects", run)))
     return [
-        _files_sink(uv, os.path.join(out, TOPIC_UNIQUE_VISITOR),
-                    scratch_path(spark, "ckpt/unique_visitor"), trigger),
-        _files_sink(uj, os.path.join(out, TOPIC_USER_JUMP),
-                    scratch_path(spark, "ckpt/user_jump"), trigger),
+        _topics_sink(uv, os.path.join(out, TOPIC_UNIQUE_VISITOR), run,
+                     _checkpoint(spark, "unique_visitor", run), trigger, kafka),
+        _topics_sink(uj, os.path.join(out, TOPIC_USER_JUMP), run,
+                     _checkpoint(spark, "user_jump", run), trigger, kafka),
         (kw.writeStream.foreachBatch(append_kw)
-           .option("checkpointLocation", scratch_path(spark, "ckpt/keyword_window"))
+           .option("checkpointLocation", _checkpoint(spark, "keyword_window", run))
            .trigger(**(trigger or {"processingTime": "10 seconds"})).start()),
+        (rejects.trigger(**trigger) if trigger else rejects).start(),
     ]
 
 
-def start_dim(spark: SparkSession, changes_stream: DataFrame, config_loader, out: str,
+def start_dim(spark: SparkSession, changes_stream: DataFrame, config_loader, out: str, run: str,
               trigger: dict | None = None):
     """``config_loader`` returns the config changelog ``(value, seq)``; it
     is called for every micro-batch."""
     loader = lambda: parse_config_changes(config_loader())
-    w = (changes_stream.writeStream.foreachBatch(sj.dim_batch_writer(loader, out))
-         .option("checkpointLocation", scratch_path(spark, "ckpt/dim")))
+    w = (changes_stream.writeStream.foreachBatch(sj.dim_batch_writer(loader, out, run))
+         .option("checkpointLocation", _checkpoint(spark, "dim", run)))
     return (w.trigger(**trigger) if trigger else w).start()
 
 

@@ -16,7 +16,7 @@ from tidemark.operators import keyword as kw
 from tidemark.operators.dic import code_dictionary, dic_lookup, status_code
 from tidemark.operators.dim import filter_bootstrap, key_value, latest_per_key
 from tidemark.operators.split import (TOPIC_ACTION, TOPIC_DISPLAY, TOPIC_ERR,
-                                      TOPIC_PAGE, TOPIC_START)
+                                      TOPIC_PAGE, TOPIC_START, topic_counts)
 from tidemark.plans import flows as pl
 from tidemark.schemas import KEYWORD_BEAN
 from tidemark.sinks.kafka import to_keyed_messages
@@ -63,7 +63,7 @@ _COMMON = "common struct<mid:string,is_new:string>"
 
 def _topic(spark, sf_dir, topic, schema) -> DataFrame:
     """Records of one topic, read back from their JSON text."""
-    r = pl.routed_log(spark, sf_dir).filter(F.col("topic") == topic)
+    r = pl.routed_log(spark, sf_dir, topics=(topic,))
     return r.select("seq", F.from_json("value", schema).alias("r")).select("seq", "r.*")
 
 
@@ -126,12 +126,11 @@ def q_split_action(spark, sf_dir):
 
 
 def q_topic_counts(spark, sf_dir):
-    return (pl.routed_log(spark, sf_dir).groupBy("topic")
-              .agg(F.count(F.lit(1)).alias("n")))
+    return topic_counts(pl.parsed_log(spark, sf_dir))
 
 
 def q_unique_visitor(spark, sf_dir):
-    return pl.unique_visitors(spark, sf_dir).select("seq", "mid", "is_new", "ts", "visit_date")
+    return pl.unique_visitors(spark, sf_dir, keep=("seq", "is_new", "ts")).select("seq", "mid", "is_new", "ts", "visit_date")
 
 
 def _jump(within_ms):

@@ -1,59 +1,106 @@
-"""K3/K4: dimension tables as log-structured parquet tables.
+"""K3/K4: dimension tables with their configured columns.
 
-Without a table format that offers MERGE, an upsert is an append of the
-batch's latest row per key into a ``batch_id`` partition (overwritten when a
-batch is replayed, so retries are idempotent); reading a table takes the
-latest row per key across batches (:func:`read_dim_table`). With Delta or
-Iceberg on the classpath a ``MERGE INTO`` on the same frame replaces both.
+``<root>/<sink table>`` is the current snapshot of one table: a text column
+for every configured column, ``row_key``, and the position and type of the
+change a row comes from. A batch folds its latest change per key into the
+buckets that it touches; other buckets are not read or written. Of two changes
+of a key the later one wins by source time, then (where the source has no
+times) by run order, then by partition and offset, whatever batch they come
+in; so a replayed batch changes nothing. With a table format that offers MERGE,
+a ``MERGE INTO`` on the same frame replaces the bucket rewrite.
+
+K3 keeps deletes as rows of type ``delete`` (Q1); readers may apply them.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.dim import (config_rejects, extend_rejects, latest_per_key, route,
+                                    route_rejects)
+from tidemark.sinks.runs import write_run
+
+BUCKETS = 64
+POSITION = "src_ts bigint, run_no bigint, part int, seq bigint"
+
 
-from tidemark.operators.dim import latest_per_key
+def dim_path(root: str, sink_table: str) -> str:
+    return f"{root.rstrip('/')}/{sink_table}"
 
 
-def upsert_dim_tables(routed: DataFrame, root: str, batch_id: int) -> None:
-    """Write one batch of routed changes into every sink table at once: the
-    sink table is a partition column, so there is one job and no loop.
-    Deletes are stored like upserts; readers choose (Q1)."""
-    latest = latest_per_key(routed, apply_deletes=False)
-    out = latest.select(
-        "sink_table", "row_key", "seq", "type",
-        F.to_json("data").alias("data"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("sink_table", "batch_id").parquet(root))
+def _schema(columns: list[str]) -> T.StructType:
+    at = T.StructType.fromDDL(POSITION)
+    s = T.StructType().add("row_key", "string")
+    for c in columns:
+        s = s.add(c, "string")
+    return s.add("change_type", "string").add("at", at).add("bucket", T.IntegerType())
 
 
-def read_dim_table(spark: SparkSession, root: str, sink_table: str | None = None,
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _read(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    schema = _schema(columns)
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def upsert_dim_tables(routed: DataFrame, state: DataFrame, root: str, run_no: int = 0) -> list[str]:
+    """Folds one batch of routed changes into the snapshots; creates those
+    that are missing. The driver loops over config rows (one per table), never
+    over data."""
+    spark = routed.sparkSession
+    latest = latest_per_key(routed, apply_deletes=False, run_no=run_no)
+    text = lambda c: F.coalesce(F.try_variant_get(F.col("data")[c], "$", "string"),
+                                F.to_json(F.col("data")[c]))
+    done = []
+    for row in state.filter("valid").orderBy("sink_table", "source_table").toLocalIterator():
+        columns = list(dict.fromkeys(c for c in row["sink_columns"].split(",") if c))
+        path = dim_path(root, row["sink_table"])
+        new = latest.filter((F.col("sink_table") == row["sink_table"]) & F.col("row_key").isNotNull()).select(
+            "row_key", *[text(c).alias(c) for c in columns], F.col("type").alias("change_type"), "at",
+            F.pmod(F.hash("row_key"), F.lit(BUCKETS)).alias("bucket"))
+        if not _exists(spark, path):
+            new.write.partitionBy("bucket").parquet(path)
+        else:
+            touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # BUCKETS at most
+            if touched:
+                old = _read(spark, path, columns).filter(F.col("bucket").isin(touched))
+                both = old.unionByName(new)
+                last = both.groupBy("row_key").agg(F.max_by(F.struct(*both.columns), "at").alias("l")).select("l.*")
+                (last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                     .partitionBy("bucket").parquet(path))
+        done.append(row["sink_table"])
+    return done
+
+
+def dim_batch(changes: DataFrame, state: DataFrame, root: str, run: str, run_no: int = 0) -> list[str]:
+    """One batch of parsed changes: the tables, and the rejects of ``run``."""
+    rejects = f"{root.rstrip('/')}_rejects"
+    done = upsert_dim_tables(route(changes, state), state, root, run_no)
+    write_run(route_rejects(changes, state), f"{rejects}/changes", run)
+    bad = config_rejects(state).withColumn("reason", F.lit("key not among the columns")).unionByName(
+        extend_rejects(state).withColumn("reason", F.lit("clause left out")))
+    write_run(bad, f"{rejects}/config", run)
+    return done
+
+
+def read_dim_table(spark: SparkSession, root: str, sink_table: str, columns: list[str],
                    apply_deletes: bool = False) -> DataFrame:
-    """Current rows: latest change per (sink table, key) over all batches.
-    ``seq`` (the source offset) is the arrival order; the batch id only
-    breaks ties, so a replayed or reordered batch cannot win with old data."""
-    df = spark.read.parquet(root)
-    if sink_table:
-        df = df.filter(F.col("sink_table") == sink_table)
-    last = (df.groupBy("sink_table", "row_key")
-              .agg(F.max_by(F.struct("batch_id", "seq", "type", "data"),
-                            F.struct("seq", "batch_id")).alias("l")))
-    out = last.select("sink_table", "row_key", "l.*")
+    """The configured columns of a dimension table, one row per key."""
+    df = _read(spark, dim_path(root, sink_table), columns)
     if apply_deletes:
-        out = out.filter(F.col("type").isNull() | (F.col("type") != "delete"))
-    return out
+        df = df.filter(F.col("change_type").isNull() | (F.col("change_type") != "delete"))
+    return df.select("row_key", *columns)
 
 
 def ensure_dim_tables(spark: SparkSession, ddl: DataFrame) -> list[str]:
-    """K4: run the create-if-missing DDL of each configured sink table. The
-    driver loops over config rows (one per table), never over data."""
+    """K4: run the create-if-missing DDL of each configured sink table (for a
+    catalog). The driver loops over config rows, never over data."""
     done = []
     for row in ddl.toLocalIterator():
         spark.sql(row["ddl"])
         done.append(row["sink_table"])
     return done
-
-
-def dim_root(base: str) -> str:
-    return os.path.join(base, "dim")

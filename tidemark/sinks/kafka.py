@@ -2,7 +2,7 @@
 
 K1: the routed frame already has a ``topic`` column, so one writer feeds
 every topic. Spark's Kafka sink is at-least-once; exactly-once output goes
-through :func:`write_topics_files` (idempotent per batch id) instead.
+through :func:`write_topics_files` (each run's files are written once) instead.
 K2: keyed messages — JSON key and JSON value, a null value meaning delete.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.sinks.runs import write_run
+
 
 def kafka_frame(routed: DataFrame, key_col: str | None = "mid") -> DataFrame:
     """``(topic, key, value)`` as the Kafka sink expects (key = device id, so
@@ -34,15 +36,12 @@ def write_topics_stream(routed: DataFrame, servers: str, checkpoint: str,
     return w.start()
 
 
-def write_topics_files(routed: DataFrame, path: str, batch_id: int = 0) -> None:
-    """Topic outputs as a parquet table partitioned by ``topic`` and
-    ``batch_id`` (the micro-batch id in streaming, a run id in batch). Each
-    (topic, batch) partition is overwritten, so a replay or a re-run after a
-    failure writes the same files once. ``path/topic=<name>`` is one topic's
-    folder, usable as a file stream source."""
-    (routed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("topic", "batch_id").parquet(path))
+def write_topics_files(routed: DataFrame, path: str, run: str) -> None:
+    """Topic outputs as a parquet table partitioned by ``topic`` and ``run``.
+    A repeated run replaces its own files in every topic (see
+    :mod:`tidemark.sinks.runs`). ``path/topic=<name>`` is one topic's folder,
+    usable as a file stream source."""
+    write_run(routed, path, run, ("topic",))
 
 
 def to_keyed_messages(df: DataFrame, key_cols: list[str],

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+
+from tidemark.sinks.runs import write_run
 
 
 def sink_columns(df: DataFrame, declared: list[str], transient: tuple[str, ...] = ()) -> DataFrame:
@@ -12,24 +14,28 @@ def sink_columns(df: DataFrame, declared: list[str], transient: tuple[str, ...]
 
 
 def write_append(df: DataFrame, target: str, fmt: str = "parquet",
-                 options: dict | None = None, batch_id: int | None = None) -> None:
+                 options: dict | None = None, run: str | None = None) -> None:
     """K5: append rows to a table (``fmt='jdbc'`` with url/dbtable/batchsize
     options for a database table, else a file table at ``target``).
 
-    With ``batch_id`` a file table gets the rows under that partition, which
-    is overwritten when the same batch is written again (a streaming replay
-    or a re-run), so each batch lands once. A JDBC append cannot be undone
-    this way; give the table a key and let the database deduplicate.
+    With ``run`` a file table gets the rows under that partition, replaced
+    when the same run is repeated, so each run lands once. A JDBC append cannot
+    be undone this way; give the table a key and let the database deduplicate.
     """
     if fmt == "jdbc":
-        df.write.mode("append").options(**(options or {})).format("jdbc").save()
-        return
-    if batch_id is None:
+        jdbc_writer(df, options or {}).save()
+    elif run is None:
         df.write.mode("append").options(**(options or {})).format(fmt).save(target)
-        return
-    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .options(**(options or {})).partitionBy("batch_id").format(fmt).save(target))
+    else:
+        write_run(df, target, run, fmt=fmt, options=options)
+
+
+def jdbc_writer(df: DataFrame, options: dict):
+    """The append writer of a database table; ``url`` and ``dbtable`` are needed."""
+    for name in ("url", "dbtable"):
+        if name not in options:
+            raise ValueError(f"a jdbc output needs the option {name}")
+    return df.write.mode("append").format("jdbc").options(**options)
 
 
 def console(df: DataFrame, n: int = 20) -> None:

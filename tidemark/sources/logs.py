@@ -1,7 +1,9 @@
 """Log sources.
 
 A log source yields ``value STRING`` (the JSON text) and ``seq BIGINT`` (its
-arrival position: the Kafka offset, or a column of a file source). A null
+arrival position: the Kafka offset, or a column of a file source). Kafka also
+gives ``src_ts`` (the record's time, ms) and ``part`` (its partition), since
+offsets of different partitions have no order. A null
 Kafka payload becomes a null ``value`` rather than an error, as in the
 reference's deserializer.
 """
@@ -15,7 +17,8 @@ from tidemark.schemas import RAW_LOG
 
 def _from_kafka(df: DataFrame) -> DataFrame:
     return df.select(F.col("value").cast("string").alias("value"),
-                     F.col("offset").cast("bigint").alias("seq"))
+                     F.col("offset").cast("bigint").alias("seq"),
+                     F.unix_millis("timestamp").alias("src_ts"), F.col("partition").cast("int").alias("part"))
 
 
 def read_log(spark: SparkSession, source: str, path_or_topic: str,

@@ -2,8 +2,8 @@
 
 Sources are streaming frames of ``(value, seq)`` (Kafka, or files in
 tests); the operators are the batch ones wherever Spark allows them on a
-stream, and the processors of :mod:`tidemark.streaming.processors` where a
-per-device order is needed (no ``lead``/``lag`` on streams).
+stream. Visits and bounces are streaming aggregates; flag repair, whose state has
+no end, is a keyed processor (:mod:`tidemark.streaming.processors`).
 """
 
 from __future__ import annotations
@@ -11,21 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.record import parse_record, set_sub_field
-from tidemark.functions.time import rowtime_instant
-from tidemark.operators.dim import config_state, parse_changes, route, route_rejects
+from tidemark.functions.text import is_empty
+from tidemark.functions.time import arrival, rowtime_instant, to_date
+from tidemark.operators.dim import config_state, parse_changes
 from tidemark.operators.keyword import keyword_counts
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import TOPIC_DIRTY, fan_out
 from tidemark.schemas import PAGE_LOG_DDL
-from tidemark.streaming.processors import (BOUNCE_OUT, UNIQUE_OUT, VISITOR_OUT,
-                                           BounceProcessor, UniqueVisitorProcessor,
-                                           VisitorFlagProcessor)
-from tidemark.sinks.dim import upsert_dim_tables
+from tidemark.streaming.processors import VISITOR_OUT, VisitorFlagProcessor
+from tidemark.sinks.dim import dim_batch
+from tidemark.sinks.runs import run_name
 
 
 def log_split_stream(raw: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Log split job: ``(topic, seq, mid, value)`` for all six topics, from
-    one source read. Dirty lines bypass the keyed state."""
+    """Log split job: ``(topic, seq, mid, value)`` for all six topics. Dirty
+    lines bypass the keyed state, in a branch of their own (so the source is read
+    twice per micro-batch)."""
     parsed = parse_log(raw)
     good = (parsed.filter(F.col("dirty").isNull())
                   .select("mid", "seq", "ts", "is_new", "value"))
@@ -41,38 +42,83 @@ def log_split_stream(raw: DataFrame, zone: str = "UTC") -> DataFrame:
     return fan_out(repaired).unionByName(dirty)
 
 
-def page_log_from_topic(topic_stream: DataFrame) -> DataFrame:
-    """The page topic read back with the declared page-log schema."""
+def _topic_records(topic_stream: DataFrame) -> DataFrame:
     p = topic_stream.select("seq", "value", F.from_json("value", PAGE_LOG_DDL).alias("p"))
     return p.select("seq", "value", "p.common", "p.page", "p.ts",
-                    F.col("p.common")["mid"].alias("mid"))
-
-
-def _evt(df: DataFrame, delay: str) -> DataFrame:
-    return (df.withColumn("evt", F.timestamp_millis(F.col("ts")))
-              .withWatermark("evt", delay))
+                    F.try_element_at("p.common", F.lit("mid")).alias("mid"))
 
 
-def unique_visitor_stream(page_stream: DataFrame, zone: str = "UTC",
-                          delay: str = "1 day") -> DataFrame:
-    """T2 on a stream: exact first visit start per (device, date) in event
-    order; per-device state is one date, cleared by an event-time timer."""
-    src = _evt(page_stream, delay).select(
-        "mid", "seq", "ts", F.try_element_at("page", F.lit("last_page_id")).alias("last_page_id"),
-        "value", "evt")
-    return src.groupBy("mid").transformWithStateInPandas(
-        UniqueVisitorProcessor(zone), UNIQUE_OUT, "Append", "EventTime")
-
-
-def user_jump_stream(page_stream: DataFrame, within_ms: int = 10_000,
-                     delay: str = "0 seconds") -> DataFrame:
-    """T3 on a stream: event-time timers replace the pattern timeout; the
-    zero delay matches the reference's monotonous watermark."""
-    src = _evt(page_stream, delay).select(
-        "mid", "seq", "ts", F.try_element_at("page", F.lit("last_page_id")).alias("last_page_id"),
-        "value", "evt")
-    return src.groupBy("mid").transformWithStateInPandas(
-        BounceProcessor(within_ms), BOUNCE_OUT, "Append", "EventTime")
+def page_log_from_topic(topic_stream: DataFrame) -> DataFrame:
+    """The page topic read back with the declared page-log schema: the
+    lines that have a device and a time (others: :func:`page_rejects_from_topic`)."""
+    return _topic_records(topic_stream).filter(F.col("mid").isNotNull() & F.col("ts").isNotNull())
+
+
+def page_rejects_from_topic(topic_stream: DataFrame) -> DataFrame:
+    """``(seq, value, reason)`` of the lines that are no page records."""
+    r = _topic_records(topic_stream)
+    reason = F.when(F.col("mid").isNull(), "no_mid").when(F.col("ts").isNull(), "no_ts")
+    return r.filter(reason.isNotNull()).select("seq", "value", reason.alias("reason"))
+
+
+def unique_visitor_stream(page_stream: DataFrame, zone: str = "UTC", delay: str = "1 day",
+                          early: bool = False) -> DataFrame:
+    """T2 on a stream: ``(mid, seq, ts, visit_date, value)``, one row per
+    (device, date).
+
+    The default equals the batch form for rows up to ``delay`` late: the first
+    visit start by (ts, seq), emitted when the watermark passes the end of its day.
+    A streaming hash of one row per device and day, combined before the shuffle.
+    ``early`` emits at once instead, the first start to *arrive* (the reference's
+    moment; later arrivals of the day within ``delay`` are dropped).
+    """
+    lp = F.try_element_at(F.col("page"), F.lit("last_page_id"))
+    src = page_stream.select(
+        "mid", "seq", "ts", "value", lp.alias("last_page_id"), to_date(F.col("ts"), zone).alias("visit_date"),
+        rowtime_instant(F.col("ts"), zone).alias("evt")).withWatermark("evt", delay)
+    # every row moves the watermark: the filter stays above it
+    row = F.struct("mid", "seq", "ts", "value", "last_page_id", "visit_date")
+    starts = src.select("evt", F.inline(F.array(row))).filter(F.col("last_page_id").isNull())
+    if early:
+        return (starts.dropDuplicatesWithinWatermark(["mid", "visit_date"])
+                      .select("mid", "seq", "ts", "visit_date", "value"))
+    first = starts.groupBy(F.window("evt", "1 day"), "mid", "visit_date").agg(
+        F.min_by(F.struct("seq", "ts", "value"), arrival("ts", "seq")).alias("r"))
+    return first.select("mid", "r.seq", "r.ts", "visit_date", "r.value")
+
+
+def user_jump_stream(page_stream: DataFrame, within_ms: int = 10_000, delay_ms: int = 0,
+                     bucket_factor: int = 4) -> DataFrame:
+    """T3 on a stream: ``(mid, seq, ts, last_page_id, value)``, equal to the
+    batch form for rows up to ``delay_ms`` late (0: the reference's monotonous
+    watermark).
+
+    As in the batch form, rows belong to (device, time bucket), and those in the
+    first ``within_ms`` of a bucket also to the bucket before. Such a group is
+    complete once nothing below its end plus ``within_ms`` can arrive, hence the
+    watermark's delay; then the rule is applied to its rows in (ts, seq) order. State
+    is the open buckets' rows, with payload for visit starts only, and is freed
+    with the bucket. A hot device is spread over its buckets.
+    """
+    width = int(within_ms) * int(bucket_factor)
+    lp = F.try_element_at(F.col("page"), F.lit("last_page_id"))
+    b = F.floor(F.col("ts") / F.lit(width)).cast("bigint")
+    x = page_stream.select("mid", "seq", "ts", "value", lp.alias("last_page_id"), is_empty(lp).alias("empty"),
+                           b.alias("b"))
+    x = x.select("*", F.explode(F.when(F.col("ts") - F.col("b") * width < within_ms,
+                                       F.array(F.col("b"), F.col("b") - 1)).otherwise(F.array("b"))).alias("bucket"))
+    x = x.withColumn("evt", F.timestamp_millis(F.col("bucket") * width)).withWatermark(
+        "evt", f"{int(delay_ms) + int(within_ms)} milliseconds")
+    emits = F.col("empty") & (F.col("bucket") == F.col("b"))
+    row = F.struct("ts", "seq", "empty", emits.alias("emits"), F.when(emits, F.col("last_page_id")).alias("last_page_id"),
+                   F.when(emits, F.col("value")).alias("value"))
+    g = x.groupBy(F.window("evt", f"{width} milliseconds"), "mid").agg(F.collect_list(row).alias("rows"))
+    g = g.select("mid", F.array_sort("rows", lambda p, q: F.when(p["ts"] < q["ts"], -1).when(p["ts"] > q["ts"], 1)
+                                     .when(p["seq"] < q["seq"], -1).when(p["seq"] > q["seq"], 1).otherwise(0)).alias("rows"))
+    nxt = lambda i: F.get("rows", i + 1)
+    out = F.filter("rows", lambda r, i: r["emits"] & (
+        nxt(i).isNull() | (nxt(i)["ts"] - r["ts"] >= within_ms) | nxt(i)["empty"]))
+    return g.select("mid", F.explode(out).alias("r")).select("mid", "r.seq", "r.ts", "r.last_page_id", "r.value")
 
 
 def keyword_window_stream(page_stream: DataFrame, duration: str = "10 seconds",
@@ -90,18 +136,10 @@ def keyword_window_stream(page_stream: DataFrame, duration: str = "10 seconds",
     return keyword_counts(df, duration, zone, with_ts)
 
 
-def dim_batch_writer(config_loader, root: str, rejects_root: str | None = None):
+def dim_batch_writer(config_loader, root: str, run: str):
     """``foreachBatch`` body of the DIM job: the config is re-read for every
-    micro-batch (so config changes apply from the next batch on), changes are
-    routed and pruned, and each sink table gets its latest row per key,
-    written idempotently under the batch id. Rejected changes (Q2) go to
-    ``rejects_root`` when given."""
+    micro-batch (so config changes apply from the next batch on), and the changes are
+    folded into the tables; a replayed batch changes nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        state = config_state(config_loader())
-        changes = parse_changes(batch)
-        upsert_dim_tables(route(changes, state), root, batch_id)
-        if rejects_root:
-            (route_rejects(changes, state).withColumn("batch_id", F.lit(batch_id))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(rejects_root))
+        dim_batch(parse_changes(batch), config_state(config_loader()), root, run_name(run, batch_id), batch_id)
     return write

@@ -1,19 +1,16 @@
-"""Stateful processors for the streaming forms of T1-T3.
-
-Streaming DataFrames allow no ``lead``/``lag``, so the per-device rules run
-in ``groupBy("mid").transformWithStateInPandas(...)`` with RocksDB-backed
-state. Rows arrive as Arrow batches turned into pandas frames, and each rule
-is a few vectorised column operations on one device's rows of one
-micro-batch (sorted by ts, seq) — no per-row Python. State is O(1) per
-device.
+"""The stateful processor of streaming T1 (flag repair).
+
+A device's anchor date is kept for ever, so it lives in RocksDB-backed state
+(``groupBy("mid").transformWithStateInPandas``): one short string per device.
+Rows arrive as Arrow batches; once the anchor is known they pass through one by
+one, with vectorised column operations.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
-import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -35,15 +32,6 @@ def _dates(ms: pd.Series, tz) -> pd.Series:
     return t.dt.strftime("%Y-%m-%d").reset_index(drop=True)
 
 
-def _frame(rows) -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
-
-
-def _empty(lp: pd.Series) -> pd.Series:
-    return lp.isna() | (lp == "")
-
-
 # Input columns: mid, seq, ts, is_new, value.
 VISITOR_OUT = "mid string, seq bigint, ts bigint, is_new_in string, is_new string, value string"
 
@@ -61,134 +49,27 @@ class VisitorFlagProcessor(StatefulProcessor):
         self.anchor = handle.getValueState("anchor", "anchor string")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _frame(rows)
-        if pdf.empty:
-            return
-        d = _dates(pdf["ts"], self.tz)
-        if self.anchor.exists():
-            anchor = self.anchor.get()[0]
-        else:
-            first_new = pdf["is_new"].iloc[0] == "1"
-            anchor = d.iloc[0] if first_new else _date(int(pdf["ts"].iloc[0]) - DAY_MS, self.tz)
-            self.anchor.update((anchor,))
-        changed = (pdf["is_new"] == "1") & (d != anchor)
-        yield pd.DataFrame({
-            "mid": key[0], "seq": pdf["seq"], "ts": pdf["ts"], "is_new_in": pdf["is_new"],
-            "is_new": pdf["is_new"].where(~changed, "0"), "value": pdf["value"]})
-
-    def close(self):
-        pass
-
-
-# Input columns: mid, seq, ts, last_page_id, value.
-UNIQUE_OUT = "mid string, seq bigint, ts bigint, visit_date string, value string"
-
-
-class UniqueVisitorProcessor(StatefulProcessor):
-    """Among visit starts (null ``last_page_id``), keep a record when the
-    device's last kept date is unset or differs. A record not kept has the
-    last kept date, so "differs from the previous start's date" is the same
-    rule, vectorised. The date is forgotten one day after it ends (event-time
-    timer; the reference uses a 1-day TTL)."""
-
-    def __init__(self, zone: str = "UTC"):
-        self.zone = zone
-
-    def init(self, handle):
-        self.tz = _zone(self.zone)
-        self.handle = handle
-        self.last = handle.getValueState("last_date", "d string")
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _frame(rows)
-        starts = pdf[pdf["last_page_id"].isna()].reset_index(drop=True)
-        if starts.empty:
-            return
-        d = _dates(starts["ts"], self.tz)
-        stored = self.last.get()[0] if self.last.exists() else None
-        prev = d.shift(1)
-        prev.iloc[0] = stored
-        keep = prev.isna() | (d != prev)
-        last = d.iloc[-1]
-        if last != stored:  # state and its expiry timer move only with the date
-            self.last.update((last,))
-            for t in self.handle.listTimers():
-                self.handle.deleteTimer(t)
-            day = datetime.strptime(last, "%Y-%m-%d").replace(tzinfo=self.tz)
-            self.handle.registerTimer(int((day + timedelta(days=2)).timestamp() * 1000))
-        if not keep.any():
-            return
-        kept = starts[keep.to_numpy()]
-        yield pd.DataFrame({"mid": key[0], "seq": kept["seq"], "ts": kept["ts"],
-                            "visit_date": d[keep].to_numpy(), "value": kept["value"]})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.last.clear()
-        return iter([])
-
-    def close(self):
-        pass
-
-
-# Input columns: mid, seq, ts, last_page_id, value.
-BOUNCE_OUT = "mid string, seq bigint, ts bigint, last_page_id string, value string"
-_LAST = "seq bigint, ts bigint, last_page_id string, empty boolean, value string"
-
-
-class BounceProcessor(StatefulProcessor):
-    """A visit start is emitted when the device's next record is not
-    within ``within_ms`` (event-time timer) or is itself a visit start; it is
-    dropped when the next record continues the visit. State: the device's
-    last record (``empty`` is cleared once it has been emitted by timeout).
-    Rows older than that record are late and skipped, as a pattern matcher
-    with a zero-delay watermark drops them."""
-
-    def __init__(self, within_ms: int = 10_000):
-        self.within_ms = within_ms
-
-    def init(self, handle):
-        self.handle = handle
-        self.last = handle.getValueState("last", _LAST)
-
-    def _out(self, key, df):
-        return pd.DataFrame({"mid": key[0], "seq": df["seq"], "ts": df["ts"],
-                             "last_page_id": df["last_page_id"], "value": df["value"]})
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _frame(rows)
-        prev = self.last.get() if self.last.exists() else None
-        if prev is not None:
-            pdf = pdf[pdf["ts"] >= prev[1]]
-        if pdf.empty:
-            return
-        cur = pd.DataFrame({"seq": pdf["seq"], "ts": pdf["ts"],
-                            "last_page_id": pdf["last_page_id"],
-                            "empty": _empty(pdf["last_page_id"]), "value": pdf["value"]})
-        if prev is not None:
-            if prev[3]:
-                self.handle.deleteTimer(prev[1] + self.within_ms)
-            head = pd.DataFrame([prev], columns=["seq", "ts", "last_page_id", "empty", "value"])
-            cur = pd.concat([head, cur], ignore_index=True)
-        cur = cur.reset_index(drop=True)
-        ts = cur["ts"].to_numpy(dtype=np.int64)
-        empty = cur["empty"].to_numpy(dtype=bool)
-        hit = empty[:-1] & ((ts[1:] - ts[:-1] >= self.within_ms) | empty[1:])
-        emitted = cur.iloc[:-1][hit]
-        tail = cur.iloc[-1]
-        self.last.update((int(tail["seq"]), int(tail["ts"]), tail["last_page_id"],
-                          bool(tail["empty"]), tail["value"]))
-        if tail["empty"]:
-            self.handle.registerTimer(int(tail["ts"]) + self.within_ms)
-        if not emitted.empty:
-            yield self._out(key, emitted)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.last.exists():
-            s = self.last.get()
-            if s[3] and s[1] + self.within_ms == expiredTimerInfo.getExpiryTimeInMs():
-                self.last.update((s[0], s[1], s[2], False, s[4]))
-                yield self._out(key, pd.DataFrame(
-                    [s], columns=["seq", "ts", "last_page_id", "empty", "value"]))
+        if not self.anchor.exists():
+            # the device's first batch: its earliest record sets the anchor
+            held, first = [], None
+            for pdf in rows:
+                held.append(pdf)
+                for ts, _, is_new in pdf.sort_values(["ts", "seq"])[["ts", "seq", "is_new"]].head(1).values:
+                    if first is None or (ts, _) < first[:2]:
+                        first = (ts, _, is_new)
+            if first is None:
+                return
+            day = int(first[0]) if first[2] == "1" else int(first[0]) - DAY_MS
+            self.anchor.update((_date(day, self.tz),))
+            rows = held
+        anchor = self.anchor.get()[0]
+        for pdf in rows:  # known anchor: batch by batch, nothing is gathered
+            if pdf.empty:
+                continue
+            changed = (pdf["is_new"] == "1") & (_dates(pdf["ts"], self.tz).set_axis(pdf.index) != anchor)
+            yield pd.DataFrame({
+                "mid": key[0], "seq": pdf["seq"], "ts": pdf["ts"], "is_new_in": pdf["is_new"],
+                "is_new": pdf["is_new"].where(~changed, "0"), "value": pdf["value"]})
 
     def close(self):
         pass
