@@ -15,14 +15,11 @@ never make each other's windows repeats.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import keyed, real_id
-from .windows import BUCKET, Dealing, covered, repeated_windows, word_units
+from .windows import Dealing, covered, without_repeats, word_units
 
 K, M = 13, 4
 
@@ -49,33 +46,18 @@ def _repeats(k: int):
     return run
 
 
-def _keep(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n_words, n_removed, kept = [], [], []
-            for t, spans in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("spans").to_pylist()):
-                words = t.split()
-                n_words.append(len(words))
-                if spans:
-                    stays = np.flatnonzero(~covered(len(words), spans, k)).tolist()
-                    n_removed.append(len(words) - len(stays))
-                    words = [words[i] for i in stays]
-                else:
-                    n_removed.append(0)
-                kept.append(b" ".join(words))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "n_words": pa.array(n_words, pa.int64()),
-                "n_removed": pa.array(n_removed, pa.int64()),
-                "kept": pa.array(kept, pa.binary()).cast(pa.string())})
-    return run
+def _keep(text: bytes, ranges: np.ndarray) -> tuple[int, int, str]:
+    words = text.split()
+    n = len(words)
+    if len(ranges):
+        words = [words[i] for i in np.flatnonzero(~covered(n, ranges)).tolist()]
+    return n, n - len(words), b" ".join(words).decode()
 
 
-def dedup_substrings(docs: DataFrame, k: int = K, m: int = M, bucket_bytes: int = BUCKET) -> DataFrame:
+def dedup_substrings(docs: DataFrame, k: int = K, m: int = M, **options) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words left, joined by blanks)."""
-    d = keyed(docs)
-    spans = repeated_windows(d, Dealing(word_units(k, m), k, m), _repeats(k), bucket_bytes)
-    out = d.join(spans, ["doc_id", "tag"], "left").mapInArrow(
-        _keep(k), "doc_id long, n_words long, n_removed long, kept string")
+    out = without_repeats(keyed(docs), Dealing(word_units(k, m), k, m), _repeats(k), _keep,
+                          "n_words long, n_removed long, kept string", **options)
     return out.withColumn("doc_id", real_id())
 
 

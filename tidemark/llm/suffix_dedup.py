@@ -27,14 +27,11 @@ doc_id are as one document: they never make each other's strings repeats.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import keyed, real_id
-from .windows import BUCKET, Dealing, byte_units, covered, repeated_windows
+from .windows import Dealing, byte_units, covered, without_repeats
 
 K, M = 50, 16
 
@@ -188,30 +185,19 @@ def _repeats(k: int):
     return run
 
 
-def _keep(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n_bytes, n_removed, n_spans, kept = [], [], [], []
-            for t, spans in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("spans").to_pylist()):
-                gone = covered(len(t), spans, k) if spans else np.zeros(0, bool)
-                n_bytes.append(len(t))
-                n_removed.append(int(gone.sum()))
-                n_spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
-                kept.append(np.frombuffer(t, np.uint8)[~gone].tobytes() if spans else t)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "n_bytes": pa.array(n_bytes, pa.int64()),
-                "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()),
-                "kept": pa.array(kept, pa.binary())})
-    return run
+def _keep(text: bytes, ranges: np.ndarray) -> tuple[int, int, int, bytes]:
+    if not len(ranges):
+        return len(text), 0, 0, text
+    gone = covered(len(text), ranges)
+    n_spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
+    return len(text), int(gone.sum()), n_spans, np.frombuffer(text, np.uint8)[~gone].tobytes()
 
 
-def dedup_suffixes(docs: DataFrame, k: int = K, m: int = M, bucket_bytes: int = BUCKET) -> DataFrame:
+def dedup_suffixes(docs: DataFrame, k: int = K, m: int = M, **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the
     bytes left, which may cut a character)."""
-    d = keyed(docs)
-    spans = repeated_windows(d, Dealing(byte_units(k, m), k, m), _repeats(k), bucket_bytes)
-    out = d.join(spans, ["doc_id", "tag"], "left").mapInArrow(
-        _keep(k), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    out = without_repeats(keyed(docs), Dealing(byte_units(k, m), k, m), _repeats(k), _keep,
+                          "n_bytes long, n_removed long, n_spans long, kept binary", **options)
     return out.withColumn("doc_id", real_id())
 
 

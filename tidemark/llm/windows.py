@@ -3,15 +3,24 @@
 The minimiser of a window is its m-gram of least hash. Consecutive windows
 with the same minimiser travel as one packed string (a run, or super-k-mer) to
 the bucket of that minimiser, so equal windows of all documents meet in one
-bucket and each window costs a fraction of a string. A map task sends one
-compressed blob per flush and bucket.
+bucket and each window costs a fraction of a string.
 
-Hot groups. Equal strings of one flush are settled in the map task: only those
-of the smallest document travel, the others are known to repeat it. A first
+Steps, all over chunks of documents (some megabytes each, dealt once by doc_id):
+
+1. Each chunk sends its distinct minimisers, 32 bits each, to their buckets,
+   where those met in one document only are told from the shared ones; a bit per
+   minimiser goes back. Equal windows have equal minimisers, so only runs with a
+   shared one can hold repeats.
+2. Each chunk sends its shared runs as packed strings; a bucket finds the
+   windows that also start in a smaller document.
+3. Each chunk gets its findings back.
+
+Hot groups. Equal strings of one chunk are settled on the spot: only those of
+the smallest document travel, the others are known to repeat it. A first
 pass counts the minimisers, and those too frequent for a bucket are ordered
 after all others, so windows take them only where nothing else is left, inside
-stretches that repeat as wholes. Buckets are many (their number follows the
-input), so a task holds one bucket at a time.
+stretches that repeat as wholes. Chunks and buckets are many (their numbers follow
+the input), so a task holds one at a time.
 """
 
 from __future__ import annotations
@@ -25,8 +34,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-#: Bytes of text handled at once by the array code, and per flush of a task.
-BLOCK, FLUSH = 1 << 19, 1 << 23
+#: Bytes of text handled at once by the array code, and of a chunk.
+BLOCK, CHUNK = 1 << 19, 1 << 23
 #: Bytes of packed strings a bucket should hold.
 BUCKET = 1 << 23
 #: Windows of a run at most.
@@ -64,7 +73,7 @@ class Units:
     ``first[j]`` on, the first of them being its unit ``offset[j]``."""
 
     buf: bytes
-    gram: np.ndarray
+    gram: np.ndarray | None
     begin: np.ndarray | None
     end: np.ndarray | None
     first: np.ndarray
@@ -234,26 +243,39 @@ def count_minimisers(deal: Dealing):
     return run
 
 
+def _small(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in as few bytes each as the greatest needs."""
+    kind = next(t for t in ("u1", "u2", "u4", "u8") if not len(x) or int(x.max()) <= np.iinfo(t).max)
+    return kind.encode() + x.astype(kind).tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, data[:2].decode(), -1, 2).astype(np.int64)
+
+
 def pack(strings: list[bytes], columns: list[np.ndarray], settled: list[np.ndarray]) -> bytes:
-    """A blob: the strings with their columns, then columns of settled windows."""
-    raw = b"".join(strings)
-    size = np.array([len(s) for s in strings], np.uint32)
-    head = struct.pack("<qqq", len(strings), len(raw), len(settled[0]))
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, raw, size.tobytes(), *(c.astype(np.int64).tobytes() for c in columns),
-                                  *(c.astype(np.int64).tobytes() for c in settled)]))
+    """A blob: the strings, their sizes and columns, then columns of settled
+    windows, each compressed on its own."""
+    text, plain = zstandard.ZstdCompressor(level=3), zstandard.ZstdCompressor(level=1)
+    parts = [text.compress(b"".join(strings)), plain.compress(_small(np.array([len(s) for s in strings], np.int64)))]
+    for c in [*columns, *settled]:
+        c = np.asarray(c, np.int64)
+        low = int(c.min()) if len(c) else 0
+        parts.append(plain.compress(struct.pack("<q", low) + _small((c - low).view(U) if len(c) else c)))
+    return b"".join(struct.pack("<q", len(p)) + p for p in parts)
 
 
 def unpack(blob: bytes) -> tuple[list[bytes], list[np.ndarray], list[np.ndarray]]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    n, length, flagged = struct.unpack_from("<qqq", data)
-    at = 24 + length
-    ends = np.cumsum(np.frombuffer(data, np.uint32, n, at)).astype(np.int64)
-    at += 4 * n
-    begins = np.concatenate([[0], ends[:-1]]) if n else ends
-    strings = [data[a + 24:b + 24] for a, b in zip(begins.tolist(), ends.tolist())]
-    columns = [np.frombuffer(data, np.int64, n, at + 8 * n * j) for j in range(len(COLUMNS))]
-    at += 8 * n * len(COLUMNS)
-    return strings, columns, [np.frombuffer(data, np.int64, flagged, at + 8 * flagged * j) for j in range(4)]
+    z, at, parts = zstandard.ZstdDecompressor(), 0, []
+    while at < len(blob):
+        (n,) = struct.unpack_from("<q", blob, at)
+        parts.append(z.decompress(blob[at + 8:at + 8 + n]))
+        at += 8 + n
+    ends = np.cumsum(_wide(parts[1]))
+    begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    strings = [parts[0][a:b] for a, b in zip(begins.tolist(), ends.tolist())]
+    rest = [_wide(p[8:]) + struct.unpack_from("<q", p)[0] for p in parts[2:]]
+    return strings, rest[:len(COLUMNS)], rest[len(COLUMNS):]
 
 
 #: Of a string: document, its tag, first window, windows, and the bytes where
@@ -261,55 +283,112 @@ def unpack(blob: bytes) -> tuple[list[bytes], list[np.ndarray], list[np.ndarray]
 COLUMNS = ("doc_id", "tag", "start", "n", "from", "to")
 
 
-def deal_out(deal: Dealing, hot: np.ndarray, buckets: int):
-    """Map side: rows (bucket, blob)."""
-    def flush(strings: list[bytes], cols: list[np.ndarray], value: np.ndarray) -> pa.RecordBatch:
-        doc = cols[0].tolist()
-        first: dict[bytes, int] = {}
-        for s, d in zip(strings, doc):
-            if first.setdefault(s, d) > d:
-                first[s] = d
-        stays = np.fromiter((first[s] == d for s, d in zip(strings, doc)), bool, len(doc))
-        bucket = (mix(value) % U(buckets)).astype(np.int64)
-        settled = [c[~stays] for c in cols[:4]]
-        which = np.flatnonzero(stays)
-        which = which[np.argsort(bucket[which], kind="stable")]
-        cuts = np.flatnonzero(np.diff(bucket[which], prepend=-1))
+def _texts(t: pa.Table) -> list[bytes]:
+    return t.column("text").cast(pa.binary()).to_pylist()
+
+
+def _dealt(value: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 32 further bits of each minimiser, as one sortable number."""
+    h = mix(value.copy())
+    return (h % U(buckets)) << U(32) | h >> U(32)
+
+
+def survey(deal: Dealing, hot: np.ndarray, buckets: int):
+    """Rows (bucket, chunk, few): a chunk's distinct minimisers of a bucket, in
+    order, and whether each is in several of its documents."""
+    def run(t: pa.Table) -> pa.Table:
+        keys, rows = [], []
+        for u in deal.units(_texts(t)):
+            s, _, value, _ = find_runs(u, deal.k, deal.m, hot)
+            keys.append(_dealt(value, buckets))
+            rows.append(u.row[np.searchsorted(u.first, s, "right") - 1])
+        key = np.concatenate(keys) if keys else np.zeros(0, U)
+        row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
         out_b, out_v = [], []
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(which)]):
-            at = which[a:b]
-            out_b.append(int(bucket[at[0]]))
-            # what is settled here travels with the first blob, to be passed on
-            out_v.append(pack([strings[i] for i in at.tolist()], [c[at] for c in cols],
-                              settled if not out_v else [c[:0] for c in settled]))
-        return pa.RecordBatch.from_pydict({"bucket": pa.array(out_b, pa.int64()),
-                                           "blob": pa.array(out_v, pa.binary())})
+        if len(key):
+            order = np.argsort(key, kind="stable")
+            key, row = key[order], row[order]
+            cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            several = np.minimum.reduceat(row, cuts) != np.maximum.reduceat(row, cuts)
+            key = key[cuts]
+            bucket, low = (key >> U(32)).astype(np.int64), key.astype(np.uint32)
+            at = np.flatnonzero(np.diff(bucket, prepend=-1))
+            for a, z in zip(at.tolist(), [*at[1:].tolist(), len(key)]):
+                out_b.append(int(bucket[a]))
+                out_v.append(low[a:z].tobytes() + np.packbits(several[a:z]).tobytes())
+        return pa.table({"bucket": pa.array(out_b, pa.int64()),
+                         "chunk": pa.array([t.column("chunk")[0].as_py()] * len(out_b), pa.int64()),
+                         "few": pa.array(out_v, pa.binary())})
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings, cols, values, size = [], [], [], 0
-        for b in batches:
-            texts = b.column("text").cast(pa.binary()).to_pylist()
-            ids, tags = (b.column(c).to_numpy() for c in ("doc_id", "tag"))
-            for u in deal.units(texts):
-                s, n, value, place = find_runs(u, deal.k, deal.m, hot)
-                if not len(s):
-                    continue
-                j = np.searchsorted(u.first, s, "right") - 1
-                last, gram = s + n + deal.k - 2, s + place
-                if u.begin is None:
-                    a, z, g, h = s, last + 1, gram, gram + deal.m
-                else:
-                    a, z, g, h = u.begin[s], u.end[last], u.begin[gram], u.end[gram + deal.m - 1]
-                buf = u.buf
-                strings += [buf[x:y] for x, y in zip(a.tolist(), z.tolist())]
-                cols.append([ids[u.row[j]], tags[u.row[j]], s - u.first[j] + u.offset[j], n, g - a, h - a])
-                values.append(value)
-                size += len(buf)
-                if size >= FLUSH:
-                    yield flush(strings, [np.concatenate(c) for c in zip(*cols)], np.concatenate(values))
-                    strings, cols, values, size = [], [], [], 0
+
+def shared(t: pa.Table) -> pa.Table:
+    """One bucket: rows (chunk, bucket, bits), a bit for each minimiser of the
+    chunk in order: whether it is in several documents of all."""
+    lows, bits = [], []
+    for x in t.column("few").to_pylist():
+        n = len(x) * 8 // 33
+        lows.append(np.frombuffer(x, np.uint32, n))
+        bits.append(np.unpackbits(np.frombuffer(x, np.uint8, -1, 4 * n), count=n).astype(bool))
+    low, several = np.concatenate(lows), np.concatenate(bits)
+    _, where, count = np.unique(low, return_inverse=True, return_counts=True)
+    several |= count[where] > 1
+    ends = np.cumsum([len(x) for x in lows])
+    return pa.table({"chunk": t.column("chunk"), "bucket": t.column("bucket"),
+                     "bits": pa.array([np.packbits(x).tobytes() for x in np.split(several, ends[:-1])], pa.binary())})
+
+
+def deal_out(deal: Dealing, hot: np.ndarray, buckets: int):
+    """Rows (bucket, blob) of the shared runs of a chunk."""
+    def run(t: pa.Table, told: pa.Table) -> pa.Table:
+        found, keys = [], []
+        ids, tags = (t.column(c).to_numpy() for c in ("doc_id", "tag")) if t.num_rows else (None, None)
+        for u in deal.units(_texts(t)) if t.num_rows else ():
+            runs = find_runs(u, deal.k, deal.m, hot)
+            u.gram = None  # the largest part, no longer needed
+            found.append((u, runs))
+            keys.append(_dealt(runs[2], buckets))
+        key = np.concatenate(keys) if keys else np.zeros(0, U)
+        distinct, where = np.unique(key, return_inverse=True)
+        told = dict(zip(told.column("bucket").to_pylist(), told.column("bits").to_pylist()))
+        n = np.bincount((distinct >> U(32)).astype(np.int64)) if len(distinct) else []
+        live = np.concatenate([np.unpackbits(np.frombuffer(told[b], np.uint8), count=n[b]).astype(bool)
+                               for b in sorted(told)] or [np.zeros(0, bool)])[where]
+        strings, cols, at = [], [[] for _ in COLUMNS], 0
+        for u, (s, n, _, place) in found:
+            on = live[at:at + len(s)]
+            at += len(s)
+            s, n, place = s[on], n[on], place[on]
+            j = np.searchsorted(u.first, s, "right") - 1
+            last, gram = s + n + deal.k - 2, s + place
+            if u.begin is None:
+                a, z, g, h = s, last + 1, gram, gram + deal.m
+            else:
+                a, z, g, h = u.begin[s], u.end[last], u.begin[gram], u.end[gram + deal.m - 1]
+            strings += [u.buf[x:y] for x, y in zip(a.tolist(), z.tolist())]
+            for c, x in zip(cols, (ids[u.row[j]], tags[u.row[j]], s - u.first[j] + u.offset[j], n, g - a, h - a)):
+                c.append(x)
+        out_b, out_v = [], []
         if strings:
-            yield flush(strings, [np.concatenate(c) for c in zip(*cols)], np.concatenate(values))
+            cols = [np.concatenate(c) for c in cols]
+            bucket = (key[live] >> U(32)).astype(np.int64)
+            doc = cols[0].tolist()
+            first: dict[bytes, int] = {}
+            for s, d in zip(strings, doc):
+                if first.setdefault(s, d) > d:
+                    first[s] = d
+            stays = np.fromiter((first[s] == d for s, d in zip(strings, doc)), bool, len(doc))
+            settled = [c[~stays] for c in cols[:4]]
+            which = np.flatnonzero(stays)
+            which = which[np.argsort(bucket[which], kind="stable")]
+            cuts = np.flatnonzero(np.diff(bucket[which], prepend=-1))
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(which)]):
+                some = which[a:b]
+                out_b.append(int(bucket[some[0]]))
+                # what is settled here travels with the first blob, to be passed on
+                out_v.append(pack([strings[i] for i in some.tolist()], [c[some] for c in cols],
+                                  settled if not out_v else [c[:0] for c in settled]))
+        return pa.table({"bucket": pa.array(out_b, pa.int64()), "blob": pa.array(out_v, pa.binary())})
     return run
 
 
@@ -379,28 +458,60 @@ def settle(repeats: Repeats):
     return run
 
 
-def repeated_windows(docs: DataFrame, deal: Dealing, repeats: Repeats,
-                     bucket_bytes: int = BUCKET) -> DataFrame:
-    """doc_id, tag, spans array<struct<start, n>> of the documents of ``docs``
-    (doc_id, tag, text) that have windows also starting in a smaller doc_id."""
+def without_repeats(docs: DataFrame, deal: Dealing, repeats: Repeats, keep: Callable[[bytes, np.ndarray], tuple],
+                    columns: str, bucket_bytes: int = BUCKET, chunk_bytes: int = CHUNK) -> DataFrame:
+    """doc_id and ``columns`` (of ``keep``) of every row of ``docs`` (doc_id,
+    tag, text). ``keep`` takes a text and the covered ranges of units, an array
+    of (start, end) rows, that start in a smaller doc_id too."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, int(size * 4 // bucket_bytes))
+    buckets, chunks = max(1, int(size * 4 // bucket_bytes)), max(1, int(size // chunk_bytes))
     counts = (docs.select("text").mapInArrow(count_minimisers(deal), "value long, n long")
               .groupBy("value").agg(F.sum("n").alias("n"))
               .filter(F.col("n") >= bucket_bytes // 1024))
     hot = [r["value"] for r in counts.orderBy(F.desc("n"), "value").limit(HOT).collect()]
     hot = np.unique(np.array(hot, np.int64).view(U))
-    dealt = docs.mapInArrow(deal_out(deal, hot, buckets), "bucket long, blob binary")
-    found = dealt.groupBy("bucket").applyInArrow(settle(repeats), "doc_id long, tag long, start long, n long")
-    return found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    by_chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
+    # the same exchange of the texts serves all three uses
+    own = docs.select(by_chunk, "doc_id", "tag", "text").repartition("chunk")
+    bits = (own.groupBy("chunk").applyInArrow(survey(deal, hot, buckets), "bucket long, chunk long, few binary")
+            .groupBy("bucket").applyInArrow(shared, "chunk long, bucket long, bits binary"))
+    found = (own.groupBy("chunk").cogroup(bits.groupBy("chunk"))
+             .applyInArrow(deal_out(deal, hot, buckets), "bucket long, blob binary")
+             .groupBy("bucket").applyInArrow(settle(repeats), "doc_id long, tag long, start long, n long"))
+    found = found.select(by_chunk, "doc_id", "tag", "start", "n")
+    return own.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
+        _kept(keep, deal.k, [c.split()[0] for c in columns.split(", ")], columns), f"doc_id long, {columns}")
+
+
+def _kept(keep, k: int, names: list[str], columns: str):
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    types = [kinds[c.split()[1]] for c in columns.split(", ")]
+
+    def run(t: pa.Table, found: pa.Table) -> pa.Table:
+        out = [[] for _ in names]
+        if t.num_rows:
+            key = list(zip(t.column("doc_id").to_pylist(), t.column("tag").to_pylist()))
+            spans: dict[tuple[int, int], np.ndarray] = {}
+            if found.num_rows:
+                d, g, a, n = (found.column(c).to_numpy() for c in ("doc_id", "tag", "start", "n"))
+                order = np.lexsort((a, g, d))
+                d, g = d[order], g[order]
+                both = np.column_stack([a[order], a[order] + n[order] + k - 1])
+                cuts = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (g[1:] != g[:-1])])).tolist()
+                for x, y in zip(cuts, [*cuts[1:], len(d)]):
+                    spans[int(d[x]), int(g[x])] = both[x:y]
+            none = np.zeros((0, 2), np.int64)
+            for i, text in zip(key, _texts(t)):
+                for o, v in zip(out, keep(text, spans.get(i, none))):
+                    o.append(v)
+        return pa.table({"doc_id": t.column("doc_id") if t.num_rows else pa.array([], pa.int64())}
+                        | {c: pa.array(o, k) for c, o, k in zip(names, out, types)})
+    return run
 
 
-def covered(size: int, spans: list[dict] | None, k: int) -> np.ndarray:
-    """Which of ``size`` units the windows of k units in ``spans`` cover."""
+def covered(size: int, ranges: np.ndarray) -> np.ndarray:
+    """Which of ``size`` units lie in ``ranges``."""
     edge = np.zeros(size + 1, np.int32)
-    if spans:
-        a = np.array([s["start"] for s in spans])
-        z = a + np.array([s["n"] for s in spans]) + k - 1
-        np.add.at(edge, a, 1)
-        np.add.at(edge, z, -1)
+    np.add.at(edge, ranges[:, 0], 1)
+    np.add.at(edge, ranges[:, 1], -1)
     return np.cumsum(edge)[:size] > 0
