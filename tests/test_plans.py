@@ -53,3 +53,14 @@ def test_no_data_funnels_into_one_task(spark, name):
         if "Exchange SinglePartition" in line:
             below = " ".join(lines[i + 1:i + 3])
             assert "partial_count" in below, (name, below[:200])
+
+
+def test_flag_repair_anchor_is_a_hash_aggregate(spark):
+    plan = _plan(queries()["visitor_flag_repair"](spark, SF_SMALL))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_split_queries_build_their_route_only(spark):
+    from tidemark.operators.split import TOPIC_ERR, TOPIC_PAGE
+    plan = queries()["split_err"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert TOPIC_ERR in plan and TOPIC_PAGE not in plan

@@ -78,3 +78,54 @@ def test_keyword_late_rows_dropped(spark, scratch):
     out = _run(J.keyword_window_stream(_stream(spark, root), with_ts=False), "kw_late", scratch)
     got = sorted((r.stt, r.keyword, r.keyword_count) for r in out.collect())
     assert got == [("2024-01-01 00:01:40", "red", 1), ("2024-01-01 00:03:20", "blue", 1)]
+
+
+def _shuffled(rng, n, devices, delay):
+    """Rows (device, ts, last page) in an order where none comes more than
+    ``delay`` after a later one, cut into micro-batches."""
+    rows = [(rng.choice(devices), rng.randrange(0, 3_600_000), rng.choice([None, None, "", "home"])) for _ in range(n)]
+    rows.sort(key=lambda r: r[1] + rng.random() * delay)
+    size = n // 4
+    return [rows[i:i + size] for i in range(0, n, size)]
+
+
+def _batch_pages(spark, batches):
+    from tidemark.operators.parse import parse_log
+    from tidemark.operators.split import page_records
+    rows, seq = [], 0
+    for lines in batches:
+        for line in lines:
+            rows.append((line, seq))
+            seq += 1
+    return page_records(parse_log(spark.createDataFrame(rows, "value string, seq bigint")))
+
+
+def test_disordered_streams_equal_batch(spark, scratch):
+    import random
+    from tidemark.operators.bounce import user_jump
+    from tidemark.operators.unique import unique_visitor
+    far = 10 * 86_400_000
+    for delay in (0, 600_000):
+        rng = random.Random(delay)
+        devices = ["hot"] * 4 + list("abcdefgh")
+        batches = [[_page(m, ts, lp) for m, ts, lp in b] for b in _shuffled(rng, 240, devices, delay)]
+        batches += [[_page("z", far, "x")], [_page("z", far + 1, "x")]]  # move the watermark past all
+        root = os.path.join(scratch, f"src{delay}")
+        _files(spark, root, batches)
+        pages = _batch_pages(spark, batches[:-2])
+        got = _run(J.user_jump_stream(_stream(spark, root), delay_ms=delay), f"jump{delay}", scratch)
+        assert sorted(r.seq for r in got.collect()) == sorted(r.seq for r in user_jump(pages).collect())
+        got = _run(J.unique_visitor_stream(_stream(spark, root), delay=f"{delay} milliseconds"), f"uv{delay}", scratch)
+        assert sorted(r.seq for r in got.collect()) == sorted(r.seq for r in unique_visitor(pages).collect())
+
+
+def test_broken_topic_lines_are_set_aside(spark, scratch):
+    root = os.path.join(scratch, "src")
+    _files(spark, root, [["no json", _page("a", 0), '{"common": {"mid": "b"}}', '{"ts": 5}'],
+                         [_page("z", 86_400_000 * 3, "x")], [_page("z", 86_400_000 * 4, "x")]])
+    src = (spark.readStream.schema("value string, seq bigint").option("maxFilesPerTrigger", 1)
+                .option("recursiveFileLookup", "true").parquet(root))
+    uv = _run(J.unique_visitor_stream(J.page_log_from_topic(src), delay="1 hour"), "uv_broken", scratch)
+    assert [r.seq for r in uv.collect()] == [1]
+    bad = _run(J.page_rejects_from_topic(src), "rejects", scratch)
+    assert sorted((r.seq, r.reason) for r in bad.collect()) == [(0, "no_mid"), (2, "no_ts"), (3, "no_mid")]
