@@ -211,6 +211,7 @@ UNION ALL SELECT 'dim_customer_last_order', {_OSEQ}, CAST(o_custkey AS VARCHAR),
 """,
     "dim_upsert_latest": _latest(False),
     "dim_upsert_deletes": _latest(True),
+    "dim_table_rows": f"SELECT sink_table, row_key, column_name, column_value FROM ({_latest(False)}) t",
     "dic_lookup": """
 SELECT o_orderkey, o_orderstatus,
        CASE o_orderstatus WHEN 'F' THEN '1004' WHEN 'O' THEN '1001' WHEN 'P' THEN '1002' END AS dic_code,

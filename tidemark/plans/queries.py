@@ -5,6 +5,7 @@ like the oracle SQL in :mod:`tidemark.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,6 +20,8 @@ from tidemark.operators.split import (TOPIC_ACTION, TOPIC_DISPLAY, TOPIC_ERR,
                                       TOPIC_PAGE, TOPIC_START, topic_counts)
 from tidemark.plans import flows as pl
 from tidemark.schemas import KEYWORD_BEAN
+from tidemark.session import scratch_path
+from tidemark.sinks.dim import read_dim_table, upsert_dim_tables
 from tidemark.sinks.kafka import to_keyed_messages
 from tidemark.sinks.table import sink_columns
 from tidemark.sources.fixtures import table
@@ -187,6 +190,27 @@ def _upsert(apply_deletes):
     return q
 
 
+def q_dim_table_rows(spark, sf_dir):
+    """The dimension tables after three batches that overlap in time: each
+    change's ``seq`` is its source time, and batches take every third."""
+    routed = pl.dim_routed(spark, sf_dir).withColumn("src_ts", F.col("seq"))
+    state = pl.dim_config(spark)
+    root = scratch_path(spark, f"dim-{uuid.uuid4().hex}")
+    for run_no, third in enumerate((1, 2, 0)):
+        batch = routed.filter(F.pmod("seq", F.lit(3)) == third)
+        tables = upsert_dim_tables(batch, state, root, run_no, buckets=4)
+    columns = {r["sink_table"]: [c for c in r["sink_columns"].split(",") if c] for r in state.collect()}
+    parts = []
+    for t in tables:
+        rows = read_dim_table(spark, root, t, columns[t])
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("column_value")) for c in columns[t]])
+        parts.append(rows.select(F.lit(t).alias("sink_table"), "row_key", F.inline(pairs)))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
 def q_dic_lookup(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", status_code("o_orderstatus").alias("dic_code"))
@@ -249,6 +273,7 @@ def queries() -> dict[str, Query]:
         "dim_prune_columns": q_dim_prune_columns,
         "dim_upsert_latest": _upsert(False),
         "dim_upsert_deletes": _upsert(True),
+        "dim_table_rows": q_dim_table_rows,
         "dic_lookup": q_dic_lookup,
         "fn_to_date": q_fn_to_date,
         "fn_to_ts": q_fn_to_ts,

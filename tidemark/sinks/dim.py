@@ -47,12 +47,14 @@ def _read(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def upsert_dim_tables(routed: DataFrame, state: DataFrame, root: str, run_no: int = 0) -> list[str]:
+def upsert_dim_tables(routed: DataFrame, state: DataFrame, root: str, run_no: int = 0,
+                      buckets: int = BUCKETS) -> list[str]:
     """Folds one batch of routed changes into the snapshots; creates those
     that are missing. The driver loops over config rows (one per table), never
     over data."""
     spark = routed.sparkSession
-    latest = latest_per_key(routed, apply_deletes=False, run_no=run_no)
+    # one pass over the batch serves every table; at most a row per changed key
+    latest = latest_per_key(routed, apply_deletes=False, run_no=run_no).persist()
     text = lambda c: F.coalesce(F.try_variant_get(F.col("data")[c], "$", "string"),
                                 F.to_json(F.col("data")[c]))
     done = []
@@ -61,11 +63,11 @@ def upsert_dim_tables(routed: DataFrame, state: DataFrame, root: str, run_no: in
         path = dim_path(root, row["sink_table"])
         new = latest.filter((F.col("sink_table") == row["sink_table"]) & F.col("row_key").isNotNull()).select(
             "row_key", *[text(c).alias(c) for c in columns], F.col("type").alias("change_type"), "at",
-            F.pmod(F.hash("row_key"), F.lit(BUCKETS)).alias("bucket"))
+            F.pmod(F.hash("row_key"), F.lit(buckets)).alias("bucket"))
         if not _exists(spark, path):
             new.write.partitionBy("bucket").parquet(path)
         else:
-            touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # BUCKETS at most
+            touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # few
             if touched:
                 old = _read(spark, path, columns).filter(F.col("bucket").isin(touched))
                 both = old.unionByName(new)
@@ -73,6 +75,7 @@ def upsert_dim_tables(routed: DataFrame, state: DataFrame, root: str, run_no: in
                 (last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                      .partitionBy("bucket").parquet(path))
         done.append(row["sink_table"])
+    latest.unpersist()
     return done
 
 
