@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Fixed value: a token is a maximal run of Unicode letters or digits, taken
@@ -33,25 +35,15 @@ def split_list(c, sep: str = ",") -> Column:
     return F.split(_c(c), sep, -1)
 
 
-def register_tokenizer(spark, name: str = "ik_analyze", tokenize=None) -> None:
+def register_tokenizer(spark, name: str = "ik_analyze") -> None:
     """U1 by name, for SQL written against a registered table function:
     ``SELECT keyword FROM t, LATERAL ik_analyze(fullword)``.
 
-    This is a Python UDTF (planned as ``BatchEvalPythonUDTF``), so it is the
-    slow path; use it to plug in another tokenizer (``tokenize``: str ->
-    iterable of str). Without one it yields what :func:`tokens` yields, and
-    plans written with the DataFrame API keep using the JVM expression.
+    A SQL table function over the JVM tokenizer, so Catalyst inlines it.
     """
-    import regex
-
-    pattern = regex.compile(TOKEN_PATTERN)
-    fn = tokenize or (lambda text: pattern.findall(text.lower()))
-
-    class Tokens:
-        def eval(self, text):
-            if text is None:
-                return
-            for t in fn(text):
-                yield (t,)
-
-    spark.udtf.register(name, F.udtf(Tokens, returnType="keyword string"))
+    if not re.fullmatch(r"\w+", name):
+        raise ValueError(f"not a function name: {name!r}")
+    pattern = TOKEN_PATTERN.replace("\\", "\\\\")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(fullword STRING) RETURNS TABLE (keyword STRING)
+        RETURN SELECT explode(regexp_extract_all(lower(fullword), '{pattern}', 0))""")

@@ -102,6 +102,8 @@ def keyword_counts_sql(page_log: DataFrame, duration: str = "10 seconds",
     agg = spark.sql(f"""
         SELECT window AS w, keyword, count(*) AS keyword_count
         FROM {tag}_split GROUP BY window(rowtime, '{duration}'), keyword""")
+    for v in (tag, f"{tag}_search", f"{tag}_split"):  # the plan is resolved
+        spark.catalog.dropTempView(v)
     rt_type = src.schema["rowtime"].dataType
     return agg.select(fmt_datetime(wall_clock("w.start", rt_type)).alias("stt"),
                       fmt_datetime(wall_clock("w.end", rt_type)).alias("edt"),
