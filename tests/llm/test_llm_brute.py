@@ -80,9 +80,9 @@ def _classes(docs):
     return {i: find(i) for i in sh}
 
 
-@pytest.mark.parametrize("small,side", [(16, 2048), (2, 4)])
-def test_near_classes_against_all_pairs(spark, small, side):
-    rng = random.Random(small)
+@pytest.mark.parametrize("side,together", [(2048, 20_000), (4, 10)])
+def test_near_classes_against_all_pairs(spark, side, together):
+    rng = random.Random(side)
     words = [f"v{i}" for i in range(500)]
     docs, base = [], [rng.choice(words) for _ in range(120)]
     for i in range(80):  # one group with every degree of likeness
@@ -93,7 +93,7 @@ def test_near_classes_against_all_pairs(spark, small, side):
     for i in range(80, 120):
         docs.append((i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 60)))))
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in near_dedup.near_groups(df, small=small, side=side).collect()}
+    got = {r.doc_id: r.class_id for r in near_dedup.near_groups(df, side=side, together=together).collect()}
     assert got == _classes(docs)
 
 

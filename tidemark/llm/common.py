@@ -87,3 +87,12 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_join(rows: DataFrame, info: DataFrame, key: str, by: str, salts: int = 64) -> DataFrame:
+    """``rows`` with what ``info`` (one row per key) says of their ``key``. The
+    rows of a hot key are spread over ``salts`` keys by a hash of ``by``, and
+    ``info`` is copied to those that occur."""
+    r = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    met = r.select(key, "_salt").distinct()
+    return r.join(info.join(met, key).hint("merge"), [key, "_salt"]).drop("_salt")

@@ -28,7 +28,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import keep_rows, keyed, one_spaced, real_id
+from .common import keep_rows, keyed, one_spaced, real_id, spread_join
 
 #: A boundary falls on one byte in 1,024; chunks have 256 to 8,192 bytes.
 MASK, LEAST, MOST = 1023, 256, 8192
@@ -99,8 +99,6 @@ def _recipes(bits: int, shared: dict[int, dict[bytes, int]]):
 
 #: Chunks that share a hash are told to the tasks as a table of at most so many.
 MOST_SHARED = 100_000
-#: Keys over which the rows of one group are spread.
-SALTS = 64
 
 
 def _shared(d: DataFrame, bits: int) -> dict[int, dict[bytes, int]]:
@@ -132,15 +130,10 @@ def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, bits: int) -> DataFrame:
-    # A group of copies may hold a third of all rows: its rows are spread over
-    # SALTS keys, and what is known of the group is copied to those of its keys
-    # that occur.
-    r = recipes(docs, bits).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    part = r.groupBy("recipe", "salt").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    g = part.groupBy("recipe").agg(F.min("least").alias("keep_id"), F.sum("n").alias("group_size"),
-                                   F.collect_list("salt").alias("salts"))
-    g = g.withColumn("salt", F.explode("salts")).drop("salts")
-    return r.join(g.hint("merge"), ["recipe", "salt"])
+    r = recipes(docs, bits)
+    g = r.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # a group of copies may hold a third of all rows
+    return spread_join(r, g, "recipe", "doc_id")
 
 
 def exact_groups(docs: DataFrame, bits: int = 64) -> DataFrame:

@@ -18,13 +18,13 @@ are not.
 
 Links. Texts of equal words are one node. ``BANDS`` bands of ``WIDTH``
 components make candidates (a pair at 0.8 shares none with probability 3e-6).
-Bands of up to ``SMALL`` nodes give all their pairs; larger ones give the pairs
-with a hub, the node that shares most bands. Pairs whose signatures agree too
-little to reach 0.8 (4.5 standard deviations) are left out, the rest are
-verified on the texts. Large bands whose nodes are then still in several
-classes are compared across classes, signature against signature in blocks,
-and what may reach 0.8 is verified too: no link that would join classes is
-lost to a band's size, and no group is written out as pairs.
+A band gives the pairs with its hub, the node that shares most bands. Pairs
+whose signatures agree too little to reach 0.8 (4.5 standard deviations) are left
+out, the rest are verified on the texts. Bands whose nodes are then still in
+several classes are compared across classes, signature against signature in
+blocks, each pair in the first band it shares, and what may reach 0.8 is
+verified too: no link that would join classes is lost to a band's size, and no
+group is written out as pairs.
 
 Null, empty and blank texts have no shingles and are classes of their own. The
 class id is the least doc_id of the class; null doc_ids count as greatest.
@@ -41,18 +41,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, keep_rows, keyed, real_id
+from .common import cut, keep_rows, keyed, real_id, spread_join
 from .components import components
 from .windows import U, mix, word_hashes
 
 SHINGLE = 5
-M, BANDS, WIDTH = 128, 24, 4
+M, BANDS, WIDTH = 512, 24, 4
 #: The similarity from which documents are linked, as a fraction.
 AT_LEAST = (4, 5)
-#: Bands of up to so many nodes give all their pairs.
-SMALL = 16
-#: Nodes of a block where large bands are compared across classes.
-SIDE = 2048
+#: Nodes of a block where large bands are compared across classes, and about
+#: as many rows of small bands are compared in one group.
+SIDE, TOGETHER = 2048, 20_000
 #: Bytes of text handled at once, and documents.
 BLOCK, MOST = 1 << 20, 4000
 
@@ -171,17 +170,30 @@ def _signed(m: int, bands: int, width: int, k: int):
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": b.column("doc_id").take(rows), "tag": b.column("tag").take(rows),
                     "node": pa.array([xxhash.xxh3_128_digest(t) for t in part], pa.binary()),
-                    "sig": pa.array([r.tobytes() for r in (s & U(255)).astype(np.uint8)], pa.binary()),
+                    "sig": pa.array([r.tobytes() for r in _nibbles(s)], pa.binary()),
                     "bands": pa.ListArray.from_arrays(np.arange(0, key.size + 1, bands, dtype=np.int32),
                                                       key.view(np.int64).ravel())})
                 at = z
     return run
 
 
+def _nibbles(s: np.ndarray) -> np.ndarray:
+    """The lowest four bits of each component, two components a byte."""
+    low = (s & U(15)).astype(np.uint8)
+    return low[:, ::2] << 4 | low[:, 1::2]
+
+
+def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Agreeing components of packed signatures, row by row."""
+    d = x ^ y
+    return ((d & 0xF0) == 0).sum(axis=1) + ((d & 0x0F) == 0).sum(axis=1)
+
+
 def enough(m: int, at_least: tuple[int, int]) -> int:
-    """Agreeing components below which a pair is taken not to reach the
-    similarity: 4.5 standard deviations under it."""
+    """Agreeing components (of four bits) below which a pair is taken not to
+    reach the similarity: 4.5 standard deviations under it."""
     p = at_least[0] / at_least[1]
+    p += (1 - p) / 16
     return int(np.floor(m * p - 4.5 * np.sqrt(m * p * (1 - p))))
 
 
@@ -191,8 +203,7 @@ def _agreeing(least: int):
             if b.num_rows:
                 x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1)
                         for c in ("sig_a", "sig_b"))
-                may = pa.array((x == y).sum(axis=1) >= least)
-                yield b.select(["a", "b"]).filter(may)
+                yield b.select(["a", "b"]).filter(pa.array(_agree(x, y) >= least))
     return run
 
 
@@ -215,24 +226,36 @@ def _verified(at_least: tuple[int, int], k: int):
 
 
 def _across(least: int):
-    """Pairs of nodes of different classes in one block of a band whose
-    signatures agree enough."""
+    """Pairs of nodes of different classes that share a band, first this one,
+    and whose signatures agree enough: of one block of a large band, or of
+    many small bands."""
     def run(t: pa.Table) -> pa.Table:
-        node, root, side = (t.column(c).to_pylist() for c in ("node", "root", "own"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(t.num_rows, -1)
-        number = {r: i for i, r in enumerate(dict.fromkeys(root))}
-        cls, part = np.array([number[r] for r in root]), np.array(side)
+        band = t.column("band").to_numpy()
+        order = np.argsort(band, kind="stable")
+        band = band[order]
+        node, root = (np.array(t.column(c).to_pylist(), dtype="S16")[order] for c in ("node", "root"))
+        own, nth = t.column("own").to_numpy()[order], t.column("nth").to_numpy()[order]
+        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(t.num_rows, -1)[order]
+        keys = t.column("keys").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)[order]
         low, high = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        rows, cols = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        cuts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
         a, b = [], []
-        if len(number) > 1:
-            for i in rows.tolist():
-                others = cols[cols > i] if low == high else cols
-                others = others[cls[others] != cls[i]]
-                hit = others[(sig[others] == sig[i]).sum(axis=1) >= least]
-                a += [node[i]] * len(hit)
-                b += [node[j] for j in hit.tolist()]
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        for x, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(band)]):
+            r = root[x:z]
+            if (r == r[0]).all():
+                continue
+            for i in range(x, z):
+                if own[i] != low:
+                    continue
+                others = np.arange(i + 1, z) if low == high else x + np.flatnonzero(own[x:z] == high)
+                others = others[root[others] != root[i]]
+                others = others[_agree(sig[others], sig[i]) >= least]
+                if nth[i]:
+                    others = others[~(keys[others, :nth[i]] == keys[i, :nth[i]]).any(axis=1)]
+                a += [i] * len(others)
+                b += others.tolist()
+        raw = t.column("node").combine_chunks().take(pa.array(order))
+        return pa.table({"a": raw.take(pa.array(a, pa.int64())), "b": raw.take(pa.array(b, pa.int64()))})
     return run
 
 
@@ -244,30 +267,26 @@ class Linker:
         self.docs = keyed(docs)
         self.signed = cut(self.docs.mapInArrow(
             _signed(m, bands, width, k), "doc_id long, tag long, node binary, sig binary, bands array<long>"))
-        first = self.signed.groupBy("node").agg(F.min(F.struct("doc_id", "tag")).alias("rep"))
-        self.nodes = cut(self.signed.join(first, "node").filter(
-            (F.col("doc_id") == F.col("rep.doc_id")) & (F.col("tag") == F.col("rep.tag")))
-            .drop("rep").dropDuplicates(["node"]))
+        # rows of one node have one text: any signature of it serves
+        self.nodes = cut(self.signed.groupBy("node").agg(
+            F.min(F.struct("doc_id", "tag")).alias("rep"), F.count(F.lit(1)).alias("copies"),
+            F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+            .select("node", "rep.doc_id", "rep.tag", "copies", "sig", "bands"))
         self.sigs = self.nodes.select("node", "sig")
-        keys = self.nodes.select("node", F.explode("bands").alias("band"))
+        keys = self.nodes.select("node", F.posexplode("bands").alias("nth", "band"))
         many = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         self.members = cut(keys.join(many, "band"))
 
     def _side(self, name: str) -> DataFrame:
         return self.sigs.select(F.col("node").alias(name), F.col("sig").alias(f"sig_{name}"))
 
-    def candidates(self, small: int) -> DataFrame:
-        """Pairs of small bands, and pairs with the hub of large ones."""
-        few = self.members.filter(F.col("n") <= small)
-        packs = few.groupBy("band").agg(F.array_sort(F.collect_list("node")).alias("all"))
-        pairs = packs.select("all", F.posexplode("all").alias("i", "a")).select(
-            "a", F.explode(F.slice("all", F.col("i") + 2, F.lit(small))).alias("b"))
-        shared = self.members.groupBy("node").agg(F.sum("n").alias("mass"))
-        large = self.members.filter(F.col("n") > small).join(shared, "node")
-        hubs = large.groupBy("band").agg(F.max(F.struct("mass", "node")).alias("hub"))
-        stars = large.join(hubs, "band").filter("node <> hub.node").select(
-            F.col("hub.node").alias("a"), F.col("node").alias("b"))
-        return pairs.union(stars).distinct()
+    def candidates(self) -> DataFrame:
+        """The pairs of each band's nodes with its hub."""
+        mass = self.members.groupBy("node").agg(F.sum("n").alias("mass"))
+        rows = self.members.join(mass, "node")
+        hubs = rows.groupBy("band").agg(F.max(F.struct("mass", "node")).alias("hub"))
+        return (rows.join(hubs, "band").filter("node <> hub.node")
+                .select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct())
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         return (pairs.join(self._side("a"), "a").join(self._side("b"), "b")
@@ -284,38 +303,43 @@ class Linker:
         return j.select("a", "b", "text_a", "text_b").mapInArrow(
             _verified(self.at_least, self.k), "a binary, b binary")
 
-    def between(self, root: DataFrame, small: int, side: int) -> DataFrame:
-        """Likely pairs of different classes within large bands."""
-        large = self.members.filter(F.col("n") > small)
-        large = large.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = (large.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-                 .filter("least <> most").select("band"))
+    def between(self, root: DataFrame, side: int, together: int) -> DataFrame:
+        """Likely pairs of different classes within a band."""
+        rows = self.members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = cut(rows.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most"),
+                                             F.count(F.lit(1)).alias("rows"))
+                    .filter("least <> most and rows > 2").select("band", "rows"))
+        cells = max(1, (mixed.agg(F.sum("rows")).first()[0] or 0) // together)
         blocks = F.ceil(F.col("n") / side).cast("int")
-        rows = (large.join(mixed, "band").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        # bands of one block are dealt to cells together, larger ones block by block
+        cell = F.when(blocks == 1, F.pmod("band", F.lit(cells))).otherwise(F.col("band"))
+        short = F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("keys")
+        rows = (rows.join(mixed.select("band"), "band")
+                .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
                 .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                .join(self.sigs, "node")
-                .select("band", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
-                        "own", "node", "root", "sig"))
-        return rows.groupBy("band", "i", "j").applyInArrow(_across(self.least), "a binary, b binary").select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+                .join(self.nodes.select("node", "sig", short), "node")
+                .select(cell.alias("cell"), (blocks > 1).alias("large"), F.least("own", "with").alias("i"),
+                        F.greatest("own", "with").alias("j"), "band", "nth", "own", "node", "root", "sig", "keys"))
+        return rows.groupBy("cell", "large", "i", "j").applyInArrow(_across(self.least), "a binary, b binary").distinct()
 
 
 def near_classes(docs: DataFrame, m: int = M, bands: int = BANDS, width: int = WIDTH, k: int = SHINGLE,
-                 at_least: tuple[int, int] = AT_LEAST, small: int = SMALL, side: int = SIDE) -> DataFrame:
+                 at_least: tuple[int, int] = AT_LEAST, side: int = SIDE, together: int = TOGETHER) -> DataFrame:
     """doc_id, tag, class_id, class_size of every row (null doc_id: NO_ID)."""
     run = Linker(docs, m, bands, width, k, at_least)
-    links = cut(run.verify(cut(run.likely(run.candidates(small)))))
+    links = cut(run.verify(cut(run.likely(run.candidates()))))
     root = components(links)
-    more = cut(run.between(root, small, side))
+    more = cut(run.between(root, side, together))
     if not more.isEmpty():
         links = links.union(run.verify(more))
         root = components(links)
-    classed = run.signed.select("doc_id", "tag", "node").join(root, "node", "left").withColumn(
+    classed = run.nodes.select("node", "doc_id", "copies").join(root, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
-    sizes = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    per = classed.select("root", "doc_id", "tag").distinct().join(sizes, "root").drop("root")
+    sizes = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
+    of_node = spread_join(classed.select("root", "node"), sizes, "root", "node").drop("root")
+    per = spread_join(run.signed.select("doc_id", "tag", "node").distinct(), of_node, "node", "doc_id")
     every = run.docs.select("doc_id", "tag")
-    return every.join(per, ["doc_id", "tag"], "left").select(
+    return every.join(per.drop("node"), ["doc_id", "tag"], "left").select(
         "doc_id", "tag", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
