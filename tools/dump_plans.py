@@ -9,7 +9,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tidemark.plans.queries import queries  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 
 NODE = re.compile(r"^([\s:+\-|]*)(\*\(\d+\)\s*)?([A-Za-z][A-Za-z]*)(.*)$")
@@ -47,11 +47,11 @@ def main():
              f"Final AQE plans at `{sf_dir}` (`local[8]`), produced by `tools/dump_plans.py`. Expressions",
              "are left out; exchanges, scans (read columns, pushed filters), joins, windows and",
              "generators keep their arguments. `*(n)` marks a whole-stage codegen stage.", ""]
-    for name, fn in E.queries().items():
+    for name, fn in queries().items():
         df = fn(spark, sf_dir)
         qe = df._jdf.queryExecution()
         qe.executedPlan().execute().count()  # run this very plan so AQE finalises it
-        plan = qe.executedPlan().toString()
+        plan = qe.executedPlan().toString().split("== Initial Plan ==")[0]  # the final plan only
         lines += [f"## {name}", "", "```"] + compact(plan) + ["```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(lines))

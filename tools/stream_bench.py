@@ -4,14 +4,15 @@ parquet files into the ``noop`` sink. Per job two numbers: one
 one file per micro-batch (rows over the summed trigger times of all
 batches, so query start is left out). Prints one line per job.
 
-    python tools/stream_bench.py [sf_dir]
+    python tools/stream_bench.py folder [sf_dir]
+
+``folder`` takes the intermediate files (shared, on a cluster).
 """
 
 from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -27,12 +28,12 @@ from tidemark.streaming import jobs as J  # noqa: E402
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    d = os.path.join(sys.argv[1], f"stream-bench-{int(time.time())}")
+    sf = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session("tidemark-stream-bench", master=f"local[{cpus}]", shuffle_partitions=cpus,
                         conf={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
-    d = tempfile.mkdtemp(prefix="run-stream-bench-")
     raw_log(spark, sf).repartition(cpus).write.parquet(os.path.join(d, "raw"))
     (pl.routed_log(spark, sf).filter(F.col("topic") == TOPIC_PAGE).select("value", "seq")
        .repartition(cpus).write.parquet(os.path.join(d, "page")))
