@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,6 +27,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark free the shuffle files of steps that are written and no longer
+    referred to: its cleaner follows the garbage collection of the driver."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

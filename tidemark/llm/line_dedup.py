@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, keyed, real_id, stored
+from .common import cut, keyed, real_id, release, stored
 
 EDITS = 2
 #: Shortest line compared by edits.
@@ -41,57 +41,42 @@ HOT = 200
 BLANK = r"^[\x20\x09-\x0D]*$"
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment i of a line of ``length``."""
-    short = F.floor(length / (edits + 1)).cast("int")
-    longer = (length - short * (edits + 1)).cast("int")  # the last ones have one more
-    plain = F.lit(edits + 1) - longer
-    return short * i + F.greatest(F.lit(0), F.lit(i) - plain), short + F.when(F.lit(i) >= plain, 1).otherwise(0)
-
-
 def _shifts(i: int, less: int, edits: int) -> range:
     """Where segment i may lie in a line that is ``less`` characters longer."""
     return range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
 
 
-def _without(text: str, start: Column, size: Column) -> Column:
-    return F.concat(F.substring(text, F.lit(1), start), F.substring(text, start + size + 1, F.lit(2**31 - 1)))
-
-
-def _entries(text: str, parent: Column | None, edits: int, rest: bool) -> Column:
-    """Index entries of a line, or of what is left of it under ``parent``."""
-    size, out = F.length(text), []
-    for i in range(edits + 1):
-        start, n = _segment(size, i, edits)
-        key = [size, F.lit(i), F.substring(text, start + 1, n)]
-        key = F.xxhash64(*([parent] if parent is not None else []), *key)
-        out.append(F.struct(key.alias("key"), F.lit(0).alias("less"), F.lit(i).alias("i"), F.lit(0).alias("shift"),
-                            *([_without(text, start, n).alias("rest")] if rest else [])))
-    return F.array(*out)
-
-
-def _probes(text: str, parent: Column | None, edits: int, rest: bool, fixed: Column | None = None) -> Column:
-    """Probe entries; ``fixed``: by how much the other line is shorter, if known."""
-    out = []
-    for less in range(edits + 1):
-        size = F.length(text) - less
-        for i in range(edits + 1):
-            start, n = _segment(size, i, edits)
-            for shift in _shifts(i, less, edits):
-                at = start + shift
-                fits = (at >= 0) & (at + n <= F.length(text)) & (size > edits)
-                if fixed is not None:
-                    fits = fits & (fixed == less)
-                key = [size, F.lit(i), F.substring(text, at + 1, n)]
-                key = F.xxhash64(*([parent] if parent is not None else []), *key)
-                out.append(F.when(fits, F.struct(
-                    key.alias("key"), F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"),
-                    *([_without(text, at, n).alias("rest")] if rest else []))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+def _windows(lines: DataFrame, edits: int, probe: bool, fixed: bool = False) -> DataFrame:
+    """``lines`` (with ``size``, the line's length) once for each segment
+    (``probe``: for each place where the segment of a line that is ``less`` shorter may
+    lie; ``fixed``: for the ``less`` the row has): with less, i, at, n."""
+    which = [(less, i, shift) for less in range(edits + 1 if probe else 1) for i in range(edits + 1)
+             for shift in (_shifts(i, less, edits) if probe else (0,))]
+    each = F.array(*[F.struct(F.lit(a).alias("_less"), F.lit(b).alias("i"), F.lit(c).alias("_shift")) for a, b, c in which])
+    x = lines.select("*", F.inline(each))
+    x = x.filter(F.col("_less") == F.col("less")) if fixed else x.withColumn("less", F.col("_less"))
+    # the other line's length and even segments, the last ones longer by one
+    x = x.withColumn("other", F.col("size") - F.col("less"))
+    x = x.withColumn("_short", F.floor(F.col("other") / (edits + 1)).cast("int"))
+    x = x.withColumn("_plain", F.lit(edits + 1) - (F.col("other") - F.col("_short") * (edits + 1)))
+    x = x.withColumn("at", F.col("_short") * F.col("i") + F.greatest(F.lit(0), F.col("i") - F.col("_plain")) + F.col("_shift"))
+    x = x.withColumn("n", F.col("_short") + (F.col("i") >= F.col("_plain")).cast("int"))
+    return x.filter((F.col("at") >= 0) & (F.col("at") + F.col("n") <= F.col("size")) & (F.col("other") > edits)).drop(
+        "_less", "_shift", "_short", "_plain")
+
+
+def _without(text: str) -> Column:
+    """``text`` without its window at, n."""
+    return F.concat(F.substring(text, F.lit(1), F.col("at")),
+                    F.substring(text, F.col("at") + F.col("n") + 1, F.lit(2**31 - 1)))
+
+
+def _key(text: str, *parent: str) -> Column:
+    return F.xxhash64(*parent, "other", "i", F.substring(text, F.col("at") + 1, F.col("n")))
 
 
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
-    """The edit distance of the character arrays a and b if it is at most
+    """The edit distance of the character arrays a and b (columns) if it is at most
     ``edits`` (and their sizes differ by no more), else something greater.
 
     Bit k of a column's words stands for row j - edits + k. ``plus`` and
@@ -149,18 +134,28 @@ def _characters(text: str) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
+def _holds_most(edits: int, parts: int = 8) -> Column:
+    """Whether line_b holds all but ``edits`` of ``parts`` even parts of line_a: no
+    edit spoils two, so lines without them are further apart."""
+    n = F.floor(F.col("size_a") / parts).cast("int")
+    held = F.lit(0)
+    for i in range(parts):
+        held = held + F.contains("line_b", F.substring("line_a", n * i + 1, n)).cast("int")
+    return held >= parts - edits
+
+
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """line, h, g (its hashes), place (its first doc_id, tag and position) of
+    """line, h, g (its hashes), size, place (its first doc_id, tag and position) of
     every line that is not blank; ``docs`` as from :func:`keyed`."""
     each = docs.select("doc_id", "tag", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     each = each.filter(~F.col("line").rlike(BLANK))
     d = each.groupBy("line").agg(F.min(F.struct("doc_id", "tag", "pos")).alias("place"))
-    return d.select("line", F.xxhash64("line").alias("h"), F.hash("line").alias("g"), "place")
+    return d.select("line", F.xxhash64("line").alias("h"), F.hash("line").alias("g"), F.length("line").alias("size"), "place")
 
 
 def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST, hot: int = HOT) -> DataFrame:
     """h, g of the lines that are within ``edits`` of one with an earlier place."""
-    some = lines.filter(F.length("line") >= least)
+    some = lines.filter(F.col("size") >= least)
     pairs = []
 
     def meet(index: DataFrame, probe: DataFrame) -> None:
@@ -177,31 +172,26 @@ def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST, hot: in
             return None
         return index.join(many, "key", "left_semi"), probe.join(many, "key", "left_semi")
 
-    text = some.filter(F.length("line") > edits)
-    index = text.select("h", F.inline(_entries("line", None, edits, False)))
-    probe = text.select("h", F.inline(_probes("line", None, edits, False)))
-    left = taken_apart(index, probe)
+    text = some.filter(F.col("size") > edits).select("h", "line", "size")
+
+    def first(probe: bool) -> DataFrame:
+        return _windows(text, edits, probe).select("h", _key("line").alias("key"), "less", "at", "n")
+
+    index = probe = p = None
+    left = taken_apart(first(False), first(True))
     if left is not None:
         # what is left of the lines themselves, without the segment they share
-        def rests(entries: DataFrame) -> DataFrame:
-            start, n = F.lit(None).cast("int"), F.lit(None).cast("int")
-            size = F.length("line") - F.col("less")
-            for i in range(edits + 1):
-                a, z = _segment(size, i, edits)
-                start, n = F.when(F.col("i") == i, a).otherwise(start), F.when(F.col("i") == i, z).otherwise(n)
-            j = entries.join(some.select("h", "line"), "h")
-            return j.select("h", "key", "less", _without("line", start + F.col("shift"), n).alias("rest"))
-
-        index, probe = cut(rests(left[0])), cut(rests(left[1]))
+        index, probe = (cut(x.join(some.select("h", "line"), "h").select(
+            "h", "key", "less", _without("line").alias("rest")).withColumn("size", F.length("rest"))) for x in left)
     while left is not None:
         # rests of up to ``edits`` characters are not divided further: the lines
         # of such a key differ nowhere else, so they are few, and make pairs
-        done_i, done_p = (x.filter(F.length("rest") - F.col("less") <= edits) for x in (index, probe))
-        meet(done_i, done_p)
-        more_i, more_p = (x.filter(F.length("rest") - F.col("less") > edits) for x in (index, probe))
-        index = more_i.select("h", F.inline(_entries("rest", F.col("key"), edits, True)))
-        probe = more_p.withColumn("d", F.col("less")).select(
-            "h", F.inline(_probes("rest", F.col("key"), edits, True, F.col("d"))))
+        short = F.col("size") - F.col("less") <= edits
+        meet(index.filter(short), probe.filter(short))
+        index, probe = (
+            _windows(x.filter(~short), edits, is_probe, fixed=True)
+            .select("h", _key("rest", "key").alias("key"), "less", _without("rest").alias("rest"))
+            .withColumn("size", F.length("rest")) for x, is_probe in ((index, False), (probe, True)))
         index, probe = cut(index), cut(probe)
         left = taken_apart(index, probe)
         if left is not None:
@@ -209,11 +199,19 @@ def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST, hot: in
     met = pairs[0]
     for p in pairs[1:]:
         met = met.union(p)
-    side = lines.select("h", "g", "place", "line")
-    met = (met.distinct().join(side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns]), F.col("a") == F.col("h_a"))
+    met = cut(met.distinct())
+    del pairs[:], index, probe, left, p
+    release(lines.sparkSession)
+    # only the lines of some pair are fetched, once
+    wanted = met.select(F.col("a").alias("h")).union(met.select("b")).distinct()
+    side = cut(lines.join(wanted, "h", "left_semi").select("h", "g", "place", "size", "line"))
+    met = (met.join(side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns]), F.col("a") == F.col("h_a"))
            .join(side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns]), F.col("b") == F.col("h_b"))
-           .filter("line_a <> line_b"))
-    close = met.filter(edit_distance(_characters("line_a"), _characters("line_b"), edits) <= edits)
+           .filter("line_a <> line_b").filter(_holds_most(edits)))
+    # a one-row generator: the characters are listed once, not wherever the distance names them
+    met = met.select("h_a", "g_a", "place_a", "h_b", "g_b", "place_b", F.inline(F.array(F.struct(
+        _characters("line_a").alias("chars_a"), _characters("line_b").alias("chars_b")))))
+    close = met.filter(edit_distance(F.col("chars_a"), F.col("chars_b"), edits) <= edits)
     later = F.when(F.col("place_a") < F.col("place_b"), F.struct(F.col("h_b").alias("h"), F.col("g_b").alias("g"))) \
         .otherwise(F.struct(F.col("h_a").alias("h"), F.col("g_a").alias("g")))
     return close.select(later.alias("l")).select("l.*").distinct()
@@ -224,7 +222,9 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, hot: in
     blank ones, joined by ``\\n``) of every row."""
     d = keyed(docs)
     lines = stored(distinct_lines(d))
+    release(docs.sparkSession)
     near = cut(near_lines(lines, edits, least, hot))
+    release(docs.sparkSession)
     # Each line stays where it comes first, so what a document keeps is known
     # without looking up every line of every document.
     stays = (lines.select("h", "g", "place").join(near, ["h", "g"], "left_anti")
