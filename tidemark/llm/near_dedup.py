@@ -22,8 +22,8 @@ A band gives the pairs with its hub, the node that shares most bands. Pairs
 whose signatures agree too little to reach 0.8 (4.5 standard deviations) are left
 out, the rest are verified on the texts. Bands whose nodes are then still in
 several classes are compared across classes, signature against signature in
-blocks, each pair in the first band it shares, and what may reach 0.8 is
-verified too: no link that would join classes is lost to a band's size, and no
+blocks: twice for each node's likeliest links, then for all that may reach 0.8,
+each pair in the first band it shares; what is found is verified too. So no link that would join classes is lost to a band's size, and no
 group is written out as pairs.
 
 Null, empty and blank texts have no shingles and are classes of their own. The
@@ -41,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, keep_rows, keyed, real_id, spread_join
+from .common import cut, keep_rows, keyed, real_id, release, spread_join
 from .components import components
 from .windows import U, mix, word_hashes
 
@@ -225,10 +225,10 @@ def _verified(at_least: tuple[int, int], k: int):
     return run
 
 
-def _across(least: int):
+def _across(least: int, best: int | None):
     """Pairs of nodes of different classes that share a band, first this one,
     and whose signatures agree enough: of one block of a large band, or of
-    many small bands."""
+    many small bands. ``best``: for each node only the pairs that agree most."""
     def run(t: pa.Table) -> pa.Table:
         band = t.column("band").to_numpy()
         order = np.argsort(band, kind="stable")
@@ -249,8 +249,11 @@ def _across(least: int):
                     continue
                 others = np.arange(i + 1, z) if low == high else x + np.flatnonzero(own[x:z] == high)
                 others = others[root[others] != root[i]]
-                others = others[_agree(sig[others], sig[i]) >= least]
-                if nth[i]:
+                same = _agree(sig[others], sig[i])
+                others, same = others[same >= least], same[same >= least]
+                if best is not None:
+                    others = others[np.argsort(-same, kind="stable")[:best]]
+                elif nth[i]:
                     others = others[~(keys[others, :nth[i]] == keys[i, :nth[i]]).any(axis=1)]
                 a += [i] * len(others)
                 b += others.tolist()
@@ -303,8 +306,9 @@ class Linker:
         return j.select("a", "b", "text_a", "text_b").mapInArrow(
             _verified(self.at_least, self.k), "a binary, b binary")
 
-    def between(self, root: DataFrame, side: int, together: int) -> DataFrame:
-        """Likely pairs of different classes within a band."""
+    def between(self, root: DataFrame, side: int, together: int, least: int, best: int | None = None) -> DataFrame:
+        """Pairs of different classes within a band whose signatures have
+        ``least`` agreeing components."""
         rows = self.members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = cut(rows.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most"),
                                              F.count(F.lit(1)).alias("rows"))
@@ -320,7 +324,7 @@ class Linker:
                 .join(self.nodes.select("node", "sig", short), "node")
                 .select(cell.alias("cell"), (blocks > 1).alias("large"), F.least("own", "with").alias("i"),
                         F.greatest("own", "with").alias("j"), "band", "nth", "own", "node", "root", "sig", "keys"))
-        return rows.groupBy("cell", "large", "i", "j").applyInArrow(_across(self.least), "a binary, b binary").distinct()
+        return rows.groupBy("cell", "large", "i", "j").applyInArrow(_across(least, best), "a binary, b binary").distinct()
 
 
 def near_classes(docs: DataFrame, m: int = M, bands: int = BANDS, width: int = WIDTH, k: int = SHINGLE,
@@ -329,10 +333,16 @@ def near_classes(docs: DataFrame, m: int = M, bands: int = BANDS, width: int = W
     run = Linker(docs, m, bands, width, k, at_least)
     links = cut(run.verify(cut(run.likely(run.candidates()))))
     root = components(links)
-    more = cut(run.between(root, side, together))
-    if not more.isEmpty():
-        links = links.union(run.verify(more))
-        root = components(links)
+    # first each node's likeliest links to other classes, which merges most of
+    # what belongs together; then everything that still may link two classes
+    p = at_least[0] / at_least[1]
+    sure = int(m * (p + (1 - p) / 16))
+    for least, best in ((sure, 2), (sure, 2), (run.least, None)):
+        more = cut(run.between(root, side, together, least, best))
+        if not more.isEmpty():
+            links = cut(links.union(run.verify(more)))
+            root = components(links)
+        release(docs.sparkSession)
     classed = run.nodes.select("node", "doc_id", "copies").join(root, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     sizes = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
