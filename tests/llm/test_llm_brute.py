@@ -123,6 +123,38 @@ def test_held_out_labels_are_not_learnt(spark):
     assert a == b
 
 
+def test_every_word_has_its_own_vector(spark):
+    """More words than any shared table had rows; rare ones joined as the hot ones are looked up."""
+    from tidemark.llm import quality
+    rng, n = random.Random(9), 40_000
+    texts = [" ".join(f"w{i}" for i in range(a, a + 400)) for a in range(0, n, 400)]
+    texts += [" ".join(f"w{int(n * rng.random() ** 4)}" for _ in range(300)) for _ in range(50)] + ["", "alone"]
+    docs = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "doc_id long, tag long, text string").repartition(5)
+    sums = defaultdict(lambda: np.zeros(quality.DIM, np.int64))
+    hashes = {}
+    for t in texts:
+        h = quality.word_rows([t.encode()])[0]
+        draws = mix(h ^ np.uint64(0xD1B54A32D192ED03))
+        hashes.update(zip(t.split(), h.view(np.int64).tolist()))
+        for i in range(len(h)):
+            for j in range(max(0, i - 2), min(len(h), i + 3)):
+                for nth in range(2 if i != j else 0):
+                    bits = int(draws[j]) >> (16 * nth)
+                    sums[hashes[t.split()[i]]][bits % quality.DIM] += (bits >> 12 & 1) * 2 - 1
+    vectors = quality.word_vectors(docs)
+    got = {r.word: r.sums for r in vectors.collect()}
+    assert len(got) == len(hashes) == n + 1
+    for w, h in hashes.items():
+        v = got[h]
+        assert np.array_equal(np.frombuffer(v, f"<i{len(v) // quality.DIM}"), sums[h])
+    x = [sorted((r.doc_id, r.x) for r in quality.pooled(docs, vectors, hot).collect()) for hot in (1, 1000, 1 << 20)]
+    assert x[0] == x[1] == x[2] and len(x[0]) == len(texts)
+    for i, t in enumerate(texts[:-2]):
+        e = np.array([sums[hashes[w]] for w in t.split()], float)
+        e /= np.maximum(np.linalg.norm(e, axis=1, keepdims=True), 1e-12)
+        assert np.allclose(x[0][i][1], [*e.mean(0), *e.std(0)], atol=1e-4)
+
+
 def _distance(a, b):
     p = list(range(len(b) + 1))
     for i, x in enumerate(a):

@@ -4,9 +4,14 @@ Words here are runs of letters and digits (every byte from 128 on counts as a
 letter) and single other characters. Every word has a sparse random index
 vector: ``NONZERO`` components of +1 or -1, drawn from its hash. Its word
 vector is the sum of the index vectors of the words at most ``REACH`` places
-away, over *all* documents; words share ``ROWS`` rows by hash, so the model has
-one size for any corpus. Each task adds up its own table, and tables are summed
-by slices of rows. Rows are scaled to unit length.
+away, over *all* documents, scaled to unit length. Every word (64-bit hash) has a
+vector of its own: tasks add up the words they meet, and tables are summed by
+buckets of words, whose number grows with the corpus.
+
+Documents look up the ``HOT`` most frequent words in a broadcast table. Their
+counts of all other words are joined with the vectors by word, and the joined
+rows go to their document. Vectors are whole multiples of 1 / ``UNIT`` there, so sums
+are exact in any order.
 
 A document is the mean and the standard deviation of its words' vectors. A
 two-layer network (tanh, logistic output) is fitted in numpy on the driver to
@@ -30,15 +35,22 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, keep_rows, keyed, real_id
+from .common import cut, keep_rows, keyed, real_id, release, stored
 from .windows import mix, word_hashes
 
-ROWS, DIM, NONZERO, REACH = 1 << 15, 32, 2, 2
+DIM, NONZERO, REACH = 32, 2, 2
+#: Words looked up in a broadcast table; the others are joined.
+HOT = 1 << 18
+UNIT = 1 << 20
 #: Labelled documents the network is fitted to, at most.
 TRAIN_ROWS = 20_000
-SLICES = 64
 #: Bytes of text handled at once.
 BLOCK = 1 << 20
+#: Words of a task's table, and the most words of text it counts: both bound memory
+#: only, full tables go out and new ones begin.
+TABLE, COUNTED = 1 << 18, 1 << 27
+#: Bytes of text for each bucket of words, and the fewest buckets.
+BUCKET_BYTES, BUCKETS = 1 << 23, 8
 
 # Bytes by kind: 0 white space, 1 letters and digits, 2 others.
 _KIND = np.full(256, 2, np.uint8)
@@ -84,96 +96,237 @@ def _pieces(text: bytes) -> list[bytes]:
     return [*out, text[at:]]
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, waiting, flat, sign = np.zeros(ROWS * DIM, np.int64), 0, [], []
+def _packed(v: np.ndarray) -> pa.Array:
+    """Rows of whole numbers, each in the narrowest type that holds it."""
+    most = np.abs(v).max(axis=1, initial=0)
+    size = 1 << np.searchsorted([1 << 7, 1 << 15, 1 << 31], most, "right")
+    ends = np.concatenate([[0], np.cumsum(size * v.shape[1])])
+    data = np.empty(ends[-1], np.uint8)
+    for s in (1, 2, 4, 8):
+        rows = np.flatnonzero(size == s)
+        data[ends[rows][:, None] + np.arange(s * v.shape[1])] = v[rows].astype(f"<i{s}").view(np.uint8)
+    return pa.array([], pa.binary()) if not len(v) else pa.BinaryArray.from_buffers(
+        pa.binary(), len(v), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _unpacked(a: pa.Array, width: int) -> np.ndarray:
+    """The rows that :func:`_packed` packed; zeros where null."""
+    v = np.zeros((len(a), width), np.int64)
+    if a.null_count == len(a):
+        return v
+    a = a.cast(pa.binary())
+    ends = np.frombuffer(a.buffers()[1], np.int32)[a.offset:a.offset + len(a) + 1].astype(np.int64)
+    data = np.frombuffer(a.buffers()[2], np.uint8)
+    size = np.diff(ends) // width
+    for s in (1, 2, 4, 8):
+        rows = np.flatnonzero(size == s)
+        v[rows] = data[ends[rows][:, None] + np.arange(s * width)].view(f"<i{s}")
+    return v
+
+
+def _cuts(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
+
+
+Sums = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _added(parts: list[Sums]) -> Sums:
+    """Words, counts and sums, one row for each word, in their order."""
+    word, n, sums = (np.concatenate(p) for p in zip(*parts))
+    order = np.argsort(word, kind="stable")
+    word = word[order]
+    cuts = _cuts(word)
+    return (word[cuts], np.add.reduceat(n[order], cuts),
+            np.add.reduceat(sums[order], cuts, axis=0, dtype=sums.dtype))
+
+
+def _dealt(buckets: int, word: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """A table in compressed parts, one for each bucket (words are in order)."""
+    z, bucket = zstandard.ZstdCompressor(level=3), _bucket(word, buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = _cuts(bucket[order])
+    parts = []
+    for rows in np.split(order, cuts[1:]):
+        packed = _packed(sums[rows])
+        head = np.diff(word[rows], prepend=0), n[rows].astype(np.int32), np.diff(
+            np.frombuffer(packed.buffers()[1], np.int32)).astype(np.int16)
+        parts.append(z.compress(len(rows).to_bytes(8, "little") + b"".join(c.tobytes() for c in head)
+                                + packed.buffers()[2].to_pybytes()))
+    return pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[order][cuts]), "part": pa.array(parts, pa.binary())})
+
+
+def _bucket(word: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(word.view(np.uint64).copy()) % np.uint64(buckets)).astype(np.int64)
+
+
+def _opened(part: bytes) -> Sums:
+    data = zstandard.ZstdDecompressor().decompress(part)
+    k, at = int.from_bytes(data[:8], "little"), 8
+    word = np.cumsum(np.frombuffer(data, np.int64, k, at))
+    n = np.frombuffer(data, np.int32, k, at + 8 * k).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(data, np.int16, k, at + 12 * k), dtype=np.int32)]).astype(np.int32)
+    packed = pa.BinaryArray.from_buffers(pa.binary(), k, [None, pa.py_buffer(ends), pa.py_buffer(data[at + 14 * k:])])
+    return word, n, _unpacked(packed, DIM)
+
+
+def _contexts(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, held, counted = [], 0, 0
+        for b in batches:
+            texts = [p for t in b.column("text").cast(pa.binary()).to_pylist() for p in _pieces(t)]
+            for _, part in _parts(texts):
+                h, owner = word_rows(part)
+                if not len(h):
+                    continue
+                word, row, n = np.unique(h.view(np.int64), return_inverse=True, return_counts=True)
+                row = row * DIM
+                draws, flat, sign = mix(h ^ np.uint64(0xD1B54A32D192ED03)), [], []
+                for step in range(1, REACH + 1):
+                    near = owner[step:] == owner[:-step]
+                    for nth in range(NONZERO):
+                        bits = (draws >> np.uint64(16 * nth)).astype(np.int64)
+                        place, plus = bits % DIM, ((bits >> 12) & 1) * 2 - 1
+                        flat += [(row[:-step] + place[step:])[near], (row[step:] + place[:-step])[near]]
+                        sign += [plus[step:][near], plus[:-step][near]]
+                sums = np.bincount(np.concatenate(flat), np.concatenate(sign), len(word) * DIM)
+                table.append((word, n, sums.astype(np.int32).reshape(-1, DIM)))
+                held, counted = held + len(word), counted + len(h)
+                if held > TABLE or counted > COUNTED:
+                    table = [_added(table)]
+                    held = len(table[0][0])
+                    if held > TABLE // 2 or counted > COUNTED:
+                        yield _dealt(buckets, *table[0])
+                        table, held, counted = [], 0, 0
+        if table:
+            yield _dealt(buckets, *_added(table))
+    return run
 
-    def add() -> None:
-        if flat:
-            total[:] += np.bincount(np.concatenate(flat), np.concatenate(sign), ROWS * DIM).astype(np.int64)
-        flat.clear()
-        sign.clear()
 
-    for b in batches:
-        texts = [p for t in b.column("text").cast(pa.binary()).to_pylist() for p in _pieces(t)]
-        for _, part in _parts(texts):
-            h, owner = word_rows(part)
-            row = (h % np.uint64(ROWS)).astype(np.int64) * DIM
-            draws = mix(h ^ np.uint64(0xD1B54A32D192ED03))
-            for step in range(1, REACH + 1):
-                near = owner[step:] == owner[:-step]
-                for nth in range(NONZERO):
-                    bits = (draws >> np.uint64(16 * nth)).astype(np.int64)
-                    place, plus = bits % DIM, ((bits >> 12) & 1) * 2 - 1
-                    flat += [(row[:-step] + place[step:])[near], (row[step:] + place[:-step])[near]]
-                    sign += [plus[step:][near], plus[:-step][near]]
-            waiting += len(h)
-            if waiting > 1 << 18:
-                add()
-                waiting = 0
-    add()
-    z = zstandard.ZstdCompressor(level=1)
-    own = total.reshape(SLICES, -1)
-    yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()),
-                                      "sums": pa.array([z.compress(own[i].tobytes()) for i in range(SLICES)],
-                                                       pa.binary())})
+def _summed(t: pa.Table) -> pa.Table:
+    table, more, held = [], [], 0
+    for part in t.column("part"):
+        more.append(_opened(part.as_py()))
+        held += len(more[-1][0])
+        if held > TABLE // 4:
+            table, more, held = [_added(table + more)], [], 0
+    word, n, sums = _added(table + more)
+    return pa.table({"word": pa.array(word), "n": pa.array(n), "sums": _packed(sums)})
 
 
-def _summed(t: pa.Table) -> pa.Table:
-    z = zstandard.ZstdDecompressor()
-    total = np.zeros(ROWS * DIM // SLICES, np.int64)
-    for x in t.column("sums"):
-        total += np.frombuffer(z.decompress(x.as_py()), np.int64)
-    return pa.table({"slice": t.column("slice")[:1],
-                     "sums": pa.array([zstandard.ZstdCompressor(level=1).compress(total.tobytes())], pa.binary())})
-
-
-def word_vectors(docs: DataFrame) -> np.ndarray:
-    """The table of word vectors, ROWS x DIM: 4 MB whatever the corpus."""
-    sums = (docs.select("text").mapInArrow(_contexts, "slice int, sums binary")
-            .groupBy("slice").applyInArrow(_summed, "slice int, sums binary").collect())
-    z, out = zstandard.ZstdDecompressor(), np.zeros((SLICES, ROWS * DIM // SLICES))
-    for r in sums:
-        out[r["slice"]] = np.frombuffer(z.decompress(bytes(r["sums"])), np.int64)
-    v = out.reshape(ROWS, DIM)
-    return (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-
-
-def _pool(vectors):
+def word_vectors(docs: DataFrame) -> DataFrame:
+    """word, n, sums of every word: its hash, its count, and its vector before scaling."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    out = stored(docs.select("text").mapInArrow(_contexts(max(BUCKETS, size // BUCKET_BYTES)), "bucket long, part binary")
+                 .groupBy("bucket").applyInArrow(_summed, "word long, n long, sums binary"))
+    release(docs.sparkSession)
+    return out
+
+
+def _units(sums: np.ndarray) -> np.ndarray:
+    """Vectors of length one in whole units."""
+    return np.rint(sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12) * UNIT)
+
+
+def _moments(units: np.ndarray) -> np.ndarray:
+    """Vectors and their squares, in whole units."""
+    return np.hstack([units, np.floor(units * units / UNIT)])
+
+
+def _counted(hot):
+    """A row for each document (sums of its hot words, n of all words) and one
+    for each of its other words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = vectors.value
+        words, units = hot.value
         for b in batches:
+            ids, tags = b.column("doc_id").to_numpy(), b.column("tag").to_numpy()
             texts = b.column("text").cast(pa.binary()).to_pylist()
             pieces, of = [], []
             for i, t in enumerate(texts):
                 for p in _pieces(t):
                     pieces.append(p)
                     of.append(i)
-            n = np.zeros(len(texts))
-            one, two = np.zeros((len(texts), DIM)), np.zeros((len(texts), DIM))
+            n, sums = np.zeros(len(texts), np.int64), np.zeros((len(texts), 2 * DIM), np.int64)
             of_text = np.array(of)
             for at, part in _parts(pieces):
                 h, owner = word_rows(part)
                 if not len(h):
                     continue
-                e = w[(h % np.uint64(ROWS)).astype(np.int64)]
-                cuts = np.flatnonzero(np.diff(owner, prepend=-1))
+                h = h.view(np.int64)
+                cuts = _cuts(owner)
                 rows = of_text[at + owner[cuts]]
                 np.add.at(n, rows, np.diff(np.append(cuts, len(owner))))
-                np.add.at(one, rows, np.add.reduceat(e, cuts, axis=0, dtype=np.float64))
-                np.add.at(two, rows, np.add.reduceat(e * e, cuts, axis=0, dtype=np.float64))
-            n = np.maximum(n, 1)[:, None]
-            mean = one / n
-            both = np.hstack([mean, np.sqrt(np.maximum(two / n - mean**2, 0))]).astype(np.float32)
+                place = np.minimum(np.searchsorted(words, h), len(words) - 1)
+                rare = words[place] != h
+                place[rare] = len(words)
+                for i, a, z in zip(rows.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(h)]):
+                    sums[i] += _moments(units[place[a:z]].astype(np.float64)).sum(axis=0).astype(np.int64)
+                own, word = of_text[at + owner[rare]], h[rare]
+                order = np.lexsort((word, own))
+                own, word = own[order], word[order]
+                cuts = _cuts(own, word)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": pa.array(ids[own[cuts]]), "tag": pa.array(tags[own[cuts]]), "word": pa.array(word[cuts]),
+                    "n": pa.array(np.diff(np.append(cuts, len(own)))), "own": pa.nulls(len(cuts), pa.binary())})
+            # any word will do in a document's row: a hash, so that they spread
             yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "tag": b.column("tag"),
-                "x": pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * (2 * DIM), both.ravel())})
+                "doc_id": pa.array(ids), "tag": pa.array(tags), "n": pa.array(n), "own": _packed(sums),
+                "word": pa.array(mix(ids.astype(np.uint64) ^ tags.astype(np.uint64)).view(np.int64))}
+                ).select(["doc_id", "tag", "word", "n", "own"])
     return run
 
 
-def pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of their documents, one for each document's row."""
+    def out(ids, tags, rows, n, sums):
+        share = sums / UNIT / np.maximum(n, 1)[:, None]
+        mean, square = share[:, :DIM], share[:, DIM:]
+        x = np.hstack([mean, np.sqrt(np.maximum(square - mean**2, 0))]).astype(np.float32)
+        each = np.repeat(np.arange(len(rows)), rows)
+        for at in range(0, len(each), 10_000):
+            e = each[at:at + 10_000]
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": pa.array(ids[e]), "tag": pa.array(tags[e]),
+                "x": pa.ListArray.from_arrays(np.arange(len(e) + 1, dtype=np.int32) * (2 * DIM), x[e].ravel())})
+
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        n = b.column("n").to_numpy()
+        whole = b.column("own").is_valid().to_numpy(zero_copy_only=False)
+        sums = _unpacked(b.column("own"), 2 * DIM)
+        rare = np.flatnonzero(~whole)
+        units = _units(_unpacked(b.column("sums").take(pa.array(rare)), DIM))
+        sums[rare] = _moments(units).astype(np.int64) * n[rare][:, None]
+        every = (b.column("doc_id").to_numpy(), b.column("tag").to_numpy(), whole.astype(np.int64),
+                 np.where(whole, n, 0), sums)
+        if last:
+            every = tuple(np.concatenate(c) for c in zip(last, every))
+        cuts = _cuts(*every[:2])
+        every = (every[0][cuts], every[1][cuts], *(np.add.reduceat(c, cuts, axis=0) for c in every[2:]))
+        last = tuple(c[-1:] for c in every)
+        yield from out(*(c[:-1] for c in every))
+    if last:
+        yield from out(*last)
+
+
+def pooled(docs: DataFrame, vectors: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, tag, x: the features of every document (doc_id, tag, text)."""
-    w = docs.sparkSession.sparkContext.broadcast(vectors)
-    return docs.mapInArrow(_pool(w), "doc_id long, tag long, x array<float>")
+    top = vectors.orderBy(F.desc("n"), "word").limit(hot).toArrow().combine_chunks()
+    word = top.column("word").to_numpy()
+    order = np.argsort(word)
+    units = _units(np.vstack([_unpacked(c, DIM) for c in top.column("sums").chunks] or [np.zeros((0, DIM))]))
+    units = np.vstack([units[order], np.zeros((1, DIM))]).astype(np.float32)  # the last: not hot
+    w = docs.sparkSession.sparkContext.broadcast((word[order], units))
+    rows = docs.mapInArrow(_counted(w), "doc_id long, tag long, word long, n long, own binary")
+    # equal rows of a key sum up to the same means, and come out as often as they went in
+    return (rows.join(vectors.select("word", "sums"), "word", "left").select("doc_id", "tag", "n", "own", "sums")
+            .repartition("doc_id", "tag").sortWithinPartitions("doc_id", "tag")
+            .mapInArrow(_features, "doc_id long, tag long, x array<float>"))
 
 
 class Network:
