@@ -59,6 +59,20 @@ def test_signatures_are_unbiased():
     assert abs(np.mean(diff)) < 0.01 and np.std(diff) < 0.03
 
 
+def test_packed_signatures_tell_texts_apart():
+    """Texts without a shingle in common agree in about 1/16 of the components, equal ones in all."""
+    texts = [b" ".join(b"t%dw%d" % (i, j) for j in range(300)) for i in range(30)]
+    s = near_dedup.signatures(texts)
+    sig = near_dedup._nibbles(s)
+    assert (near_dedup._agree(sig, sig) == near_dedup.M).all()
+    share = np.mean([near_dedup._agree(sig[i + 1:], sig[i]).mean() for i in range(29)]) / near_dedup.M
+    assert abs(share - 1 / 16) < 0.01
+    # components that agree in full agree in their four bits
+    a, b = near_dedup.signatures([texts[0] + b" " + texts[1][:200], texts[0]])
+    pair = near_dedup._nibbles(np.array([a, b]))
+    assert (a == b).sum() <= near_dedup._agree(pair[:1], pair[1:])[0] < near_dedup.M
+
+
 def _classes(docs):
     sh = {i: Counter(near_dedup.shingles(t.encode())) for i, t in docs}
     inv, parent = defaultdict(list), {i: i for i in sh}

@@ -178,8 +178,9 @@ def _signed(m: int, bands: int, width: int, k: int):
 
 
 def _nibbles(s: np.ndarray) -> np.ndarray:
-    """The lowest four bits of each component, two components a byte."""
-    low = (s & U(15)).astype(np.uint8)
+    """Four bits of each component, two components a byte. They are drawn from
+    the whole value: its own lowest bits say no more than the component's place."""
+    low = (mix(s.copy()) & U(15)).astype(np.uint8)
     return low[:, ::2] << 4 | low[:, 1::2]
 
 
