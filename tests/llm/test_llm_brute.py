@@ -111,6 +111,18 @@ def test_near_classes_against_all_pairs(spark, side, together):
     assert got == _classes(docs)
 
 
+def test_earlier_bands_are_told_by_their_whole_keys(spark):
+    """Keys of another band that are equal in half their bits do not hide a pair."""
+    run = object.__new__(near_dedup.Linker)
+    run.least = 0
+    nodes = [(bytes([i] * 16), bytes(256), [(7 << 32) + i, 99]) for i in range(3)]
+    run.nodes = spark.createDataFrame(nodes, "node binary, sig binary, bands array<long>")
+    run.members = spark.createDataFrame([(n, 1, 99, 3) for n, _, _ in nodes], "node binary, nth int, band long, n long")
+    root = spark.createDataFrame([], "node binary, root binary")
+    got = {frozenset((bytes(r.a), bytes(r.b))) for r in run.between(root, 2048, 20_000).collect()}
+    assert len(got) == 3
+
+
 def test_near_classes_of_whole_table(spark):
     docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: r.class_id for r in Q.op6_near_dedup(spark, SF_SMALL).collect()}

@@ -314,11 +314,10 @@ class Linker:
         blocks = F.ceil(F.col("n") / side).cast("int")
         # bands of one block are dealt to cells together, larger ones block by block
         cell = F.when(blocks == 1, F.pmod("band", F.lit(cells))).otherwise(F.col("band"))
-        short = F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("keys")
         rows = (rows.join(mixed.select("band"), "band")
                 .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
                 .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                .join(self.nodes.select("node", "sig", short), "node")
+                .join(self.nodes.select("node", "sig", F.col("bands").alias("keys")), "node")
                 .select(cell.alias("cell"), (blocks > 1).alias("large"), F.least("own", "with").alias("i"),
                         F.greatest("own", "with").alias("j"), "band", "nth", "own", "node", "root", "sig", "keys"))
         return rows.groupBy("cell", "large", "i", "j").applyInArrow(_across(self.least), "a binary, b binary").distinct()
