@@ -241,6 +241,21 @@ def test_lines_against_all_pairs(spark, edits, hot):
         assert got[d] == (n, n - sum(1 for x in kept if x.strip()), "\n".join(kept))
 
 
+def test_rows_without_doc_id_spread_over_chunks(spark):
+    """A third of the texts without a doc_id is no chunk of its own; results as with one chunk."""
+    from tidemark.llm import substring_dedup, windows
+    from tidemark.llm.common import keyed
+    rng = random.Random(4)
+    some = " ".join(f"s{i}" for i in range(20))
+    docs = [(None if i % 3 == 0 else i, f"{some if i % 7 == 0 else ''} " + " ".join(f"w{rng.randrange(900)}" for _ in range(40)))
+            for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    per = [r["count"] for r in keyed(df).groupBy(windows.chunk_of(10)).count().collect()]
+    assert len(per) == 10 and max(per) < 60
+    a, b = (substring_dedup.dedup_substrings(df, chunk_bytes=c) for c in (1 << 30, 1 << 12))
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
 def test_frequent_minimisers_go_last(spark):
     """Forcing the avoidance of frequent minimisers changes no result."""
     from tidemark.llm import substring_dedup, windows

@@ -5,7 +5,7 @@ with the same minimiser travel as one packed string (a run, or super-k-mer) to
 the bucket of that minimiser, so equal windows of all documents meet in one
 bucket and each window costs a fraction of a string.
 
-Steps, all over chunks of documents (some megabytes each, dealt once by doc_id):
+Steps, all over chunks of documents (some megabytes each, dealt once by doc_id and tag):
 
 1. Each chunk sends its distinct minimisers, 32 bits each, to their buckets,
    where those met in one document only are told from the shared ones; a bit per
@@ -458,6 +458,11 @@ def settle(repeats: Repeats):
     return run
 
 
+def chunk_of(chunks: int):
+    """The chunk of a row, by doc_id and tag: texts that share a doc_id, or have none, spread."""
+    return F.pmod(F.xxhash64("doc_id", "tag"), F.lit(chunks)).alias("chunk")
+
+
 def without_repeats(docs: DataFrame, deal: Dealing, repeats: Repeats, keep: Callable[[bytes, np.ndarray], tuple],
                     columns: str, bucket_bytes: int = BUCKET, chunk_bytes: int = CHUNK) -> DataFrame:
     """doc_id and ``columns`` (of ``keep``) of every row of ``docs`` (doc_id,
@@ -470,7 +475,7 @@ def without_repeats(docs: DataFrame, deal: Dealing, repeats: Repeats, keep: Call
               .filter(F.col("n") >= bucket_bytes // 1024))
     hot = [r["value"] for r in counts.orderBy(F.desc("n"), "value").limit(HOT).collect()]
     hot = np.unique(np.array(hot, np.int64).view(U))
-    by_chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
+    by_chunk = chunk_of(chunks)
     # the same exchange of the texts serves all three uses
     own = docs.select(by_chunk, "doc_id", "tag", "text").repartition("chunk")
     bits = (own.groupBy("chunk").applyInArrow(survey(deal, hot, buckets), "bucket long, chunk long, few binary")
