@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, line_dedup, mixing, near_dedup, pieces, quality, secrets, substring_dedup, suffix_dedup, topk
+from . import (exact_dedup, line_dedup, mixing, near_dedup, phrases, pieces, quality, secrets, sharding, substring_dedup,
+               suffix_dedup, topk, whitening)
 from .common import real_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +58,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -70,9 +83,11 @@ def queries() -> dict[str, Query]:
             "op4_substring_dedup": op4_substring_dedup,
             "op5_suffix_dedup": op5_suffix_dedup,
             "op6_near_dedup": op6_near_dedup, "op7_quality": op7_quality, "op8_line_dedup": op8_line_dedup,
-            "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing}
+            "op9_exact_dedup": op9_exact_dedup, "op10_mixing": op10_mixing,
+            "op11_phrases": op11_phrases, "op12_whitening": op12_whitening, "op13_sharding": op13_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_secrets": secrets.sql(), "op2_topk": topk.SQL, "op4_substring_dedup": substring_dedup.SQL,
-            "op5_suffix_dedup": suffix_dedup.SQL, "op9_exact_dedup": EXACT_SQL, "op10_mixing": mixing.SQL}
+            "op5_suffix_dedup": suffix_dedup.SQL, "op9_exact_dedup": EXACT_SQL, "op10_mixing": mixing.SQL,
+            "op11_phrases": phrases.SQL, "op13_sharding": sharding.SQL}
