@@ -33,4 +33,4 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 14))

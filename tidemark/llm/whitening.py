@@ -220,14 +220,18 @@ def leading_vectors(d: np.ndarray, e: np.ndarray, values: np.ndarray, cluster: f
 def leading(v: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``most`` largest eigenvalues of a symmetric matrix and their unit
     vectors (columns)."""
-    d, e, reflections = tridiagonal(v)
+    top = np.abs(v).max(initial=0)
+    if top == 0:
+        return np.zeros(min(most, len(v))), np.eye(len(v))[:, :most]
+    scale = 2.0 ** np.ceil(np.log2(top))  # exact, and far from the ends of a double's range
+    d, e, reflections = tridiagonal(v / scale)
     values = leading_values(d, e, min(most, len(v)))
     vectors = leading_vectors(d, e, values)
     for k in range(len(reflections) - 1, -1, -1):
         if reflections[k] is not None:
             r = reflections[k]
             vectors[k + 1:] -= 2 * np.outer(r, r @ vectors[k + 1:])
-    return values, vectors / np.linalg.norm(vectors, axis=0)
+    return values * scale, vectors / np.linalg.norm(vectors, axis=0)
 
 
 def _whiten(n: int, total: np.ndarray, project: np.ndarray):
