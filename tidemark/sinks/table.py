@@ -14,12 +14,12 @@ def sink_columns(df: DataFrame, declared: list[str], transient: tuple[str, ...]
 
 
 def write_append(df: DataFrame, target: str, fmt: str = "parquet",
-                 options: dict | None = None, run: str | None = None) -> None:
+                 options: dict | None = None, run: str | None = None, once: bool = False) -> None:
     """K5: append rows to a table (``fmt='jdbc'`` with url/dbtable/batchsize
     options for a database table, else a file table at ``target``).
 
     With ``run`` a file table gets the rows under that partition, replaced
-    when the same run is repeated, so each run lands once. A JDBC append cannot
+    when the same run is repeated (with ``once``: left as they are), so each run lands once. A JDBC append cannot
     be undone this way; give the table a key and let the database deduplicate.
     """
     if fmt == "jdbc":
@@ -27,7 +27,7 @@ def write_append(df: DataFrame, target: str, fmt: str = "parquet",
     elif run is None:
         df.write.mode("append").options(**(options or {})).format(fmt).save(target)
     else:
-        write_run(df, target, run, fmt=fmt, options=options)
+        write_run(df, target, run, fmt=fmt, options=options, once=once)
 
 
 def jdbc_writer(df: DataFrame, options: dict):
