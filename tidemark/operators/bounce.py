@@ -13,8 +13,8 @@ bucket are also copied into the previous bucket. Any next record closer than
 the limit is then in the same partition, and a missing one means a gap of at
 least the limit — so the result is exact, while a device with a third of
 all rows is spread over many tasks instead of one sort. The copies are
-``1 / bucket_factor`` of the rows. The streaming form (event-time timers) is
-:class:`tidemark.streaming.processors.BounceProcessor`.
+``1 / bucket_factor`` of the rows. The streaming form (buckets closed by the watermark) is
+:func:`tidemark.streaming.jobs.user_jump_stream`.
 """
 
 from __future__ import annotations

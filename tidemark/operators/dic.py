@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.asof import asof_join, validity
 from tidemark.operators.broadcast import sized_broadcast
 from tidemark.schemas import BASE_DIC
 from tidemark.sources.literal import literal_frame
@@ -40,8 +43,8 @@ def code_dictionary(spark: SparkSession) -> DataFrame:
 
 def read_dictionary(spark: SparkSession, source: str = "literal", **options) -> DataFrame:
     """The lookup table from JDBC (``source='jdbc'`` with url/dbtable/...),
-    a parquet folder (``path``), or the literal codes. Streaming jobs call it
-    again per micro-batch, which replaces the 1-hour lookup cache."""
+    a parquet folder (``path``), or the literal codes. :func:`lookup_batch_writer`
+    calls it again for every micro-batch whose copy is older than the time to live."""
     if source == "jdbc":
         return spark.read.format("jdbc").options(**options).load()
     if source == "parquet":
@@ -64,3 +67,35 @@ def dic_lookup(fact: DataFrame, dic: DataFrame, code_col: str = "dic_code",
     d = dic.select(F.col("dic_code").alias("_code"), "dic_name", "parent_code")
     j = fact.join(sized_broadcast(d, max_dic_rows), F.col(code_col) == F.col("_code"), "left")
     return j.drop("_code")
+
+
+def dictionary_history(changes: DataFrame, at: str = "at") -> DataFrame:
+    """Versions of the codes from their changes ``(at, dic_code, dic_name, parent_code)``:
+    each holds from its position up to the code's next change. A change without
+    name takes the code out."""
+    v = validity(changes, ["dic_code"], at, [at, "dic_name"])
+    return v.filter(F.col("dic_name").isNotNull()).select(
+        F.col("dic_code").alias("_code"), "dic_name", "parent_code", "valid_from", "valid_to")
+
+
+def dic_lookup_asof(fact: DataFrame, history: DataFrame, at: str, ttl: int = 0, code_col: str = "dic_code",
+                    max_dic_rows: int = 100_000) -> DataFrame:
+    """J3 with a dictionary that changes: each fact sees the entries of its own position.
+    With ``ttl`` it sees those of the last refresh, positions that are multiples of ``ttl``:
+    what a cache with that time to live answers. A code unknown then gives null names."""
+    seen = F.col(at) - F.pmod(F.col(at), F.lit(ttl)) if ttl else F.col(at)
+    f = fact.withColumn("_at", seen.cast("bigint"))
+    return asof_join(f, history, [(code_col, "_code")], "_at", how="left", max_rows=max_dic_rows).drop("_at")
+
+
+def lookup_batch_writer(load, write, code_col: str = "dic_code", ttl_s: float = 3600.0, clock=time.monotonic):
+    """``foreachBatch`` body of a lookup on a stream: the dictionary is read by ``load()``
+    and read again once it is ``ttl_s`` old (the reference caches for an hour); ``write``
+    gets (enriched batch, batch id)."""
+    held: dict = {}
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        if not held or clock() - held["at"] >= ttl_s:
+            held.update(dic=load(), at=clock())
+        write(dic_lookup(batch, held["dic"], code_col), batch_id)
+    return body

@@ -8,6 +8,8 @@ F8, F10, Q1-Q3, Q8).
 * :func:`route` (J1 + P4 + P5) — join on table name with the config
   (broadcast behind a size check), keep only configured columns, tag the
   sink table
+* :func:`config_history`, :func:`route_asof` — the same by the config that held
+  when each change arrived (intervals of validity, as-of join)
 * :func:`latest_per_key` (K3, Q1) — the row each sink key ends up with
 * :func:`table_schema` / :func:`table_ddl` (K4) — create-if-missing schema
 
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.record import REC_TYPE, field, parse_record
 from tidemark.functions.text import split_list
+from tidemark.operators.asof import asof_join, validity
 from tidemark.operators.broadcast import sized_broadcast
 from tidemark.schemas import CONFIG_CHANGE
 
@@ -60,9 +63,9 @@ def filter_bootstrap(changes: DataFrame) -> DataFrame:
 
 
 def parse_config_changes(raw: DataFrame) -> DataFrame:
-    """S3 envelopes -> ``(seq, op, before, after)``."""
-    p = raw.select("seq", F.from_json("value", CONFIG_CHANGE).alias("c"))
-    return p.select("seq", "c.op", "c.before", "c.after")
+    """S3 envelopes -> ``(seq, op, before, after)`` and the source's other columns."""
+    p = raw.select("*", F.from_json("value", CONFIG_CHANGE).alias("c")).drop("value")
+    return p.select(*[x for x in p.columns if x != "c"], "c.op", "c.before", "c.after")
 
 
 def config_state(cfg_changes: DataFrame, retire_renamed: bool = False) -> DataFrame:
@@ -75,6 +78,14 @@ def config_state(cfg_changes: DataFrame, retire_renamed: bool = False) -> DataFr
     Adds ``pk`` (``sink_pk``, default ``id``), ``ext`` (``sink_extend``,
     default empty) and ``valid`` (Q8: the key is one of the columns).
     """
+    t = _touches(cfg_changes, retire_renamed)
+    last = (t.groupBy(F.col("t.key").alias("key"))
+             .agg(F.max_by(F.col("t"), F.col("seq")).alias("t")))
+    return _usable(last.filter(~F.col("t.is_del")).select("t.after.*"))
+
+
+def _touches(cfg_changes: DataFrame, retire_renamed: bool) -> DataFrame:
+    """``(seq, ..., t)``: each change of a key, ``t`` = (key, is_del, after)."""
     is_del = F.col("op") == "d"
     touches = [F.struct(F.when(is_del, F.col("before.source_table"))
                         .otherwise(F.col("after.source_table")).alias("key"),
@@ -85,17 +96,28 @@ def config_state(cfg_changes: DataFrame, retire_renamed: bool = False) -> DataFr
         touches.append(F.when(renamed, F.struct(
             F.col("before.source_table").alias("key"), F.lit(True).alias("is_del"),
             F.lit(None).cast(cfg_changes.schema["after"].dataType).alias("after"))))
-    t = (cfg_changes.select("seq", F.explode(F.array(*touches)).alias("t"))
-                    .filter(F.col("t").isNotNull() & F.col("t.key").isNotNull()))
-    last = (t.groupBy(F.col("t.key").alias("key"))
-             .agg(F.max_by(F.col("t"), F.col("seq")).alias("t")))
-    cur = last.filter(~F.col("t.is_del")).select("t.after.*")
+    keep = [c for c in cfg_changes.columns if c not in ("op", "before", "after")]
+    return (cfg_changes.select(*keep, F.explode(F.array(*touches)).alias("t"))
+                       .filter(F.col("t").isNotNull() & F.col("t.key").isNotNull()))
+
+
+def _usable(config: DataFrame) -> DataFrame:
     pk = F.coalesce(F.col("sink_pk"), F.lit(DEFAULT_PK))
-    return cur.select(
+    return config.select(
         "*", pk.alias("pk"), F.coalesce(F.col("sink_extend"), F.lit("")).alias("ext"),
         F.array_contains(split_list(F.col("sink_columns")), pk).alias("valid"))
 
 
+def config_history(cfg_changes: DataFrame, at: str = "seq", retire_renamed: bool = False) -> DataFrame:
+    """Every config row a source table ever had, with the positions it was valid
+    at: from its own change up to, not including, the next change of its
+    key (``valid_to`` null: still valid). ``at`` names the position, in the order of
+    the business changes: ``seq``, or a time both logs carry."""
+    t = validity(_touches(cfg_changes, retire_renamed).select(
+        F.col(at).cast("bigint").alias("_at"), "seq", F.col("t.key").alias("_key"), "t"), ["_key"], "_at", ["_at", "seq"])
+    return _usable(t.filter(~F.col("t.is_del")).select("valid_from", "valid_to", "t.after.*"))
+
+
 def config_rejects(state: DataFrame) -> DataFrame:
     """Q8: config rows whose key is not among their columns (reported; the
     reference would create a table without a key)."""
@@ -106,14 +128,31 @@ def route(changes: DataFrame, state: DataFrame, max_config_rows: int = 100_000)
     """J1 + P4 + P5: changes of configured tables, pruned to the configured
     columns (exact names, no trimming), tagged with ``sink_table`` and
     ``sink_pk``. Unconfigured tables are dropped (inner join)."""
-    cfg = state.filter(F.col("valid")).select(
-        F.col("source_table"), F.col("sink_table"), F.col("pk").alias("sink_pk"),
-        split_list(F.col("sink_columns")).alias("_cols"))
+    cfg = _routes(state)
     j = filter_bootstrap(changes).join(sized_broadcast(cfg, max_config_rows),
                                        F.col("table") == F.col("source_table"), "inner")
-    j = j.filter(F.col("data").isNotNull())
+    return _pruned(j)
+
+
+def _routes(state: DataFrame, *more: str) -> DataFrame:
+    return state.filter(F.col("valid")).select(
+        F.col("source_table"), F.col("sink_table"), F.col("pk").alias("sink_pk"),
+        split_list(F.col("sink_columns")).alias("_cols"), *more)
+
+
+def _pruned(joined: DataFrame) -> DataFrame:
     pruned = F.map_filter("data", lambda k, v: F.array_contains(F.col("_cols"), k))
-    return j.select("seq", "src_ts", "part", "table", "type", "sink_table", "sink_pk", pruned.alias("data"))
+    return joined.filter(F.col("data").isNotNull()).select(
+        "seq", "src_ts", "part", "table", "type", "sink_table", "sink_pk", pruned.alias("data"))
+
+
+def route_asof(changes: DataFrame, history: DataFrame, at: str = "seq", max_config_rows: int = 100_000) -> DataFrame:
+    """J1 as the changes arrive: each change is routed and pruned by the config
+    that was valid at its own position. One that arrives before its table's config,
+    or while the config is deleted, is lost; one before an update of the config is pruned
+    to the old columns and goes to the old sink table."""
+    cfg = _routes(history, "valid_from", "valid_to").withColumnRenamed("source_table", "_src")
+    return _pruned(asof_join(filter_bootstrap(changes), cfg, [("table", "_src")], at, max_rows=max_config_rows))
 
 
 def route_rejects(changes: DataFrame, state: DataFrame, max_config_rows: int = 100_000) -> DataFrame:
@@ -138,6 +177,13 @@ def key_value(data_col: str = "data", pk_col: str = "sink_pk") -> F.Column:
     return F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))
 
 
+def change_at(run_no: int = 0) -> F.Column:
+    """A change's position: source time (0 where there is none), run, partition, offset."""
+    return F.struct(F.coalesce("src_ts", F.lit(0).cast("bigint")).alias("src_ts"),
+                    F.lit(run_no).cast("bigint").alias("run_no"), F.coalesce("part", F.lit(0)).alias("part"),
+                    F.col("seq").alias("seq"))
+
+
 def latest_per_key(routed: DataFrame, apply_deletes: bool = False, run_no: int = 0) -> DataFrame:
     """K3: the change each (sink table, key) ends with, and its position
     ``at``: source time (0 where there is none), run, partition, offset.
@@ -146,10 +192,7 @@ def latest_per_key(routed: DataFrame, apply_deletes: bool = False, run_no: int =
     shuffle. By default (Q1) a ``delete`` is kept like an upsert (dimension rows
     never disappear); ``apply_deletes`` drops keys whose last change is a delete.
     """
-    at = F.struct(F.coalesce("src_ts", F.lit(0).cast("bigint")).alias("src_ts"),
-                  F.lit(run_no).cast("bigint").alias("run_no"), F.coalesce("part", F.lit(0)).alias("part"),
-                  F.col("seq").alias("seq"))
-    r = routed.withColumn("row_key", key_value()).withColumn("at", at)
+    r = routed.withColumn("row_key", key_value()).withColumn("at", change_at(run_no))
     last = (r.groupBy("sink_table", "row_key")
              .agg(F.max_by(F.struct("seq", "type", "sink_pk", "data", "at"), F.col("at")).alias("l")))
     out = last.select("sink_table", "row_key", "l.seq", "l.type", "l.sink_pk", "l.data", "l.at")
