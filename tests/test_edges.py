@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from helpers import D1, DAY, by_seq, log_line, pages, parsed, seqs
+from helpers import D1, DAY, by_seq, log_line, pages, parse_values, parsed, seqs
 from tidemark.functions.text import tokens
 from tidemark.operators.bounce import user_jump
 from tidemark.operators.dim import (config_rejects, config_state, latest_per_key,
@@ -213,3 +213,13 @@ def test_q2_route_rejects(spark):
     assert route(ch, st).count() == 1
     got = sorted((r["seq"], r["reason"]) for r in route_rejects(ch, st).collect())
     assert got == [(1, "no_data"), (2, "no_data"), (4, "unparsable")]
+
+
+def test_p11_actions_with_time_on_demand(spark):
+    from tidemark.operators.split import TOPIC_ACTION, fan_out
+    from tidemark.operators.visitor import visitor_flag_repair
+    line = log_line("m", D1, "0", actions=[{"action_id": "a"}])
+    df = visitor_flag_repair(parsed(spark, [line]))
+    for with_ts in (False, True):
+        (v,) = parse_values(fan_out(df, (TOPIC_ACTION,), with_ts=with_ts))
+        assert v["action"] == {"action_id": "a"} and (v.get("ts") == D1) == with_ts

@@ -39,9 +39,10 @@ def _elements(rec, key: str) -> F.Column:
     return F.coalesce(arr, F.array().cast("array<variant>"))
 
 
-def fan_out(df: DataFrame, topics: tuple[str, ...] = TOPICS) -> DataFrame:
+def fan_out(df: DataFrame, topics: tuple[str, ...] = TOPICS, with_ts: bool = False) -> DataFrame:
     """``(topic, seq, mid, value)`` for every output record of every line;
-    ``topics`` builds the text of those routes only, from the lines that have any."""
+    ``topics`` builds the text of those routes only, from the lines that have any.
+    ``with_ts`` gives action records the line's ``ts`` as well, which the reference leaves out."""
     rec = F.col("rec")
     good = F.col("dirty").isNull()
     has_err = present(rec, "err")
@@ -57,7 +58,7 @@ def fan_out(df: DataFrame, topics: tuple[str, ...] = TOPICS) -> DataFrame:
     def actions():
         return F.transform(_elements("rec", "actions"), lambda a: _pair(
             TOPIC_ACTION, F.to_json(F.struct(common.alias("common"), page.alias("page"),
-                                             a.alias("action")))))
+                                             *([ts.alias("ts")] if with_ts else []), a.alias("action")))))
 
     arms = {
         TOPIC_DIRTY: (~good, lambda: F.array(_pair(TOPIC_DIRTY, F.col("value")))),

@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.record import parse_record, set_sub_field
 from tidemark.functions.text import is_empty
 from tidemark.functions.time import arrival, rowtime_instant, to_date
-from tidemark.operators.dim import config_state, parse_changes
+from tidemark.operators.dim import config_history, config_state, parse_changes
 from tidemark.operators.keyword import keyword_counts
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import TOPIC_DIRTY, fan_out
+from tidemark.operators.visitor import anchor_days, with_anchor
 from tidemark.schemas import PAGE_LOG_DDL
 from tidemark.streaming.processors import VISITOR_OUT, VisitorFlagProcessor
 from tidemark.sinks.dim import dim_batch
 from tidemark.sinks.runs import run_name
+from tidemark.sinks.versioned import VersionedTable
 
 
 def log_split_stream(raw: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -42,6 +44,39 @@ def log_split_stream(raw: DataFrame, zone: str = "UTC") -> DataFrame:
     return fan_out(repaired).unionByName(dirty)
 
 
+def flag_repair_batch(parsed: DataFrame, anchors: VersionedTable, batch_id: int, zone: str = "UTC",
+                      salts: int = 16) -> DataFrame:
+    """T1 on one micro-batch of parsed lines, with the devices' anchors in a
+    keyed table instead of keyed state: the batch's first rows per device are folded
+    into the table, where an anchor that is there stays, and the table is joined back.
+
+    The aggregate combines a device's rows map-side and the join deals them over
+    ``salts`` keys, so no task holds a device. A replayed batch finds its own anchors
+    and gives the same rows. Callers hold ``parsed`` (it is read twice)."""
+    new = anchor_days(parsed, zone).withColumn("batch", F.lit(batch_id).cast("long"))
+    first = lambda both: both.groupBy("mid").agg(F.min_by("days", "batch").alias("days"),
+                                                 F.min("batch").alias("batch"))
+    version = anchors.fold(new, first)
+    known = anchors.read(version=version).join(new.select("mid"), "mid", "left_semi")
+    return with_anchor(parsed, known.select("mid", "days"), zone, salts)
+
+
+def anchor_table(spark, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, "mid")
+
+
+def log_split_batch_writer(anchors: VersionedTable, write, zone: str = "UTC", keep: int = 8):
+    """``foreachBatch`` body of the log split job: repaired lines, routed into all six topics,
+    to ``write(routed, batch_id)``. Versions of the anchors beyond the last ``keep`` are dropped."""
+    def body(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_log(batch).persist()
+        write(fan_out(flag_repair_batch(parsed, anchors, batch_id, zone)), batch_id)
+        parsed.unpersist()
+        if batch_id % keep == keep - 1:
+            anchors.vacuum(keep)
+    return body
+
+
 def _topic_records(topic_stream: DataFrame) -> DataFrame:
     p = topic_stream.select("seq", "value", F.from_json("value", PAGE_LOG_DDL).alias("p"))
     return p.select("seq", "value", "p.common", "p.page", "p.ts",
@@ -136,10 +171,13 @@ def keyword_window_stream(page_stream: DataFrame, duration: str = "10 seconds",
     return keyword_counts(df, duration, zone, with_ts)
 
 
-def dim_batch_writer(config_loader, root: str, run: str):
+def dim_batch_writer(config_loader, root: str, run: str, config_at: str | None = None):
     """``foreachBatch`` body of the DIM job: the config is re-read for every
     micro-batch (so config changes apply from the next batch on), and the changes are
-    folded into the tables; a replayed batch changes nothing."""
+    folded into the tables; a replayed batch changes nothing. With ``config_at``
+    each change follows the config of its own position."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        dim_batch(parse_changes(batch), config_state(config_loader()), root, run_name(run, batch_id), batch_id)
+        c = config_loader()
+        state = config_history(c, config_at) if config_at else config_state(c)
+        dim_batch(parse_changes(batch), state, root, run_name(run, batch_id), batch_id, config_at)
     return write
