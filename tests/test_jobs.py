@@ -38,7 +38,7 @@ def test_keyword_job_appends_bean_columns(spark, scratch):
 
 def test_dim_job(spark, scratch):
     out = os.path.join(scratch, "dim")
-    tables = jobs.dim(change_log(spark, SF_SMALL), config_changelog(spark), out, "a")
+    tables = jobs.dim(change_log(spark, SF_SMALL), config_changelog(spark), out, "a", 0)
     rejects = spark.read.schema("seq bigint, table string, type string, reason string, run string")
     assert rejects.parquet(out + "_rejects/changes").count() == 0
     assert set(tables) == {"dim_customer", "dim_part", "dim_customer_last_order"}

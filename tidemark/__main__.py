@@ -45,8 +45,12 @@ def main(argv=None, spark=None) -> list:
     ap.add_argument("--config", help="config changelog (parquet of value, seq) for dim")
     ap.add_argument("--option", action="append", help="source option key=value")
     ap.add_argument("--run", required=True, help="name of this run")
-    ap.add_argument("--run-no", type=int, default=0,
-                    help="dim, batch: order of this run where the source has no times")
+    ap.add_argument("--run-no", type=int,
+                    help="dim, batch: order of this run, needed where the source has no times")
+    ap.add_argument("--config-at", help="dim, batch: position column (seq, src_ts) by which each change "
+                                        "follows the config of its own time")
+    ap.add_argument("--early-visits", action="store_true",
+                    help="page consumers: emit a visit when it arrives, not when its day is complete")
     ap.add_argument("--kafka-servers", help="send topics to this Kafka cluster")
     ap.add_argument("--kafka-option", action="append", help="producer option key=value")
     ap.add_argument("--jdbc", action="append", help="database option key=value for keyword counts")
@@ -75,7 +79,7 @@ def main(argv=None, spark=None) -> list:
         elif a.job == "user-jump":
             jobs.user_jumps(src, a.out, a.run, a.within_ms, a.zone, kafka)
         elif a.job == "dim":
-            jobs.dim(src, read_log(spark, "parquet", a.config), a.out, a.run, a.run_no)
+            jobs.dim(src, read_log(spark, "parquet", a.config), a.out, a.run, a.run_no, a.config_at)
         else:
             ap.error("page-consumers runs as a stream (--stream)")
         return []
@@ -84,10 +88,10 @@ def main(argv=None, spark=None) -> list:
     if a.job == "log-split":
         queries = [jobs.start_log_split(spark, src, a.out, a.run, a.zone, trigger, kafka)]
     elif a.job == "page-consumers":
-        queries = jobs.start_page_consumers(spark, src, a.out, a.run, a.zone, trigger, kafka, jdbc)
+        queries = jobs.start_page_consumers(spark, src, a.out, a.run, a.zone, trigger, kafka, jdbc, a.early_visits)
     elif a.job == "dim":
         queries = [jobs.start_dim(spark, src, lambda: read_log(spark, "parquet", a.config),
-                                  a.out, a.run, trigger)]
+                                  a.out, a.run, trigger, a.config_at)]
     else:
         ap.error(f"{a.job} as a stream runs inside page-consumers")
     if a.available_now:

@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.bounce import user_jump
-from tidemark.operators.dim import config_state, parse_changes, parse_config_changes
+from tidemark.operators.dim import config_history, config_state, parse_changes, parse_config_changes
 from tidemark.operators.keyword import keyword_counts
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import TOPIC_PAGE, fan_out, page_records
@@ -90,19 +90,25 @@ def keyword_window(raw: DataFrame, out: str, run: str, duration: str = "10 secon
     write_append(_dirty(parsed), rejects_path(out), run=run)
 
 
-def dim(changes_raw: DataFrame, config_raw: DataFrame, out: str, run: str, run_no: int = 0) -> list[str]:
+def dim(changes_raw: DataFrame, config_raw: DataFrame, out: str, run: str, run_no: int | None = None,
+        config_at: str | None = None) -> list[str]:
     """Fold one batch of changes into the dimension tables of the current
     config (created if missing); changes that cannot be routed, and config rows that
-    cannot be used, go to the rejects. Returns the tables."""
-    state = config_state(parse_config_changes(config_raw))
-    return dim_batch(parse_changes(changes_raw), state, out, run_name(run), run_no)
+    cannot be used, go to the rejects. Returns the tables. ``config_at`` names a position
+    that both logs carry (``seq`` or ``src_ts``): each change then follows the
+    config of its own time. ``run_no`` orders the runs of a source without times and is needed there."""
+    if run_no is None and "src_ts" not in changes_raw.columns:
+        raise ValueError("changes without src_ts need the order of this run: run_no")
+    changes = parse_config_changes(config_raw)
+    state = config_history(changes, config_at) if config_at else config_state(changes)
+    return dim_batch(parse_changes(changes_raw), state, out, run_name(run), run_no or 0, config_at)
 
 
 # --- streaming ---------------------------------------------------------------
 
 def _files_sink(df: DataFrame, out: str, run: str, checkpoint: str, trigger: dict | None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_topics_files(batch, out, run_name(run, batch_id))
+        write_topics_files(batch, out, run_name(run, batch_id), once=True)
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(**trigger) if trigger else w).start()
 
@@ -122,19 +128,31 @@ def _checkpoint(spark: SparkSession, job: str, run: str) -> str:
 
 def start_log_split(spark: SparkSession, raw_stream: DataFrame, out: str, run: str,
                     zone: str = "UTC", trigger: dict | None = None, kafka: dict | None = None):
-    return _topics_sink(sj.log_split_stream(raw_stream, zone), out, run,
-                        _checkpoint(spark, "log_split", run), trigger, kafka)
+    """The anchors of the flag repair are a table beside the checkpoint, ``anchors``; one
+    read of the source per micro-batch serves them and all topics."""
+    checkpoint = _checkpoint(spark, "log_split", run)
+
+    def write(routed: DataFrame, batch_id: int) -> None:
+        if kafka:
+            write_topics_out(routed, out, run_name(run), kafka)
+        else:
+            write_topics_files(routed, out, run_name(run, batch_id), once=True)
+
+    body = sj.log_split_batch_writer(sj.anchor_table(spark, f"{checkpoint}_anchors"), write, zone)
+    w = raw_stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return (w.trigger(**trigger) if trigger else w).start()
 
 
 def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out: str, run: str,
                          zone: str = "UTC", trigger: dict | None = None, kafka: dict | None = None,
-                         jdbc: dict | None = None):
+                         jdbc: dict | None = None, early_visits: bool = False):
     """Unique visitors, bounces and keyword windows off the page topic; each
     query writes its own topic or folder ``out/<topic or table>`` (no two
     queries commit into one folder). Lines that are no page records go to
-    ``out/rejects``."""
+    ``out/rejects``. ``early_visits`` emits a visit when it arrives (the reference's
+    moment) instead of when its day is complete."""
     pages = sj.page_log_from_topic(page_topic_stream)
-    uv = sj.unique_visitor_stream(pages, zone).select(
+    uv = sj.unique_visitor_stream(pages, zone, early=early_visits).select(
         F.lit(TOPIC_UNIQUE_VISITOR).alias("topic"), "seq", "mid", "value")
     uj = sj.user_jump_stream(pages).select(
         F.lit(TOPIC_USER_JUMP).alias("topic"), "seq", "mid", "value")
@@ -144,10 +162,10 @@ def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out:
         if jdbc:
             write_append(batch, out, "jdbc", jdbc)
         else:
-            write_append(batch, os.path.join(out, TABLE_KEYWORD_WINDOW), run=run_name(run, batch_id))
+            write_append(batch, os.path.join(out, TABLE_KEYWORD_WINDOW), run=run_name(run, batch_id), once=True)
 
     def append_rejects(batch: DataFrame, batch_id: int) -> None:
-        write_append(batch, os.path.join(out, "rejects"), run=run_name(run, batch_id))
+        write_append(batch, os.path.join(out, "rejects"), run=run_name(run, batch_id), once=True)
 
     rejects = (sj.page_rejects_from_topic(page_topic_stream).writeStream.foreachBatch(append_rejects)
                .option("checkpointLocation", _checkpoint(spark, "page_rejects", run)))
@@ -164,11 +182,11 @@ def start_page_consumers(spark: SparkSession, page_topic_stream: DataFrame, out:
 
 
 def start_dim(spark: SparkSession, changes_stream: DataFrame, config_loader, out: str, run: str,
-              trigger: dict | None = None):
+              trigger: dict | None = None, config_at: str | None = None):
     """``config_loader`` returns the config changelog ``(value, seq)``; it
     is called for every micro-batch."""
     loader = lambda: parse_config_changes(config_loader())
-    w = (changes_stream.writeStream.foreachBatch(sj.dim_batch_writer(loader, out, run))
+    w = (changes_stream.writeStream.foreachBatch(sj.dim_batch_writer(loader, out, run, config_at))
          .option("checkpointLocation", _checkpoint(spark, "dim", run)))
     return (w.trigger(**trigger) if trigger else w).start()
 

@@ -103,6 +103,34 @@ WHERE rn = 1{cond}
 """
 
 
+_LATE = _BASE + """,
+marked AS (SELECT *, ts // 1000 AS sec, max(ts // 1000) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3 AS mark
+           FROM page),
+found AS (SELECT seq, item AS fullword, sec, mark, (sec // 10 + 1) * 10 AS edge, coalesce((sec // 10 + 1) * 10 <= mark, false) AS late
+          FROM marked WHERE lp = 'search' AND item_type = 'keyword' AND item IS NOT NULL)
+"""
+
+_DAILY = _BASE + f""",
+hit AS (SELECT seq, ts // 1000 AS sec, item AS fullword FROM page WHERE lp = 'search' AND item_type = 'keyword' AND item IS NOT NULL),
+word AS (SELECT seq, sec // 86400 AS day, unnest(regexp_extract_all(lower(fullword), '[\\p{{L}}\\p{{N}}]+')) AS keyword FROM hit),
+old AS (SELECT day, keyword, count(*) AS n FROM word WHERE seq < 1099511627776 GROUP BY ALL),
+new AS (SELECT day, keyword, count(*) AS n FROM word WHERE seq >= 1099511627776 OR day >= 19733 GROUP BY ALL),
+change AS (SELECT coalesce(new.day, old.day) AS day, coalesce(new.keyword, old.keyword) AS keyword, new.n AS n
+           FROM old FULL JOIN new ON old.day = new.day AND old.keyword = new.keyword WHERE old.n IS DISTINCT FROM new.n)
+"""
+
+
+def _daily(rows: str) -> str:
+    return _DAILY + f"""
+SELECT {_fmt('day * 86400')} AS stt, {_fmt('day * 86400 + 86400')} AS edt, 'SEARCH' AS source, keyword, n AS keyword_count
+FROM {rows}
+"""
+
+
+_CUSTOMER_SEQ, _ORDER_DAY = "c_custkey", "date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE))"
+# Arrival chunk of a line (see plans.streams).
+_CHUNK = "least(3, (ts + seq * 7919 % 86400000 - 1704067200000) // 691200000)"
+
 ORACLE = {
     "parse_log": _BASE + """
 SELECT seq, mid, is_new_in AS is_new, ts,
@@ -212,6 +240,54 @@ UNION ALL SELECT 'dim_customer_last_order', {_OSEQ}, CAST(o_custkey AS VARCHAR),
     "dim_upsert_latest": _latest(False),
     "dim_upsert_deletes": _latest(True),
     "dim_table_rows": f"SELECT sink_table, row_key, column_name, column_value FROM ({_latest(False)}) t",
+    "dim_route_asof": f"""
+SELECT c_custkey AS seq, 'customer' AS source_table, 'insert' AS type, 'dim_customer' AS sink_table,
+       CAST(c_custkey AS VARCHAR) AS row_key,
+       CASE WHEN c_custkey < 70 THEN 'c_custkey,c_name' ELSE 'c_custkey,c_mktsegment,c_name' END AS columns
+FROM customer WHERE c_custkey >= 10
+UNION ALL SELECT n_nationkey, 'nation', 'insert', 'dim_nation', CAST(n_nationkey AS VARCHAR), 'n_name,n_nationkey'
+FROM nation WHERE n_nationkey >= 10
+UNION ALL SELECT {_OSEQ}, 'orders', {_OTYPE}, CASE WHEN o_orderdate < DATE '1999-01-01' THEN 'dim_order' ELSE 'dim_order_late' END,
+       CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderdate < DATE '1998-01-01' THEN 'o_custkey,o_orderkey'
+         WHEN o_orderdate < DATE '1999-01-01' THEN 'o_custkey,o_orderkey,o_orderstatus' ELSE 'o_orderdate,o_orderkey' END
+FROM orders WHERE (o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1999-01-01') OR o_orderdate >= DATE '2000-01-01'
+""",
+    "dim_shared_sink": f"""
+WITH o AS (SELECT {_OSEQ} AS seq, CAST(o_custkey AS VARCHAR) AS row_key, CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders),
+l AS (SELECT row_key, arg_max(o_orderkey, seq) AS o_orderkey, arg_max(o_orderstatus, seq) FILTER (WHERE seq % 2 = 0) AS o_orderstatus
+      FROM o GROUP BY row_key),
+b AS (SELECT coalesce(CAST(c_custkey AS VARCHAR), row_key) AS row_key, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+             row_key AS o_custkey, o_orderkey, o_orderstatus
+      FROM customer FULL JOIN l ON CAST(c_custkey AS VARCHAR) = row_key)
+SELECT 'dim_buyer' AS sink_table, row_key, c AS column_name,
+       CASE c WHEN 'c_custkey' THEN c_custkey WHEN 'c_name' THEN c_name WHEN 'o_custkey' THEN o_custkey
+              WHEN 'o_orderkey' THEN o_orderkey ELSE o_orderstatus END AS column_value
+FROM b, (VALUES ('c_custkey'), ('c_name'), ('o_custkey'), ('o_orderkey'), ('o_orderstatus')) v(c)
+""",
+    "dim_odd_values": """
+SELECT 'dim_vendor' AS sink_table, CAST(s_suppkey AS VARCHAR) AS row_key, c AS column_name,
+       CASE c WHEN 's_suppkey' THEN CAST(s_suppkey AS VARCHAR)
+              WHEN 's_name' THEN CASE WHEN s_suppkey % 5 = 1 THEN 'O' || chr(39) || s_name ELSE s_name END
+              ELSE CASE WHEN s_suppkey % 5 <> 2 THEN regexp_replace(CAST(s_acctbal AS VARCHAR), '\\.0$', '') END END AS column_value
+FROM supplier, (VALUES ('s_suppkey'), ('s_name'), ('s_acctbal')) v(c) WHERE s_suppkey % 5 IN (1, 2, 4)
+""",
+    "dim_rejects": """
+SELECT s_suppkey AS seq, CASE WHEN s_suppkey % 5 = 0 THEN 'vendor' END AS source_table,
+       CASE WHEN s_suppkey % 5 = 0 THEN 'update' END AS type,
+       CASE WHEN s_suppkey % 5 = 0 THEN 'no_data' ELSE 'unparsable' END AS reason
+FROM supplier WHERE s_suppkey % 5 IN (0, 3)
+UNION ALL SELECT NULL, 'lost', NULL, 'bad_key'
+""",
+    "dic_lookup_asof": f"""
+WITH o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN '1004' WHEN 'O' THEN '1001' WHEN 'P' THEN '1002' END AS dic_code,
+                  CAST({_ORDER_DAY} AS BIGINT) AS day FROM orders),
+s AS (SELECT *, day - day % 30 AS seen FROM o),
+n AS (SELECT *, CASE dic_code WHEN '1001' THEN CASE WHEN seen < 10500 THEN 'unpaid' ELSE 'awaiting payment' END
+  WHEN '1002' THEN CASE WHEN seen >= 9800 THEN 'paid' END
+  WHEN '1004' THEN CASE WHEN seen < 10000 THEN 'finished' WHEN seen < 10700 THEN 'done' WHEN seen >= 10900 THEN 'closed' END END AS dic_name
+  FROM s)
+SELECT o_orderkey, dic_code, day, dic_name, CASE WHEN dic_name IS NOT NULL THEN '10' END AS parent_code FROM n
+""",
     "dic_lookup": """
 SELECT o_orderkey, o_orderstatus,
        CASE o_orderstatus WHEN 'F' THEN '1004' WHEN 'O' THEN '1001' WHEN 'P' THEN '1002' END AS dic_code,
@@ -233,6 +309,30 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date,
 FROM orders
 """,
     "keyed_messages": _kw_window(86400),
+    "keyed_changes": _daily("change"),
+    "keyed_replay": _daily("new"),
+    "keyword_late_rows": _LATE + f"""
+SELECT seq, {_fmt('sec')} AS rowtime, {_fmt('mark')} AS watermark, {_fmt('edge')} AS edt, mark - edge AS behind_s FROM found WHERE late
+""",
+    "keyword_on_time": _LATE + f"""
+SELECT {_fmt('edge - 10')} AS stt, {_fmt('edge')} AS edt, 'SEARCH' AS source, keyword, count(*) AS keyword_count
+FROM (SELECT edge, unnest(regexp_extract_all(lower(fullword), '[\\p{{L}}\\p{{N}}]+')) AS keyword FROM found WHERE NOT late) x
+GROUP BY ALL
+""",
+    "stream_flag_repair": _BASE + f"""
+SELECT seq, mid, ts, visit_date, is_new_in, CASE WHEN is_new_in = '1' AND visit_date <> anchor THEN '0' ELSE is_new_in END AS is_new
+FROM (SELECT *, first_value(CASE WHEN is_new_in = '1' THEN visit_date
+                  ELSE strftime(make_timestamp((ts - 86400000) * 1000), '%Y-%m-%d') END)
+                OVER (PARTITION BY mid ORDER BY {_CHUNK}, ts, seq) AS anchor FROM good) a
+""",
+    "stream_unique_visitor": _BASE + """
+SELECT seq, mid, ts, visit_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY mid, visit_date ORDER BY ts, seq) AS rn
+  FROM page WHERE lp IS NULL) x
+WHERE rn = 1
+""",
+    "stream_user_jump": f"SELECT seq, mid, ts, last_page_id FROM ({_jump(10_000)}) j",
+    "stream_keyword_window": _kw_window(10),
     "sink_columns": _kw_window(86400),
 }
 

@@ -11,20 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.record import field, present
-from tidemark.functions.time import (epoch_ms, fmt_date, fmt_datetime, to_date, to_ts,
+from tidemark.functions.time import (epoch_ms, fmt_date, fmt_datetime, rowtime, to_date, to_ts,
                                      to_ymd_hms)
 from tidemark.operators import keyword as kw
-from tidemark.operators.dic import code_dictionary, dic_lookup, status_code
-from tidemark.operators.dim import filter_bootstrap, key_value, latest_per_key
+from tidemark.operators.dic import code_dictionary, dic_lookup, dic_lookup_asof, dictionary_history, status_code
+from tidemark.operators.dim import (config_history, config_rejects, config_state, filter_bootstrap, key_value,
+                                    latest_per_key, parse_changes, parse_config_changes, route, route_asof,
+                                    route_rejects)
+from tidemark.operators.late import counts_on_time, late_rows, with_lateness
 from tidemark.operators.split import (TOPIC_ACTION, TOPIC_DISPLAY, TOPIC_ERR,
                                       TOPIC_PAGE, TOPIC_START, topic_counts)
 from tidemark.plans import flows as pl
+from tidemark.plans import streams
 from tidemark.schemas import KEYWORD_BEAN
 from tidemark.session import scratch_path
 from tidemark.sinks.dim import read_dim_table, upsert_dim_tables
-from tidemark.sinks.kafka import to_keyed_messages
+from tidemark.sinks.kafka import compacted, from_messages, keyed_changes, to_keyed_messages
 from tidemark.sinks.table import sink_columns
-from tidemark.sources.fixtures import table
+from tidemark.sources.fixtures import (DOC_SEQ, ODD_CONFIG, SHARED_SINK, config_changelog, config_changelog_at,
+                                       odd_change_log, table)
+from tidemark.sources.literal import literal_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,20 +196,28 @@ def _upsert(apply_deletes):
     return q
 
 
-def q_dim_table_rows(spark, sf_dir):
-    """The dimension tables after three batches that overlap in time: each
-    change's ``seq`` is its source time, and batches take every third."""
-    routed = pl.dim_routed(spark, sf_dir).withColumn("src_ts", F.col("seq"))
-    state = pl.dim_config(spark)
-    root = scratch_path(spark, f"dim-{uuid.uuid4().hex}")
-    for run_no, third in enumerate((1, 2, 0)):
-        batch = routed.filter(F.pmod("seq", F.lit(3)) == third)
-        tables = upsert_dim_tables(batch, state, root, run_no, buckets=4)
-    columns = {r["sink_table"]: [c for c in r["sink_columns"].split(",") if c] for r in state.collect()}
+def q_dim_route_asof(spark, sf_dir):
+    """Each change by the config of its own position: lost before its table has
+    one or while it is deleted, pruned to the columns of that time."""
+    r = route_asof(pl.dim_changes(spark, sf_dir), config_history(parse_config_changes(config_changelog_at(spark))))
+    return r.select("seq", F.col("table").alias("source_table"), "type", "sink_table",
+                    key_value().alias("row_key"), F.concat_ws(",", F.array_sort(F.map_keys("data"))).alias("columns"))
+
+
+def _routed_once(spark, sf_dir, state) -> DataFrame:
+    """The routed changes, parsed once and written, for queries of several batches."""
+    path = scratch_path(spark, f"routed-{uuid.uuid4().hex}")
+    route(pl.dim_changes(spark, sf_dir), state).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _table_values(spark, root, tables) -> DataFrame:
+    """``(sink_table, row_key, column_name, column_value)`` of dimension tables."""
     parts = []
     for t in tables:
-        rows = read_dim_table(spark, root, t, columns[t])
-        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("column_value")) for c in columns[t]])
+        rows = read_dim_table(spark, root, t)
+        cols = [c for c in rows.columns if c != "row_key"]
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("column_value")) for c in cols])
         parts.append(rows.select(F.lit(t).alias("sink_table"), "row_key", F.inline(pairs)))
     out = parts[0]
     for x in parts[1:]:
@@ -211,12 +225,117 @@ def q_dim_table_rows(spark, sf_dir):
     return out
 
 
+def q_dim_table_rows(spark, sf_dir):
+    """The dimension tables after three batches that overlap in time: each
+    change's ``seq`` is its source time, and batches take every third."""
+    state = pl.dim_config(spark)
+    routed = _routed_once(spark, sf_dir, state).withColumn("src_ts", F.col("seq"))
+    root = scratch_path(spark, f"dim-{uuid.uuid4().hex}")
+    for run_no, third in enumerate((1, 2, 0)):
+        tables = upsert_dim_tables(routed.filter(F.pmod("seq", F.lit(3)) == third), state, root, run_no)
+    return _table_values(spark, root, tables)
+
+
+def q_dim_shared_sink(spark, sf_dir):
+    """Customers and orders feed one table, column by column, in two batches (odd
+    positions, then even); the second batch's config has a column more."""
+    root = scratch_path(spark, f"dim-{uuid.uuid4().hex}")
+    for run_no, config in enumerate(SHARED_SINK):
+        state = config_state(parse_config_changes(config_changelog(spark, config)))
+        routed = route(pl.dim_changes(spark, sf_dir), state).withColumn("src_ts", F.col("seq"))
+        upsert_dim_tables(routed.filter(F.pmod("seq", F.lit(2)) == 1 - run_no), state, root, run_no)
+    return _table_values(spark, root, ["dim_buyer"])
+
+
+def _odd(spark, sf_dir):
+    state = config_state(parse_config_changes(config_changelog(spark, ODD_CONFIG)))
+    return parse_changes(odd_change_log(spark, sf_dir)), state
+
+
+def q_dim_odd_values(spark, sf_dir):
+    """Apostrophes and nulls reach the table as they are; changes without data don't stop the batch."""
+    changes, state = _odd(spark, sf_dir)
+    root = scratch_path(spark, f"dim-{uuid.uuid4().hex}")
+    upsert_dim_tables(route(changes, state), state, root)
+    return _table_values(spark, root, ["dim_vendor"])
+
+
+def q_dim_rejects(spark, sf_dir):
+    """What is set aside: changes without data, broken lines, a config without its key."""
+    changes, state = _odd(spark, sf_dir)
+    bad = config_rejects(state).select(F.lit(None).cast("bigint").alias("seq"), F.col("source_table").alias("table"),
+                                       F.lit(None).cast("string").alias("type"), F.lit("bad_key").alias("reason"))
+    return route_rejects(changes, state).unionByName(bad).withColumnRenamed("table", "source_table")
+
+
+def _lateness(spark, sf_dir):
+    return with_lateness(pl.page_log(spark, sf_dir, repaired=False))
+
+
+def q_keyword_late_rows(spark, sf_dir):
+    return late_rows(_lateness(spark, sf_dir))
+
+
+def q_keyword_on_time(spark, sf_dir):
+    return counts_on_time(_lateness(spark, sf_dir))
+
+
+_KEYWORD_KEY = ["stt", "edt", "source", "keyword"]
+
+
+def _keyword_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Daily keyword counts of the lines before the documents' arrive, and of
+    all lines without the events of the first ten days (kept no longer)."""
+    path = scratch_path(spark, f"searches-{uuid.uuid4().hex}")
+    page = pl.page_log(spark, sf_dir, repaired=False)
+    kw.keyword_filter(page.withColumn("rowtime", F.struct(rowtime("ts").alias("t"), F.col("seq")))).write.parquet(path)
+    found = spark.read.parquet(path).select("fullword", "rowtime.t", "rowtime.seq").withColumnRenamed("t", "rowtime")
+    count = lambda rows: kw.keyword_window(kw.keyword_explode(rows), "1 day", with_ts=False)
+    old = count(found.filter(F.col("seq") < DOC_SEQ))
+    kept = (F.col("seq") >= DOC_SEQ) | (F.col("rowtime") >= F.lit("2024-01-11").cast("timestamp_ntz"))
+    return old, count(found.filter(kept))
+
+
+def _key_fields(key: str = "key"):
+    return F.from_json(key, "stt string, edt string, source string, keyword string").alias("k")
+
+
+def q_keyed_changes(spark, sf_dir):
+    """The messages between two versions of the daily counts; a tombstone has
+    no count."""
+    m = keyed_changes(*_keyword_versions(spark, sf_dir), _KEYWORD_KEY)
+    return m.select(_key_fields(), F.from_json("value", "keyword_count bigint").alias("v")).select("k.*", "v.keyword_count")
+
+
+def q_keyed_replay(spark, sf_dir):
+    """The older version as messages, then the changes, compacted: the newer one."""
+    old, new = _keyword_versions(spark, sf_dir)
+    log = (to_keyed_messages(old, _KEYWORD_KEY).withColumn("seq", F.lit(0))
+           .unionByName(keyed_changes(old, new, _KEYWORD_KEY).withColumn("seq", F.lit(1))))
+    return from_messages(compacted(log), new.schema)
+
+
 def q_dic_lookup(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", status_code("o_orderstatus").alias("dic_code"))
     return dic_lookup(o, code_dictionary(spark))
 
 
+# Fixed test changes of the dictionary: (position in days since 1970, code, name, parent).
+_DIC_CHANGES = ((0, "1001", "unpaid", "10"), (0, "1004", "finished", "10"), (10_000, "1004", "done", "10"),
+                (10_500, "1001", "awaiting payment", "10"), (10_700, "1004", None, "10"), (10_900, "1004", "closed", "10"),
+                (9_800, "1002", "paid", "10"))
+
+
+def q_dic_lookup_asof(spark, sf_dir):
+    """Orders by a dictionary that changes, through a copy refreshed every 30 days."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", status_code("o_orderstatus").alias("dic_code"),
+        F.unix_date(F.to_date("o_orderdate")).cast("bigint").alias("day"))
+    h = dictionary_history(literal_frame(spark, list(_DIC_CHANGES), "at bigint, dic_code string, dic_name string, parent_code string"))
+    return dic_lookup_asof(o, h, "day", ttl=30)
+
+
 def q_fn_to_date(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"),
                                                 epoch_ms("ts").alias("ts"))
@@ -274,9 +393,22 @@ def queries() -> dict[str, Query]:
         "dim_upsert_latest": _upsert(False),
         "dim_upsert_deletes": _upsert(True),
         "dim_table_rows": q_dim_table_rows,
+        "dim_route_asof": q_dim_route_asof,
+        "dim_shared_sink": q_dim_shared_sink,
+        "dim_odd_values": q_dim_odd_values,
+        "dim_rejects": q_dim_rejects,
         "dic_lookup": q_dic_lookup,
+        "dic_lookup_asof": q_dic_lookup_asof,
         "fn_to_date": q_fn_to_date,
         "fn_to_ts": q_fn_to_ts,
         "keyed_messages": q_keyed_messages,
+        "keyed_changes": q_keyed_changes,
+        "keyed_replay": q_keyed_replay,
+        "keyword_late_rows": q_keyword_late_rows,
+        "keyword_on_time": q_keyword_on_time,
         "sink_columns": q_sink_columns,
+        "stream_flag_repair": streams.flag_repair,
+        "stream_unique_visitor": streams.unique_visitor,
+        "stream_user_jump": streams.user_jump,
+        "stream_keyword_window": streams.keyword_window,
     }

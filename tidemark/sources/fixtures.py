@@ -10,6 +10,7 @@ becomes one log line, each document two, each dimension row one change record.
 from __future__ import annotations
 
 import os
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -203,9 +204,70 @@ CONFIG_CHANGES = (
 )
 
 
+def odd_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes ``(value, seq)`` of every supplier as table ``vendor``, with what breaks
+    writers: by ``s_suppkey % 5`` no ``data`` (0), a name with an apostrophe (1), a null balance (2),
+    broken text (3), and as they are (4). Another table's config has a key that is
+    none of its columns (:data:`ODD_CONFIG`)."""
+    s = table(spark, sf_dir, "supplier")
+    n = F.col("s_suppkey") % 5
+    data = F.to_json(F.struct("s_suppkey", F.when(n == 1, F.concat(F.lit("O'"), "s_name")).otherwise(F.col("s_name")).alias("s_name"),
+                              "s_acctbal"))
+    # a field that is there with null, which to_json would leave out
+    data = F.when(n == 2, F.regexp_replace(data, r'"s_acctbal":[^,}]*', '"s_acctbal":null')).otherwise(data)
+    head = F.lit('{"database":"shop","table":"vendor","type":"update"')
+    value = F.when(n == 0, F.concat(head, F.lit("}"))).when(n == 3, F.concat(head, F.lit(',"data":'))).otherwise(
+        F.concat(head, F.lit(',"data":'), data, F.lit("}")))
+    return s.select(value.alias("value"), F.col("s_suppkey").cast("bigint").alias("seq"))
+
+
+ODD_CONFIG = (
+    ("c", None, {"source_table": "vendor", "sink_table": "dim_vendor", "sink_columns": "s_suppkey,s_name,s_acctbal",
+                 "sink_pk": "s_suppkey", "sink_extend": None}),
+    ("c", None, {"source_table": "lost", "sink_table": "dim_lost", "sink_columns": "name", "sink_pk": None, "sink_extend": None}),
+)
+
+
+def _day(iso: str) -> int:
+    """Position of a day's first order."""
+    return (date.fromisoformat(iso) - date(1970, 1, 1)).days * ORDER_SEQ_DAY
+
+
+_ORDERS_1 = _tp("orders", "dim_order", "o_orderkey,o_custkey", "o_orderkey")
+_ORDERS_2 = _tp("orders", "dim_order", "o_orderkey,o_custkey,o_orderstatus", "o_orderkey")
+_ORDERS_3 = _tp("orders", "dim_order_late", "o_orderkey,o_orderdate", "o_orderkey")
+_CUST_1 = _tp("customer", "dim_customer", "c_custkey,c_name", "c_custkey")
+_CUST_2 = _tp("customer", "dim_customer", "c_custkey,c_name,c_mktsegment", "c_custkey")
+
+# Fixed test config changelog amid the changes: (position, op, before, after). Orders get
+# their config in 1996, another column in 1998, lose it in 1999 and come back under another
+# table in 2000; customers have one from key 10, another from key 70; nations from key 10.
+CONFIG_HISTORY = (
+    (10, "c", None, _CUST_1),
+    (70, "u", _CUST_1, _CUST_2),
+    (10, "r", None, _tp("nation", "dim_nation", "n_nationkey,n_name", "n_nationkey")),
+    (_day("1996-01-01"), "c", None, _ORDERS_1),
+    (_day("1998-01-01"), "u", _ORDERS_1, _ORDERS_2),
+    (_day("1999-01-01"), "d", _ORDERS_2, None),
+    (_day("2000-01-01"), "c", None, _ORDERS_3),
+)
+
+# Two source tables that feed one sink table; the second has a column more from
+# the second batch on.
+SHARED_SINK = tuple(
+    (("c", None, _tp("customer", "dim_buyer", "c_custkey,c_name", "c_custkey")),
+     ("c", None, _tp("orders", "dim_buyer", cols, "o_custkey")))
+    for cols in ("o_custkey,o_orderkey", "o_custkey,o_orderkey,o_orderstatus"))
+
+
 def config_changelog(spark: SparkSession, changes=CONFIG_CHANGES) -> DataFrame:
     """Config change envelopes ``(value, seq)`` as JSON text."""
+    return config_changelog_at(spark, [(i, *c) for i, c in enumerate(changes)])
+
+
+def config_changelog_at(spark: SparkSession, changes=CONFIG_HISTORY) -> DataFrame:
+    """The same with a position of its own for each change."""
     import json
-    rows = [(json.dumps({"before": b, "after": a, "op": op, "ts_ms": 1_700_000_000_000 + i}), i)
-            for i, (op, b, a) in enumerate(changes)]
+    rows = [(json.dumps({"before": b, "after": a, "op": op, "ts_ms": 1_700_000_000_000 + i}), at)
+            for i, (at, op, b, a) in enumerate(changes)]
     return literal_frame(spark, rows, "value string, seq bigint")
