@@ -68,10 +68,6 @@ def _numbered(words: list) -> tuple[np.ndarray, pa.BinaryArray]:
     return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary
 
 
-def _hashes(vocab: pa.BinaryArray) -> np.ndarray:
-    return pd.util.hash_array(np.array(vocab.to_pylist(), dtype=object), categorize=False)
-
-
 def _window_hash(h: np.ndarray, lang: str) -> np.ndarray:
     """Of rows of word hashes, one hash each."""
     out = np.full(len(h), zlib.crc32(lang.encode()), np.uint64)
@@ -103,15 +99,24 @@ def _blocks(data: bytes, size: int) -> Iterator[tuple[bytes, int]]:
             lead, seen = b" ".join(tail) + b" ", len(tail)
 
 
-def _stripes(m: int, lang: str, data: bytes, seen: int, buckets: int, parts: int,
+class Block:
+    """The words of a block of text as numbers."""
+
+    def __init__(self, data: bytes):
+        self.code, vocab = _numbered(data.replace(END, b" " + END + b" ").split())
+        words = vocab.to_pylist()
+        self.hashes = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
+        self.word = ~np.array([w == END for w in words], bool)[self.code]
+        # words with a blank behind: a run of them is a slice of one buffer
+        self.spaced = pa.array([w + b" " for w in words], pa.binary())
+
+
+def _stripes(m: int, lang: str, text: Block, seen: int, buckets: int, parts: int,
              table: np.ndarray | None) -> pa.RecordBatch | None:
     """The stripes of the prefixes of m - 1 words of one block, packed by bucket."""
-    code, vocab = _numbered(data.replace(END, b" " + END + b" ").split())
+    code, hashes, word, vocab, spaced = text.code, text.hashes, text.word, text.hashes, text.spaced
     if len(code) < m:
         return None
-    hashes = _hashes(vocab)
-    end = np.array([w == END for w in vocab.to_pylist()])
-    word = ~end[code]
     n = len(code) - m + 1
     ok = np.ones(n, bool)
     for j in range(m):
@@ -141,8 +146,6 @@ def _stripes(m: int, lang: str, data: bytes, seen: int, buckets: int, parts: int
     new_row = np.flatnonzero(np.diff(bucket, prepend=-1))
     new = np.flatnonzero((np.diff(bucket, prepend=-1) != 0) | (np.diff(prefix, prepend=-1) != 0))
     size = np.diff(new, append=len(order)).astype("<i4")
-    # words with a blank behind: a run of them is a slice of one buffer
-    spaced = pa.array([w + b" " for w in vocab.to_pylist()], pa.binary())
 
     def joined(numbers: np.ndarray, edges: np.ndarray) -> pa.BinaryArray:
         taken = spaced.take(pa.array(numbers))
@@ -160,78 +163,86 @@ def _stripes(m: int, lang: str, data: bytes, seen: int, buckets: int, parts: int
     firsts = code[start[new][:, None] + np.arange(m - 1)].reshape(-1) if m > 1 else np.zeros(0, np.int64)
     return pa.RecordBatch.from_pydict({
         "lang": pa.array([lang] * len(new_row), pa.string()),
+        "words": pa.array([m] * len(new_row), pa.int32()),
         "bucket": pa.array(bucket[new_row], pa.int64()),
         "prefixes": joined(firsts, stripes * (m - 1)), "sizes": packed(size, stripes),
         "nexts": joined(last, rows), "counts": packed(count, rows)})
 
 
-STRIPES = "lang string, bucket long, prefixes binary, sizes binary, nexts binary, counts binary"
+STRIPES = "lang string, words int, bucket long, prefixes binary, sizes binary, nexts binary, counts binary"
 
 
-def _count(m: int, buckets: int, parts: int, block: int, table):
+def _count(levels: tuple[int, ...], buckets: int, parts: int, block: int, table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if table is None else np.frombuffer(table.value, "<u8")
         held: dict[str, list[bytes]] = {}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang in list(held):
-                for part, seen in _blocks(b"".join(held.pop(lang)), block):
-                    out = _stripes(m, lang, part, seen, buckets, parts, bits)
+        size: dict[str, int] = {}
+
+        def flush(lang: str) -> Iterator[pa.RecordBatch]:
+            size.pop(lang)
+            for part, seen in _blocks(b"".join(held.pop(lang)), block):
+                text = Block(part)
+                for m in levels:
+                    out = _stripes(m, lang, text, seen, buckets, parts, bits)
                     if out is not None:
                         yield out
 
         for b in batches:
             for lang, text in zip(b.column("lang"), b.column("text")):
-                raw = text.as_buffer().to_pybytes().translate(_TABLE) + END
-                held.setdefault(lang.as_py(), []).append(raw)
-                size += len(raw)
-                if size >= block:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+                raw, lang = text.as_buffer().to_pybytes().translate(_TABLE) + END, lang.as_py()
+                held.setdefault(lang, []).append(raw)
+                size[lang] = size.get(lang, 0) + len(raw)
+                if size[lang] >= block:
+                    yield from flush(lang)
+                elif sum(size.values()) >= 4 * block:  # many languages share the memory
+                    yield from flush(max(size, key=size.get))
+        for lang in list(held):
+            yield from flush(lang)
     return run
 
 
 FREQUENT = "lang string, words int, phrase string, f long, h long"
 
 
-def _merge(m: int, least: int):
+def _merge(least: int):
     """Merges the stripes of a bucket elementwise; its entries of at least
     ``least``, and (of the empty prefix) the sum of all entries, with no phrase."""
+    def one(lang: str, m: int, mine: pa.Table) -> dict:
+        size = np.frombuffer(b"".join(mine.column("sizes").to_pylist()), "<i4")
+        count = np.frombuffer(b"".join(mine.column("counts").to_pylist()), "<i8")
+        firsts = b"".join(mine.column("prefixes").to_pylist()).split()
+        code, vocab = _numbered(firsts + b"".join(mine.column("nexts").to_pylist()).split())
+        first, last = code[:len(firsts)].reshape(-1, m - 1) if m > 1 else None, code[len(firsts):]
+        # prefixes are numbered once per stripe, then windows
+        prefix = np.zeros(len(size), np.int64)
+        for j in range(m - 1):
+            prefix = np.unique(prefix * len(vocab) + first[:, j], return_inverse=True)[1]
+        pair = np.repeat(prefix, size) * len(vocab) + last
+        order = np.argsort(pair)
+        new = np.flatnonzero(np.diff(pair[order], prepend=-1))
+        f = np.add.reduceat(count[order], new)
+        often = f >= least
+        f, at = f[often], order[new[often]]
+        stripe = np.searchsorted(np.cumsum(size), at, "right")
+        window = np.hstack([first[stripe] if m > 1 else np.zeros((len(at), 0), np.int64), last[at].reshape(-1, 1)])
+        used, place = np.unique(window, return_inverse=True)
+        words = vocab.take(pa.array(used))
+        h = pd.util.hash_array(np.array(words.to_pylist(), dtype=object), categorize=False)[place.reshape(window.shape)]
+        words = [w.decode() for w in words.to_pylist()]
+        out = {"phrase": [" ".join(words[c] for c in w) for w in place.reshape(window.shape)], "f": f.tolist(),
+               "h": _window_hash(h, lang).view(np.int64).tolist()}
+        if m == 1:
+            out = {"phrase": [*out["phrase"], None], "f": [*out["f"], int(count.sum())], "h": [*out["h"], 0]}
+        return {"lang": [lang] * len(out["f"]), "words": [m] * len(out["f"])} | out
+
+    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64()),
+                        ("h", pa.int64())])
+
     def run(rows: pa.Table) -> pa.Table:
-        out = {"lang": [], "words": [], "phrase": [], "f": [], "h": []}
-        langs = rows.column("lang").to_pylist()
-        for lang in sorted(set(langs)):
-            mine = rows.filter(pa.array([x == lang for x in langs]))
-            size = np.frombuffer(b"".join(mine.column("sizes").to_pylist()), "<i4")
-            count = np.frombuffer(b"".join(mine.column("counts").to_pylist()), "<i8")
-            firsts = b"".join(mine.column("prefixes").to_pylist()).split()
-            code, vocab = _numbered(firsts + b"".join(mine.column("nexts").to_pylist()).split())
-            width = max(len(vocab), 1)
-            window = np.hstack([np.repeat(code[:len(firsts)].reshape(-1, m - 1), size, axis=0) if m > 1 else
-                                np.zeros((len(count), 0), np.int64), code[len(firsts):].reshape(-1, 1)])
-            pair = np.zeros(len(count), np.int64)
-            for j in range(m):
-                pair = np.unique(pair * width + window[:, j], return_inverse=True)[1]
-            order = np.argsort(pair, kind="stable")
-            new = np.flatnonzero(np.diff(pair[order], prepend=-1))
-            f = np.add.reduceat(count[order], new)
-            often = f >= least
-            window, f = window[order[new[often]]], f[often]
-            h = _window_hash(_hashes(vocab)[window], lang).view(np.int64)
-            words = vocab.to_pylist()
-            out["phrase"] += [b" ".join(words[c] for c in w).decode() for w in window]
-            out["f"] += f.tolist()
-            out["h"] += h.tolist()
-            if m == 1:
-                out["phrase"].append(None)
-                out["f"].append(int(count.sum()))
-                out["h"].append(0)
-            out["lang"] += [lang] * (len(out["f"]) - len(out["lang"]))
-        out["words"] = [m] * len(out["f"])
-        return pa.table(out, schema=pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()),
-                                               ("f", pa.int64()), ("h", pa.int64())]))
+        langs, words = rows.column("lang").to_pylist(), rows.column("words").to_pylist()
+        kinds = sorted(set(zip(langs, words)))
+        tables = [pa.table(one(*k, rows.filter(pa.array([x == k for x in zip(langs, words)]))), schema=schema) for k in kinds]
+        return pa.concat_tables(tables)
     return run
 
 
@@ -259,16 +270,18 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
     # a level's packed stripes are about as large as the texts
     buckets = max(1, -(-total // bucket))
     parts = max(64, buckets // 4)
-    out, table = None, None
-    for m in range(1, most_words + 1):
-        s = d.mapInArrow(_count(m, buckets, parts, block, table), STRIPES)
-        level = stored(s.groupBy("bucket").applyInArrow(_merge(m, least), FREQUENT))
-        if table is not None:
-            table.destroy()
-        out = level if out is None else out.unionByName(level)
-        if m < 2 or m == most_words:
-            continue
-        table = _bit_table(level)
+    def counted(levels: tuple[int, ...], table) -> DataFrame:
+        # a bucket holds the stripes of its prefixes for one level or two
+        s = d.mapInArrow(_count(levels, buckets, parts, block, table), STRIPES)
+        return stored(s.groupBy("bucket", "words").applyInArrow(_merge(least), FREQUENT))
+
+    # words and pairs need no filter: one pass
+    out = level = counted(tuple(range(1, min(most_words, 2) + 1)), None)
+    for m in range(3, most_words + 1):
+        table = _bit_table(level.filter(F.col("words") == m - 1).filter(F.col("phrase").isNotNull()))
+        level = counted((m,), table)
+        table.destroy()
+        out = out.unionByName(level)
     return out
 
 
