@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.time import fmt_datetime, ms_to_local
 from tidemark.operators.keyword import KEYWORD_SEARCH, keyword_explode
-from tidemark.session import scratch_path
+from tidemark.session import passing_path
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    path = passing_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -24,7 +24,7 @@ from tidemark.operators.split import (TOPIC_ACTION, TOPIC_DISPLAY, TOPIC_ERR,
 from tidemark.plans import flows as pl
 from tidemark.plans import streams
 from tidemark.schemas import KEYWORD_BEAN
-from tidemark.session import scratch_path
+from tidemark.session import passing_path
 from tidemark.sinks.dim import read_dim_table, upsert_dim_tables
 from tidemark.sinks.kafka import compacted, from_messages, keyed_changes, to_keyed_messages
 from tidemark.sinks.table import sink_columns
@@ -206,7 +206,7 @@ def q_dim_route_asof(spark, sf_dir):
 
 def _routed_once(spark, sf_dir, state) -> DataFrame:
     """The routed changes, parsed once and written, for queries of several batches."""
-    path = scratch_path(spark, f"routed-{uuid.uuid4().hex}")
+    path = passing_path(spark, f"routed-{uuid.uuid4().hex}")
     route(pl.dim_changes(spark, sf_dir), state).write.parquet(path)
     return spark.read.parquet(path)
 
@@ -230,7 +230,7 @@ def q_dim_table_rows(spark, sf_dir):
     change's ``seq`` is its source time, and batches take every third."""
     state = pl.dim_config(spark)
     routed = _routed_once(spark, sf_dir, state).withColumn("src_ts", F.col("seq"))
-    root = scratch_path(spark, f"dim-{uuid.uuid4().hex}")
+    root = passing_path(spark, f"dim-{uuid.uuid4().hex}")
     for run_no, third in enumerate((1, 2, 0)):
         tables = upsert_dim_tables(routed.filter(F.pmod("seq", F.lit(3)) == third), state, root, run_no)
     return _table_values(spark, root, tables)
@@ -239,7 +239,7 @@ def q_dim_table_rows(spark, sf_dir):
 def q_dim_shared_sink(spark, sf_dir):
     """Customers and orders feed one table, column by column, in two batches (odd
     positions, then even); the second batch's config has a column more."""
-    root = scratch_path(spark, f"dim-{uuid.uuid4().hex}")
+    root = passing_path(spark, f"dim-{uuid.uuid4().hex}")
     for run_no, config in enumerate(SHARED_SINK):
         state = config_state(parse_config_changes(config_changelog(spark, config)))
         routed = route(pl.dim_changes(spark, sf_dir), state).withColumn("src_ts", F.col("seq"))
@@ -255,7 +255,7 @@ def _odd(spark, sf_dir):
 def q_dim_odd_values(spark, sf_dir):
     """Apostrophes and nulls reach the table as they are; changes without data don't stop the batch."""
     changes, state = _odd(spark, sf_dir)
-    root = scratch_path(spark, f"dim-{uuid.uuid4().hex}")
+    root = passing_path(spark, f"dim-{uuid.uuid4().hex}")
     upsert_dim_tables(route(changes, state), state, root)
     return _table_values(spark, root, ["dim_vendor"])
 
@@ -286,7 +286,7 @@ _KEYWORD_KEY = ["stt", "edt", "source", "keyword"]
 def _keyword_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Daily keyword counts of the lines before the documents' arrive, and of
     all lines without the events of the first ten days (kept no longer)."""
-    path = scratch_path(spark, f"searches-{uuid.uuid4().hex}")
+    path = passing_path(spark, f"searches-{uuid.uuid4().hex}")
     page = pl.page_log(spark, sf_dir, repaired=False)
     kw.keyword_filter(page.withColumn("rowtime", F.struct(rowtime("ts").alias("t"), F.col("seq")))).write.parquet(path)
     found = spark.read.parquet(path).select("fullword", "rowtime.t", "rowtime.seq").withColumnRenamed("t", "rowtime")

@@ -21,7 +21,7 @@ from tidemark.operators.parse import parse_log
 from tidemark.operators.split import TOPIC_PAGE
 from tidemark.plans import flows as pl
 from tidemark.schemas import RAW_LOG
-from tidemark.session import scratch_path
+from tidemark.session import passing_path
 from tidemark.sinks import files
 from tidemark.sinks.runs import read_runs, run_name, write_run
 from tidemark.sources.fixtures import DOC_TS, raw_log
@@ -47,7 +47,7 @@ def run_in_chunks(lines: DataFrame, body_of: Callable[[DataFrame, str], object])
     """``lines`` is ``(value, seq, chunk)``; ``body_of(stream, checkpoint)`` gives a ready
     stream writer, started anew for every chunk."""
     spark = lines.sparkSession
-    work = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    work = passing_path(spark, f"stream-{uuid.uuid4().hex}")
     lines.write.partitionBy("chunk").parquet(f"{work}/waiting")
     _end_line(spark).write.parquet(f"{work}/waiting/chunk={CHUNKS}")
     for k in range(CHUNKS + 1):
@@ -62,7 +62,7 @@ def run_in_chunks(lines: DataFrame, body_of: Callable[[DataFrame, str], object])
 
 
 def _results(spark: SparkSession, lines: DataFrame, make: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
-    out = scratch_path(spark, f"stream-out-{uuid.uuid4().hex}")
+    out = passing_path(spark, f"stream-out-{uuid.uuid4().hex}")
 
     def body_of(stream, checkpoint):
         def write(batch: DataFrame, batch_id: int) -> None:
@@ -103,8 +103,8 @@ def flag_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_log(spark, sf_dir)
     ts = F.get_json_object("value", "$.ts").cast("bigint")
     lines = raw.select("value", "seq", F.coalesce(chunk_of(ts, F.col("seq")), F.lit(0)).alias("chunk"))
-    out = scratch_path(spark, f"stream-out-{uuid.uuid4().hex}")
-    anchors = sj.anchor_table(spark, scratch_path(spark, f"anchors-{uuid.uuid4().hex}"))
+    out = passing_path(spark, f"stream-out-{uuid.uuid4().hex}")
+    anchors = sj.anchor_table(spark, passing_path(spark, f"anchors-{uuid.uuid4().hex}"))
 
     def body_of(stream, checkpoint):
         def write(batch: DataFrame, batch_id: int) -> None:

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # checkpoints go with the frames they belong to
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -83,3 +85,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (for written tables and
     streaming checkpoints)."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def passing_path(spark: SparkSession, name: str) -> str:
+    """A path of the same kind for what only this application reads: its folder
+    is deleted when the application ends (a killed driver leaves it behind)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, name))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)  # only folders that exist can be marked
+    fs.deleteOnExit(p)
+    return os.path.join(scratch_path(spark, name), "t")

@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.schemas import RAW_LOG
 
 
+#: What one micro-batch takes unless the caller says otherwise.
+MAX_RECORDS, MAX_FILES = 20_000_000, 1000
+
+
 def _from_kafka(df: DataFrame) -> DataFrame:
     return df.select(F.col("value").cast("string").alias("value"),
                      F.col("offset").cast("bigint").alias("seq"),
@@ -48,11 +52,14 @@ def read_log_stream(spark: SparkSession, source: str, path_or_topic: str,
                     options: dict | None = None, seq_col: str = "seq") -> DataFrame:
     """Streaming twin of :func:`read_log` (``startingOffsets`` replaces the
     reference's consumer-group offsets; Spark keeps offsets in the query's
-    checkpoint)."""
+    checkpoint). A micro-batch takes at most ``maxOffsetsPerTrigger`` records (files:
+    ``maxFilesPerTrigger``), so a job that starts behind catches up in bounded steps."""
     options = dict(options or {})
     if source == "kafka":
+        options.setdefault("maxOffsetsPerTrigger", MAX_RECORDS)
         r = spark.readStream.format("kafka").option("subscribe", path_or_topic)
         return _from_kafka(r.options(**options).load())
+    options.setdefault("maxFilesPerTrigger", MAX_FILES)
     r = spark.readStream.format(source).options(**options)
     if source in ("parquet", "json", "orc"):
         r = r.schema(RAW_LOG)
