@@ -15,7 +15,7 @@ are exact in any order.
 
 A document is the mean and the standard deviation of its words' vectors. A
 two-layer network (tanh, logistic output) is fitted in numpy on the driver to
-a bounded sample of labelled documents, the ``TRAIN_ROWS`` of least hash, and
+a bounded sample of labelled documents, at most ``TRAIN_ROWS`` of highest hash, and
 its probabilities are calibrated by a temperature fitted to a fifth of them
 that the network did not see.
 
@@ -23,7 +23,9 @@ Null texts count as empty. Empty texts have the zero vector and are scored
 like any other. Labels that are null are left out, and repeated labels of a
 document are averaged (0.5 and up: 1). Without labels of both kinds every
 score is the share of label 1 (0.5 without any). Rows with a null doc_id are
-scored, with held_out false. The score reads nothing but the text.
+scored, with held_out false. The score reads nothing but the text: rows with equal texts tie, other columns are not
+read (keep_good carries them along). A text of any length is read whole, in blocks of whole words. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,10 +37,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, keep_rows, keyed, real_id, release, stored
+from .common import cut, keep_rows, keyed, real_id, stored
 from .windows import mix, word_hashes
 
-DIM, NONZERO, REACH = 32, 2, 2
+DIM, NONZERO, REACH = 16, 2, 2
 #: Words looked up in a broadcast table; the others are joined.
 HOT = 1 << 18
 UNIT = 1 << 20
@@ -220,12 +222,32 @@ def _summed(t: pa.Table) -> pa.Table:
 def word_vectors(docs: DataFrame) -> DataFrame:
     """word, n, sums of every word: its hash, its count, and its vector before scaling."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    out = stored(docs.select("text").mapInArrow(_contexts(max(BUCKETS, size // BUCKET_BYTES)), "bucket long, part binary")
-                 .groupBy("bucket").applyInArrow(_summed, "word long, n long, sums binary"))
-    release(docs.sparkSession)
+    return stored(docs.select("text").mapInArrow(_contexts(max(BUCKETS, size // BUCKET_BYTES)), "bucket long, part binary")
+                  .groupBy("bucket").applyInArrow(_summed, "word long, n long, sums binary"))
+
+
+def _cells(rows: DataFrame, cell, most: int) -> list:
+    """The cells (a column of whole numbers, a few thousand at most), greatest first, that
+    together hold at most ``most`` rows: what a sort and a limit give, without
+    a task that merges the rows."""
+    counts = rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("cell")).collect()
+    out, sum_ = [], 0
+    for r in counts:
+        sum_ += r["n"]
+        if sum_ > most:
+            break
+        out.append(r["cell"])
     return out
 
 
+def most_frequent(vectors: DataFrame, most: int) -> DataFrame:
+    """The words of the highest counts, as many whole classes of counts as hold at most
+    ``most`` words. A class is a count up to 64, then an eightieth of a power of ten."""
+    cell = F.when(F.col("n") <= 64, F.col("n")).otherwise(F.floor(F.log10("n") * 80)).cast("int")
+    cells = _cells(vectors, cell, most)
+    return vectors.filter(cell >= (min(cells) if cells else 1 << 30))
+
+
 def _units(sums: np.ndarray) -> np.ndarray:
     """Vectors of length one in whole units."""
     return np.rint(sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12) * UNIT)
@@ -316,7 +338,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def pooled(docs: DataFrame, vectors: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, tag, x: the features of every document (doc_id, tag, text)."""
-    top = vectors.orderBy(F.desc("n"), "word").limit(hot).toArrow().combine_chunks()
+    top = most_frequent(vectors, hot).toArrow().combine_chunks()
     word = top.column("word").to_numpy()
     order = np.argsort(word)
     units = _units(np.vstack([_unpacked(c, DIM) for c in top.column("sums").chunks] or [np.zeros((0, DIM))]))
@@ -332,7 +354,7 @@ def pooled(docs: DataFrame, vectors: DataFrame, hot: int = HOT) -> DataFrame:
 class Network:
     """x -> tanh layer -> logit; standardises its input; has a temperature."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 40, seed: int = 7):
+    def __init__(self, x: np.ndarray, y: np.ndarray, hidden: int = 64, epochs: int = 80, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.temperature, self.base = 1.0, 0.0
         share = y.mean() if len(y) else 0.5
@@ -397,8 +419,13 @@ def fit(x: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Networ
     """The network for features ``x`` (doc_id, x) from labels (doc_id, quality)."""
     known = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("y")))
-    rows = (x.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(train_rows)
-            .select("x", "y").toArrow())
+    known = known.join(x.select("doc_id").distinct(), "doc_id", "left_semi")
+    cell = F.shiftrightunsigned(F.xxhash64("doc_id"), 52).cast("int")
+    cells = _cells(known, cell, train_rows)
+    known = known.filter(cell >= (min(cells) if cells else 1 << 30))
+    # of rows that repeat a doc_id, one; in a fixed order, so that reruns fit the same network
+    rows = (x.join(known, "doc_id").groupBy("doc_id", "y").agg(F.min("x").alias("x")).toArrow())
+    rows = rows.sort_by("doc_id").select(["x", "y"])
     y = rows.column("y").to_numpy().astype(np.float64)
     flat = rows.column("x").combine_chunks().flatten().to_numpy() if len(y) else np.zeros(0)
     return Network(flat.reshape(-1, 2 * DIM).astype(np.float64), y)
