@@ -22,13 +22,18 @@ A band gives the pairs with its hub, the node that shares most bands. Pairs
 whose signatures agree too little to reach 0.8 (4.5 standard deviations) are left
 out, the rest are verified on the texts. Bands whose nodes are then still in
 several classes are compared across classes, signature against signature in
-blocks, each pair in the first band it shares, and what may reach 0.8 is
-verified too: no link that would join classes is lost to a band's size, and no
-group is written out as pairs.
+blocks, each pair in the first band it shares. What may reach 0.8 leaves a block as
+tiles, at most ``2 * TILE`` nodes with the pairs among them as packed numbers; a tile's texts are
+fetched once each, its pairs verified there, and only links that join something
+come out (a spanning forest). So no link that would join classes is lost to a band's size, and no
+group is written out as pairs: rows grow with nodes and tiles, also where many texts
+are close to 0.8 without reaching it.
 
 Null, empty and blank texts have no shingles and are classes of their own. The
 class id is the least doc_id of the class; null doc_ids count as greatest.
-Rows that repeat a doc_id with one text are one document.
+Rows that repeat a doc_id with one text are one document. Texts of any length are
+compared whole. An empty table gives no rows. Other columns are not read, so their names can't clash;
+:func:`drop_near` carries them along.
 """
 
 from __future__ import annotations
@@ -52,6 +57,8 @@ AT_LEAST = (4, 5)
 #: Nodes of a block where large bands are compared across classes, and about
 #: as many rows of small bands are compared in one group.
 SIDE, TOGETHER = 2048, 20_000
+#: Nodes on each side of a tile whose pairs are verified together.
+TILE = 256
 #: Bytes of text handled at once, and documents.
 BLOCK, MOST = 1 << 20, 4000
 
@@ -229,7 +236,7 @@ def _verified(at_least: tuple[int, int], k: int):
 def _across(least: int):
     """Pairs of nodes of different classes that share a band, first this one,
     and whose signatures agree enough: of one block of a large band, or of
-    many small bands."""
+    many small bands. In tiles: the nodes of a tile, and its pairs as two numbers each."""
     def run(t: pa.Table) -> pa.Table:
         band = t.column("band").to_numpy()
         order = np.argsort(band, kind="stable")
@@ -255,8 +262,68 @@ def _across(least: int):
                     others = others[~(keys[others, :nth[i]] == keys[i, :nth[i]]).any(axis=1)]
                 a += [i] * len(others)
                 b += others.tolist()
+        # nodes in the order of their bands, so that the pairs of a band share tiles
         raw = t.column("node").combine_chunks().take(pa.array(order))
-        return pa.table({"a": raw.take(pa.array(a, pa.int64())), "b": raw.take(pa.array(b, pa.int64()))})
+        _, first, number = np.unique(node, return_index=True, return_inverse=True)
+        rank = np.argsort(np.argsort(first))[number]
+        at = np.sort(first)
+        x, y = rank[np.array(a, np.int64)], rank[np.array(b, np.int64)]
+        pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+        tile = pair // TILE
+        order = np.lexsort((pair[:, 1], pair[:, 0], tile[:, 1], tile[:, 0]))
+        pair, tile = pair[order], tile[order]
+        cuts = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]).any(axis=1)])) if len(pair) else []
+        out = {"tile": [], "nodes": [], "pairs": []}
+        place = "/".join(str(t.column(c)[0].as_py()) for c in ("cell", "large", "i", "j"))
+        for k, part in enumerate(np.split(pair, cuts[1:]) if len(pair) else []):
+            used, own_number = np.unique(part, return_inverse=True)
+            out["tile"].append(f"{place}/{k}")
+            out["nodes"].append(raw.take(pa.array(at[used])).to_pylist())
+            out["pairs"].append(own_number.reshape(-1).astype("<i2").tobytes())
+        return pa.table(out, schema=pa.schema([("tile", pa.string()), ("nodes", pa.list_(pa.binary())), ("pairs", pa.binary())]))
+    return run
+
+
+def _tile_links(at_least: tuple[int, int], k: int):
+    """The links of a tile that join something, by its texts: shingles are numbered
+    within the tile, and each pair of nodes not yet connected is counted exactly."""
+    def run(t: pa.Table) -> pa.Table:
+        at = t.column("pos").to_numpy()
+        row = np.empty(len(at), np.int64)
+        row[at] = np.arange(len(at))
+        pairs = np.frombuffer(next(p.as_py() for p in t.column("pairs") if p.is_valid), "<i2").reshape(-1, 2)
+        texts, nodes = t.column("text").cast(pa.binary()), t.column("node").to_pylist()
+        number: dict[bytes, int] = {}
+        held = []
+        for i in range(len(at)):
+            c = Counter(shingles(texts[int(row[i])].as_py(), k))
+            ids = np.fromiter((number.setdefault(s, len(number)) for s in c), np.int64, len(c))
+            held.append((ids, np.fromiter(c.values(), np.int64, len(c)), c.total()))
+        root = list(range(len(at)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        a, b, last = [], [], -1
+        dense = np.zeros(len(number), np.int64)
+        for x, y in pairs.tolist():
+            small, great = sorted((held[x][2], held[y][2]))
+            if small * at_least[1] < great * at_least[0] or find(x) == find(y):
+                continue
+            if x != last:
+                if last >= 0:
+                    dense[held[last][0]] = 0
+                dense[held[x][0]] = held[x][1]
+                last = x
+            least = int(np.minimum(dense[held[y][0]], held[y][1]).sum())
+            if least * at_least[1] >= (small + great - least) * at_least[0]:
+                root[find(x)] = find(y)
+                a.append(nodes[int(row[x])])
+                b.append(nodes[int(row[y])])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
     return run
 
 
@@ -293,19 +360,23 @@ class Linker:
         return (pairs.join(self._side("a"), "a").join(self._side("b"), "b")
                 .select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing(self.least), "a binary, b binary"))
 
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """node, text of the nodes ``wanted`` (node, distinct)."""
+        reps = self.nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "tag")
+        return self.docs.join(reps, ["doc_id", "tag"]).select("node", "text").dropDuplicates(["node"])
+
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs that reach the similarity, by their texts."""
-        wanted = pairs.select("a").union(pairs.select("b")).distinct()
-        reps = self.nodes.join(wanted, F.col("node") == F.col("a"), "left_semi").select("node", "doc_id", "tag")
-        texts = cut(self.docs.join(reps, ["doc_id", "tag"]).select("node", "text").dropDuplicates(["node"]))
-        j = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"))
-        # joined by a: rows of one a follow each other, and its shingles are counted once
+        texts = cut(self.texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
+        j = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        # a is a hub: its pairs are spread over salts, and rows of one a and salt follow
+        # each other, so its shingles are counted once for each
+        j = spread_join(j, texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a", "b")
         return j.select("a", "b", "text_a", "text_b").mapInArrow(
             _verified(self.at_least, self.k), "a binary, b binary")
 
-    def between(self, root: DataFrame, side: int, together: int) -> DataFrame:
-        """Likely pairs of different classes within a band."""
+    def tiles(self, root: DataFrame, side: int, together: int) -> DataFrame:
+        """tile, nodes, pairs: what may link nodes of different classes that share a band."""
         rows = self.members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = cut(rows.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most"),
                                              F.count(F.lit(1)).alias("rows"))
@@ -320,7 +391,15 @@ class Linker:
                 .join(self.nodes.select("node", "sig", F.col("bands").alias("keys")), "node")
                 .select(cell.alias("cell"), (blocks > 1).alias("large"), F.least("own", "with").alias("i"),
                         F.greatest("own", "with").alias("j"), "band", "nth", "own", "node", "root", "sig", "keys"))
-        return rows.groupBy("cell", "large", "i", "j").applyInArrow(_across(self.least), "a binary, b binary").distinct()
+        return rows.groupBy("cell", "large", "i", "j").applyInArrow(
+            _across(self.least), "tile string, nodes array<binary>, pairs binary")
+
+    def between(self, tiles: DataFrame) -> DataFrame:
+        """The links of tiles that join something, by the texts of their nodes."""
+        each = tiles.select("tile", F.posexplode("nodes").alias("pos", "node"), "pairs")
+        each = each.withColumn("pairs", F.when(F.col("pos") == 0, F.col("pairs")))
+        with_text = each.join(self.texts(each.select("node").distinct()), "node")
+        return with_text.groupBy("tile").applyInArrow(_tile_links(self.at_least, self.k), "a binary, b binary")
 
 
 def near_classes(docs: DataFrame, m: int = M, bands: int = BANDS, width: int = WIDTH, k: int = SHINGLE,
@@ -329,9 +408,9 @@ def near_classes(docs: DataFrame, m: int = M, bands: int = BANDS, width: int = W
     run = Linker(docs, m, bands, width, k, at_least)
     links = cut(run.verify(cut(run.likely(run.candidates()))))
     root = components(links)
-    more = cut(run.between(root, side, together))
+    more = cut(run.between(cut(run.tiles(root, side, together))))
     if not more.isEmpty():
-        links = links.union(run.verify(more))
+        links = links.union(more)
         root = components(links)
     classed = run.nodes.select("node", "doc_id", "copies").join(root, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
@@ -354,3 +433,20 @@ def near_groups(docs: DataFrame, **options) -> DataFrame:
 def drop_near(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their class."""
     return keep_rows(docs, near_classes(docs, **options).filter("doc_id = class_id"))
+
+
+#: DuckDB SQL of the same rows: all pairs that share a shingle, then the closure of the links.
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END AS sh FROM d WHERE len(w) > 0),
+e AS (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, unnest(sh) AS x FROM s) GROUP BY ALL),
+t AS (SELECT doc_id, sum(n) AS total FROM e GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS shared FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN t x ON x.doc_id = a JOIN t y ON y.doc_id = b WHERE 5 * shared >= 4 * (x.total + y.total - shared)),
+m AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT m.b, r.root FROM r JOIN m ON r.doc_id = m.a),
+c AS (SELECT doc_id, min(root) AS class_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, d.doc_id = class_id AS kept
+FROM d JOIN c ON d.doc_id = c.doc_id
+"""

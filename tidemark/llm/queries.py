@@ -89,5 +89,5 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_secrets": secrets.sql(), "op2_topk": topk.SQL, "op4_substring_dedup": substring_dedup.SQL,
-            "op5_suffix_dedup": suffix_dedup.SQL, "op9_exact_dedup": EXACT_SQL, "op10_mixing": mixing.SQL,
+            "op5_suffix_dedup": suffix_dedup.SQL, "op6_near_dedup": near_dedup.SQL, "op9_exact_dedup": EXACT_SQL, "op10_mixing": mixing.SQL,
             "op11_phrases": phrases.SQL, "op13_sharding": sharding.SQL}
