@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-
-import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import checkpoint_dir, passing_path
 
 #: White space of all contracts: blank and the five ASCII controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -27,11 +25,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark free the shuffle files of steps that are written and no longer
-    referred to: its cleaner follows the garbage collection of the driver."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def few(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` (already computed) as the side of a join: broadcast if it has at most
+    ``most`` rows, which is counted, else as it is."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def or_empty(text: str = "text") -> Column:
@@ -91,8 +88,8 @@ def one_spaced(data: bytes) -> bytes:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read
-    back: smaller than a checkpoint, and readers prune columns."""
-    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    back: smaller than a checkpoint, and readers prune columns. Deleted with the application."""
+    path = passing_path(df.sparkSession, f"table-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

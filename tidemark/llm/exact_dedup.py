@@ -15,7 +15,8 @@ join on salted recipes, so a hot group of copies is not one task's.
 Null texts count as empty; an empty text has the empty recipe. Null doc_ids
 come after all others when the kept row is chosen. Rows that repeat a doc_id
 with the same text, all are marked kept by exact_groups (they are one document);
-drop_copies leaves one of them.
+drop_copies leaves one of them. A text of any length is cut into chunks whole. An empty table gives
+no rows. Only doc_id and text are read by exact_groups; drop_copies carries all columns along, so names can't clash.
 """
 
 from __future__ import annotations

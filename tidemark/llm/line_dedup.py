@@ -2,8 +2,10 @@
 
 Lines are what ``\\n`` separates; blank ones are left alone. A line goes if the
 same line, or one at most ``edits`` character edits away, has an earlier place
-(smaller doc_id, then position), judged on the input. Only lines of ``LEAST``
-characters or more are compared by edits.
+(smaller doc_id, then position), judged on the input. How many edits two lines may be
+apart is decided by the longer of them (``ALLOWED``): 2 from 12 characters on, 1 from 6 on, none
+below, where one edit in five characters makes another word of most lines.
+Every line that can have a partner takes part in the join.
 
 Join. A line of length l is split into edits + 1 even segments, so a line
 within ``edits`` of it holds one of them unchanged, at a place that shifts by
@@ -24,18 +26,19 @@ capped.
 
 Only DataFrame expressions are used. Distinct lines are told apart by their
 text; where only their keys travel, by two hashes (96 bits). Null texts count
-as empty. Null doc_ids come last. Rows that repeat a doc_id and a text are one document.
+as empty. Null doc_ids come last. Rows that repeat a doc_id and a text are one document. Of lines
+that tie in doc_id the one in the smaller position comes first. A line of any length is one
+line; an empty table gives no rows. Other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, keyed, real_id, release, stored
+from .common import cut, keyed, real_id, stored
 
-EDITS = 2
-#: Shortest line compared by edits.
-LEAST = 12
+#: (length, edits) from long to short: what two lines may be apart, by the longer one's length.
+ALLOWED = ((12, 2), (6, 1))
 #: Lines that may share a segment before they are taken further.
 HOT = 200
 BLANK = r"^[\x20\x09-\x0D]*$"
@@ -153,9 +156,18 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     return d.select("line", F.xxhash64("line").alias("h"), F.hash("line").alias("g"), F.length("line").alias("size"), "place")
 
 
-def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST, hot: int = HOT) -> DataFrame:
-    """h, g of the lines that are within ``edits`` of one with an earlier place."""
-    some = lines.filter(F.col("size") >= least)
+def allowed_edits(longer: Column, allowed: tuple) -> Column:
+    out = F.lit(0)
+    for length, edits in sorted(allowed):
+        out = F.when(longer >= length, F.lit(edits)).otherwise(out)
+    return out
+
+
+def near_lines(lines: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT) -> DataFrame:
+    """h, g of the lines that are within the edits allowed of one with an earlier place."""
+    edits = max(e for _, e in allowed)
+    # a partner of the shortest lines that may differ at all is shorter by the edits
+    some = lines.filter(F.col("size") >= min(length - e for length, e in allowed))
     pairs = []
 
     def meet(index: DataFrame, probe: DataFrame) -> None:
@@ -200,31 +212,28 @@ def near_lines(lines: DataFrame, edits: int = EDITS, least: int = LEAST, hot: in
     for p in pairs[1:]:
         met = met.union(p)
     met = cut(met.distinct())
-    del pairs[:], index, probe, left, p
-    release(lines.sparkSession)
     # only the lines of some pair are fetched, once
     wanted = met.select(F.col("a").alias("h")).union(met.select("b")).distinct()
     side = cut(lines.join(wanted, "h", "left_semi").select("h", "g", "place", "size", "line"))
     met = (met.join(side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns]), F.col("a") == F.col("h_a"))
            .join(side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns]), F.col("b") == F.col("h_b"))
-           .filter("line_a <> line_b").filter(_holds_most(edits)))
+           .filter("line_a <> line_b").withColumn("most", allowed_edits(F.greatest("size_a", "size_b"), allowed))
+           .filter(_holds_most(edits)))
     # a one-row generator: the characters are listed once, not wherever the distance names them
-    met = met.select("h_a", "g_a", "place_a", "h_b", "g_b", "place_b", F.inline(F.array(F.struct(
+    met = met.select("h_a", "g_a", "place_a", "h_b", "g_b", "place_b", "most", F.inline(F.array(F.struct(
         _characters("line_a").alias("chars_a"), _characters("line_b").alias("chars_b")))))
-    close = met.filter(edit_distance(F.col("chars_a"), F.col("chars_b"), edits) <= edits)
+    close = met.filter(edit_distance(F.col("chars_a"), F.col("chars_b"), edits) <= F.col("most"))
     later = F.when(F.col("place_a") < F.col("place_b"), F.struct(F.col("h_b").alias("h"), F.col("g_b").alias("g"))) \
         .otherwise(F.struct(F.col("h_a").alias("h"), F.col("g_a").alias("g")))
     return close.select(later.alias("l")).select("l.*").distinct()
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, hot: int = HOT) -> DataFrame:
+def dedup_lines(docs: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT) -> DataFrame:
     """doc_id, n_lines (not blank), n_removed, kept (the lines left, and the
     blank ones, joined by ``\\n``) of every row."""
     d = keyed(docs)
     lines = stored(distinct_lines(d))
-    release(docs.sparkSession)
-    near = cut(near_lines(lines, edits, least, hot))
-    release(docs.sparkSession)
+    near = cut(near_lines(lines, allowed, hot))
     # Each line stays where it comes first, so what a document keeps is known
     # without looking up every line of every document.
     stays = (lines.select("h", "g", "place").join(near, ["h", "g"], "left_anti")

@@ -26,8 +26,8 @@ blocks, each pair in the first band it shares. What may reach 0.8 leaves a block
 tiles, at most ``2 * TILE`` nodes with the pairs among them as packed numbers; a tile's texts are
 fetched once each, its pairs verified there, and only links that join something
 come out (a spanning forest). So no link that would join classes is lost to a band's size, and no
-group is written out as pairs: rows grow with nodes and tiles, also where many texts
-are close to 0.8 without reaching it.
+group is written out as pairs: where n texts are close to 0.8 of each other without reaching it, each
+has a row for every tile it is in, n / ``TILE`` + 1 at most.
 
 Null, empty and blank texts have no shingles and are classes of their own. The
 class id is the least doc_id of the class; null doc_ids count as greatest.

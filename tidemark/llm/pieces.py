@@ -22,7 +22,9 @@ Characters without a piece of their own, line ends and the model's blank mark
 itself among them, become the pieces of their bytes. Decoding joins the pieces'
 bytes and takes off the blank that encoding puts in front, so
 decode(encode(text)) is text for every text. Null texts count as empty, an
-empty text has no pieces; null doc_ids share one key.
+empty text has no pieces; null doc_ids share one key. Rows that repeat a doc_id and text get the same
+segmentation. A text of any length is segmented whole, in blocks of words. An empty table gives no rows. Other columns
+than doc_id and text are not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ smaller doc_id, judged on the input.
 
 Null and empty texts have no words. Null doc_ids come after all others and
 repeat each other nothing. Rows that repeat a doc_id are as one document: they
-never make each other's windows repeats.
+never make each other's windows repeats; of equal doc_ids none is smaller. Texts of any length are read
+whole, in blocks that overlap by a window. An empty table gives no rows. Other columns than doc_id and text are
+not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -21,8 +21,14 @@ Neighbours in this order that agree in 50 bytes are repeats. Memory is bounded
 by the bucket: a long common text costs ranks of 4/13 of its positions and no
 comparisons of long strings.
 
+The method's suffix buckets are by leading bytes; here they are by minimiser, since moving 50 bytes for every
+position would be fifty times the input. What is sorted in a bucket are thus suffixes of fragments (a
+minimiser's run with its context, 305 bytes at most), and the cover's ranks are those of the fragments.
+
 Null texts are empty. Null doc_ids come after all others. Rows that repeat a
-doc_id are as one document: they never make each other's strings repeats.
+doc_id are as one document: they never make each other's strings repeats. Texts of any length are read
+whole, in blocks that overlap by a string. An empty table gives no rows. Other columns than doc_id and text are
+not read, so their names can't clash.
 """
 
 from __future__ import annotations
