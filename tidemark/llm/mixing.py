@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, cut, or_empty, stored
+from .common import WORD, cut, few, or_empty, stored
 
 EPOCHS = 3
 #: Runs of equal rows a target is cut into, and rows of a piece when they are written out.
@@ -100,8 +100,8 @@ def _taken(docs: DataFrame, epochs: int, bucket_rows: int) -> DataFrame:
     """doc_id, source, sid, size, h, rows, source_size, target of every group of equal
     rows, and took: how many of them the mix takes in each epoch."""
     d = cut(docs.select(*_sized()).groupBy("doc_id", "source", "size", "h").agg(F.count(F.lit(1)).alias("rows")))
-    t = source_targets(d.select("source", (F.col("size") * F.col("rows")).alias("size")), epochs).withColumnRenamed(
-        "source", "_source")
+    t = few(cut(source_targets(d.select("source", (F.col("size") * F.col("rows")).alias("size")), epochs).withColumnRenamed(
+        "source", "_source")))
     # from here on a source is its number, which is never null
     d = cut(d.join(t, d["source"].eqNullSafe(t["_source"])).drop("_source", "weight")
             .withColumn("late", F.col("size") > F.col("target")))
@@ -111,8 +111,8 @@ def _taken(docs: DataFrame, epochs: int, bucket_rows: int) -> DataFrame:
     # a class: the documents of a source that are not (or are) longer than its target
     classes = d.groupBy("sid", "late").agg(F.sum(F.col("size") * F.col("rows")).alias("class_size"))
     ahead = classes.filter("not late").select("sid", (F.col("class_size") * epochs).alias("ahead"))
-    classes = classes.join(ahead, "sid", "left").withColumn(
-        "ahead", F.when(F.col("late"), F.coalesce("ahead", F.lit(0))).otherwise(0))
+    classes = few(cut(classes.join(ahead, "sid", "left").withColumn(
+        "ahead", F.when(F.col("late"), F.coalesce("ahead", F.lit(0))).otherwise(0))))
     one = (d.filter("size > 0").join(classes, ["sid", "late"])
            .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))))
     per = F.greatest(F.lit(1).cast("long"), F.floor(F.col("target") / RUNS / F.col("size")).cast("long"))
