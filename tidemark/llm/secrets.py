@@ -16,7 +16,8 @@ alternatives, repeats, ASCII case).
 
 Null texts count as empty; empty texts hold nothing. Rows that share a doc_id
 (or have none) share their candidates, which only adds texts to verify; each row is
-searched on its own. Extra columns are ignored.
+searched on its own. A text of any length is searched whole, its time in proportion to its matches. Matches
+that start at one place come in the order of the rules. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -171,17 +172,38 @@ def spans(rule: Rule, text: Column) -> Column:
     found, between = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, rule.pattern, -1)
     sizes = F.transform(found, F.length)
     tested = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:string,size:int>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + x["size"]
-        one = F.struct(start.alias("start"), end.alias("end"), F.lit(rule.kind).alias("kind"), x["tested"].alias("size"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    parts = F.zip_with(F.arrays_zip(F.slice(F.transform(between, F.length), 1, F.size(found)).alias("gap"), sizes.alias("size")),
-                       tested, lambda g, t: F.struct(g["gap"].alias("gap"), g["size"].alias("size"), t.alias("tested")))
-    return F.filter(F.aggregate(parts, zero, step)["out"], lambda x: x["size"] >= rule.least)
+    gaps = F.slice(F.transform(between, F.length), 1, F.size(found))
+    parts = F.zip_with(F.arrays_zip(gaps.alias("gap"), sizes.alias("size")), tested, lambda g, t: F.struct(
+        (g["gap"] + g["size"]).alias("step"), g["size"].alias("size"), t.alias("tested")))
+    return F.filter(_placed(parts, rule.kind), lambda x: x["size"] >= rule.least)
+
+
+def _total(steps: Column) -> Column:
+    return F.aggregate(steps, F.lit(0), lambda acc, x: acc + x["step"])
+
+
+def _placed(parts: Column, kind: str, block: int = 128) -> Column:
+    """array<struct<start, end, kind, size>> of matches (step: to the match's end from the
+    last one's, size, tested). Running sums in two levels, so that a text with very many
+    matches costs in proportion to them: the ends of blocks, then the places in a block. Every
+    level is bound by a transform over one element, or its expression would be evaluated anew for each match."""
+    def with_ends(s: Column) -> Column:
+        n = F.size(s["p"])
+        sums = F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(block))).otherwise(F.array().cast("array<int>")),
+                           lambda at: _total(F.slice(s["p"], at + 1, F.lit(block))))
+        ends = F.aggregate(sums, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        return F.struct(s["p"].alias("p"), ends.alias("ends"))
+
+    def place(s: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            nth = F.floor(i / block).cast("int")
+            end = F.get(s["ends"], nth) + _total(F.slice(s["p"], nth * block + 1, i - nth * block + 1))
+            return F.struct((end - x["size"]).alias("start"), end.alias("end"), F.lit(kind).alias("kind"),
+                            x["tested"].alias("size"))
+        return F.transform(s["p"], one)
+
+    bound = F.transform(F.array(F.struct(parts.alias("p"))), with_ends)
+    return F.element_at(F.transform(bound, place), 1)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
