@@ -119,10 +119,37 @@ def test_earlier_bands_are_told_by_their_whole_keys(spark):
     run.nodes = spark.createDataFrame(nodes, "node binary, sig binary, bands array<long>")
     run.members = spark.createDataFrame([(n, 1, 99, 3) for n, _, _ in nodes], "node binary, nth int, band long, n long")
     root = spark.createDataFrame([], "node binary, root binary")
-    got = {frozenset((bytes(r.a), bytes(r.b))) for r in run.between(root, 2048, 20_000).collect()}
+    got = set()
+    for r in run.tiles(root, 2048, 20_000).collect():
+        at = np.frombuffer(r.pairs, "<i2").reshape(-1, 2).tolist()
+        got |= {frozenset((bytes(r.nodes[a]), bytes(r.nodes[b]))) for a, b in at}
     assert len(got) == 3
 
 
+def test_versions_just_below_the_similarity_make_no_rows_of_pairs(spark):
+    """n texts that are all near 0.78 of each other: a node has a row for each tile it is
+    in, not for each pair, and classes equal all pairs."""
+    words = [f"v{i}" for i in range(3000)]
+    rows = {}
+    for n in (50, 100, 200, 400):
+        rng = random.Random(n)
+        base = [rng.choice(words) for _ in range(400)]
+        docs = []
+        for i in range(n):
+            t = list(base)
+            for at in rng.sample(range(0, 400, 6), 5):
+                t[at] = rng.choice(words)
+            docs.append((i, " ".join(t)))
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+        run = near_dedup.Linker(df, near_dedup.M, near_dedup.BANDS, near_dedup.WIDTH, 5, near_dedup.AT_LEAST)
+        tiles = run.tiles(spark.createDataFrame([], "node binary, root binary"), near_dedup.SIDE, near_dedup.TOGETHER).collect()
+        rows[n] = sum(len(t.nodes) for t in tiles)
+        if n <= 200:
+            assert {r.doc_id: r.class_id for r in near_dedup.near_groups(df).collect()} == _classes(docs)
+    assert sum(len(t.pairs) // 4 for t in tiles) > 20_000  # there is work in them
+    assert all(rows[n] <= n * (-(-n // near_dedup.TILE) + 1) for n in rows)
+
+
 def test_near_classes_of_whole_table(spark):
     docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: r.class_id for r in Q.op6_near_dedup(spark, SF_SMALL).collect()}
@@ -138,6 +165,11 @@ def test_quality_on_held_out_documents(spark):
     assert len(rows) > 100 and len(good) / len(rows) > 0.93
     ones = [r for r in rows if r.quality == 1]
     assert sum(r.predicted for r in ones) / len(ones) > 0.97
+    # calibrated: among the scores of a fifth, the mean is near the share of label 1
+    rows.sort(key=lambda r: r.score)
+    parts = [rows[i * len(rows) // 5:(i + 1) * len(rows) // 5] for i in range(5)]
+    gaps = [abs(sum(r.score - r.quality for r in p)) / len(p) for p in parts]
+    assert sum(gaps) / 5 < 0.06
 
 
 def test_held_out_labels_are_not_learnt(spark):
@@ -207,8 +239,8 @@ def test_bit_parallel_distance(spark):
             assert min(r.d, edits + 1) == min(_distance(r.a, r.b), edits + 1)
 
 
-@pytest.mark.parametrize("edits,hot", [(2, 3), (1, 1000)])
-def test_lines_against_all_pairs(spark, edits, hot):
+@pytest.mark.parametrize("allowed,hot", [(line_dedup.ALLOWED, 3), (line_dedup.ALLOWED, 1000), (((4, 1),), 1000)])
+def test_lines_against_all_pairs(spark, allowed, hot):
     rng, docs = random.Random(3), []
     words = ["alpha", "beta", "gamma", "delta", "omega", "kappa"]
     for i in range(40):
@@ -218,7 +250,8 @@ def test_lines_against_all_pairs(spark, edits, hot):
             if x < 0.3:
                 lines.append("template line number %05d of the set" % rng.randint(0, 400))
             elif x < 0.5:
-                lines.append(rng.choice(["", f"short{rng.randint(0, 3)}"]))
+                lines.append(rng.choice(["", f"short{rng.randint(0, 3)}", "sort1", "With and.", "With, and.", "abc", "abd", "abcde",
+                                         "abcdef", "abxdefg", "é雪\U0001F600abc", "é雪\U0001F600abd", "ab", "a"]))
             else:
                 t = " ".join(rng.choice(words) for _ in range(4))
                 at = rng.randrange(len(t))
@@ -229,11 +262,12 @@ def test_lines_against_all_pairs(spark, edits, hot):
         for p, line in enumerate(t.split("\n")):
             if line.strip():
                 first.setdefault(line, (d, p))
-    some = [x for x in first if len(x) >= line_dedup.LEAST]
-    near = {a for a in some if any(first[b] < first[a] and abs(len(a) - len(b)) <= edits and _distance(a, b) <= edits
-                                   for b in some if a != b)}
+    most = lambda a, b: max((e for n, e in allowed if max(len(a), len(b)) >= n), default=0)
+    near = {a for a in first if any(first[b] < first[a] and abs(len(a) - len(b)) <= most(a, b) and _distance(a, b) <= most(a, b)
+                                    for b in first if a != b)}
+    assert any(len(a) < 8 for a in near)
     got = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in line_dedup.dedup_lines(
-        spark.createDataFrame(docs, "doc_id long, text string"), edits=edits, hot=hot).collect()}
+        spark.createDataFrame(docs, "doc_id long, text string"), allowed=allowed, hot=hot).collect()}
     for d, t in docs:
         lines = t.split("\n")
         kept = [x for p, x in enumerate(lines) if not x.strip() or (first[x] == (d, p) and x not in near)]

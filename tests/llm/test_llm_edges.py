@@ -140,6 +140,98 @@ def test_mixing(spark):
     assert out.count() == sum(r.taken // r.size for r in a if r.size)
 
 
+def _sources(rows):
+    by = {}
+    for r in rows:
+        s = by.setdefault(r.source, [r.target, 0, 0])
+        s[1] += r.taken
+        s[2] = max(s[2], r.size)
+    return by
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_mixing_comes_near_every_target(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    rows = mixing.mix(docs).collect()
+    total = sum(r.size for r in rows)
+    by = _sources(rows)
+    assert abs(sum(t for _, t, _ in by.values()) - total) <= max(m for _, _, m in by.values()) / 2
+    for target, taken, longest in by.values():
+        assert abs(taken - target) <= 0.01 * target + longest / 2
+
+
+def test_one_giant_document_does_not_stand_in_the_way(spark):
+    docs = [(i, _text(random.Random(i), 20), f"s{i % 4}") for i in range(400)] + [(1000, _text(random.Random(9), 40_000), "s0")]
+    rows = mixing.mix(frame(spark, docs)).collect()
+    by = _sources(rows)
+    giant = next(r for r in rows if r.doc_id == 1000)
+    # s0's target is its share of 48,000 words: the rest of s0 first, then the giant if that is nearer
+    target, taken, _ = by["s0"]
+    rest = 3 * 2000
+    near = min((rest + k * 40_000 for k in range(4)), key=lambda t: abs(t - target))
+    assert abs(taken - near) <= 800 and giant.taken in (0, 40_000)
+    # the giant's middle lies at 0.87 of the virtual time, where the budget is then used up
+    for s in ("s1", "s2", "s3"):
+        assert by[s][1] >= by[s][0] * 0.86 - 20
+
+
+def test_equal_rows_are_taken_in_part(spark):
+    """A third of all rows are one document: it counts as so many copies, and no task holds them."""
+    docs = [(7, "same words here again", "a")] * 300 + [(i + 1000, _text(random.Random(i), 4), "abc"[i % 3]) for i in range(600)]
+    docs += [(None, "none " * 4, "b")] * 50
+    got = [mixing.mix(frame(spark, docs, p), bucket_rows=b, piece=c).collect() for p, b, c in ((3, 2000, 4096), (7, 1, 7))]
+    assert sorted(map(str, got[0])) == sorted(map(str, got[1])) and len(got[0]) == len(docs)
+    for target, taken, longest in _sources(got[0]).values():
+        assert abs(taken - target) <= 0.01 * target + longest
+    assert len({r.taken for r in got[0] if r.doc_id == 7}) <= 2
+    out = mixing.mixed(frame(spark, docs))
+    want = {}
+    for r in got[0]:
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.taken // max(r.size, 1)
+    have = {}
+    for r in out.collect():
+        have[r.doc_id] = have.get(r.doc_id, 0) + 1
+    assert have == {i: n for i, n in want.items() if n}
+
+
+def _gone(units, k):
+    """Brute force on hashes of windows, for long texts: how many units go in each."""
+    first = {}
+    for i, u in sorted(units):
+        for a in range(len(u) - k + 1):
+            first.setdefault(hash(u[a:a + k] if isinstance(u, bytes) else tuple(u[a:a + k])), i)
+    out = {}
+    for i, u in units:
+        gone, reach = 0, 0
+        for a in range(len(u) - k + 1):
+            if first[hash(u[a:a + k] if isinstance(u, bytes) else tuple(u[a:a + k]))] < i:
+                gone += a + k - max(a, reach)
+                reach = a + k
+        out[i] = gone
+    return out
+
+
+def test_texts_over_a_megabyte(spark):
+    """Across the blocks of all operators: repeated stretches within and beside their borders."""
+    rng = random.Random(12)
+    word = lambda n: " ".join("%x" % rng.randrange(1 << 24) for _ in range(n))
+    a, shared = word(170_000), word(40_000)
+    docs = [(1, a), (2, word(60_000) + " " + shared + " " + word(50_000)), (3, shared + " " + a[300_000:900_000]), (4, a)]
+    assert all(len(t) > 700_000 for _, t in docs) and len(a) > 1 << 20
+    df = frame(spark, docs)
+    want = _gone([(i, t.split()) for i, t in docs], 13)
+    assert {r.doc_id: r.n_removed for r in substring_dedup.dedup_substrings(df).collect()} == want
+    want = _gone([(i, t.encode()) for i, t in docs], 50)
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.dedup_suffixes(df).collect()} == want
+    assert {r.doc_id: r.keep_id for r in exact_dedup.exact_groups(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 1}
+    assert {r.doc_id: r.class_id for r in near_dedup.near_groups(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 1}
+    back = pieces.decode_all(pieces.encode(df)).collect()
+    assert {r.doc_id: r.text for r in back} == dict(docs)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    scores = {r.doc_id: r.score for r in quality.quality_scores(df, labels).collect()}
+    assert len(scores) == 4 and scores[1] == scores[4]
+
+
 def test_pieces(spark):
     rows = [*CORPUS, (30, "a▁b ▁"), (31, "\n\n x  y\t\u0000 \U0001F600"), (32, "z" * 5000)]
     e = pieces.encode(frame(spark, rows))
@@ -215,3 +307,18 @@ def test_empty_tables(spark):
                quality.quality_scores(none, labels), quality.keep_good(none, labels), exact_dedup.drop_copies(none),
                near_dedup.drop_near(none), topk.top_k(vectors, F.col("vec_id") % 100 == 0)):
         assert df.count() == 0
+
+
+def test_secrets_in_a_text_with_very_many_matches(spark):
+    """The time of a text is in proportion to its matches; all places are right."""
+    import time
+    def text(n):
+        return " ".join(f"token={i:06d}xy é" for i in range(n))
+    took = []
+    for n in (2000, 32_000):
+        t = time.time()
+        (r,) = secrets.report(secrets.scan(frame(spark, [(1, text(n))]))).collect()
+        took.append(time.time() - t)
+        want = ",".join(f"assign:{m.start()}:{m.end()}" for m in re.finditer(r"token=[0-9a-z]+", text(n)))
+        assert r.n_assign == n and r.spans == want
+    assert took[1] < 16 * took[0] + 20
