@@ -3,7 +3,15 @@ mixing to target weights, SentencePiece encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the docs of the next stage; all but the last
-return the columns of ``documents``.
+return the columns of ``documents``. The folders of the stages are deleted with the application.
+
+In all stages null texts count as empty, texts of any length are read whole, an empty table
+gives an empty one, and extra columns pass through under their own names, whatever these are. Empty
+texts are scored like others (quality), are equal to each other (exact), classes of their
+own (near), never taken (mixing: size 0), and decode to the empty text. Of rows that repeat a doc_id
+with different texts each is judged by its own text; of ties in text the smallest doc_id stays, null
+last; rows equal in both count once from the exact dedup on. A null source is one source,
+the last; null langs and n_chars are carried along.
 """
 
 from __future__ import annotations
@@ -14,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import exact_dedup, mixing, near_dedup, pieces, quality
 from tidemark.llm.common import real_id, table
-from tidemark.session import checkpoint_dir
+from tidemark.session import passing_path
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +64,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages one after the other over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = passing_path(spark, f"pipeline-{uuid.uuid4().hex}")
     for name, stage in STAGES[:-1]:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)

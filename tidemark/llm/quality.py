@@ -46,11 +46,12 @@ HOT = 1 << 18
 UNIT = 1 << 20
 #: Labelled documents the network is fitted to, at most.
 TRAIN_ROWS = 20_000
-#: Bytes of text handled at once.
-BLOCK = 1 << 20
+#: Rows, and bytes of text, handled at once.
+ROWS = 512
+BLOCK = 1 << 18
 #: Words of a task's table, and the most words of text it counts: both bound memory
 #: only, full tables go out and new ones begin.
-TABLE, COUNTED = 1 << 18, 1 << 27
+TABLE, COUNTED = 1 << 17, 1 << 27
 #: Bytes of text for each bucket of words, and the fewest buckets.
 BUCKET_BYTES, BUCKETS = 1 << 23, 8
 
@@ -75,6 +76,13 @@ def word_rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(arr, begin, end), np.searchsorted(ends, begin, "right")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows: a worker copies the texts of one at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
+
+
 def _parts(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     """First text and texts of each block; a longer text is a block alone."""
     at, size = 0, 0
@@ -178,7 +186,7 @@ def _opened(part: bytes) -> Sums:
 def _contexts(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held, counted = [], 0, 0
-        for b in batches:
+        for b in _slices(batches):
             texts = [p for t in b.column("text").cast(pa.binary()).to_pylist() for p in _pieces(t)]
             for _, part in _parts(texts):
                 h, owner = word_rows(part)
@@ -263,7 +271,7 @@ def _counted(hot):
     for each of its other words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, units = hot.value
-        for b in batches:
+        for b in _slices(batches):
             ids, tags = b.column("doc_id").to_numpy(), b.column("tag").to_numpy()
             texts = b.column("text").cast(pa.binary()).to_pylist()
             pieces, of = [], []
