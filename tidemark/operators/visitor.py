@@ -39,7 +39,8 @@ def with_anchor(parsed: DataFrame, anchors: DataFrame, zone: str = "UTC", salts:
     """Replace ``is_new`` (and ``rec.common.is_new``) on good rows by the devices' anchors
     ``(mid, days)``; dirty rows pass through unchanged. Adds ``is_new_in`` and
     ``visit_date``. ``salts`` above 1 deals a device's rows over so many keys and copies its
-    anchor to each, for callers whose join is not split at run time."""
+    anchor to those that occur, for callers whose join is not split at run time; both
+    sides are shuffled then, as the size of a growing table of anchors is not known to the planner."""
     good = F.col("dirty").isNull()
     visit_date = to_date(F.col("ts"), zone)
     anchors = anchors.select(F.col("mid").alias("_jk"), F.date_from_unix_date("days").cast("string").alias("anchor"))
@@ -55,7 +56,8 @@ def with_anchor(parsed: DataFrame, anchors: DataFrame, zone: str = "UTC", salts:
     if salts > 1:
         on = ["_jk", "_salt"]
         left = left.withColumn("_salt", F.pmod(F.xxhash64("ts", "seq"), F.lit(salts)).cast("int"))
-        anchors = anchors.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = left.filter(good).select(*on).distinct()
+        anchors = met.join(anchors.hint("merge"), "_jk").hint("merge")
     j = left.join(anchors, on, "left").drop(*on)
     changed = good & (F.col("is_new") == "1") & (visit_date != F.col("anchor"))
     keep = [c for c in parsed.columns if c not in ("is_new", "rec")]

@@ -72,7 +72,7 @@ class VersionedTable:
         holds every column of the table. Returns the version. A batch without rows
         still makes the table."""
         m = self.manifest()
-        size = (new.withColumn("_b", self._bucket(m["buckets"] if m else 1 << 20)).groupBy("_b")
+        size = (new.withColumn("_b", self._bucket(m["buckets"] if m else 1)).groupBy("_b")
                 .agg(F.count(F.lit(1)).alias("n")).collect())  # one row per touched bucket
         added = sum(r["n"] for r in size)
         before = sum(f["rows"] for f in m["folders"].values()) if m else 0

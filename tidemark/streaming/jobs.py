@@ -52,12 +52,13 @@ def flag_repair_batch(parsed: DataFrame, anchors: VersionedTable, batch_id: int,
 
     The aggregate combines a device's rows map-side and the join deals them over
     ``salts`` keys, so no task holds a device. A replayed batch finds its own anchors
-    and gives the same rows. Callers hold ``parsed`` (it is read twice)."""
+    and gives the same rows. No join sends its anchors to the driver. Callers hold
+    ``parsed`` (it is read more than once)."""
     new = anchor_days(parsed, zone).withColumn("batch", F.lit(batch_id).cast("long"))
     first = lambda both: both.groupBy("mid").agg(F.min_by("days", "batch").alias("days"),
                                                  F.min("batch").alias("batch"))
     version = anchors.fold(new, first)
-    known = anchors.read(version=version).join(new.select("mid"), "mid", "left_semi")
+    known = anchors.read(version=version).join(new.select("mid").hint("merge"), "mid", "left_semi")
     return with_anchor(parsed, known.select("mid", "days"), zone, salts)
 
 
