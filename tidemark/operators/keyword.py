@@ -39,6 +39,20 @@ def keyword_filter(page_log: DataFrame, zone: str = "UTC") -> DataFrame:
               .select(item.alias("fullword"), "rowtime"))
 
 
+def dealt(search: DataFrame) -> DataFrame:
+    """``search`` dealt over the session's shuffle partitions by time and text (a given number, which
+    AQE doesn't merge), so that a task counts the words of a small, even share of the searches: its hash of
+    (window, word) keys does not follow the size of a file split. Streams stay as they are:
+    their state deals the words already."""
+    if search.isStreaming:
+        return search
+    return search.repartition(_deal(search.sparkSession), "rowtime", "fullword")
+
+
+def _deal(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def keyword_explode(search: DataFrame, tokenizer=tokens) -> DataFrame:
     """J2 + U1: one ``(keyword, rowtime)`` row per token of the whole text;
     a text without tokens yields no row (inner lateral join)."""
@@ -66,7 +80,7 @@ def keyword_window(split: DataFrame, duration: str = "10 seconds",
 def keyword_counts(page_log: DataFrame, duration: str = "10 seconds",
                    zone: str = "UTC", with_ts: bool = True) -> DataFrame:
     """The whole keyword job body."""
-    return keyword_window(keyword_explode(keyword_filter(page_log, zone)),
+    return keyword_window(keyword_explode(dealt(keyword_filter(page_log, zone))),
                           duration, with_ts=with_ts)
 
 
@@ -90,8 +104,9 @@ def keyword_counts_sql(page_log: DataFrame, duration: str = "10 seconds",
     else:
         src = with_rowtime(page_log, zone)
     src.createOrReplaceTempView(tag)
+    deal = "" if page_log.isStreaming else f"/*+ REPARTITION({_deal(spark)}, rowtime, fullword) */"
     spark.sql(f"""
-        SELECT page['item'] AS fullword, rowtime FROM {tag}
+        SELECT {deal} page['item'] AS fullword, rowtime FROM {tag}
         WHERE page['last_page_id'] = 'search' AND page['item_type'] = 'keyword'
           AND page['item'] IS NOT NULL""").createOrReplaceTempView(f"{tag}_search")
     spark.sql(f"""

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.time import fmt_datetime, ms_to_local
-from tidemark.operators.keyword import KEYWORD_SEARCH, keyword_explode
+from tidemark.operators.keyword import KEYWORD_SEARCH, dealt, keyword_explode
 from tidemark.session import passing_path
 
 
@@ -68,7 +68,7 @@ def late_rows(lateness: DataFrame) -> DataFrame:
 def counts_on_time(lateness: DataFrame, duration_s: int = 10, source: str = KEYWORD_SEARCH) -> DataFrame:
     """Keyword counts without the late rows: ``stt, edt, source, keyword, keyword_count``."""
     on_time = lateness.filter(~F.col("late")).withColumn("rowtime", F.col("window_end"))
-    k = keyword_explode(on_time.select("fullword", "rowtime"))
+    k = keyword_explode(dealt(on_time.select("fullword", "rowtime")))
     c = k.groupBy("rowtime", "keyword").agg(F.count(F.lit(1)).alias("keyword_count"))
     c = c.withColumn("start", F.col("rowtime") - duration_s)
     return c.select(_text("start").alias("stt"), _text("rowtime").alias("edt"), F.lit(source).alias("source"),

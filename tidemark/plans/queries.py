@@ -290,7 +290,7 @@ def _keyword_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     page = pl.page_log(spark, sf_dir, repaired=False)
     kw.keyword_filter(page.withColumn("rowtime", F.struct(rowtime("ts").alias("t"), F.col("seq")))).write.parquet(path)
     found = spark.read.parquet(path).select("fullword", "rowtime.t", "rowtime.seq").withColumnRenamed("t", "rowtime")
-    count = lambda rows: kw.keyword_window(kw.keyword_explode(rows), "1 day", with_ts=False)
+    count = lambda rows: kw.keyword_window(kw.keyword_explode(kw.dealt(rows)), "1 day", with_ts=False)
     old = count(found.filter(F.col("seq") < DOC_SEQ))
     kept = (F.col("seq") >= DOC_SEQ) | (F.col("rowtime") >= F.lit("2024-01-11").cast("timestamp_ntz"))
     return old, count(found.filter(kept))
