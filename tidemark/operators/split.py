@@ -43,6 +43,9 @@ def fan_out(df: DataFrame, topics: tuple[str, ...] = TOPICS, with_ts: bool = Fal
     """``(topic, seq, mid, value)`` for every output record of every line;
     ``topics`` builds the text of those routes only, from the lines that have any.
     ``with_ts`` gives action records the line's ``ts`` as well, which the reference leaves out."""
+    # The record comes through a one-row generator, so that the filter below
+    # doesn't build the repaired record a second time.
+    df = df.select("seq", "mid", "value", "dirty", F.inline(F.array(F.struct("rec"))))
     rec = F.col("rec")
     good = F.col("dirty").isNull()
     has_err = present(rec, "err")

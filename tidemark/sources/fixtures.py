@@ -78,9 +78,11 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     document, and one broken line beside every 50th event.
 
     ``seq`` plays the part of the source offset (arrival order). Every
-    document is searched for once, by its whole text. No join, no shuffle.
+    document is searched for once, by its whole text. No join. A few MB of events are many
+    lines to build and parse: they are dealt evenly, as a file split holds too many for one task.
     """
-    ev = _event_attrs(table(spark, sf_dir, "events")).unionByName(
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = _event_attrs(events.hint("rebalance", "event_id")).unionByName(
         _document_attrs(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
     k = F.col("k")
