@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,16 +15,31 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Stands for a null doc_id: after every real one.
 NO_ID = 2**63 - 1
+#: Session setting: whether the shuffle files of a query go when it ends.
+FREES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def _freed(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files behind. Its result is kept elsewhere, so nobody reads
+    them again; else they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(FREES, None)
+    spark.conf.set(FREES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREES) if before is None else spark.conf.set(FREES, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with _freed(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a query of its own: the setting counts where one is made
 
 
 def few(df: DataFrame, most: int = 100_000) -> DataFrame:
@@ -90,7 +107,8 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read
     back: smaller than a checkpoint, and readers prune columns. Deleted with the application."""
     path = passing_path(df.sparkSession, f"table-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    with _freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -35,7 +35,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, keyed, real_id, stored
+from .common import cut, few, keyed, real_id, stored
 
 #: (length, edits) from long to short: what two lines may be apart, by the longer one's length.
 ALLOWED = ((12, 2), (6, 1))
@@ -212,9 +212,9 @@ def near_lines(lines: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT) -> Da
     for p in pairs[1:]:
         met = met.union(p)
     met = cut(met.distinct())
-    # only the lines of some pair are fetched, once
-    wanted = met.select(F.col("a").alias("h")).union(met.select("b")).distinct()
-    side = cut(lines.join(wanted, "h", "left_semi").select("h", "g", "place", "size", "line"))
+    # only the lines of some pair are fetched, once; the others stay where they are while those are few
+    wanted = cut(met.select(F.col("a").alias("h")).union(met.select("b")).distinct())
+    side = cut(lines.join(few(wanted), "h", "left_semi").select("h", "g", "place", "size", "line"))
     met = (met.join(side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns]), F.col("a") == F.col("h_a"))
            .join(side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns]), F.col("b") == F.col("h_b"))
            .filter("line_a <> line_b").withColumn("most", allowed_edits(F.greatest("size_a", "size_b"), allowed))
