@@ -8,7 +8,7 @@ tokenizer is a JVM expression, so the whole chain stays in codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN, tokens
 from tidemark.functions.time import fmt_datetime, rowtime, rowtime_instant, wall_clock
@@ -19,6 +19,9 @@ KEYWORD_CLICK = "CLICK"
 KEYWORD_CART = "CART"
 KEYWORD_ORDER = "ORDER"
 
+#: State rows over which a window's words are dealt on a stream.
+PARTS = 8
+
 WINDOW_FMT = "yyyy-MM-dd HH:mm:ss"  # what fmt_datetime prints
 TOKEN_PATTERN_SQL = TOKEN_PATTERN.replace("\\", "\\\\")
 
@@ -42,10 +45,7 @@ def keyword_filter(page_log: DataFrame, zone: str = "UTC") -> DataFrame:
 def dealt(search: DataFrame) -> DataFrame:
     """``search`` dealt over the session's shuffle partitions by time and text (a given number, which
     AQE doesn't merge), so that a task counts the words of a small, even share of the searches: its hash of
-    (window, word) keys does not follow the size of a file split. Streams stay as they are:
-    their state deals the words already."""
-    if search.isStreaming:
-        return search
+    (window, word) keys does not follow the size of a file split."""
     return search.repartition(_deal(search.sparkSession), "rowtime", "fullword")
 
 
@@ -66,9 +66,12 @@ def keyword_window(split: DataFrame, duration: str = "10 seconds",
     ``ts`` is the processing-time stamp in ms (non-deterministic, so checks
     leave it out with ``with_ts=False``).
     """
-    rt_type = split.schema["rowtime"].dataType
     agg = (split.groupBy(F.window("rowtime", duration).alias("w"), "keyword")
                 .agg(F.count(F.lit(1)).alias("keyword_count")))
+    return _window_columns(agg, split.schema["rowtime"].dataType, source, with_ts)
+
+
+def _window_columns(agg: DataFrame, rt_type, source: str, with_ts: bool) -> DataFrame:
     cols = [fmt_datetime(wall_clock("w.start", rt_type)).alias("stt"),
             fmt_datetime(wall_clock("w.end", rt_type)).alias("edt"),
             F.lit(source).alias("source"), "keyword", "keyword_count"]
@@ -77,11 +80,41 @@ def keyword_window(split: DataFrame, duration: str = "10 seconds",
     return agg.select(*cols)
 
 
+def keyword_window_state(search: DataFrame, duration: str = "10 seconds", source: str = KEYWORD_SEARCH,
+                         with_ts: bool = True, parts: int = PARTS) -> DataFrame:
+    """The rows of :func:`keyword_window` over the words of ``search``, for streams.
+
+    A state row for each (window, word) would be nearly one for each word of the stream. Here a
+    window's words are dealt over ``parts`` state rows by their hash, each a list of texts (words
+    joined by blanks, which no token holds), and are counted when the window closes: all
+    occurrences of a word are in one row, and a busy window is in several.
+    """
+    words = search.select("rowtime", F.transform(tokens("fullword"), lambda w: F.struct(
+        w.alias("word"), F.pmod(F.xxhash64(w), F.lit(parts)).alias("part"))).alias("words"))
+
+    def text_of(part: int) -> Column:
+        return F.array_join(F.transform(F.filter("words", lambda w: w["part"] == part), lambda w: w["word"]), " ")
+
+    dealt_out = words.select("rowtime", F.posexplode(F.array(*map(text_of, range(parts)))).alias("part", "text"))
+    dealt_out = dealt_out.filter(F.col("text") != "")
+    g = dealt_out.groupBy(F.window("rowtime", duration).alias("w"), "part").agg(F.collect_list("text").alias("texts"))
+    g = g.select("w", F.sort_array(F.split(F.array_join("texts", " "), " ")).alias("words"))
+    # where the runs of equal words begin
+    g = g.select("w", "words", F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: (i == 0) | (
+        F.get("words", i) != F.get("words", i - 1))).alias("begin"))
+    runs = F.transform("begin", lambda i, n: F.struct(
+        F.get("words", i).alias("keyword"),
+        (F.coalesce(F.get("begin", n + 1), F.size("words")) - i).cast("long").alias("keyword_count")))
+    return _window_columns(g.select("w", F.inline(runs)), search.schema["rowtime"].dataType, source, with_ts)
+
+
 def keyword_counts(page_log: DataFrame, duration: str = "10 seconds",
                    zone: str = "UTC", with_ts: bool = True) -> DataFrame:
     """The whole keyword job body."""
-    return keyword_window(keyword_explode(dealt(keyword_filter(page_log, zone))),
-                          duration, with_ts=with_ts)
+    search = keyword_filter(page_log, zone)
+    if search.isStreaming:
+        return keyword_window_state(search, duration, with_ts=with_ts)
+    return keyword_window(keyword_explode(dealt(search)), duration, with_ts=with_ts)
 
 
 def keyword_counts_sql(page_log: DataFrame, duration: str = "10 seconds",
