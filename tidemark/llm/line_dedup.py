@@ -41,6 +41,8 @@ from .common import cut, few, keyed, real_id, stored
 ALLOWED = ((12, 2), (6, 1))
 #: Lines that may share a segment before they are taken further.
 HOT = 200
+#: Characters up to which Spark's own distance, which takes the square of them, is the faster one.
+SHORT = 256
 BLANK = r"^[\x20\x09-\x0D]*$"
 
 
@@ -147,6 +149,37 @@ def _holds_most(edits: int, parts: int = 8) -> Column:
     return held >= parts - edits
 
 
+def _without_ends(pairs: DataFrame, steps: int = 6) -> DataFrame:
+    """``pairs`` with rest_a, rest_b: line_a and line_b without (most of) what they begin and
+    end with alike, which leaves their distance as it is. Halves, quarters and so on are compared."""
+    p = pairs.select("*", F.col("line_a").alias("rest_a"), F.col("line_b").alias("rest_b"))
+    for tail in (False, True):
+        for k in range(1, steps + 1):
+            n = F.floor(F.least("size_a", "size_b") / 2**k).cast("int")
+
+            def end(c: str) -> Column:
+                return F.substring(c, -n if tail else F.lit(1), n)
+
+            def other(c: str) -> Column:
+                return F.substring(c, F.lit(1) if tail else n + 1, F.length(c) - n)
+
+            same = end("rest_a") == end("rest_b")
+            p = p.withColumns({c: F.when(same, other(c)).otherwise(F.col(c)) for c in ("rest_a", "rest_b")})
+    return p
+
+
+def within(pairs: DataFrame, edits: int) -> DataFrame:
+    """The ``pairs`` (line_a, size_a, line_b, size_b, most) that are at most ``most`` (up to ``edits``) edits apart."""
+    p = _without_ends(pairs)
+    long = F.greatest(F.length("rest_a"), F.length("rest_b")) > SHORT
+    # a one-row generator: the characters are listed once, not wherever the distance names them
+    p = p.select("*", F.inline(F.array(F.struct(F.when(long, _characters("rest_a")).alias("chars_a"),
+                                                F.when(long, _characters("rest_b")).alias("chars_b")))))
+    near = F.levenshtein("rest_a", "rest_b", edits)
+    return p.filter(F.when(F.col("chars_a").isNull(), (near >= 0) & (near <= F.col("most")))
+                    .otherwise(edit_distance(F.col("chars_a"), F.col("chars_b"), edits) <= F.col("most")))
+
+
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """line, h, g (its hashes), size, place (its first doc_id, tag and position) of
     every line that is not blank; ``docs`` as from :func:`keyed`."""
@@ -219,10 +252,7 @@ def near_lines(lines: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT) -> Da
            .join(side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns]), F.col("b") == F.col("h_b"))
            .filter("line_a <> line_b").withColumn("most", allowed_edits(F.greatest("size_a", "size_b"), allowed))
            .filter(_holds_most(edits)))
-    # a one-row generator: the characters are listed once, not wherever the distance names them
-    met = met.select("h_a", "g_a", "place_a", "h_b", "g_b", "place_b", "most", F.inline(F.array(F.struct(
-        _characters("line_a").alias("chars_a"), _characters("line_b").alias("chars_b")))))
-    close = met.filter(edit_distance(F.col("chars_a"), F.col("chars_b"), edits) <= F.col("most"))
+    close = within(met, edits)
     later = F.when(F.col("place_a") < F.col("place_b"), F.struct(F.col("h_b").alias("h"), F.col("g_b").alias("g"))) \
         .otherwise(F.struct(F.col("h_a").alias("h"), F.col("g_a").alias("g")))
     return close.select(later.alias("l")).select("l.*").distinct()
