@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import NO_ID, or_empty
@@ -42,8 +43,8 @@ from .windows import U, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA, SEED = 1.0, 1
-#: Bytes of text drawn at once; edges kept by a task before it starts afresh.
-BLOCK, EDGES = 1 << 20, 3_000_000
+#: Bytes of text drawn at once, rows decoded at once; edges kept by a task before it starts afresh. All bound memory only.
+BLOCK, ROWS, EDGES = 1 << 18, 512, 1_500_000
 WORDS = re.compile(rb" +[^ \n]*|\n[^ \n]*")
 
 
@@ -125,13 +126,30 @@ class Lattice:
     the pieces that end there, their shares summed up to 2**32."""
 
     def __init__(self, model: dict, theta: float):
-        self.trie, self.bytes, self.theta = Trie(model["pieces"]), np.array(model["bytes"], np.int32), theta
+        self.trie = model["trie"] if "trie" in model else Trie(model["pieces"])
+        self.bytes, self.theta = np.array(model["bytes"], np.int32), theta
         self.clear()
 
     def clear(self) -> None:
         self.words: dict[bytes, int] = {}
-        self.states = 0
-        self.key, self.back, self.piece = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.states = self.edges = 0
+        self._key, self._back, self._piece = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    @property
+    def key(self) -> np.ndarray:
+        return self._key[:self.edges]
+
+    def _append(self, *new: np.ndarray) -> None:
+        """Edges after those there are; the arrays grow by half as much again, so that few blocks copy them."""
+        n = self.edges + len(new[0])
+        for name, x in zip(("_key", "_back", "_piece"), new):
+            old = getattr(self, name)
+            if n > len(old):
+                more = np.empty(n + n // 2, old.dtype)
+                more[:self.edges] = old[:self.edges]
+                setattr(self, name, more)
+            getattr(self, name)[self.edges:n] = x
+        self.edges = n
 
     def add(self, words: list[bytes]) -> None:
         """Builds the lattices of new, distinct words, all at once."""
@@ -179,15 +197,13 @@ class Lattice:
             upto[first + n - 1] = 2**32 - 1
             share[a:z] = np.minimum(upto, 2**32 - 1)
         by = np.argsort(dst, kind="stable")
-        self.key = np.concatenate([self.key, (dst[by] + self.states).astype(U) << U(32) | share[by].astype(U)])
-        self.back = np.concatenate([self.back, src[by] + self.states])
-        self.piece = np.concatenate([self.piece, piece[by]])
+        self._append((dst[by] + self.states).astype(U) << U(32) | share[by].astype(U), src[by] + self.states, piece[by])
         self.words.update(zip(words, (end + np.arange(len(words)) + self.states).tolist()))
         self.states += len(forward)
 
     def draw(self, texts: list[bytes], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts one after the other, and each text's number."""
-        if len(self.key) > EDGES:
+        if self.edges > EDGES:
             self.clear()
         words, number = [], []
         for t in texts:
@@ -200,7 +216,7 @@ class Lattice:
         state = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         first = state - np.fromiter(map(len, words), np.int64, len(words))
         number = np.array(number, np.int64)
-        key, back, piece = self.key, self.back, self.piece
+        key, back, piece = self.key, self._back, self._piece
         text = np.repeat(np.arange(len(texts)), number)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)
         own = mix(np.asarray(seeds, U)[text] + nth.astype(U) * U(0x9E3779B97F4A7C15))
@@ -229,25 +245,25 @@ def decode(ids: np.ndarray, raw: list[bytes]) -> bytes:
     return b"".join([raw[i] for i in ids.tolist()])[1:]
 
 
-def _blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
     at, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > at and size + len(t) > BLOCK:
+    for i, n in enumerate(sizes):
+        if i > at and size + n > BLOCK:
             yield at, i
             at, size = i, 0
-        size += len(t)
-    if texts:
-        yield at, len(texts)
+        size += n
+    if sizes:
+        yield at, len(sizes)
 
 
 def _encoded(model, theta: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model.value, theta)
         for b in batches:
-            texts = b.column("text").cast(pa.binary()).to_pylist()
+            texts = b.column("text").cast(pa.binary())
             keys = mix(b.column("doc_id").to_numpy().astype(U) * U(0x9E3779B97F4A7C15) + U(seed))
-            for at, z in _blocks(texts):
-                ids, n = lattice.draw(texts[at:z], keys[at:z])
+            for at, z in _blocks(pc.binary_length(texts).to_pylist()):
+                ids, n = lattice.draw(texts.slice(at, z - at).to_pylist(), keys[at:z])
                 ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(at, z - at),
                                                   "ids": pa.ListArray.from_arrays(ends, ids)})
@@ -256,8 +272,8 @@ def _encoded(model, theta: float, seed: int):
 
 def _decoded(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = model.value["raw"]
-        for b in batches:
+        raw = model.value
+        for b in (x.slice(at, ROWS) for x in batches for at in range(0, x.num_rows, ROWS)):
             lists = b.column("ids")
             flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
             texts = [decode(flat[a:z], raw) for a, z in zip([0, *ends[:-1].tolist()], ends.tolist())]
@@ -268,8 +284,9 @@ def _decoded(model):
 
 def encode(docs: DataFrame, path: str = MODEL, theta: float = THETA, seed: int = SEED) -> DataFrame:
     """doc_id, ids array<int>: one sampled segmentation of every whole text.
-    The model (half a megabyte) is read by the driver and broadcast."""
-    model = docs.sparkSession.sparkContext.broadcast(read_model(path))
+    The model (half a megabyte) is read by the driver, made a trie there and broadcast."""
+    m = read_model(path)
+    model = docs.sparkSession.sparkContext.broadcast({"trie": Trie(m["pieces"]), "bytes": m["bytes"]})
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
                     or_empty().alias("text"))
     return d.mapInArrow(_encoded(model, theta, seed), "doc_id long, ids array<int>")
@@ -277,5 +294,5 @@ def encode(docs: DataFrame, path: str = MODEL, theta: float = THETA, seed: int =
 
 def decode_all(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, ids, text: the texts back from their pieces."""
-    model = encoded.sparkSession.sparkContext.broadcast(read_model(path))
+    model = encoded.sparkSession.sparkContext.broadcast(read_model(path)["raw"])
     return encoded.select("doc_id", "ids").mapInArrow(_decoded(model), "doc_id long, ids array<int>, text string")
