@@ -24,6 +24,12 @@ share a key then differ in those characters only: their number is bounded by
 the alphabet, not by the corpus, and they are compared pair by pair. No key is
 capped.
 
+Shared segments. Lines of a key that more than ``WARM`` lines share bring a mark of 64 bits: which
+pairs of neighbouring characters, by hash, they hold an odd number of times. An edit
+changes four pairs at most, so lines whose marks differ in more than 4 * edits bits are further apart
+and never leave the join as a pair: lines that have only most of their words in common make no rows. What
+passes is verified like all pairs.
+
 Only DataFrame expressions are used. Distinct lines are told apart by their
 text; where only their keys travel, by two hashes (96 bits). Null texts count
 as empty. Null doc_ids come last. Rows that repeat a doc_id and a text are one document. Of lines
@@ -41,6 +47,8 @@ from .common import cut, few, keyed, real_id, stored
 ALLOWED = ((12, 2), (6, 1))
 #: Lines that may share a segment before they are taken further.
 HOT = 200
+#: Lines that may share a segment before their marks are compared first.
+WARM = 16
 #: Characters up to which Spark's own distance, which takes the square of them, is the faster one.
 SHORT = 256
 BLANK = r"^[\x20\x09-\x0D]*$"
@@ -139,6 +147,14 @@ def _characters(text: str) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
+def _mark(text: str) -> Column:
+    """A bit for each of 64 hash values: whether ``text`` holds an odd number of pairs of
+    neighbouring characters of that hash. An edit takes or adds four pairs at most."""
+    each = F.regexp_extract_all(text, F.lit("(?s)(?=(..))."), F.lit(1))
+    return F.aggregate(each, F.lit(0).cast("long"), lambda mark, x: mark.bitwiseXOR(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))))
+
+
 def _holds_most(edits: int, parts: int = 8) -> Column:
     """Whether line_b holds all but ``edits`` of ``parts`` even parts of line_a: no
     edit spoils two, so lines without them are further apart."""
@@ -196,7 +212,7 @@ def allowed_edits(longer: Column, allowed: tuple) -> Column:
     return out
 
 
-def near_lines(lines: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT) -> DataFrame:
+def near_lines(lines: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT, warm: int = WARM) -> DataFrame:
     """h, g of the lines that are within the edits allowed of one with an earlier place."""
     edits = max(e for _, e in allowed)
     # a partner of the shortest lines that may differ at all is shorter by the edits
@@ -204,17 +220,22 @@ def near_lines(lines: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT) -> Da
     pairs = []
 
     def meet(index: DataFrame, probe: DataFrame) -> None:
-        i, p = index.select("key", F.col("h").alias("a")), probe.select("key", F.col("h").alias("b"), "less")
+        marked = ["mark"] if "mark" in index.columns else []
+        i = index.select("key", F.col("h").alias("a"), *[F.col(c).alias("mark_a") for c in marked])
+        p = probe.select("key", F.col("h").alias("b"), "less", *[F.col(c).alias("mark_b") for c in marked])
         met = i.join(p.hint("merge"), "key").filter(
             (F.col("a") < F.col("b")) | ((F.col("less") > 0) & (F.col("a") != F.col("b"))))
+        if marked:
+            met = met.filter(F.bit_count(F.col("mark_a").bitwiseXOR(F.col("mark_b"))) <= 4 * edits)
         pairs.append(met.select("a", "b"))
 
-    def taken_apart(index: DataFrame, probe: DataFrame) -> tuple[DataFrame, DataFrame] | None:
-        """Adds the pairs of keys that are not hot; the entries of those that are."""
-        many = cut(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("key"))
+    def taken_apart(index: DataFrame, probe: DataFrame, most: int = hot) -> tuple[DataFrame, DataFrame] | None:
+        """Adds the pairs of keys that at most ``most`` lines share; the entries of the others."""
+        many = cut(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select("key"))
         meet(index.join(many, "key", "left_anti"), probe)
         if many.isEmpty():
             return None
+        many = few(many)
         return index.join(many, "key", "left_semi"), probe.join(many, "key", "left_semi")
 
     text = some.filter(F.col("size") > edits).select("h", "line", "size")
@@ -223,11 +244,18 @@ def near_lines(lines: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT) -> Da
         return _windows(text, edits, probe).select("h", _key("line").alias("key"), "less", "at", "n")
 
     index = probe = p = None
-    left = taken_apart(first(False), first(True))
+    left = taken_apart(first(False), first(True), min(warm, hot))
+    if left is not None:
+        # the mark is made once for each line, and only of those that share such a segment
+        index, probe = (cut(x) for x in left)
+        wanted = cut(index.select("h").union(probe.select("h")).distinct())
+        shared = cut(some.join(few(wanted), "h", "left_semi").select("h", "line", _mark("line").alias("mark")))
+        marks = few(shared.select("h", "mark"))
+        left = taken_apart(*(cut(x.join(marks, "h")) for x in (index, probe)))
     if left is not None:
         # what is left of the lines themselves, without the segment they share
-        index, probe = (cut(x.join(some.select("h", "line"), "h").select(
-            "h", "key", "less", _without("line").alias("rest")).withColumn("size", F.length("rest"))) for x in left)
+        index, probe = (cut(x.join(shared.select("h", "line"), "h").select(
+            "h", "key", "less", "mark", _without("line").alias("rest")).withColumn("size", F.length("rest"))) for x in left)
     while left is not None:
         # rests of up to ``edits`` characters are not divided further: the lines
         # of such a key differ nowhere else, so they are few, and make pairs
@@ -235,7 +263,7 @@ def near_lines(lines: DataFrame, allowed: tuple = ALLOWED, hot: int = HOT) -> Da
         meet(index.filter(short), probe.filter(short))
         index, probe = (
             _windows(x.filter(~short), edits, is_probe, fixed=True)
-            .select("h", _key("rest", "key").alias("key"), "less", _without("rest").alias("rest"))
+            .select("h", _key("rest", "key").alias("key"), "less", "mark", _without("rest").alias("rest"))
             .withColumn("size", F.length("rest")) for x, is_probe in ((index, False), (probe, True)))
         index, probe = cut(index), cut(probe)
         left = taken_apart(index, probe)
