@@ -59,8 +59,10 @@ AT_LEAST = (4, 5)
 SIDE, TOGETHER = 2048, 20_000
 #: Nodes on each side of a tile whose pairs are verified together.
 TILE = 256
-#: Bytes of text handled at once, and documents.
-BLOCK, MOST = 1 << 20, 4000
+#: Bytes of text handled at once, and documents: each draws some M ln M points, however short it is.
+BLOCK, MOST = 1 << 18, 256
+#: Pairs that are numbered at once.
+PAIRS = 1 << 16
 
 
 def shingles(text: bytes, k: int = SHINGLE) -> list[bytes]:
@@ -247,7 +249,7 @@ def _across(least: int):
         keys = t.column("keys").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)[order]
         low, high = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         cuts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
-        a, b = [], []
+        a, b = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
         for x, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(band)]):
             r = root[x:z]
             if (r == r[0]).all():
@@ -260,23 +262,31 @@ def _across(least: int):
                 others = others[_agree(sig[others], sig[i]) >= least]
                 if nth[i]:
                     others = others[~(keys[others, :nth[i]] == keys[i, :nth[i]]).any(axis=1)]
-                a += [i] * len(others)
-                b += others.tolist()
+                a.append(np.full(len(others), i, np.int32))
+                b.append(others.astype(np.int32))
         # nodes in the order of their bands, so that the pairs of a band share tiles
         raw = t.column("node").combine_chunks().take(pa.array(order))
         _, first, number = np.unique(node, return_index=True, return_inverse=True)
         rank = np.argsort(np.argsort(first))[number]
         at = np.sort(first)
-        x, y = rank[np.array(a, np.int64)], rank[np.array(b, np.int64)]
-        pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-        tile = pair // TILE
-        order = np.lexsort((pair[:, 1], pair[:, 0], tile[:, 1], tile[:, 0]))
-        pair, tile = pair[order], tile[order]
-        cuts = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]).any(axis=1)])) if len(pair) else []
+        # a pair is one number that sorts by its tile, then by its nodes
+        a, b = np.concatenate(a), np.concatenate(b)
+        code = np.empty(len(a), np.int64)
+        wide = len(at) // TILE + 1
+        for i in range(0, len(a), PAIRS):
+            x, y = rank[a[i:i + PAIRS]], rank[b[i:i + PAIRS]]
+            x, y = np.minimum(x, y), np.maximum(x, y)
+            code[i:i + PAIRS] = (((x // TILE) * wide + y // TILE) * TILE + x % TILE) * TILE + y % TILE
+        del a, b
+        code.sort()
+        code = code[np.diff(code, prepend=-1) != 0]
+        cuts = np.flatnonzero(np.diff(code // TILE**2, prepend=-1))
         out = {"tile": [], "nodes": [], "pairs": []}
         place = "/".join(str(t.column(c)[0].as_py()) for c in ("cell", "large", "i", "j"))
-        for k, part in enumerate(np.split(pair, cuts[1:]) if len(pair) else []):
-            used, own_number = np.unique(part, return_inverse=True)
+        for k, part in enumerate(np.split(code, cuts[1:]) if len(code) else []):
+            tile = int(part[0]) // TILE**2
+            pair = np.stack([tile // wide * TILE + part // TILE % TILE, tile % wide * TILE + part % TILE], axis=1)
+            used, own_number = np.unique(pair, return_inverse=True)
             out["tile"].append(f"{place}/{k}")
             out["nodes"].append(raw.take(pa.array(at[used])).to_pylist())
             out["pairs"].append(own_number.reshape(-1).astype("<i2").tobytes())
