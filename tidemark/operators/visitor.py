@@ -25,6 +25,11 @@ from tidemark.functions.time import arrival, to_date
 DAY_MS = 24 * 60 * 60 * 1000
 
 
+def flag_keys(parsed: DataFrame) -> DataFrame:
+    """What anchors are made of: the key fields of parsed lines, without text and record."""
+    return parsed.select("mid", "seq", "ts", "is_new", "dirty")
+
+
 def anchor_days(parsed: DataFrame, zone: str = "UTC") -> DataFrame:
     """``(mid, days)``: the anchor date (days since 1970) that each device's first
     good row sets. Fixed-width buffers (days, one packed decimal) keep this a
@@ -35,12 +40,14 @@ def anchor_days(parsed: DataFrame, zone: str = "UTC") -> DataFrame:
             .agg(F.min_by(F.unix_date(candidate.cast("date")), arrival("ts", "seq")).alias("days")))
 
 
-def with_anchor(parsed: DataFrame, anchors: DataFrame, zone: str = "UTC", salts: int = 1) -> DataFrame:
+def with_anchor(parsed: DataFrame, anchors: DataFrame, zone: str = "UTC", salts: int = 1,
+                keys: DataFrame | None = None) -> DataFrame:
     """Replace ``is_new`` (and ``rec.common.is_new``) on good rows by the devices' anchors
     ``(mid, days)``; dirty rows pass through unchanged. Adds ``is_new_in`` and
     ``visit_date``. ``salts`` above 1 deals a device's rows over so many keys and copies its
     anchor to those that occur, for callers whose join is not split at run time; both
-    sides are shuffled then, as the size of a growing table of anchors is not known to the planner."""
+    sides are shuffled then, as the size of a growing table of anchors is not known to the planner.
+    Which salts occur is read from ``keys``, if given: :func:`flag_keys` of ``parsed``, held by the caller."""
     good = F.col("dirty").isNull()
     visit_date = to_date(F.col("ts"), zone)
     anchors = anchors.select(F.col("mid").alias("_jk"), F.date_from_unix_date("days").cast("string").alias("anchor"))
@@ -55,8 +62,9 @@ def with_anchor(parsed: DataFrame, anchors: DataFrame, zone: str = "UTC", salts:
     on = ["_jk"]
     if salts > 1:
         on = ["_jk", "_salt"]
-        left = left.withColumn("_salt", F.pmod(F.xxhash64("ts", "seq"), F.lit(salts)).cast("int"))
-        met = left.filter(good).select(*on).distinct()
+        salt = F.pmod(F.xxhash64("ts", "seq"), F.lit(salts)).cast("int").alias("_salt")
+        left = left.withColumn("_salt", salt)
+        met = (parsed if keys is None else keys).filter(good).select(F.col("mid").alias("_jk"), salt).distinct()
         anchors = met.join(anchors.hint("merge"), "_jk").hint("merge")
     j = left.join(anchors, on, "left").drop(*on)
     changed = good & (F.col("is_new") == "1") & (visit_date != F.col("anchor"))

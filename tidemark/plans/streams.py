@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.parse import parse_log
 from tidemark.operators.split import TOPIC_PAGE
+from tidemark.operators.visitor import flag_keys
 from tidemark.plans import flows as pl
 from tidemark.schemas import RAW_LOG
 from tidemark.session import passing_path
@@ -99,7 +100,8 @@ def keyword_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flag_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrival decides the anchors here: by chunk, then (ts, seq)."""
+    """Arrival decides the anchors here: by chunk, then (ts, seq). A batch holds the key
+    fields of its lines only; texts and records would fill the executors' storage memory."""
     raw = raw_log(spark, sf_dir)
     ts = F.get_json_object("value", "$.ts").cast("bigint")
     lines = raw.select("value", "seq", F.coalesce(chunk_of(ts, F.col("seq")), F.lit(0)).alias("chunk"))
@@ -108,11 +110,12 @@ def flag_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def body_of(stream, checkpoint):
         def write(batch: DataFrame, batch_id: int) -> None:
-            parsed = parse_log(batch).persist()
-            r = sj.flag_repair_batch(parsed, anchors, batch_id)
+            parsed = parse_log(batch)
+            keys = flag_keys(parsed).persist()
+            r = sj.flag_repair_batch(parsed, anchors, batch_id, keys=keys)
             write_run(r.filter(F.col("dirty").isNull()).select("seq", "mid", "ts", "visit_date", "is_new_in", "is_new"),
                       out, run_name("s", batch_id), once=True)
-            parsed.unpersist()
+            keys.unpersist()
         return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
     run_in_chunks(lines, body_of)

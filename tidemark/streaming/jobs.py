@@ -45,7 +45,7 @@ def log_split_stream(raw: DataFrame, zone: str = "UTC") -> DataFrame:
 
 
 def flag_repair_batch(parsed: DataFrame, anchors: VersionedTable, batch_id: int, zone: str = "UTC",
-                      salts: int = 16) -> DataFrame:
+                      salts: int = 16, keys: DataFrame | None = None) -> DataFrame:
     """T1 on one micro-batch of parsed lines, with the devices' anchors in a
     keyed table instead of keyed state: the batch's first rows per device are folded
     into the table, where an anchor that is there stays, and the table is joined back.
@@ -53,13 +53,15 @@ def flag_repair_batch(parsed: DataFrame, anchors: VersionedTable, batch_id: int,
     The aggregate combines a device's rows map-side and the join deals them over
     ``salts`` keys, so no task holds a device. A replayed batch finds its own anchors
     and gives the same rows. No join sends its anchors to the driver. Callers hold
-    ``parsed`` (it is read more than once)."""
-    new = anchor_days(parsed, zone).withColumn("batch", F.lit(batch_id).cast("long"))
+    ``parsed`` (it is read more than once), or only its ``keys`` (:func:`flag_keys`):
+    then ``parsed`` itself, with the lines' texts and records, is read once, for the result."""
+    keys = parsed if keys is None else keys
+    new = anchor_days(keys, zone).withColumn("batch", F.lit(batch_id).cast("long"))
     first = lambda both: both.groupBy("mid").agg(F.min_by("days", "batch").alias("days"),
                                                  F.min("batch").alias("batch"))
     version = anchors.fold(new, first)
     known = anchors.read(version=version).join(new.select("mid").hint("merge"), "mid", "left_semi")
-    return with_anchor(parsed, known.select("mid", "days"), zone, salts)
+    return with_anchor(parsed, known.select("mid", "days"), zone, salts, keys)
 
 
 def anchor_table(spark, path: str) -> VersionedTable:
